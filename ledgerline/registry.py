@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .plans import activity as A
 from .plans import renewals as R
 from .sources import standins as S
 
@@ -69,6 +70,69 @@ QUERIES: dict[str, Query] = {
 }
 
 
+# ------------------------------------------------------------ activity ---
+
+def _act(spark, sf_dir):
+    return (S.reachout_forms(spark, sf_dir), S.members(spark, sf_dir), S.services(spark, sf_dir))
+
+
+def activity_created(spark, sf_dir):
+    f, m, _ = _act(spark, sf_dir)
+    return A.created_activity(f, m, S.ACTIVITY_FIRST_DAY, None)
+
+
+def activity_call(spark, sf_dir):
+    f, _, _ = _act(spark, sf_dir)
+    return A.call_activity(f, S.ACTIVITY_FIRST_DAY, None)
+
+
+def activity_utilisation(spark, sf_dir):
+    f, m, s = _act(spark, sf_dir)
+    return A.utilisation_activity(f, m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY)
+
+
+def activity_today(spark, sf_dir):
+    f, m, s = _act(spark, sf_dir)
+    return A.activity_day(f, m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY)
+
+
+def open_backlog(spark, sf_dir):
+    f, _, _ = _act(spark, sf_dir)
+    return A.open_backlog(f, S.ACTIVITY_AS_OF)
+
+
+def first_service_after(spark, sf_dir):
+    f, m, s = _act(spark, sf_dir)
+    bs = A.with_member(A.form_base(f.filter("is_draft = false")), m)
+    return (A.first_service_after(bs, s, how="inner")
+            .select("form_uid", "account_uid", "sd", "claim_creation_time", "service_id", "claim_type"))
+
+
+def reachout_raw(spark, sf_dir):
+    f, m, s = _act(spark, sf_dir)
+    return A.reachout_raw(f, m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY)
+
+
+def raw_search(spark, sf_dir):
+    from .oracle_activity import RAW_QUERY
+
+    f, m, s = _act(spark, sf_dir)
+    raw = A.reachout_raw(f, m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY, include_pii=True)
+    return A.raw_search(raw, query=RAW_QUERY)
+
+
+QUERIES.update({
+    "first_service_after": first_service_after,
+    "activity_created": activity_created,
+    "activity_call": activity_call,
+    "activity_utilisation": activity_utilisation,
+    "activity_today": activity_today,
+    "open_backlog": open_backlog,
+    "reachout_raw": reachout_raw,
+    "raw_search": raw_search,
+})
+
+
 def register(name: str):
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
