@@ -225,6 +225,11 @@ def all_sql() -> dict[str, str]:
         out.update(activity_sql())
     except ImportError:
         pass
+    try:
+        from .oracle_tables import tables_sql
+        out.update(tables_sql())
+    except ImportError:
+        pass
     try:
         from .oracle_ranking import ranking_sql
         out.update(ranking_sql())

@@ -40,12 +40,16 @@ UTIL_CODE = ("CASE WHEN claim_type IS NULL THEN 0 WHEN claim_type='IN_HOUSE_CONS
              "WHEN claim_type='HOME_COLLECTION' THEN 3 WHEN claim_type IN ('NETWORK_VISIT','OPD_VISIT') THEN 4 "
              "WHEN claim_type='REIMBURSEMENT' THEN 5 ELSE 6 END")
 
-FORM_BASE = f"""
-fb AS (
+def form_base(name: str = "fb", src: str = "forms") -> str:
+    return f"""
+{name} AS (
  SELECT uid AS form_uid, parent_doc_id, is_draft, created_at, submitted_at,
   split_part(assigned_to, '@', 1) AS ag, CAST(created_at AS DATE) AS cd, CAST(submitted_at AS DATE) AS sd,
   outcome, ({IN_CALL}) AS in_call, {BUCKET} AS bk, {BUCKET_CODE} AS bk_code
- FROM forms WHERE form_type = 'POSTSALES_REACHOUT' AND assigned_to IS NOT NULL)"""
+ FROM {src} WHERE form_type = 'POSTSALES_REACHOUT' AND assigned_to IS NOT NULL)"""
+
+
+FORM_BASE = form_base()
 
 DISP = {
     "di": "outcome IN ('INTERESTED','INTERESTED_NSA')", "ddnp": "outcome IN ('DNP','DNP_REALLOCATE')",
@@ -101,6 +105,61 @@ s AS (
  FROM bs LEFT JOIN fs f ON f.form_uid = bs.form_uid GROUP BY 1, 2, 3)"""
 
 
+def rows_ctes(p: str, fb: str, d1: str, d2: str) -> str:
+    """CTEs ending in ``{p}_rows``: the 25-column activity rows for days d1..d2
+    computed from form base ``fb`` (the source's today query, over a range)."""
+    bs = f"""
+{p}_bs AS (
+ SELECT {fb}.*, m.account_uid FROM {fb} LEFT JOIN member m ON m.individual_uid = {fb}.parent_doc_id
+ WHERE is_draft = false AND sd BETWEEN {d1} AND {d2} AND bk <> 'Other')"""
+    fs = _fs(f"{p}_bs").replace("fs AS (", f"{p}_fs AS (", 1)
+    parts = [f"COUNT(DISTINCT b.form_uid) AS calls", "COUNT(DISTINCT b.form_uid) FILTER (WHERE in_call) AS in_call"]
+    parts += [f"COUNT(DISTINCT b.form_uid) FILTER (WHERE {c}) AS {n}" for n, c in UTIL.items()]
+    parts += [f"COUNT(DISTINCT b.form_uid) FILTER (WHERE {c}) AS {n}" for n, c in DISP.items()]
+    s_cte = f"""
+{p}_s AS (
+ SELECT b.sd AS d, b.ag, b.bk, {', '.join(parts)}
+ FROM {p}_bs b LEFT JOIN {p}_fs f ON f.form_uid = b.form_uid GROUP BY 1, 2, 3)"""
+    c_cte = f"""
+{p}_c AS (
+ SELECT cd AS d, ag, bk, COUNT(DISTINCT m.account_uid) AS accts,
+  COUNT(DISTINCT form_uid) FILTER (WHERE is_draft) AS pending, COUNT(DISTINCT form_uid) AS forms
+ FROM {fb} LEFT JOIN member m ON m.individual_uid = {fb}.parent_doc_id
+ WHERE cd BETWEEN {d1} AND {d2} AND bk <> 'Other' GROUP BY 1, 2, 3)"""
+    measures = []
+    for m in codes.ACTIVITY_MEASURES:
+        if m == "u_ipd":
+            measures.append("CAST(0 AS BIGINT) AS u_ipd")
+        elif m == "bookings":
+            measures.append("CAST(COALESCE(s.in_call, 0) AS BIGINT) AS bookings")
+        elif m in ("accts", "pending", "forms"):
+            measures.append(f"CAST(COALESCE(c.{m}, 0) AS BIGINT) AS {m}")
+        else:
+            measures.append(f"CAST(COALESCE(s.{m}, 0) AS BIGINT) AS {m}")
+    rows = f"""
+{p}_rows AS (
+ SELECT COALESCE(c.d, s.d) AS d, COALESCE(c.ag, s.ag) AS ag, COALESCE(c.bk, s.bk) AS bk, {', '.join(measures)}
+ FROM {p}_c c FULL OUTER JOIN {p}_s s ON c.d = s.d AND c.ag = s.ag AND c.bk = s.bk)"""
+    return ",".join(x.strip() for x in [bs, fs, s_cte, c_cte, rows])
+
+
+def raw_ctes(p: str, fb: str, d1: str, d2: str, pii: bool = False) -> str:
+    """CTEs ending in ``{p}_raw``: member-level rows for days d1..d2."""
+    bs = f"""
+{p}_bs AS (
+ SELECT {fb}.*, m.account_uid, m.mobile, m.full_name FROM {fb} LEFT JOIN member m ON m.individual_uid = {fb}.parent_doc_id
+ WHERE is_draft = false AND sd BETWEEN {d1} AND {d2} AND bk_code <> 9)"""
+    fs = _fs(f"{p}_bs").replace("fs AS (", f"{p}_fs AS (", 1)
+    pii_cols = "b.mobile, b.full_name, " if pii else ""
+    raw = f"""
+{p}_raw AS (
+ SELECT b.form_uid, b.sd AS d, strftime(b.sd, '%m-%d') AS mmdd, b.ag AS agent, {pii_cols}
+  b.bk_code AS bucket_code, {OUTCOME_CODE.replace('outcome', 'b.outcome')} AS outcome_code,
+  CAST(b.in_call AS INTEGER) AS in_call, {UTIL_CODE.replace('claim_type', 'f.claim_type')} AS util_code
+ FROM {p}_bs b LEFT JOIN {p}_fs f ON f.form_uid = b.form_uid)"""
+    return ",".join(x.strip() for x in [bs, fs, raw])
+
+
 def activity_sql() -> dict[str, str]:
     pre = with_ctes(["forms", "member", "service"], FORM_BASE)
     rng = f"sd BETWEEN {ACT_D1} AND {ACT_D2} AND bk <> 'Other'"

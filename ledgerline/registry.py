@@ -6,7 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import datetime as dt
+
 from .plans import activity as A
+from .plans import agent_tables as T
+from .plans import refresh as RF
 from .plans import renewals as R
 from .sources import standins as S
 
@@ -133,6 +137,83 @@ QUERIES.update({
 })
 
 
+# ------------------------------------------- merges, meta, agent tables ---
+
+CUTOFF = dt.datetime(2024, 1, 15, 12, 0, 0)
+RUN_TS = dt.datetime(2024, 1, 15, 18, 30, 0)
+NOW_TS = dt.datetime(2024, 1, 15, 18, 37, 40)
+
+
+def _stale_rows(f, m, s):
+    return A.activity_day(RF.log_as_of(f, CUTOFF), m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_AS_OF)
+
+
+def _rows(spark, sf_dir):
+    f, m, s = _act(spark, sf_dir)
+    return A.activity_day(f, m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY)
+
+
+def merge_day_slice(spark, sf_dir):
+    f, m, s = _act(spark, sf_dir)
+    return RF.day_slice_refresh(_stale_rows(f, m, s), f, m, s, S.ACTIVITY_AS_OF)
+
+
+def merge_carry_forward(spark, sf_dir):
+    f, m, s = _act(spark, sf_dir)
+    return RF.carry_forward_refresh(_stale_rows(f, m, s), f, m, S.ACTIVITY_FIRST_DAY)
+
+
+def rolling_three_months(spark, sf_dir):
+    f, m, s = _act(spark, sf_dir)
+    prev = A.reachout_raw(RF.log_as_of(f, CUTOFF), m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY)
+    return RF.raw_refresh(prev, f, m, s, S.ACTIVITY_AS_OF)
+
+
+def snapshot_meta(spark, sf_dir):
+    f, m, s = _act(spark, sf_dir)
+    rows = A.activity_day(f, m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY)
+    return RF.snapshot_meta(rows, A.open_backlog(f, S.ACTIVITY_AS_OF), RUN_TS, NOW_TS)
+
+
+def agent_funnel(spark, sf_dir):
+    f, _, _ = _act(spark, sf_dir)
+    return T.agent_funnel(_rows(spark, sf_dir), A.open_backlog(f, S.ACTIVITY_AS_OF))
+
+
+def touchpoint_pivot(spark, sf_dir):
+    return T.touchpoint_pivot(_rows(spark, sf_dir))
+
+
+def utility_breakdown(spark, sf_dir):
+    return T.utility_breakdown(_rows(spark, sf_dir))
+
+
+def disposition_breakdown(spark, sf_dir):
+    return T.disposition_breakdown(_rows(spark, sf_dir))
+
+
+def activity_kpis(spark, sf_dir):
+    return T.activity_kpis(_rows(spark, sf_dir))
+
+
+def date_presets(spark, sf_dir):
+    return T.date_presets(_rows(spark, sf_dir))
+
+
+QUERIES.update({
+    "merge_day_slice": merge_day_slice,
+    "merge_carry_forward": merge_carry_forward,
+    "rolling_three_months": rolling_three_months,
+    "snapshot_meta": snapshot_meta,
+    "agent_funnel": agent_funnel,
+    "touchpoint_pivot": touchpoint_pivot,
+    "utility_breakdown": utility_breakdown,
+    "disposition_breakdown": disposition_breakdown,
+    "activity_kpis": activity_kpis,
+    "date_presets": date_presets,
+})
+
+
 def register(name: str):
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
