@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import datetime as dt
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,6 +21,23 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _ref(c: str) -> str:
+    """SQL reference to a (possibly nested) column name."""
+    return ".".join(f"`{p}`" for p in c.split("."))
+
+
+def _lit(v) -> str:
+    return "'" + str(v).replace("'", "''") + "'" if isinstance(v, str) else str(v)
+
+
+def _in(ref: str, values) -> str:
+    return f"{ref} IN ({', '.join(_lit(v) for v in values)})"
+
+# The fixed code maps below are emitted as one SQL expression each when the
+# input is a column name: the JVM parses it in one call, where the builder
+# form costs a round trip per node. Both forms are the same Catalyst tree.
+
+
 # ---------------------------------------------------------------- dates ---
 
 def ntz_literal(value: dt.datetime | dt.date) -> Column:
@@ -199,6 +215,12 @@ def minutes_since(generated: str | Column, now: str | Column) -> Column:
 
 def bucket_label(reason: str | Column) -> Column:
     """Reason code -> touchpoint label; unknown or null -> 'Other'."""
+    if isinstance(reason, str):
+        r = _ref(reason)
+        arms = [f"WHEN {r} = {_lit(code)} THEN {_lit(label)}" for code, label, _ in codes.REASONS]
+        arms.append(f"WHEN {r} LIKE {_lit(codes.BAD_CSAT_PATTERN)} THEN {_lit(codes.BAD_CSAT_LABEL)}")
+        arms.append(f"WHEN {r} = {_lit(codes.ENGAGEMENT_REASON)} THEN {_lit(codes.ENGAGEMENT_LABEL)}")
+        return F.expr(f"CASE {' '.join(arms)} ELSE {_lit(codes.OTHER_LABEL)} END")
     r = col(reason)
     chain = None
     for code, label, _ in codes.REASONS:
@@ -210,6 +232,12 @@ def bucket_label(reason: str | Column) -> Column:
 
 def bucket_code(reason: str | Column) -> Column:
     """Reason code -> 0..5, 7, BAD_CSAT% -> 6, else 9."""
+    if isinstance(reason, str):
+        r = _ref(reason)
+        arms = [f"WHEN {r} = {_lit(code)} THEN {num}" for code, _, num in codes.REASONS]
+        arms.append(f"WHEN {r} = {_lit(codes.ENGAGEMENT_REASON)} THEN {codes.ENGAGEMENT_CODE}")
+        arms.append(f"WHEN {r} LIKE {_lit(codes.BAD_CSAT_PATTERN)} THEN {codes.BAD_CSAT_CODE}")
+        return F.expr(f"CASE {' '.join(arms)} ELSE {codes.OTHER_CODE} END")
     r = col(reason)
     chain = None
     for code, _, num in codes.REASONS:
@@ -226,6 +254,9 @@ def bucket_label_of_code(code: str | Column) -> Column:
 
 def outcome_code(outcome: str | Column) -> Column:
     """P10: outcome -> 0..7; anything else, null included, -> 8."""
+    if isinstance(outcome, str):
+        arms = [f"WHEN {_in(_ref(outcome), values)} THEN {num}" for _, values, num, _ in codes.DISPOSITIONS]
+        return F.expr(f"CASE {' '.join(arms)} ELSE {codes.NO_OUTCOME_CODE} END")
     o = col(outcome)
     chain = None
     for _, values, num, _ in codes.DISPOSITIONS:
@@ -249,6 +280,11 @@ def disposition_flags(outcome: str | Column) -> dict[str, Column]:
 
 def utility_code(claim_type: str | Column) -> Column:
     """Null -> 0, five groups -> 1..5, anything else -> 6."""
+    if isinstance(claim_type, str):
+        r = _ref(claim_type)
+        arms = [f"WHEN {r} IS NULL THEN {codes.UTIL_NONE_CODE}"]
+        arms += [f"WHEN {_in(r, values)} THEN {num}" for _, values, num, _ in codes.UTILITIES]
+        return F.expr(f"CASE {' '.join(arms)} ELSE {codes.UTIL_OTHER_CODE} END")
     c = col(claim_type)
     chain = F.when(c.isNull(), F.lit(codes.UTIL_NONE_CODE))
     for _, values, num, _ in codes.UTILITIES:
@@ -285,21 +321,16 @@ def in_call(flat: dict[str, dict[str, str]], docs: dict[str, str]) -> Column:
     null when the key is missing, so the result is true, false or null
     (``false OR null`` is null).
     """
-    booked, ids, hcu = [], [], []
-    for g in codes.FLAT_GROUPS:
-        booked.append(F.coalesce(col(flat[g]["booked"]).cast("boolean"), F.lit(False)))
-    for g in codes.JSON_GROUPS:
-        booked.append(F.coalesce(F.get_json_object(col(docs[g]), "$.booked_during_call").cast("boolean"),
-                                 F.lit(False)))
-    for g in codes.FLAT_GROUPS:
-        ids.append(empty_to_null(flat[g]["booking_id"]).isNotNull())
-    for g in codes.JSON_GROUPS:
-        ids.append(empty_to_null(F.get_json_object(col(docs[g]), "$.booking_id")).isNotNull())
-    for g in codes.FLAT_GROUPS:
-        hcu.append(col(flat[g]["hcu"]) == F.lit(codes.BOOK_ON_CALL))
-    for g in codes.JSON_GROUPS:
-        hcu.append(F.get_json_object(col(docs[g]), "$.hcu_booking") == F.lit(codes.BOOK_ON_CALL))
-    return reduce(or_, booked + ids + hcu)
+    def js(doc: str, key: str) -> str:
+        return f"get_json_object({_ref(doc)}, '$.{key}')"
+
+    terms = [f"coalesce(CAST({_ref(flat[g]['booked'])} AS BOOLEAN), false)" for g in codes.FLAT_GROUPS]
+    terms += [f"coalesce(CAST({js(docs[g], 'booked_during_call')} AS BOOLEAN), false)" for g in codes.JSON_GROUPS]
+    terms += [f"(nullif({_ref(flat[g]['booking_id'])}, '') IS NOT NULL)" for g in codes.FLAT_GROUPS]
+    terms += [f"(nullif({js(docs[g], 'booking_id')}, '') IS NOT NULL)" for g in codes.JSON_GROUPS]
+    terms += [f"({_ref(flat[g]['hcu'])} = {_lit(codes.BOOK_ON_CALL)})" for g in codes.FLAT_GROUPS]
+    terms += [f"({js(docs[g], 'hcu_booking')} = {_lit(codes.BOOK_ON_CALL)})" for g in codes.JSON_GROUPS]
+    return F.expr(" OR ".join(terms))
 
 
 def connected(cols: dict[str, Column] | None = None) -> Column:

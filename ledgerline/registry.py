@@ -10,6 +10,7 @@ import datetime as dt
 
 from .plans import activity as A
 from .plans import agent_tables as T
+from .plans import ranking as RK
 from .plans import refresh as RF
 from .plans import renewals as R
 from .sources import standins as S
@@ -214,6 +215,49 @@ QUERIES.update({
 })
 
 
+# ------------------------------------------------------------- ranking ---
+
+_METRICS = ["first_response_secs", "every_chat_response_secs", "resolution_time_secs", "csat"]
+
+
+def agent_ratings(spark, sf_dir):
+    r = RK.rated(S.agent_day(spark, sf_dir))
+    r = r.select("d", "name", "pod", "total_bucket", "open_bucket", "resolved_cum", *_METRICS, "csat_n",
+                 "r_frt", "r_art", "r_res", "r_csat", "r_vol", "score")
+    return RK.rounded_out(r, _METRICS + ["score"])
+
+
+def agent_scores_ranked(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from .functions import columns as C
+
+    r = RK.ranked(S.agent_day(spark, sf_dir))
+    return r.select("d", "name", "pod", F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"),
+                    C.duration_label("first_response_secs").alias("first_response_label"),
+                    C.duration_label("every_chat_response_secs").alias("every_chat_label"),
+                    F.when(F.col("csat").isNull(), F.lit("-")).otherwise(RK.fixed2(F.col("csat"))).alias("csat_label"))
+
+
+def agent_cumulative(spark, sf_dir):
+    c = RK.cumulative(S.agent_day(spark, sf_dir))
+    c = c.select("name", "pod", "days", "total_bucket", "open_bucket", "resolved_cum", *_METRICS, "csat_n",
+                 "r_frt", "r_art", "r_res", "r_csat", "r_vol", "score")
+    return RK.rounded_out(c, ["total_bucket", "open_bucket", "resolved_cum"] + _METRICS + ["score"])
+
+
+def ranking_cards(spark, sf_dir):
+    return RK.cards(RK.ranked(S.agent_day(spark, sf_dir)))
+
+
+QUERIES.update({
+    "agent_ratings": agent_ratings,
+    "agent_scores_ranked": agent_scores_ranked,
+    "agent_cumulative": agent_cumulative,
+    "ranking_cards": ranking_cards,
+})
+
+
 def register(name: str):
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
