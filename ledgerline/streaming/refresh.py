@@ -4,8 +4,9 @@ The source refreshes by polling: every run recomputes "today" and replaces
 that day's slice. As a stream:
 
 * the form log (a folder of Parquet files new deliveries land in) is read
-  with ``readStream``; duplicate deliveries of a form are dropped within the
-  watermark (``dropDuplicatesWithinWatermark('uid')``, ST2);
+  with ``readStream``; duplicate deliveries of a form are dropped within a
+  watermark on delivery time (``dropDuplicatesWithinWatermark('uid')``, ST2),
+  so late forms are never dropped;
 * each micro-batch collects the days it touches -- a form counts on its
   created day (created measures) and its submitted day (call and
   utilisation measures, H19) -- and recomputes exactly those days from the
@@ -74,8 +75,14 @@ def start_refresh(spark: SparkSession, log_dir: str, log_schema, member: DataFra
                   watermark: str = "3 days", available_now: bool = True) -> StreamingQuery:
     """Start the incremental refresh; the checkpoint lives in the shared
     checkpoint folder (``spark.checkpoint.dir``)."""
+    # Duplicate deliveries are dropped by delivery time (the file's landing
+    # time), not by the form's own time: a form that arrives days late is
+    # still processed and re-opens its day, while a re-delivery within the
+    # window costs nothing. The recompute itself counts distinct forms, so a
+    # duplicate outside the window is harmless too.
     stream = (spark.readStream.schema(log_schema).parquet(log_dir)
-              .withWatermark("created_at", watermark)
+              .withColumn("_delivered_at", F.col("_metadata.file_modification_time"))
+              .withWatermark("_delivered_at", watermark)
               .dropDuplicatesWithinWatermark(["uid"]))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
