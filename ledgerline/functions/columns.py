@@ -321,8 +321,12 @@ def in_call(flat: dict[str, dict[str, str]], docs: dict[str, str]) -> Column:
     null when the key is missing, so the result is true, false or null
     (``false OR null`` is null).
     """
+    # Each JSON document is parsed once into its three keys (as text, like
+    # the source's ``->>``), not once per key.
+    doc_type = "struct<booked_during_call:string,booking_id:string,hcu_booking:string>"
+
     def js(doc: str, key: str) -> str:
-        return f"get_json_object({_ref(doc)}, '$.{key}')"
+        return f"from_json({_ref(doc)}, '{doc_type}').{key}"
 
     terms = [f"coalesce(CAST({_ref(flat[g]['booked'])} AS BOOLEAN), false)" for g in codes.FLAT_GROUPS]
     terms += [f"coalesce(CAST({js(docs[g], 'booked_during_call')} AS BOOLEAN), false)" for g in codes.JSON_GROUPS]
