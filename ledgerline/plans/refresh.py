@@ -61,3 +61,34 @@ def snapshot_meta(rows: DataFrame, backlog: DataFrame | None, run_ts: dt.datetim
                    F.count_if(F.col("is_open")).alias("open_buckets"))
     g = g.withColumn("refreshed_at", F.concat(F.date_format(local, "dd MMM yyyy, hh:mm a"), F.lit(" IST")))
     return g.withColumn("minutes_since", C.minutes_since(run, C.ntz_literal(now or run_ts)))
+
+
+def refresh_activity_tables(forms: DataFrame, member: DataFrame, services: DataFrame, d1: dt.date,
+                            d2: dt.date, as_of: dt.date, base_path: str, tz: str = "UTC") -> dict[str, str]:
+    """E2 as a job: write ``activity_day`` (day partitions replaced) and the open
+    backlog snapshot as tables under ``base_path``; return their paths.
+
+    Reports then read the written tables, which cuts the lineage: an executor
+    lost later recomputes from the table, not from the log and the as-of join.
+    """
+    rows_path = f"{base_path.rstrip('/')}/activity_day"
+    backlog_path = f"{base_path.rstrip('/')}/open_backlog"
+    M.write_day_partitions(A.activity_day(forms, member, services, d1, d2, tz), rows_path)
+    A.open_backlog(forms, as_of, tz).write.mode("overwrite").parquet(backlog_path)
+    return {"activity_day": rows_path, "open_backlog": backlog_path}
+
+
+def agent_report(spark, paths: dict[str, str], d_from: dt.date | None = None, d_to: dt.date | None = None,
+                 agent: str = "ALL", bucket: str = "ALL") -> dict[str, DataFrame]:
+    """E2 read side: every per-agent table over one window of the kept tables."""
+    from . import agent_tables as T
+
+    rows = spark.read.parquet(paths["activity_day"])
+    backlog = spark.read.parquet(paths["open_backlog"])
+    win = T.window_rows(rows, d_from, d_to, agent, bucket)
+    return {"agent_funnel": T.agent_funnel(win, backlog, agent, bucket),
+            "touchpoint_pivot": T.touchpoint_pivot(win),
+            "utility_breakdown": T.utility_breakdown(win),
+            "disposition_breakdown": T.disposition_breakdown(win),
+            "activity_kpis": T.activity_kpis(win),
+            "date_presets": T.date_presets(rows)}

@@ -44,3 +44,18 @@ def test_activity_bounds(spark):
                           + F.col("dlb") + F.col("dop") + F.col("dno")) > F.col("calls"))
                       | (F.col("u_any") > F.col("calls")))
     assert bad.count() == 0
+
+
+def test_written_tables_path_equals_registered_queries(spark, tmp_dir):
+    """The deployed path (write activity_day, read back) gives the registered answers."""
+    from ledgerline.plans import refresh as RF
+    from ledgerline.sources import standins as S
+
+    paths = RF.refresh_activity_tables(S.reachout_forms(spark, SF_MID), S.members(spark, SF_MID),
+                                       S.services(spark, SF_MID), S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY,
+                                       S.ACTIVITY_AS_OF, tmp_dir)
+    report = RF.agent_report(spark, paths)
+    for name in ["agent_funnel", "touchpoint_pivot", "activity_kpis", "date_presets"]:
+        got = sorted(tuple(r) for r in report[name].collect())
+        want = sorted(tuple(r) for r in Q[name](spark, SF_MID).select(*report[name].columns).collect())
+        assert got == want, name
