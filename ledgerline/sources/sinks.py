@@ -13,7 +13,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import codes
 from ..functions import columns as C
 
 
@@ -60,4 +59,4 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
      .option("nullValue", "").option("emptyValue", "").csv(path))
 
 
-__all__ = ["write_tables", "positional_json", "write_json_lines", "raw_csv_frame", "write_csv", "codes"]
+__all__ = ["write_tables", "positional_json", "write_json_lines", "raw_csv_frame", "write_csv"]

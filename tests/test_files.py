@@ -79,3 +79,17 @@ def test_positional_json_rows(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, 1), "am.1", "Day 15", 3, None)],
                                "d date, ag string, bk string, n long, x long")
     assert SK.positional_json(df).collect()[0].value == '["2024-01-01","am.1","Day 15",3,null]'
+
+
+def test_range_sql_binds_parameters(spark):
+    spark.createDataFrame([(dt.date(2024, 1, d), d) for d in range(1, 11)], "d date, n long") \
+        .createOrReplaceTempView("days_t")
+    got = FS.read_range_sql(spark, "SELECT n FROM days_t WHERE d BETWEEN :d1 AND :d2",
+                            dt.date(2024, 1, 3), dt.date(2024, 1, 5)).collect()
+    assert sorted(r.n for r in got) == [3, 4, 5]
+
+
+def test_write_tables_skips_private(spark, tmp_dir):
+    a = spark.createDataFrame([(1,)], "x long")
+    SK.write_tables({"funnel": a, "_cube": a}, tmp_dir)
+    assert os.path.isdir(os.path.join(tmp_dir, "funnel")) and not os.path.exists(os.path.join(tmp_dir, "_cube"))
