@@ -20,6 +20,9 @@ BASE_CONF = {
     # Per-call Python call-site capture costs several JVM round trips per
     # Column function; plans here are built from hundreds of them.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Generated methods above the JVM's 8000-byte JIT limit run interpreted;
+    # at this limit Spark splits such stages into per-operator code instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
