@@ -174,6 +174,12 @@ def reachout_raw(forms: DataFrame, member: DataFrame, services: DataFrame, d1: d
     return matched.select(*cols)
 
 
+def raw_page(searched: DataFrame, cap: int = codes.RAW_DISPLAY_CAP) -> tuple[DataFrame, DataFrame]:
+    """The first ``cap`` rows for display and the uncapped count (the CSV
+    export takes the uncapped rows)."""
+    return searched.limit(cap), searched.agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def raw_search(raw_with_pii: DataFrame, d1: dt.date | None = None, d2: dt.date | None = None,
                agent: str = "ALL", bucket: str = "ALL", query: str = "", booked_only: bool = False) -> DataFrame:
     """F9-F11 + P19: filter the member-level rows and decode them for display.

@@ -134,3 +134,27 @@ def date_presets(rows: DataFrame) -> DataFrame:
                       preset("yest", F.col("prev_d"), F.col("prev_d")),
                       preset("last7", F.col("seventh_d"), F.col("max_d")))
     return g.select(F.inline(presets))
+
+
+def table_view(table: DataFrame, by: str = "booked") -> DataFrame:
+    """Agents by a measure descending (booked; ``di`` for dispositions),
+    the ``ALL`` row last."""
+    return table.orderBy((F.col("agent") == "ALL").asc(), F.col(by).desc(), F.col("agent"))
+
+
+def selector_values(rows: DataFrame, backlog: DataFrame, agent_day: DataFrame | None = None) -> DataFrame:
+    """The sorted value lists the filters offer -- days, agents (window rows
+    and backlog), touchpoints present (in fixed order) and pods."""
+    days = rows.select(F.lit("day").alias("kind"), F.date_format("d", "yyyy-MM-dd").alias("value"))
+    agents = rows.select(F.col("ag").alias("value")).unionByName(backlog.select(F.col("ag").alias("value"))) \
+        .select(F.lit("agent").alias("kind"), "value")
+    present = rows.select(F.col("bk").alias("value")).unionByName(backlog.select(F.col("bk").alias("value")))
+    buckets = present.filter(F.col("value").isin(codes.BUCKETS)).select(F.lit("touchpoint").alias("kind"), "value")
+    parts = days.unionByName(agents).unionByName(buckets)
+    if agent_day is not None:
+        parts = parts.unionByName(agent_day.select(F.lit("pod").alias("kind"), F.col("pod").alias("value"))
+                                  .filter(F.col("value").isNotNull()))
+    order = F.when(F.col("kind") == "touchpoint",
+                   F.array_position(F.array(*[F.lit(b) for b in codes.BUCKETS]), F.col("value")))
+    w = Window.partitionBy("kind").orderBy(order.asc_nulls_last(), F.col("value"))
+    return parts.distinct().withColumn("pos", F.row_number().over(w).cast("bigint"))

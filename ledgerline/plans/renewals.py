@@ -213,3 +213,28 @@ def renewals_refresh(retention: DataFrame, as_of: dt.date) -> dict[str, DataFram
 __all__ = ["renewal_base", "renewal_cube", "funnel", "leaderboard", "cycle_retention", "watchlist",
            "funnel_all", "leaderboard_all", "cycle_all", "watchlist_by_channel", "pipeline_cards",
            "renewals_refresh", "rollup_rows"]
+
+
+# ------------------------------------------------------- read-side views ---
+
+def select_channel(df: DataFrame, channel: str = codes.ALL) -> DataFrame:
+    """one channel view (``ALL`` or a channel) of a rolled-up table."""
+    return df.filter(F.col("channel") == channel)
+
+
+def leaderboard_view(leader_all: DataFrame, channel: str = codes.ALL, sort_key: str = "total_accts",
+                     descending: bool = True) -> DataFrame:
+    """T4: owners of one channel view, by total (the builder's order) or any
+    column (the page's default is renewal % descending); owner breaks ties."""
+    k = F.col(sort_key)
+    return select_channel(leader_all, channel).orderBy(k.desc() if descending else k.asc(), F.col("owner"))
+
+
+def cycle_view(cycle_all_df: DataFrame, channel: str = codes.ALL) -> DataFrame:
+    """T5: cycles of one channel view, ascending."""
+    return select_channel(cycle_all_df, channel).orderBy("cycle")
+
+
+def funnel_order(funnel_df: DataFrame) -> DataFrame:
+    """Funnel by channel; leaderboard by channel, total desc; cycle by channel, year."""
+    return funnel_df.orderBy("channel")

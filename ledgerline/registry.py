@@ -201,6 +201,11 @@ def date_presets(spark, sf_dir):
     return T.date_presets(_rows(spark, sf_dir))
 
 
+def selector_values(spark, sf_dir):
+    f, _, _ = _act(spark, sf_dir)
+    return T.selector_values(_rows(spark, sf_dir), A.open_backlog(f, S.ACTIVITY_AS_OF), S.agent_day(spark, sf_dir))
+
+
 QUERIES.update({
     "merge_day_slice": merge_day_slice,
     "merge_carry_forward": merge_carry_forward,
@@ -212,6 +217,7 @@ QUERIES.update({
     "disposition_breakdown": disposition_breakdown,
     "activity_kpis": activity_kpis,
     "date_presets": date_presets,
+    "selector_values": selector_values,
 })
 
 
