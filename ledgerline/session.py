@@ -23,6 +23,9 @@ BASE_CONF = {
     # Generated methods above the JVM's 8000-byte JIT limit run interpreted;
     # at this limit Spark splits such stages into per-operator code instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A refresh runs a few dozen plans of ~25 stages; keep their compiled
+    # classes instead of recompiling on every run (default keeps 100).
+    "spark.sql.codegen.cache.maxEntries": "2000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

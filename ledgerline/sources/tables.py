@@ -33,7 +33,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     several branches lists and opens its footers once.
     """
     path = table_path(sf_dir, name)
-    key = (id(spark), path, _version(path))
+    key = (spark.sparkContext.applicationId, path, _version(path))
     df = _READS.get(key)
     if df is None:
         df = spark.read.parquet(path)
