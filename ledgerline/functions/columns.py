@@ -272,6 +272,11 @@ def outcome_label_of_code(code: str | Column) -> Column:
 
 def disposition_flags(outcome: str | Column) -> dict[str, Column]:
     """The nine disposition predicates (``dno`` = outcome IS NULL only)."""
+    if isinstance(outcome, str):
+        r = _ref(outcome)
+        flags = {name: F.expr(_in(r, values)) for name, values, _, _ in codes.DISPOSITIONS}
+        flags["dno"] = F.expr(f"{r} IS NULL")
+        return flags
     o = col(outcome)
     flags = {name: o.isin(values) for name, values, _, _ in codes.DISPOSITIONS}
     flags["dno"] = o.isNull()
@@ -296,17 +301,17 @@ def utility_label_of_code(code: str | Column) -> Column:
     return F.element_at(F.array(*[F.lit(x) for x in codes.UTIL_CODE_LABELS]), F.try_add(col(code), F.lit(1)))
 
 
-def utility_flags(claim_type: str | Column, matched: str | Column) -> dict[str, Column]:
+def utility_flags(claim_type: str, matched: str) -> dict[str, Column]:
     """Utilisation predicates over the as-of service claim type.
 
     ``u_other`` is ``claim_type NOT IN (...)``: a null claim is in no group.
     ``u_any`` is "a service was found". IPD is a constant 0 in the source.
     """
-    c = col(claim_type)
-    flags = {name: c.isin(values) for name, values, _, _ in codes.UTILITIES}
+    r = _ref(claim_type)
+    flags = {name: F.expr(_in(r, values)) for name, values, _, _ in codes.UTILITIES}
     known = [v for _, values, _, _ in codes.UTILITIES for v in values]
-    flags["u_other"] = ~c.isin(known)
-    flags["u_any"] = col(matched).isNotNull()
+    flags["u_other"] = F.expr(f"NOT ({_in(r, known)})")
+    flags["u_any"] = F.expr(f"{_ref(matched)} IS NOT NULL")
     return flags
 
 

@@ -64,11 +64,10 @@ def submitted_forms(forms: DataFrame, d1: dt.date | None, d2: dt.date | None, tz
 def qualifying_services(services: DataFrame, tz: str = "UTC") -> DataFrame:
     """SC4: services that can count as utilisation (time known, OPD, not home
     medicine delivery, one of the kept statuses), with their local day."""
+    statuses = ", ".join(f"'{v}'" for v in codes.SERVICE_STATUSES)
     return (services
-            .filter(F.col("claim_creation_time").isNotNull()
-                    & (F.col("visit_type") == codes.SERVICE_VISIT_TYPE)
-                    & (F.col("claim_type") != codes.SERVICE_EXCLUDED_CLAIM)
-                    & F.col("status").isin(codes.SERVICE_STATUSES))
+            .filter(F.expr(f"claim_creation_time IS NOT NULL AND visit_type = '{codes.SERVICE_VISIT_TYPE}' "
+                           f"AND claim_type <> '{codes.SERVICE_EXCLUDED_CLAIM}' AND status IN ({statuses})"))
             .select("account_uid", "service_id", "claim_type", "claim_creation_time",
                     C.local_date("claim_creation_time", tz).alias("service_day")))
 

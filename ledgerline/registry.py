@@ -17,11 +17,33 @@ from .sources import standins as S
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+_PLANS: dict[tuple, DataFrame] = {}
 
+
+def _memo(fn):
+    """Reuse a built (lazy) DataFrame per application and input folder.
+
+    Only the plan object is kept -- no data is cached -- so every query still
+    executes its whole plan from the Parquet files; the registry simply does
+    not rebuild the same stand-in or base plan for each of its queries.
+    """
+    def wrapper(spark: SparkSession, sf_dir: str):
+        key = (spark.sparkContext.applicationId, sf_dir, fn.__name__)
+        df = _PLANS.get(key)
+        if df is None:
+            df = _PLANS[key] = fn(spark, sf_dir)
+        return df
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
+@_memo
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.renewal_base(S.retention(spark, sf_dir), S.RETENTION_AS_OF)
 
 
+@_memo
 def _cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.renewal_cube(_base(spark, sf_dir))
 
@@ -77,8 +99,28 @@ QUERIES: dict[str, Query] = {
 
 # ------------------------------------------------------------ activity ---
 
+@_memo
+def _forms(spark, sf_dir):
+    return S.reachout_forms(spark, sf_dir)
+
+
+@_memo
+def _members(spark, sf_dir):
+    return S.members(spark, sf_dir)
+
+
+@_memo
+def _services(spark, sf_dir):
+    return S.services(spark, sf_dir)
+
+
+@_memo
+def _agent_day(spark, sf_dir):
+    return S.agent_day(spark, sf_dir)
+
+
 def _act(spark, sf_dir):
-    return (S.reachout_forms(spark, sf_dir), S.members(spark, sf_dir), S.services(spark, sf_dir))
+    return (_forms(spark, sf_dir), _members(spark, sf_dir), _services(spark, sf_dir))
 
 
 def activity_created(spark, sf_dir):
@@ -97,13 +139,11 @@ def activity_utilisation(spark, sf_dir):
 
 
 def activity_today(spark, sf_dir):
-    f, m, s = _act(spark, sf_dir)
-    return A.activity_day(f, m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY)
+    return _rows(spark, sf_dir)
 
 
 def open_backlog(spark, sf_dir):
-    f, _, _ = _act(spark, sf_dir)
-    return A.open_backlog(f, S.ACTIVITY_AS_OF)
+    return _backlog(spark, sf_dir)
 
 
 def first_service_after(spark, sf_dir):
@@ -145,23 +185,31 @@ RUN_TS = dt.datetime(2024, 1, 15, 18, 30, 0)
 NOW_TS = dt.datetime(2024, 1, 15, 18, 37, 40)
 
 
-def _stale_rows(f, m, s):
+@_memo
+def _stale_rows(spark, sf_dir):
+    f, m, s = _act(spark, sf_dir)
     return A.activity_day(RF.log_as_of(f, CUTOFF), m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_AS_OF)
 
 
+@_memo
 def _rows(spark, sf_dir):
     f, m, s = _act(spark, sf_dir)
     return A.activity_day(f, m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY)
 
 
+@_memo
+def _backlog(spark, sf_dir):
+    return A.open_backlog(_forms(spark, sf_dir), S.ACTIVITY_AS_OF)
+
+
 def merge_day_slice(spark, sf_dir):
     f, m, s = _act(spark, sf_dir)
-    return RF.day_slice_refresh(_stale_rows(f, m, s), f, m, s, S.ACTIVITY_AS_OF)
+    return RF.day_slice_refresh(_stale_rows(spark, sf_dir), f, m, s, S.ACTIVITY_AS_OF)
 
 
 def merge_carry_forward(spark, sf_dir):
     f, m, s = _act(spark, sf_dir)
-    return RF.carry_forward_refresh(_stale_rows(f, m, s), f, m, S.ACTIVITY_FIRST_DAY)
+    return RF.carry_forward_refresh(_stale_rows(spark, sf_dir), f, m, S.ACTIVITY_FIRST_DAY)
 
 
 def rolling_three_months(spark, sf_dir):
@@ -171,14 +219,11 @@ def rolling_three_months(spark, sf_dir):
 
 
 def snapshot_meta(spark, sf_dir):
-    f, m, s = _act(spark, sf_dir)
-    rows = A.activity_day(f, m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY)
-    return RF.snapshot_meta(rows, A.open_backlog(f, S.ACTIVITY_AS_OF), RUN_TS, NOW_TS)
+    return RF.snapshot_meta(_rows(spark, sf_dir), _backlog(spark, sf_dir), RUN_TS, NOW_TS)
 
 
 def agent_funnel(spark, sf_dir):
-    f, _, _ = _act(spark, sf_dir)
-    return T.agent_funnel(_rows(spark, sf_dir), A.open_backlog(f, S.ACTIVITY_AS_OF))
+    return T.agent_funnel(_rows(spark, sf_dir), _backlog(spark, sf_dir))
 
 
 def touchpoint_pivot(spark, sf_dir):
@@ -202,8 +247,7 @@ def date_presets(spark, sf_dir):
 
 
 def selector_values(spark, sf_dir):
-    f, _, _ = _act(spark, sf_dir)
-    return T.selector_values(_rows(spark, sf_dir), A.open_backlog(f, S.ACTIVITY_AS_OF), S.agent_day(spark, sf_dir))
+    return T.selector_values(_rows(spark, sf_dir), _backlog(spark, sf_dir), _agent_day(spark, sf_dir))
 
 
 QUERIES.update({
@@ -227,7 +271,7 @@ _METRICS = ["first_response_secs", "every_chat_response_secs", "resolution_time_
 
 
 def agent_ratings(spark, sf_dir):
-    r = RK.rated(S.agent_day(spark, sf_dir))
+    r = RK.rated(_agent_day(spark, sf_dir))
     r = r.select("d", "name", "pod", "total_bucket", "open_bucket", "resolved_cum", *_METRICS, "csat_n",
                  "r_frt", "r_art", "r_res", "r_csat", "r_vol", "score")
     return RK.rounded_out(r, _METRICS + ["score"])
@@ -238,7 +282,7 @@ def agent_scores_ranked(spark, sf_dir):
 
     from .functions import columns as C
 
-    r = RK.ranked(S.agent_day(spark, sf_dir))
+    r = RK.ranked(_agent_day(spark, sf_dir))
     return r.select("d", "name", "pod", F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"),
                     C.duration_label("first_response_secs").alias("first_response_label"),
                     C.duration_label("every_chat_response_secs").alias("every_chat_label"),
@@ -246,14 +290,14 @@ def agent_scores_ranked(spark, sf_dir):
 
 
 def agent_cumulative(spark, sf_dir):
-    c = RK.cumulative(S.agent_day(spark, sf_dir))
+    c = RK.cumulative(_agent_day(spark, sf_dir))
     c = c.select("name", "pod", "days", "total_bucket", "open_bucket", "resolved_cum", *_METRICS, "csat_n",
                  "r_frt", "r_art", "r_res", "r_csat", "r_vol", "score")
     return RK.rounded_out(c, ["total_bucket", "open_bucket", "resolved_cum"] + _METRICS + ["score"])
 
 
 def ranking_cards(spark, sf_dir):
-    return RK.cards(RK.ranked(S.agent_day(spark, sf_dir)))
+    return RK.cards(RK.ranked(_agent_day(spark, sf_dir)))
 
 
 QUERIES.update({
