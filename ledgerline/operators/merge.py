@@ -81,9 +81,11 @@ def snapshot_or_previous(fresh: DataFrame | None, prev: DataFrame | None) -> Dat
 def write_day_partitions(df: DataFrame, path: str, day_col: str = "d", fmt: str = "parquet") -> None:
     """SK2 / M1 at table scale: replace only the day partitions present in ``df``.
 
-    Rows are clustered by day before the write so each day is written by few
-    tasks; the session must use ``partitionOverwriteMode=dynamic``.
+    Rows are clustered by day with the ``rebalance`` hint, so each day is
+    written by few tasks and few files, while AQE splits a day that holds a
+    large share of the rows across several tasks (a plain ``repartition(day)``
+    would give such a day to one task). Rows are sorted within each task (T6).
     """
-    (df.repartition(day_col).sortWithinPartitions(*df.columns)
+    (df.hint("rebalance", day_col).sortWithinPartitions(*df.columns)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(day_col).format(fmt).save(path))

@@ -93,3 +93,17 @@ def test_write_tables_skips_private(spark, tmp_dir):
     a = spark.createDataFrame([(1,)], "x long")
     SK.write_tables({"funnel": a, "_cube": a}, tmp_dir)
     assert os.path.isdir(os.path.join(tmp_dir, "funnel")) and not os.path.exists(os.path.join(tmp_dir, "_cube"))
+
+
+def test_day_partition_write_spreads_a_hot_day(spark, tmp_dir):
+    """A day with most of the rows is still written correctly (rebalance, not one task per day)."""
+    from ledgerline.operators.merge import write_day_partitions
+
+    hot = spark.range(0, 50000).selectExpr("CASE WHEN id % 10 = 0 THEN DATE '2024-01-02' ELSE DATE '2024-01-01' END AS d",
+                                           "id AS n")
+    path = os.path.join(tmp_dir, "hot")
+    write_day_partitions(hot, path)
+    got = spark.read.parquet(path).groupBy("d").count().collect()
+    assert sorted((r.d, r["count"]) for r in got) == [(dt.date(2024, 1, 1), 45000), (dt.date(2024, 1, 2), 5000)]
+    plan = hot.hint("rebalance", "d")._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE" in plan.upper()
