@@ -171,7 +171,7 @@ def watchlist_by_channel(watch_df: DataFrame) -> DataFrame:
         F.coalesce("old_premium", F.lit(0).cast("bigint")).alias("old_premium"),
         F.coalesce("reason", F.lit("")).alias("reason"))
     w = Window.partitionBy("view").orderBy(F.col("old_premium").desc(), F.col("account_uid").asc())
-    return views.withColumn("pos", F.row_number().over(w))
+    return views.withColumn("pos", F.row_number().over(w).cast("bigint"))
 
 
 def pipeline_cards(funnel_all_df: DataFrame) -> DataFrame:
