@@ -36,10 +36,38 @@ def rollup_rows(df: DataFrame, label_col: str, keys: Iterable[str], measures: It
 
 def with_rollup(df: DataFrame, label_col: str, keys: Iterable[str], measures: Iterable[str],
                 label: str = codes.ALL, keep_labels: Iterable[str] | None = None) -> DataFrame:
-    """The grouped rows followed by their roll-up rows (``unionByName``)."""
+    """The grouped rows followed by their roll-up rows, in one pass.
+
+    Grouping sets ``(label, keys)`` and ``(keys)`` over the grouped rows: the
+    first set reproduces each row (one row per group), the second sums them.
+    A ``union`` of the rows with an aggregate of the same rows would make
+    Spark compute everything upstream twice; this does it once.
+    """
     keys, measures = list(keys), list(measures)
-    total = rollup_rows(df, label_col, keys, measures, label, keep_labels)
-    return df.select(label_col, *keys, *measures).unionByName(total)
+    lab = F.col(label_col)
+    src = df.select(label_col, *keys, *measures, F.lit(False).alias("__seed"))
+    if not keys:
+        # A grand total exists even over no rows (the reports show ALL = 0):
+        # one constant seed row keeps the () grouping set non-empty.
+        seed = df.sparkSession.range(1).select(
+            F.lit(None).cast(df.schema[label_col].dataType).alias(label_col),
+            *[F.lit(None).cast(df.schema[m].dataType).alias(m) for m in measures],
+            F.lit(True).alias("__seed"))
+        src = src.unionByName(seed)
+    aggs = [F.grouping(label_col).alias("__g"), F.max("__seed").alias("__seed")]
+    for m in measures:
+        aggs.append(F.sum(m).alias(m))
+        if keep_labels is not None:
+            aggs.append(F.sum(F.when(lab.isin(list(keep_labels)), F.col(m))).alias(f"__k_{m}"))
+    g = src.groupingSets([[label_col, *keys], keys], label_col, *keys).agg(*aggs)
+    g = g.filter((F.col("__g") == 1) | ~F.col("__seed"))
+    out = [F.when(F.col("__g") == 1, F.lit(label)).otherwise(lab).alias(label_col), *keys]
+    for m in measures:
+        v = F.col(m) if keep_labels is None else F.when(F.col("__g") == 1, F.col(f"__k_{m}")).otherwise(F.col(m))
+        if not keys:
+            v = F.when(F.col("__g") == 1, F.coalesce(v, F.lit(0))).otherwise(v)
+        out.append(v.cast(df.schema[m].dataType).alias(m))
+    return g.select(*out)
 
 
 def zero_nulls(df: DataFrame, measures: Iterable[str]) -> DataFrame:
