@@ -7,6 +7,8 @@ that day's slice. As a stream:
   with ``readStream``; duplicate deliveries of a form are dropped within a
   watermark on delivery time (``dropDuplicatesWithinWatermark('uid')``, ST2),
   so late forms are never dropped;
+* the recompute reads the log with one row per form (the latest delivery),
+  so member-level rows are never repeated by a re-delivery;
 * each micro-batch collects the days it touches -- a form counts on its
   created day (created measures) and its submitted day (call and
   utilisation measures, H19) -- and recomputes exactly those days from the
@@ -35,6 +37,17 @@ from ..session import scratch_path
 MAX_DAYS_PER_BATCH = 400
 
 
+def latest_per_form(log_dir_df: DataFrame) -> DataFrame:
+    """ST2, exact: one row per form -- the latest delivery (file landing time,
+    then file path). A partial aggregation, so many copies of one form are
+    combined before the shuffle."""
+    cols = [c for c in log_dir_df.columns]
+    tagged = log_dir_df.select(*cols, F.col("_metadata.file_modification_time").alias("__t"),
+                               F.col("_metadata.file_path").alias("__f"))
+    latest = tagged.groupBy("uid").agg(F.max_by(F.struct(*cols), F.struct("__t", "__f")).alias("__r"))
+    return latest.select("__r.*")
+
+
 def touched_days(batch: DataFrame, tz: str = "UTC") -> list[dt.date]:
     created = batch.select(C.local_date("created_at", tz).alias("d"))
     submitted = batch.filter(F.col("is_draft") == F.lit(False)).select(C.local_date("submitted_at", tz).alias("d"))
@@ -54,25 +67,32 @@ def day_ranges(days: list[dt.date]) -> list[tuple[dt.date, dt.date]]:
     return runs
 
 
+def _union_ranges(build, runs):
+    parts = [build(lo, hi) for lo, hi in runs]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def recompute_days(spark: SparkSession, log: DataFrame, member: DataFrame, services: DataFrame,
-                   days: list[dt.date], out_path: str, tz: str = "UTC") -> None:
-    """Recompute ``activity_day`` for ``days`` from the whole log; overwrite them."""
+                   days: list[dt.date], out_path: str, tz: str = "UTC", raw_path: str | None = None) -> None:
+    """Recompute ``activity_day`` (and, with ``raw_path``, the member-level rows)
+    for ``days`` from the whole log; overwrite exactly those day partitions."""
     if not days:
         return
-    if len(days) > MAX_DAYS_PER_BATCH:
-        runs = [(days[0], days[-1])]
-    else:
-        runs = day_ranges(days)
-    parts = [A.activity_day(log, member, services, lo, hi, tz) for lo, hi in runs]
-    fresh = parts[0]
-    for p in parts[1:]:
-        fresh = fresh.unionByName(p)
-    write_day_partitions(fresh, out_path)
+    runs = [(days[0], days[-1])] if len(days) > MAX_DAYS_PER_BATCH else day_ranges(days)
+    write_day_partitions(_union_ranges(lambda lo, hi: A.activity_day(log, member, services, lo, hi, tz), runs),
+                         out_path)
+    if raw_path is not None:
+        raw = _union_ranges(lambda lo, hi: A.reachout_raw(log, member, services, lo, hi, tz), runs)
+        write_day_partitions(raw, raw_path)
 
 
 def start_refresh(spark: SparkSession, log_dir: str, log_schema, member: DataFrame, services: DataFrame,
                   out_path: str, name: str = "activity_day", tz: str = "UTC",
-                  watermark: str = "3 days", available_now: bool = True) -> StreamingQuery:
+                  watermark: str = "3 days", available_now: bool = True,
+                  raw_path: str | None = None) -> StreamingQuery:
     """Start the incremental refresh; the checkpoint lives in the shared
     checkpoint folder (``spark.checkpoint.dir``)."""
     # Duplicate deliveries are dropped by delivery time (the file's landing
@@ -87,8 +107,8 @@ def start_refresh(spark: SparkSession, log_dir: str, log_schema, member: DataFra
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         days = touched_days(batch, tz)
-        log = spark.read.schema(log_schema).parquet(log_dir)
-        recompute_days(spark, log, member, services, days, out_path, tz)
+        log = latest_per_form(spark.read.schema(log_schema).parquet(log_dir))
+        recompute_days(spark, log, member, services, days, out_path, tz, raw_path)
 
     writer = (stream.writeStream.foreachBatch(per_batch)
               .option("checkpointLocation", scratch_path(spark, f"streams/{name}")))

@@ -21,7 +21,8 @@ def test_stream_equals_batch_with_duplicates_and_late_rows(spark, tmp_dir):
               forms.filter(F.col("uid") % 3 == 2), forms.filter(F.col("uid") % 3 == 1)]
     for i, chunk in enumerate(chunks):
         chunk.coalesce(1).write.mode("append").parquet(log_dir)
-        q = ST.start_refresh(spark, log_dir, forms.schema, member, services, out, name=f"t{os.getpid()}")
+        q = ST.start_refresh(spark, log_dir, forms.schema, member, services, out, name=f"t{os.getpid()}",
+                             raw_path=os.path.join(tmp_dir, "raw"))
         q.awaitTermination()
     got = spark.read.parquet(out)
     want = A.activity_day(forms, member, services, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY)
@@ -29,6 +30,10 @@ def test_stream_equals_batch_with_duplicates_and_late_rows(spark, tmp_dir):
     g = sorted(tuple(r) for r in got.select(*cols).collect())
     w = sorted(tuple(r) for r in want.select(*cols).collect())
     assert g == w and len(g) > 0
+    raw_got = spark.read.parquet(os.path.join(tmp_dir, "raw"))
+    raw_want = A.reachout_raw(forms, member, services, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY)
+    cols = raw_want.columns
+    assert sorted(tuple(r) for r in raw_got.select(*cols).collect()) == sorted(tuple(r) for r in raw_want.collect())
 
 
 def test_day_ranges():
