@@ -249,7 +249,7 @@ def bucket_code(reason: str | Column) -> Column:
 
 def bucket_label_of_code(code: str | Column) -> Column:
     """Touchpoint code -> label (unknown -> null)."""
-    return F.element_at(F.array(*[F.lit(b) for b in codes.BUCKETS]), F.try_add(col(code), F.lit(1)))
+    return F.try_element_at(F.array(*[F.lit(b) for b in codes.BUCKETS]), F.try_add(col(code), F.lit(1)))
 
 
 def outcome_code(outcome: str | Column) -> Column:
@@ -267,7 +267,7 @@ def outcome_code(outcome: str | Column) -> Column:
 
 def outcome_label_of_code(code: str | Column) -> Column:
     """Outcome code -> disposition label."""
-    return F.element_at(F.array(*[F.lit(x) for x in codes.DISPOSITION_LABELS]), F.try_add(col(code), F.lit(1)))
+    return F.try_element_at(F.array(*[F.lit(x) for x in codes.DISPOSITION_LABELS]), F.try_add(col(code), F.lit(1)))
 
 
 def disposition_flags(outcome: str | Column) -> dict[str, Column]:
@@ -298,7 +298,7 @@ def utility_code(claim_type: str | Column) -> Column:
 
 
 def utility_label_of_code(code: str | Column) -> Column:
-    return F.element_at(F.array(*[F.lit(x) for x in codes.UTIL_CODE_LABELS]), F.try_add(col(code), F.lit(1)))
+    return F.try_element_at(F.array(*[F.lit(x) for x in codes.UTIL_CODE_LABELS]), F.try_add(col(code), F.lit(1)))
 
 
 def utility_flags(claim_type: str, matched: str) -> dict[str, Column]:

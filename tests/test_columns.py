@@ -161,3 +161,20 @@ def test_local_day_bounds_and_zone(spark):
     got = df.select(C.local_date("ts", "Asia/Kolkata").alias("d"), C.local_date("ts").alias("u"),
                     C.in_local_days("ts", dt.date(2024, 1, 15), dt.date(2024, 1, 15), "Asia/Kolkata").alias("k")).collect()[0]
     assert got.d == dt.date(2024, 1, 15) and got.u == dt.date(2024, 1, 14) and got.k is True
+
+
+def test_day_strings_month_start_and_days_since(spark):
+    df = spark.createDataFrame([(dt.date(2024, 3, 5),)], "d date")
+    r = df.select(C.day_string("d").alias("a"), C.month_day_string("d").alias("b"),
+                  C.days_since("d", dt.date(2024, 3, 15)).alias("c")).collect()[0]
+    assert (r.a, r.b, r.c) == ("2024-03-05", "03-05", 10)
+    assert C.month_start(dt.date(2024, 3, 15)) == dt.date(2024, 3, 1)
+
+
+def test_code_decoding(spark):
+    df = spark.createDataFrame([(0,), (6,), (7,), (9,), (None,)], "c int")
+    got = df.select(C.bucket_label_of_code("c").alias("b"), C.outcome_label_of_code("c").alias("o"),
+                    C.utility_label_of_code("c").alias("u")).collect()
+    assert [r.b for r in got] == ["Day 15", "Bad CSAT", "Engagement (Inactive)", None, None]
+    assert [r.o for r in got][:3] == ["Interested", "Lang. Barrier", "Open"]
+    assert [r.u for r in got][:2] == ["—", "Other"]

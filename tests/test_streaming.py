@@ -42,3 +42,19 @@ def test_day_ranges():
     d = dt.date(2024, 1, 1)
     days = [d, d + dt.timedelta(days=1), d + dt.timedelta(days=3)]
     assert ST.day_ranges(days) == [(d, d + dt.timedelta(days=1)), (d + dt.timedelta(days=3), d + dt.timedelta(days=3))]
+
+
+def test_latest_delivery_per_form_with_a_hot_group_of_copies(spark, tmp_dir):
+    log_dir = os.path.join(tmp_dir, "log2")
+    base = spark.range(0, 3000).selectExpr("CASE WHEN id < 1000 THEN 7 ELSE id END AS uid", "id AS payload")
+    base.coalesce(1).write.parquet(log_dir)
+    spark.createDataFrame([(7, -1)], "uid long, payload long").write.mode("append").parquet(log_dir)
+    out = ST.latest_per_form(spark.read.parquet(log_dir))
+    rows = {r.uid: r.payload for r in out.collect()}
+    assert len(rows) == 2001 and rows[7] == -1          # one row per form; the latest file wins
+
+
+def test_session_keeps_adaptive_skew_handling(spark):
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    assert spark.conf.get("spark.checkpoint.dir")
