@@ -115,7 +115,8 @@ def cumulative(df: DataFrame) -> DataFrame:
 
     def wavg(metric: str, weight: Column) -> Column:
         m = F.col(metric)
-        return F.sum(m * weight) / F.sum(F.when(m.isNotNull(), weight))
+        # a zero total weight gives null, not a division error
+        return F.try_divide(F.sum(m * weight), F.sum(F.when(m.isNotNull(), weight)))
 
     g = df.groupBy("name").agg(
         F.max("pod").alias("pod"),

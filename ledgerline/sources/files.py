@@ -49,7 +49,8 @@ def read_positional_rows(spark: SparkSession, path: str, schema: StructType) ->
         return empty(spark, schema)
     rows = docs.select(F.explode(F.from_json("value", "array<string>")).alias("row"))
     cells = rows.select(F.from_json("row", "array<string>").alias("c")).filter(F.col("c").isNotNull())
-    return cells.select(*[F.col("c").getItem(i).cast(f.dataType).alias(f.name)
+    # a missing cell, or one that does not fit its column's type, reads as null
+    return cells.select(*[F.try_element_at(F.col("c"), F.lit(i + 1)).try_cast(f.dataType).alias(f.name)
                           for i, f in enumerate(schema.fields)])
 
 

@@ -107,3 +107,10 @@ def test_day_partition_write_spreads_a_hot_day(spark, tmp_dir):
     assert sorted((r.d, r["count"]) for r in got) == [(dt.date(2024, 1, 1), 45000), (dt.date(2024, 1, 2), 5000)]
     plan = hot.hint("rebalance", "d")._jdf.queryExecution().executedPlan().toString()
     assert "REBALANCE" in plan.upper()
+
+
+def test_positional_reader_bad_cell_is_null(spark, tmp_dir):
+    schema = StructType([StructField("d", StringType()), StructField("n", LongType())])
+    p = write(os.path.join(tmp_dir, "cell.json"), '[["2024-01-01","x"],["2024-01-02",5],["2024-01-03"]]')
+    got = [tuple(r) for r in FS.read_positional_rows(spark, p, schema).collect()]
+    assert got == [("2024-01-01", None), ("2024-01-02", 5), ("2024-01-03", None)]

@@ -85,3 +85,9 @@ def test_cards(spark):
     assert card.top3.startswith("1. a (")
     assert abs(card.avg_first_response - (30 + 45 + 61) / 3) < 1e-6
     assert card.median_csat == 4.2 and card.is_default_day
+
+
+def test_cumulative_zero_weight_is_null_not_error(spark):
+    rows = [(dt.date(2024, 1, 1), "a", "P", 0, 0, 0, 20.0, None, None, 4.0, 0)]
+    r = RK.cumulative(spark.createDataFrame(rows, SCHEMA)).collect()[0]
+    assert r.first_response_secs is None and r.csat is None and r.r_csat == 0
