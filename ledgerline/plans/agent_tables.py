@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..functions import columns as C
-from ..operators.rollup import grand_total
 
 MEASURES = codes.ACTIVITY_MEASURES
 
@@ -58,50 +57,70 @@ def open_by_agent(backlog: DataFrame, agent: str = "ALL", bucket: str = "ALL") -
         F.sum("overdue_open").cast("bigint").alias("od"))
 
 
+def agent_totals(rows: DataFrame, measures: dict[str, F.Column], agent_col: str = "ag") -> DataFrame:
+    """Per-agent sums of ``measures`` plus the ``ALL`` row, in one aggregation.
+
+    Grouping sets ``(agent)`` and ``()`` over the detail rows; the measures are
+    integer sums, so the total over rows equals the sum of the agent rows (A19).
+    One constant seed row keeps the ``ALL`` row (zeros) when there are no rows.
+    """
+    names = list(measures)
+    src = rows.select(F.col(agent_col).alias("agent"), *[c.cast("bigint").alias(n) for n, c in measures.items()],
+                      F.lit(False).alias("__seed"))
+    seed = rows.sparkSession.range(1).select(F.lit(None).cast("string").alias("agent"),
+                                             *[F.lit(None).cast("bigint").alias(n) for n in names],
+                                             F.lit(True).alias("__seed"))
+    g = (src.unionByName(seed).groupingSets([["agent"], []], "agent")
+         .agg(F.grouping("agent").alias("__g"), F.max("__seed").alias("__seed"),
+              *[F.sum(n).alias(n) for n in names]))
+    g = g.filter((F.col("__g") == 1) | ~F.col("__seed"))
+    return g.select(F.when(F.col("__g") == 1, F.lit(codes.ALL)).otherwise(F.col("agent")).alias("agent"),
+                    *[F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias(n) for n in names])
+
+
 def agent_funnel(rows: DataFrame, backlog: DataFrame, agent: str = "ALL", bucket: str = "ALL") -> DataFrame:
     """A22 + J7: agents of the window or of the backlog; open today, overdue,
-    total open, forms filled (= calls, H27), connected, utilities booked."""
-    a = by_agent(rows)
-    o = open_by_agent(backlog, agent, bucket)
-    j = a.join(o, "agent", "full")
-    z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
-    t = j.select("agent", z("ct").alias("open_today"), z("od").alias("overdue"),
-                 (z("ct") + z("od")).alias("open_total"), z("calls").alias("forms_filled"),
-                 C.connected({c: z(c) for c in codes.CONNECTED_COLUMNS}).alias("connected"),
-                 z("u_any").alias("booked"))
-    return grand_total(t, "agent", ["open_today", "overdue", "open_total", "forms_filled", "connected", "booked"])
+    total open, forms filled (= calls, H27), connected, utilities booked.
+
+    The window rows and the backlog rows are tagged into one relation and
+    aggregated once (no full outer join, no second aggregation for ALL)."""
+    b = backlog
+    if agent != "ALL":
+        b = b.filter(F.col("ag") == agent)
+    if bucket != "ALL":
+        b = b.filter(F.col("bk") == bucket)
+    zero = F.lit(0).cast("bigint")
+    from_rows = rows.select("ag", zero.alias("ct"), zero.alias("od"), F.col("calls").alias("forms_filled"),
+                            C.connected().alias("connected"), F.col("u_any").alias("booked"))
+    from_backlog = b.select("ag", F.col("created_today_open").alias("ct"), F.col("overdue_open").alias("od"),
+                            zero.alias("forms_filled"), zero.alias("connected"), zero.alias("booked"))
+    t = agent_totals(from_rows.unionByName(from_backlog),
+                     {c: F.col(c) for c in ["ct", "od", "forms_filled", "connected", "booked"]})
+    return t.select("agent", F.col("ct").alias("open_today"), F.col("od").alias("overdue"),
+                    (F.col("ct") + F.col("od")).alias("open_total"), "forms_filled", "connected", "booked")
 
 
 def touchpoint_pivot(rows: DataFrame) -> DataFrame:
     """Accounts and utilities booked per touchpoint, fixed touchpoint order,
-    with totals; missing cells are 0."""
-    p = (rows.groupBy(F.col("ag").alias("agent"))
-         .pivot("bk", codes.BUCKETS)
-         .agg(F.sum("accts").alias("accts"), F.sum("u_any").alias("booked")))
-    cols = ["agent"]
-    acc = [F.coalesce(F.col(f"`{b}_accts`"), F.lit(0)).cast("bigint").alias(f"accts_{slug(b)}") for b in codes.BUCKETS]
-    bkd = [F.coalesce(F.col(f"`{b}_booked`"), F.lit(0)).cast("bigint").alias(f"booked_{slug(b)}") for b in codes.BUCKETS]
-    t = p.select(*cols, *acc, *bkd)
-    t = t.select("agent",
-                 sum((F.col(f"accts_{slug(b)}") for b in codes.BUCKETS), F.lit(0).cast("bigint")).alias("accts_total"),
-                 *[f"accts_{slug(b)}" for b in codes.BUCKETS],
-                 sum((F.col(f"booked_{slug(b)}") for b in codes.BUCKETS), F.lit(0).cast("bigint")).alias("booked_total"),
-                 *[f"booked_{slug(b)}" for b in codes.BUCKETS])
-    return grand_total(t, "agent", [c for c in t.columns if c != "agent"])
+    with totals; missing cells are 0. Conditional sums over the fixed list, so
+    one aggregation (``pivot`` would add a second)."""
+    m: dict[str, F.Column] = {"accts_total": F.col("accts")}
+    for b in codes.BUCKETS:
+        m[f"accts_{slug(b)}"] = F.when(F.col("bk") == b, F.col("accts")).otherwise(0)
+    m["booked_total"] = F.col("u_any")
+    for b in codes.BUCKETS:
+        m[f"booked_{slug(b)}"] = F.when(F.col("bk") == b, F.col("u_any")).otherwise(0)
+    return agent_totals(rows.filter(F.col("bk").isin(codes.BUCKETS)), m)
 
 
 def utility_breakdown(rows: DataFrame) -> DataFrame:
     """Utilities booked (any) and per service type, per agent."""
-    a = by_agent(rows)
-    t = a.select("agent", F.col("u_any").alias("booked"), *codes.UTILITY_COLUMNS)
-    return grand_total(t, "agent", ["booked"] + codes.UTILITY_COLUMNS)
+    return agent_totals(rows, {"booked": F.col("u_any"), **{u: F.col(u) for u in codes.UTILITY_COLUMNS}})
 
 
 def disposition_breakdown(rows: DataFrame) -> DataFrame:
     """Connected and the nine dispositions per agent."""
-    a = by_agent(rows)
-    t = a.select("agent", C.connected().alias("connected"), *codes.DISPOSITION_COLUMNS)
-    return grand_total(t, "agent", ["connected"] + codes.DISPOSITION_COLUMNS)
+    return agent_totals(rows, {"connected": C.connected(), **{c: F.col(c) for c in codes.DISPOSITION_COLUMNS}})
 
 
 def activity_kpis(rows: DataFrame) -> DataFrame:
