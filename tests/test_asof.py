@@ -67,3 +67,49 @@ def test_hot_key_rows_bounded_by_days(spark):
     L = spark.createDataFrame([(1, base.date())] * 2000, "acct long, day date")
     keys = asof_keys(L, days, "acct", "day")
     assert keys.count() == 1
+
+
+def test_hot_key_join_back_is_split_by_aqe(spark):
+    """A (key, day) holding a third of the left rows: AQE marks the join-back
+    as a skew join and splits it; the answer is unchanged."""
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.enabled",
+            "spark.sql.shuffle.partitions"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1k")
+        spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        base = dt.datetime(2024, 1, 1)
+        n = 30000
+        left = spark.range(0, n).selectExpr(
+            "id AS lid", "CASE WHEN id % 3 = 0 THEN 1 ELSE id % 500 + 2 END AS acct",
+            "CASE WHEN id % 3 = 0 THEN DATE '2024-01-02' ELSE date_add(DATE '2024-01-01', CAST(id % 9 AS INT)) END AS day")
+        right = spark.range(0, 3000).selectExpr(
+            "id AS sid", "id % 502 AS acct",
+            "CAST(timestamp_ntz '2024-01-01 00:00:00' + make_interval(0, 0, 0, CAST(id % 12 AS INT), CAST(id % 24 AS INT)) AS timestamp_ntz) AS ts",
+            "CAST(id % 3 AS STRING) AS kind").selectExpr("sid", "acct", "ts", "kind", "to_date(ts) AS rday")
+        got = forward_asof(left, right, by="acct", left_day="day", right_day="rday", order=["ts", "sid"],
+                           values=["kind"], how="left")
+        sel = got.select("lid", "sid")
+        rows = sel.collect()
+        plan = sel._jdf.queryExecution().executedPlan().toString()
+        assert "isSkewJoin=true" in plan or "skew=true" in plan
+        assert len(rows) == n
+        # answer check for the hot key against brute force
+        r = [tuple(x) for x in right.collect()]
+        first = min((x for x in r if x[1] == 1 and x[4] >= dt.date(2024, 1, 2)), key=lambda x: (x[2], x[0]), default=None)
+        hot = {x.sid for x in rows if x.lid % 3 == 0}
+        assert hot == {first[0] if first else None}
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
