@@ -317,14 +317,15 @@ def utility_flags(claim_type: str, matched: str) -> dict[str, Column]:
 
 # -------------------------------------------------------------- in-call ---
 
-def in_call(flat: dict[str, dict[str, str]], docs: dict[str, str]) -> Column:
+def in_call(flat: dict[str, dict[str, str]], docs: dict[str, str], tolerant: bool = False) -> Column:
     """Booked during the call, OR of 15 terms with SQL null semantics.
 
     ``flat[group] = {"booked": col, "booking_id": col, "hcu": col}`` for the
     flattened groups, ``docs[group] = json column`` for the JSON groups. The
     ``booked`` and ``booking_id`` terms are never null; the ``hcu`` terms are
     null when the key is missing, so the result is true, false or null
-    (``false OR null`` is null).
+    (``false OR null`` is null). A ``booked_during_call`` text that is not a
+    boolean raises, as in the source; ``tolerant=True`` reads it as null.
     """
     # Each JSON document is parsed once into its three keys (as text, like
     # the source's ``->>``), not once per key.
@@ -333,8 +334,9 @@ def in_call(flat: dict[str, dict[str, str]], docs: dict[str, str]) -> Column:
     def js(doc: str, key: str) -> str:
         return f"from_json({_ref(doc)}, '{doc_type}').{key}"
 
-    terms = [f"coalesce(CAST({_ref(flat[g]['booked'])} AS BOOLEAN), false)" for g in codes.FLAT_GROUPS]
-    terms += [f"coalesce(CAST({js(docs[g], 'booked_during_call')} AS BOOLEAN), false)" for g in codes.JSON_GROUPS]
+    cast = "TRY_CAST" if tolerant else "CAST"
+    terms = [f"coalesce({cast}({_ref(flat[g]['booked'])} AS BOOLEAN), false)" for g in codes.FLAT_GROUPS]
+    terms += [f"coalesce({cast}({js(docs[g], 'booked_during_call')} AS BOOLEAN), false)" for g in codes.JSON_GROUPS]
     terms += [f"(nullif({_ref(flat[g]['booking_id'])}, '') IS NOT NULL)" for g in codes.FLAT_GROUPS]
     terms += [f"(nullif({js(docs[g], 'booking_id')}, '') IS NOT NULL)" for g in codes.JSON_GROUPS]
     terms += [f"({_ref(flat[g]['hcu'])} = {_lit(codes.BOOK_ON_CALL)})" for g in codes.FLAT_GROUPS]

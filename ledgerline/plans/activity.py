@@ -26,11 +26,11 @@ from ..operators.distinct import distinct_counts
 KEYS = codes.ACTIVITY_KEYS
 
 
-def in_call_expr() -> F.Column:
+def in_call_expr(tolerant: bool = False) -> F.Column:
     flat = {g: {"booked": f"{g}_booked", "booking_id": f"{g}_booking_id", "hcu": f"{g}_hcu"}
             for g in codes.FLAT_GROUPS}
     docs = {g: f"{g}_info" for g in codes.JSON_GROUPS}
-    return C.in_call(flat, docs)
+    return C.in_call(flat, docs, tolerant)
 
 
 def form_base(forms: DataFrame, tz: str = "UTC") -> DataFrame:

@@ -178,3 +178,14 @@ def test_code_decoding(spark):
     assert [r.b for r in got] == ["Day 15", "Bad CSAT", "Engagement (Inactive)", None, None]
     assert [r.o for r in got][:3] == ["Interested", "Lang. Barrier", "Open"]
     assert [r.u for r in got][:2] == ["—", "Other"]
+
+
+def test_in_call_junk_boolean_strict_and_tolerant(spark):
+    import pytest
+
+    row = (None, None, "NO", None, None, "NO", '{"booked_during_call":"maybe","hcu_booking":"NO"}',
+           '{"hcu_booking":"NO"}', '{"hcu_booking":"NO"}')
+    df = spark.createDataFrame([row], SCHEMA)
+    with pytest.raises(Exception):
+        df.select(A.in_call_expr()).collect()
+    assert df.select(A.in_call_expr(tolerant=True)).collect()[0][0] is False
