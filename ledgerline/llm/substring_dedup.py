@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm import common as C
 
 WINDOW = 13
-ROUNDS = 3
+ROUNDS = 2
 TAG_BYTES = 5
 _FAR = 1 << 40  # a deciding span that reaches past the text's end
 
@@ -179,6 +179,10 @@ def anchor_rows(chunk: pa.RecordBatch) -> pa.RecordBatch:
     new[1:] = (owner[1:] != owner[:-1]) | (dlo[1:] != dlo[:-1]) | (dhi[1:] != dhi[:-1]) | (name[1:] != name[:-1]) | (lv[1:] != lv[:-1])
     begin = np.flatnonzero(new)
     key = C.mix(_span_hash(words, dlo[begin], dhi[begin]) + name[begin] * np.uint64(3) + lv[begin].astype(np.uint64))
+    # Neighbouring windows under one key need one row, also where the symbol moves on: a long run of one word.
+    new = np.ones(len(begin), dtype=bool)
+    new[1:] = (key[1:] != key[:-1]) | (owner[begin[1:]] != owner[begin[:-1]])
+    begin, key = begin[new], key[new]
     tags = C.window_hashes(words, WINDOW)[at]
     raw = tags.view(np.uint8).reshape(-1, 8)[:, :TAG_BYTES].tobytes()
     cuts = np.append(begin, len(at)) * TAG_BYTES
