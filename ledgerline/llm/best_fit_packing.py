@@ -1,8 +1,7 @@
 """Best-fit packing: bounded-space online best-fit of token sequences.
 
-Texts become ids in the tasks that read them; white-space separated words are encoded once
-and remembered, as neither normaliser nor pre-tokenizer of the vocabulary looks past white
-space. Only a document longer than a sequence is cut. What is packed are the pieces'
+Texts become ids in the tasks that read them; words are encoded once and
+remembered (``WordEncoder``). Only a document longer than a sequence is cut. What is packed are the pieces'
 lengths: a bin keeps its free space, bins are found by a bitset over free space (the lowest
 set bit at or above a length is the tightest bin), and when more than OPEN bins are open,
 the fullest closes. Pieces are dealt out to packers by a hash of doc_id; the number of
@@ -16,11 +15,15 @@ documents of their own; null doc_ids go to one packer like any other value.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,33 +32,85 @@ from ledgerline.llm import common as C
 SEQUENCE = 2048
 OPEN = 256               # bins open at a time
 PIECES_A_PACKER = 60_000
-CACHE_WORDS = 300_000    # encoded words that a worker remembers
+CACHE_WORDS = 600_000    # words that a worker remembers
+CACHE_TOKENS = 800_000   # pre-tokens that a worker remembers
 END = 0
+CHUNK_BYTES = 12 << 20   # text whose distinct words are looked up together
 
-_loaded: dict[str, tuple] = {}
+_loaded: dict[str, WordEncoder] = {}
 
 
-def _tokenizer(vocabulary: str):
-    """(tokenizer, encoded words) of this worker."""
-    if vocabulary not in _loaded:
-        from tokenizers import Tokenizer
+class WordEncoder:
+    """Ids of texts by a tokenizers vocabulary, remembering words.
 
-        _loaded[vocabulary] = (Tokenizer.from_str(vocabulary), {})
-    return _loaded[vocabulary]
+    Neither normaliser nor pre-tokenizer of the vocabulary looks past a space or a line end,
+    so texts are cut there. A word of ASCII and Latin-1 letters is cut on by the vocabulary's
+    own pattern, and each pre-token is encoded once; any other word is encoded as it is.
+    Pre-tokens go to the tokenizer many at a time, between marks that none of them holds.
+    """
 
+    PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+    MARK = "\x01"
 
-def encode_all(texts: list[str], vocabulary: str) -> list[bytes]:
-    """Ids of each text as little-endian 32-bit numbers."""
-    tokenizer, known = _tokenizer(vocabulary)
-    split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-    if len(known) > CACHE_WORDS:
-        known.clear()
-    new = list({w for words in split for w in words if w not in known})
-    for k in range(0, len(new), 20_000):
-        part = new[k:k + 20_000]
-        for w, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, dtype="<u4").tobytes()
-    return [b"".join([known[w] for w in words]) for words in split]
+    def __init__(self, vocabulary: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(vocabulary)
+        split = json.loads(vocabulary)["pre_tokenizer"]["pretokenizers"][0]
+        self.find = regex.compile(split["pattern"]["Regex"]).findall
+        self.mark = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
+        if len(self.mark) != 1:
+            raise ValueError("the vocabulary has no single id for the mark")
+        self.words: dict[str, bytes] = {}
+        self.tokens: dict[str, bytes] = {}
+
+    def _encode(self, parts: list[str]) -> None:
+        for k in range(0, len(parts), 1000):
+            some = parts[k:k + 1000]
+            joined = f" {self.MARK} ".join(some)
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
+            cut = (np.flatnonzero(ids == self.mark[0]) * 4).tolist()
+            if len(cut) != len(some) - 1:
+                raise ValueError("a pre-token holds the mark")
+            raw = ids.tobytes()
+            self.tokens.update(zip(some, [raw[a:b] for a, b in zip([0, *[c + 4 for c in cut]], [*cut, len(raw)], strict=True)], strict=True))
+
+    def _learn(self, new: list[str]) -> None:
+        if len(self.tokens) > CACHE_TOKENS:
+            self.tokens.clear()
+        plain = {w: self.find(w.lower()) for w in new if self.PLAIN.fullmatch(w)}
+        self._encode(list({t for parts in plain.values() for t in parts if t not in self.tokens}))
+        tokens = self.tokens
+        self.words.update({w: b"".join([tokens[t] for t in parts]) for w, parts in plain.items()})
+        other = [w for w in new if w not in plain]
+        for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            self.words[w] = np.array(e.ids, dtype="<u4").tobytes()
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, first): the ids of all texts in order; those of text i are ids[first[i]:first[i + 1]]."""
+        split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, "").cast(pa.large_string()), "\n", " "), " ")
+        words = split.flatten().dictionary_encode()
+        names, at = words.dictionary.to_pylist(), words.indices.to_numpy()
+        if len(self.words) > CACHE_WORDS:
+            self.words.clear()
+        known = self.words
+        self._learn([w for w in names if w not in known])
+        coded = [known[w] for w in names]
+        flat = np.frombuffer(b"".join(coded), dtype="<u4")
+        size = np.array([len(c) for c in coded], dtype=np.int64) // 4
+        place = np.cumsum(size) - size
+        length = size[at]
+        total = np.concatenate([[0], np.cumsum(length)])
+        ids = flat[np.repeat(place[at] - total[:-1], length) + np.arange(total[-1])]
+        ends = split.offsets.to_numpy()
+        return ids, total[ends - ends[0]]
+
+
+def _encoder(vocabulary: str) -> WordEncoder:
+    """The encoder of this worker."""
+    if vocabulary not in _loaded:
+        _loaded[vocabulary] = WordEncoder(vocabulary)
+    return _loaded[vocabulary]
 
 
 _PIECES = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
@@ -66,16 +121,18 @@ _PLACED = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa
 def _pieces(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([END], dtype="<u4").tobytes()
+        encoder = _encoder(shared.value)
         for batch in C.table(batches):
-            for chunk in C.text_chunks(batch):
+            for chunk in C.text_chunks(batch, CHUNK_BYTES):
                 out = []
-                texts = [t or "" for t in chunk.column("text").to_pylist()]
-                for doc_id, ids in zip(chunk.column("doc_id").to_pylist(), encode_all(texts, shared.value), strict=True):
-                    ids += end
-                    whole = zlib.crc32(ids)  # tells apart rows of one doc_id
-                    for piece, k in enumerate(range(0, len(ids), 4 * SEQUENCE)):
-                        part = ids[k:k + 4 * SEQUENCE]
-                        out.append((doc_id, whole, piece, k // 4, len(part) // 4, zlib.crc32(part)))
+                ids, first = encoder.encode(chunk.column("text"))
+                raw = memoryview(ids).cast("B")
+                for doc_id, a, b in zip(chunk.column("doc_id").to_pylist(), (first[:-1] * 4).tolist(), (first[1:] * 4).tolist(), strict=True):
+                    whole = zlib.crc32(end, zlib.crc32(raw[a:b]))  # tells apart rows of one doc_id
+                    for piece, k in enumerate(range(0, b - a + 4, 4 * SEQUENCE)):
+                        stop = min(k + 4 * SEQUENCE, b - a + 4)
+                        check = zlib.crc32(raw[a + k:min(a + stop, b)])
+                        out.append((doc_id, whole, piece, k // 4, (stop - k) // 4, zlib.crc32(end, check) if stop == b - a + 4 else check))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _PIECES.types, strict=True)], schema=_PIECES)
     return run
 
