@@ -6,22 +6,25 @@ sequence as one shingle. Two documents link when ``100 * |A & B| >= 80 * |A | B|
 
 Steps, each a Spark job over written tables:
 
-1. One pass over the texts gives (doc_id, set size, class), where a class is a distinct
-   set, and counts shingles in a table of fixed size. Exact copies meet in the class.
+1. One pass over the texts gives each document's set size, its class (a distinct set), and the
+   point of the class: its tokens hashed into groups, and the counts of the groups. Exact
+   copies meet in the class. The pass also counts shingles in a table of fixed size.
 2. A second pass emits, once per class and task, the shingles that a partner must share
-   with it: the ``n - ceil(0.8 n) + 1`` first ones, rarest counters first. Rows that share
-   such a shingle are star edges to the smallest class; their components are the only
-   places where links can be.
-3. Components larger than a block are first compared with one pivot class each. What links
+   with it: the ``n - ceil(0.8 n) + 1`` first ones, rarest counters first. Classes that share
+   such a shingle, sorted by size, are candidates: with few classes each pair whose sizes fit
+   (FEW bounds them), with more the chain of neighbours whose sizes fit, which connects
+   whatever can be linked.
+3. Pairs are bounded by their points: the sum of coordinate minima is the largest overlap
+   they can have. What is left is joined into candidate components, outside of which there
+   are no links.
+4. Components larger than a block are first compared with one pivot class each. What links
    to the pivot is settled among itself; only the rest is searched against all blocks.
-4. In each block the sets' tokens are hashed into groups and the group counts are packed
-   into an R-tree (sorted by size, then by the widest coordinate). A node's corner of
-   largest counts bounds the overlap by the sum of coordinate minima; pairs that survive
-   and are not yet connected are verified on the sets.
-5. Components over the verified links.
+5. In each block the points are packed into an R-tree (sorted by size, then by the widest
+   coordinate). A node's corner of largest counts bounds the overlap by the sum of coordinate
+   minima; pairs that survive and are not yet connected are verified on the sets.
+6. Components over the verified links.
 
-No pair is materialised before it is verified. Only links between classes that a block
-already connects are left out, which no component loses.
+Only links between classes that a block already connects are left out, which no component loses.
 
 Defined cases: null or word-less text has an empty set and its own doc_id as component;
 equal rows share a class; an empty table gives an empty result; a null doc_id keeps its row,
@@ -30,6 +33,7 @@ with the smallest non-null doc_id of its component.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,8 +47,9 @@ from ledgerline.llm.graph import connected_components
 
 WORDS = 5            # words of a shingle
 NUM, DEN = 4, 9      # 100 * inter >= 80 * union  <=>  9 * inter >= 4 * (a + b)
-CELLS = 1 << 18      # counters of the shingle order: 1 MB as 32-bit numbers, at any input size
-GROUPS = 64          # coordinates of a count vector
+CELLS = 1 << 22      # counters of the shingle order: 16 MB as 32-bit numbers, at any input size
+CELL_ROW = 1 << 16   # counters of one row on their way
+FEW = 8              # classes of a shingle that are paired; more are chained
 BLOCK = 512          # classes of one block
 LEAF = 16            # points of one R-tree leaf
 
@@ -82,20 +87,76 @@ def _sets_with_bounds(chunk: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np
     return owner, h, bounds, _classes(h, bounds)
 
 
+def groups_of(n: int) -> int:
+    """Coordinates of a set of ``n`` tokens: about one for each dozen, so that points of unrelated sets lie apart. Powers of four times 64 fold into each other."""
+    groups = 64
+    while n >= 12.5 * groups and groups < 1 << 16:
+        groups *= 4
+    return groups
+
+
+def point(s: np.ndarray, groups: int) -> np.ndarray:
+    return np.bincount((s >> np.uint64(40)).astype(np.int64) % groups, minlength=groups)
+
+
+def write_point(s: np.ndarray) -> bytes:
+    counts = point(s, groups_of(len(s)))
+    return counts.astype(np.uint8 if counts.max(initial=0) < 256 else np.uint32).tobytes()
+
+
+def read_point(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint8 if len(data) == groups_of(n) else np.uint32).astype(np.int64)
+
+
+def may_link(a: np.ndarray, n: int, b: np.ndarray, m: int) -> bool:
+    """Whether the points leave room for a link of sets with ``n`` and ``m`` tokens."""
+    groups = min(len(a), len(b))
+    bound = np.minimum(a.reshape(-1, groups).sum(axis=0), b.reshape(-1, groups).sum(axis=0)).sum()
+    return DEN * bound >= NUM * (n + m)
+
+
+_SUMMARY = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("data", pa.binary())])
+
+
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cells = np.zeros(CELLS, dtype=np.int64)
+    cells, seen = np.zeros(CELLS, dtype=np.uint32), set()
     for batch in C.table(batches):
         for chunk in C.text_chunks(batch):
             _, h, bounds, cls = _sets_with_bounds(chunk)
-            cells += np.bincount((h & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
+            cells += np.bincount((h & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS).astype(np.uint32)
+            points = []
+            for a, b, c in zip(bounds[:-1].tolist(), bounds[1:].tolist(), cls.tolist(), strict=True):
+                points.append(None if b == a or c in seen else write_point(h[a:b]))
+                seen.add(c)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(chunk.num_rows, np.int32)), chunk.column("doc_id"),
-                 pa.array(np.diff(bounds).astype(np.int64)), pa.array(cls)], names=["kind", "id", "n", "cls"])
-    used = np.flatnonzero(cells)
-    if len(used):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.ones(len(used), np.int32)), pa.array(used.astype(np.int64)), pa.array(cells[used]),
-             pa.array(np.zeros(len(used), np.int64))], names=["kind", "id", "n", "cls"])
+                 pa.array(np.diff(bounds).astype(np.int64)), pa.array(cls), pa.array(points, pa.binary())], schema=_SUMMARY)
+    for k in range(0, CELLS, CELL_ROW):
+        row = cells[k:k + CELL_ROW]
+        if row.any():
+            yield pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), pa.array([k // CELL_ROW]), pa.array([0], pa.int64()), pa.array([0], pa.int64()),
+                                              pa.array([zlib.compress(row.tobytes(), 1)], pa.binary())], schema=_SUMMARY)
+
+
+def _add_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}  # CELLS counters at most
+    for batch in C.table(batches):
+        for k, data in zip(batch.column("id").to_pylist(), batch.column("data").to_pylist(), strict=True):
+            row = np.frombuffer(zlib.decompress(data), np.uint32).astype(np.uint64)
+            total[k] = total[k] + row if k in total else row
+    for k, row in total.items():
+        row = np.minimum(row, np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        yield pa.RecordBatch.from_pylist([{"id": k, "data": zlib.compress(row.tobytes(), 1)}], schema=pa.schema([("id", pa.int64()), ("data", pa.binary())]))
+
+
+def shingle_counters(seen: DataFrame) -> np.ndarray:
+    """All documents' counters, added up by rows of CELL_ROW in the tasks; CELLS numbers reach the driver."""
+    rows = seen.where("kind = 1").select("id", "data").repartition("id").mapInArrow(_add_cells, "id long, data binary").collect()
+    cells = np.zeros(CELLS, dtype=np.uint32)
+    for r in rows:
+        part = cells[r["id"] * CELL_ROW:(r["id"] + 1) * CELL_ROW]
+        part += np.frombuffer(zlib.decompress(r["data"]), np.uint32)
+    return cells
 
 
 def _prefixes(shared) -> callable:
@@ -118,10 +179,79 @@ def _prefixes(shared) -> callable:
                 begin = np.searchsorted(owner, np.arange(chunk.num_rows))
                 length = n - (8 * n + 9) // 10 + 1
                 keep = np.arange(len(owner)) - begin[owner] < length[owner]
-                yield pa.RecordBatch.from_arrays([pa.array(C.signed(h[keep])), pa.array(cls[owner[keep]])], names=["key", "cls"])
+                yield pa.RecordBatch.from_arrays([pa.array(C.signed(h[keep])), pa.array(n[owner[keep]].astype(np.int32)), pa.array(cls[owner[keep]])],
+                                                 names=["key", "n", "cls"])
     return run
 
 
+_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sure", pa.bool_())])
+
+
+def _bucket_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs of rows sorted by (key, n, cls). Of a shingle that runs on past a batch, FEW rows and their number are held."""
+    held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)]
+    held_key, before = None, 0  # rows of the held key that are no longer held
+    for batch in _with_end(batches):
+        if batch is None:
+            key, n, cls = held
+            done = len(key)
+        else:
+            key, n, cls = (np.concatenate([h, batch.column(c).to_numpy().astype(np.int64)]) for h, c in zip(held, ("key", "n", "cls"), strict=True))
+            done = int(np.searchsorted(key, key[-1]))  # the last key may go on
+        if not len(key):
+            continue
+        new = np.ones(len(key), dtype=bool)
+        new[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])  # a class once a shingle
+        spill = len(key) - done > FEW
+        if spill:
+            done = len(key)
+        keep = np.flatnonzero(new[:done])
+        k, m, c = key[keep], n[keep], cls[keep]
+        first = np.ones(len(k), dtype=bool)
+        first[1:] = k[1:] != k[:-1]
+        begin = np.flatnonzero(first)
+        size = np.diff(np.append(begin, len(k)))
+        if len(begin) and before and held_key == k[0]:
+            size[0] += before
+        if spill:
+            size[-1] = max(size[-1], FEW + 1)
+        size = np.repeat(size, np.diff(np.append(begin, len(k))))
+        out = []
+        for d in range(1, FEW):
+            same = (k[d:] == k[:-d]) & (5 * m[:-d] >= 4 * m[d:]) & ((size[d:] <= FEW) | (d == 1))
+            at = np.flatnonzero(same)
+            if not len(at):
+                continue
+            out.append((c[at], c[at + d], size[at] > FEW))
+        if out:
+            a, b, sure = (np.concatenate(x) for x in zip(*out, strict=True))
+            low, high = np.minimum(a, b), np.maximum(a, b)
+            order = np.lexsort((~sure, high, low))
+            low, high, sure = low[order], high[order], sure[order]
+            one = np.ones(len(low), dtype=bool)
+            one[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(low[one]), pa.array(high[one]), pa.array(sure[one])], schema=_PAIRS)
+        if spill:  # go on with the last row, so that the chain does
+            before = FEW if not (before and held_key == key[-1]) else before
+            held_key, held = key[-1], [key[-1:], n[-1:], cls[-1:]]
+        else:
+            if not (before and held_key == key[-1]):
+                before = 0
+            held_key, held = key[-1], [key[done:], n[done:], cls[done:]]
+
+
+def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from C.table(batches)
+    yield None
+
+
+def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in C.table(batches):
+        keep = [sure or (x is not None and y is not None and may_link(read_point(x, n), n, read_point(y, m), m))
+                for sure, n, x, m, y in zip(*[batch.column(c).to_pylist() for c in ("sure", "n", "x", "m", "y")], strict=True)]
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
 def _candidate_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()  # repeated rows of a document meet in one task
     for batch in C.table(batches):
@@ -141,9 +271,8 @@ class CountVectorTree:
     def __init__(self, sets: list[np.ndarray]):
         self.sets = sets
         self.size = np.array([len(s) for s in sets], dtype=np.int64)
-        points = np.zeros((len(sets), GROUPS), dtype=np.int32)
-        for i, s in enumerate(sets):
-            points[i] = self.vector(s)
+        self.groups = min(4096, groups_of(int(np.median(self.size))))
+        points = np.stack([self.vector(s) for s in sets]).astype(np.int32)
         slab = np.argsort(np.argsort(self.size, kind="stable"), kind="stable") // (4 * LEAF)
         wide = points[:, int(np.argmax(points.var(axis=0)))]
         self.order = np.lexsort((wide, slab))
@@ -156,9 +285,8 @@ class CountVectorTree:
         self.top_corner = np.maximum.reduceat(self.corner, top)
         self.top_small, self.top_large = np.minimum.reduceat(self.small, top), np.maximum.reduceat(self.large, top)
 
-    @staticmethod
-    def vector(s: np.ndarray) -> np.ndarray:
-        return np.bincount((s.view(np.uint64) >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS)
+    def vector(self, s: np.ndarray) -> np.ndarray:
+        return point(s, self.groups)
 
     @staticmethod
     def _open(point, n, corner, small, large) -> np.ndarray:
@@ -197,7 +325,7 @@ def block_links(all_ids: list[int], all_sets: list[np.ndarray], ids: list[int],
 
     links = []
     for c, s in zip(ids, sets, strict=True):
-        for k in tree.search(CountVectorTree.vector(s), len(s)).tolist():
+        for k in tree.search(tree.vector(s), len(s)).tolist():
             other = all_ids[k]
             x, y = find(c), find(other)
             if x != y and DEN * _overlap(s, all_sets[k]) >= NUM * (len(s) + len(all_sets[k])):
@@ -258,15 +386,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (columns doc_id, text; others are ignored)."""
     docs = C.id_and_text(docs)
     spark: SparkSession = docs.sparkSession
-    seen = C.materialise(docs.mapInArrow(_summaries, "kind int, id long, n long, cls long"), "summaries")
+    seen = C.materialise(docs.mapInArrow(_summaries, "kind int, id long, n long, cls long, data binary"), "summaries")
     rows = seen.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "cls")
-    cells = np.zeros(CELLS, dtype=np.int64)
-    got = seen.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # CELLS rows at most
-    cells[got["id"].to_numpy(dtype=np.int64)] = got["n"].to_numpy(dtype=np.int64)
-
-    keys = docs.mapInArrow(_prefixes(spark.sparkContext.broadcast(cells)), "key long, cls long")
-    least = keys.withColumn("m", F.expr("min(cls) OVER (PARTITION BY key)"))
-    comps = connected_components(least.where("cls != m"), "cls", "m").withColumnRenamed("component", "comp")
+    keys = docs.mapInArrow(_prefixes(spark.sparkContext.broadcast(shingle_counters(seen))), "key long, n int, cls long")
+    pairs = keys.repartition("key").sortWithinPartitions("key", "n", "cls").mapInArrow(_bucket_pairs, "a long, b long, sure boolean")
+    pairs = pairs.groupBy("a", "b").agg(F.max("sure").alias("sure"))
+    points = seen.where("kind = 0 AND data IS NOT NULL").groupBy("cls").agg(F.max("n").alias("n"), F.max("data").alias("data"))
+    pairs = (pairs.join(points.select(F.col("cls").alias("a"), "n", F.col("data").alias("x")), "a")
+             .join(points.select(F.col("cls").alias("b"), F.col("n").alias("m"), F.col("data").alias("y")), "b"))
+    comps = connected_components(pairs.mapInArrow(_bounded, "a long, b long"), "a", "b").withColumnRenamed("component", "comp")
 
     reps = rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"))
     cand = comps.withColumnRenamed("node", "cls").join(reps, "cls")
