@@ -1,4 +1,4 @@
-"""The corpus pipeline: near duplicates, substring dedup and packing, each stage over all that the one before kept."""
+"""The corpus pipeline: language ID, toxicity, near duplicates, substring dedup and packing, each stage over all that the one before kept."""
 
 from __future__ import annotations
 
@@ -9,7 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.llm import common
 from ledgerline.llm.best_fit_packing import pack_documents, read_vocabulary
 from ledgerline.llm.jaccard_join import one_of_each
+from ledgerline.llm.language_id import in_known_language
 from ledgerline.llm.substring_dedup import without_repeats
+from ledgerline.llm.toxicity import not_toxic
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or whose language is told with a score under 0.5, go."""
+    return in_known_language(docs)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score of 0.3 or more go."""
+    return not_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,6 +40,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", language),
+    ("toxicity", toxicity),
     ("near_duplicates", near_duplicates),
     ("repeated_passages", repeated_passages),
     ("packing", packing),

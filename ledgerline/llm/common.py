@@ -24,6 +24,9 @@ CHUNK_BYTES = 4 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+# Everything but ASCII letters and bytes of other code points.
+NOT_LETTER = np.ones(256, dtype=bool)
+NOT_LETTER[np.r_[65:91, 97:123, 128:256]] = False
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 _powers: dict[str, np.ndarray] = {}
@@ -96,11 +99,11 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, first): byte spans of all words in order; words of value i are first[i]:first[i+1]."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, first): byte spans of all words in order; words of value i are first[i]:first[i+1]. ``space`` marks the bytes between words."""
     if not len(data):
         return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = ~_SPACE[data]
+    inside = ~space[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     ends = inside.copy()
@@ -113,11 +116,11 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return start, end, np.searchsorted(start, offsets)
 
 
-def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, space: np.ndarray = _SPACE) -> np.ndarray:
     """A 64-bit hash of each word's bytes: a polynomial in an odd base, moved to the word's start, mixed with its length."""
     if not len(start):
         return np.empty(0, np.uint64)
-    value = np.where(_SPACE[data], 0, data.astype(np.uint64) + np.uint64(1)).astype(np.uint64)
+    value = np.where(space[data], 0, data.astype(np.uint64) + np.uint64(1)).astype(np.uint64)
     value *= _power_table("up", _BASE, len(data))
     # Words of neighbouring texts may touch without a space; cut at every start, spaces count as 0.
     total = np.add.reduceat(value, start)
