@@ -150,10 +150,41 @@ def round_whole(x: str | Column) -> Column:
     return F.round(col(x), 0).cast("bigint")
 
 
+def exact_scaled(x: Column, places: int, ties: str) -> Column:
+    """``x * 10**places`` rounded to a whole number on the exact value of the double.
+
+    ``x`` is not negative. Its fraction is a whole number of 2**-62 (smaller bits lie under
+    any tie), so the comparison with one half is exact. Rounding the shortest decimal text of
+    the double instead would call values ties that are not. ``ties``: ``even`` or ``up``.
+    """
+    x = x.cast("double")
+    whole = F.floor(x).cast("bigint")
+    unit = F.lit(1 << 62).cast("decimal(38,0)")
+    part = ((x - whole) * F.lit(float(1 << 62))).cast("bigint").cast("decimal(20,0)") * F.lit(2 * 10 ** places).cast("decimal(6,0)")
+    low = F.floor(part / (unit * 2)).cast("bigint")
+    # Decimal division rounds; step back where it rounded up to a whole number.
+    low = F.when(low.cast("decimal(6,0)") * unit * 2 > part, low - 1).otherwise(low)
+    rest = part - low.cast("decimal(6,0)") * unit * 2
+    odd = (whole * F.lit(10 ** places) + low) % 2 == 1
+    up = (rest > unit) | ((rest == unit) & (odd if ties == "even" else F.lit(True)))
+    return whole * F.lit(10 ** places) + low + up.cast("bigint")
+
+
+def fixed_text(x: Column, places: int) -> Column:
+    """``toFixed(places)``: the nearest decimal to the double's exact value, the larger of two equally near."""
+    q = exact_scaled(x, places, "up")
+    if places == 0:
+        return q.cast("string")
+    return F.concat(F.floor(q / F.lit(10 ** places)).cast("bigint").cast("string"), F.lit("."),
+                    F.lpad((q % F.lit(10 ** places)).cast("string"), places, "0"))
+
+
 def pct_half_even(n: str | Column, d: str | Column) -> Column:
-    """``round(100.0*n/d, 1) if d else 0`` (Python rounds half-even)."""
+    """``round(100.0*n/d, 1) if d else 0``; Python rounds the exact value of the double, halves to even."""
     n, d = col(n), col(d)
-    return F.when(d != 0, F.bround(F.lit(100.0) * n / d, 1)).otherwise(F.lit(0.0))
+    x = F.lit(100.0) * n / d
+    size = exact_scaled(F.abs(x), 1, "even") / F.lit(10.0)
+    return F.when(d != 0, F.when(x < 0, -size).otherwise(size)).otherwise(F.lit(0.0))
 
 
 def pct_half_up(a: str | Column, b: str | Column) -> Column:
@@ -170,20 +201,14 @@ def pct_class(p: str | Column) -> Column:
 
 
 def _scaled(n: Column, unit: int, places: int) -> Column:
-    """n/unit to ``places`` decimals, half-up, as text (exact integer math)."""
-    step = unit // (10 ** places)
-    q = F.floor((n + F.lit(step // 2)) / F.lit(step)).cast("bigint")
-    if places == 0:
-        return q.cast("string")
-    whole = F.floor(q / F.lit(10 ** places)).cast("bigint").cast("string")
-    frac = F.lpad((q % F.lit(10 ** places)).cast("string"), places, "0")
-    return F.concat(whole, F.lit("."), frac)
+    """n/unit as a double, to ``places`` decimals as text (``toFixed``)."""
+    return fixed_text(n.cast("double") / F.lit(float(unit)), places)
 
 
 def money_label(n: str | Column) -> Column:
     """P22: '-', '₹x.xxCr' (>=1e7), '₹x.xL' (>=1e5), '₹xk' (>=1e3), else '₹n'.
 
-    Whole-rupee inputs; halves round up on the exact value.
+    Whole-rupee inputs; the quotient is a double and rounds as ``fixed_text`` does.
     """
     n = col(n).cast("bigint")
     return (F.when(n.isNull(), F.lit("-"))

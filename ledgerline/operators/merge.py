@@ -21,21 +21,22 @@ replaces exactly the days present, atomically per partition.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes
+from ..session import scratch_path
 
 
 def replace_day_slices(prev: DataFrame, fresh: DataFrame, day_col: str = "d") -> DataFrame:
     """M1: ``prev`` minus the days present in ``fresh``, plus ``fresh``.
 
-    The distinct fresh days are bounded by the calendar (one slice is a day or
-    a few), so they are broadcast to the anti join.
+    The distinct fresh days are a few rows, which Spark broadcasts to the anti join by their measured size.
     """
-    days = F.broadcast(fresh.select(day_col).distinct())
+    days = fresh.select(day_col).distinct()
     return prev.join(days, day_col, "left_anti").unionByName(fresh.select(*prev.columns))
 
 
@@ -89,3 +90,23 @@ def write_day_partitions(df: DataFrame, path: str, day_col: str = "d", fmt: str
     (df.hint("rebalance", day_col).sortWithinPartitions(*df.columns)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(day_col).format(fmt).save(path))
+
+
+def replace_days(df: DataFrame, path: str, days: Sequence[dt.date], day_col: str = "d") -> None:
+    """M1 on a table for given ``days``: their partitions become the rows of ``df``,
+    and the partition of a day without rows goes.
+
+    The rows are written once to the shared checkpoint folder first, so that the days with rows
+    are known before the table changes. A repeated call gives the same table.
+    """
+    spark = df.sparkSession
+    kept = scratch_path(spark, f"days-{uuid.uuid4().hex}")
+    df.write.parquet(kept)
+    rows = spark.read.schema(df.schema).parquet(kept)
+    present = {r[0] for r in rows.select(day_col).distinct().collect()}  # days, bounded by the calendar
+    write_day_partitions(rows, path, day_col)
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for day in days:
+        if day not in present:
+            gone = fs_path(f"{path.rstrip('/')}/{day_col}={day.isoformat()}")
+            gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)

@@ -54,13 +54,14 @@ def with_rollup(df: DataFrame, label_col: str, keys: Iterable[str], measures: It
             *[F.lit(None).cast(df.schema[m].dataType).alias(m) for m in measures],
             F.lit(True).alias("__seed"))
         src = src.unionByName(seed)
-    aggs = [F.grouping(label_col).alias("__g"), F.max("__seed").alias("__seed")]
+    aggs = [F.grouping(label_col).alias("__g")]
     for m in measures:
         aggs.append(F.sum(m).alias(m))
         if keep_labels is not None:
             aggs.append(F.sum(F.when(lab.isin(list(keep_labels)), F.col(m))).alias(f"__k_{m}"))
-    g = src.groupingSets([[label_col, *keys], keys], label_col, *keys).agg(*aggs)
-    g = g.filter((F.col("__g") == 1) | ~F.col("__seed"))
+    # The seed has a group of its own: a null label is a group like any other.
+    g = src.groupingSets([[label_col, "__seed", *keys], keys], label_col, "__seed", *keys).agg(*aggs)
+    g = g.filter((F.col("__g") == 1) | ~F.coalesce("__seed", F.lit(False)))
     out = [F.when(F.col("__g") == 1, F.lit(label)).otherwise(lab).alias(label_col), *keys]
     for m in measures:
         v = F.col(m) if keep_labels is None else F.when(F.col("__g") == 1, F.col(f"__k_{m}")).otherwise(F.col(m))

@@ -160,18 +160,23 @@ fall AS (SELECT * FROM fz UNION ALL
 
 
 def _pct(n, d):
-    return f"CASE WHEN {d} <> 0 THEN round_even(100.0 * {n} / {d}, 1) ELSE 0.0 END"
+    # printf rounds the double's exact value, halves to even.
+    return f"CASE WHEN {d} <> 0 THEN CAST(printf('%.1f', CAST(100.0 AS DOUBLE) * {n} / {d}) AS DOUBLE) ELSE CAST(0 AS DOUBLE) END"
+
+
+def fixed_text(x: str, places: int) -> str:
+    """Nearest decimal text. A tie is a whole number of halves of the last place, hence of 1/8 or 1/4 or 1/2: there the larger one."""
+    parts, scale = 2 ** (places + 1), 10 ** places
+    half_up = f"printf('%.{places}f', floor({x} * {scale} + 0.5) / {scale})"
+    return f"CASE WHEN {x} * {parts} = floor({x} * {parts}) THEN {half_up} ELSE printf('%.{places}f', {x}) END"
 
 
 def money_label(a: str) -> str:
-    """P22 in SQL: whole rupees, halves up on the exact value."""
-    return (f"CASE WHEN {a} IS NULL THEN '-' "
-            f"WHEN {a} >= 10000000 THEN '₹' || CAST(({a} + 50000) // 10000000 AS VARCHAR) || '.' || "
-            f"lpad(CAST((({a} + 50000) // 100000) % 100 AS VARCHAR), 2, '0') || 'Cr' "
-            f"WHEN {a} >= 100000 THEN '₹' || CAST(({a} + 5000) // 100000 AS VARCHAR) || '.' || "
-            f"CAST((({a} + 5000) // 10000) % 10 AS VARCHAR) || 'L' "
-            f"WHEN {a} >= 1000 THEN '₹' || CAST(({a} + 500) // 1000 AS VARCHAR) || 'k' "
-            f"ELSE '₹' || CAST({a} AS VARCHAR) END")
+    """P22 in SQL: the quotient as a double, to two, one or no decimals."""
+    x = f"CAST({a} AS DOUBLE)"
+    return (f"CASE WHEN {a} IS NULL THEN '-' WHEN {a} >= 10000000 THEN '₹' || ({fixed_text(f'({x} / 1e7)', 2)}) || 'Cr' "
+            f"WHEN {a} >= 100000 THEN '₹' || ({fixed_text(f'({x} / 1e5)', 1)}) || 'L' "
+            f"WHEN {a} >= 1000 THEN '₹' || ({fixed_text(f'({x} / 1e3)', 0)}) || 'k' ELSE '₹' || CAST({a} AS VARCHAR) END")
 
 
 def renewal_sql() -> dict[str, str]:
@@ -218,21 +223,8 @@ SELECT channel, card_order, card, value, amount, """ + money_label("amount") + "
 
 
 def all_sql() -> dict[str, str]:
-    out = {}
-    out.update(renewal_sql())
-    try:
-        from .oracle_activity import activity_sql
-        out.update(activity_sql())
-    except ImportError:
-        pass
-    try:
-        from .oracle_tables import tables_sql
-        out.update(tables_sql())
-    except ImportError:
-        pass
-    try:
-        from .oracle_ranking import ranking_sql
-        out.update(ranking_sql())
-    except ImportError:
-        pass
-    return out
+    from .oracle_activity import activity_sql
+    from .oracle_ranking import ranking_sql
+    from .oracle_tables import tables_sql
+
+    return renewal_sql() | activity_sql() | tables_sql() | ranking_sql()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .functions import codes
-from .oracle import with_ctes
+from .oracle import fixed_text, with_ctes
 
 
 def _band(v, edges, op, null_as="NULL"):
@@ -39,8 +39,7 @@ def _dur(v):
 
 
 def _fixed2(v):
-    q = f"CAST(floor({v} * 100.0 + 0.5) AS BIGINT)"
-    return f"CAST({q} // 100 AS VARCHAR) || '.' || lpad(CAST({q} % 100 AS VARCHAR), 2, '0')"
+    return f"({fixed_text(f'CAST({v} AS DOUBLE)', 2)})"
 
 
 R6 = "round({0}, 6) AS {0}"

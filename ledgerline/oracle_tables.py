@@ -138,6 +138,8 @@ SELECT 'today' AS preset, max_d AS d_from, max_d AS d_to FROM g
 UNION ALL SELECT 'mtd', CAST(date_trunc('month', max_d) AS DATE), max_d FROM g
 UNION ALL SELECT 'yest', prev_d, prev_d FROM g
 UNION ALL SELECT 'last7', seventh_d, max_d FROM g"""
+    # FIXED VALUES: the pods in the order in which they are offered.
+    pods = "['B2C Postsales', 'Postsales - Hindi', 'Hospital PS']"
     buckets = "[" + ", ".join(f"'{b}'" for b in codes.BUCKETS) + "]"
     out["selector_values"] = with_ctes(["forms", "member", "service", "agent_day"], FORM_BASE,
                                        cur, _backlog()) + f""",
@@ -147,8 +149,8 @@ v AS (
   UNION ALL SELECT 'agent', ag FROM cur_rows UNION ALL SELECT 'agent', ag FROM bl
   UNION ALL SELECT 'touchpoint', bk FROM cur_rows WHERE bk IN {tuple(codes.BUCKETS)}
   UNION ALL SELECT 'touchpoint', bk FROM bl WHERE bk IN {tuple(codes.BUCKETS)}
-  UNION ALL SELECT 'pod', pod FROM agent_day WHERE pod IS NOT NULL) x)
+  UNION ALL SELECT 'pod', pod FROM agent_day WHERE list_position({pods}, pod) IS NOT NULL AND list_position({pods}, pod) > 0) x)
 SELECT kind, value, row_number() OVER (PARTITION BY kind ORDER BY
-  CASE WHEN kind = 'touchpoint' THEN list_position({buckets}, value) END NULLS LAST, value) AS pos
+  CASE WHEN kind = 'touchpoint' THEN list_position({buckets}, value) WHEN kind = 'pod' THEN list_position({pods}, value) END NULLS LAST, value) AS pos
 FROM v"""
     return out

@@ -163,7 +163,7 @@ def table_view(table: DataFrame, by: str = "booked") -> DataFrame:
 
 def selector_values(rows: DataFrame, backlog: DataFrame, agent_day: DataFrame | None = None) -> DataFrame:
     """The sorted value lists the filters offer -- days, agents (window rows
-    and backlog), touchpoints present (in fixed order) and pods."""
+    and backlog), touchpoints present and known pods (both in fixed order)."""
     days = rows.select(F.lit("day").alias("kind"), F.date_format("d", "yyyy-MM-dd").alias("value"))
     agents = rows.select(F.col("ag").alias("value")).unionByName(backlog.select(F.col("ag").alias("value"))) \
         .select(F.lit("agent").alias("kind"), "value")
@@ -172,8 +172,9 @@ def selector_values(rows: DataFrame, backlog: DataFrame, agent_day: DataFrame |
     parts = days.unionByName(agents).unionByName(buckets)
     if agent_day is not None:
         parts = parts.unionByName(agent_day.select(F.lit("pod").alias("kind"), F.col("pod").alias("value"))
-                                  .filter(F.col("value").isNotNull()))
-    order = F.when(F.col("kind") == "touchpoint",
-                   F.array_position(F.array(*[F.lit(b) for b in codes.BUCKETS]), F.col("value")))
+                                  .filter(F.col("value").isin(codes.PODS)))
+    listed = {"touchpoint": codes.BUCKETS, "pod": codes.PODS}  # kinds whose order is fixed
+    order = F.coalesce(*[F.when(F.col("kind") == kind, F.array_position(F.array(*[F.lit(v) for v in values]), F.col("value")))
+                         for kind, values in listed.items()])
     w = Window.partitionBy("kind").orderBy(order.asc_nulls_last(), F.col("value"))
     return parts.distinct().withColumn("pos", F.row_number().over(w).cast("bigint"))

@@ -167,10 +167,8 @@ def cards(ranked_df: DataFrame) -> DataFrame:
 
 
 def fixed2(x: Column) -> Column:
-    """Two-decimal text, halves up (``toFixed(2)`` on the value)."""
-    q = F.floor(x * F.lit(100.0) + F.lit(0.5)).cast("bigint")
-    return F.concat(F.floor(q / F.lit(100)).cast("bigint").cast("string"), F.lit("."),
-                    F.lpad((q % F.lit(100)).cast("string"), 2, "0"))
+    """Two-decimal text (``toFixed(2)`` on the value)."""
+    return C.fixed_text(x, 2)
 
 
 def rounded_out(df: DataFrame, cols: list[str]) -> DataFrame:

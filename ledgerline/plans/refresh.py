@@ -73,7 +73,8 @@ def refresh_activity_tables(forms: DataFrame, member: DataFrame, services: DataF
     """
     rows_path = f"{base_path.rstrip('/')}/activity_day"
     backlog_path = f"{base_path.rstrip('/')}/open_backlog"
-    M.write_day_partitions(A.activity_day(forms, member, services, d1, d2, tz), rows_path)
+    days = [d1 + dt.timedelta(days=k) for k in range((d2 - d1).days + 1)]
+    M.replace_days(A.activity_day(forms, member, services, d1, d2, tz), rows_path, days)
     A.open_backlog(forms, as_of, tz).write.mode("overwrite").parquet(backlog_path)
     return {"activity_day": rows_path, "open_backlog": backlog_path}
 

@@ -16,33 +16,10 @@ from .sources import standins as S
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_PLANS: dict[tuple, DataFrame] = {}
-
-
-def _memo(fn):
-    """Reuse a built (lazy) DataFrame per application and input folder.
-
-    Only the plan object is kept -- no data is cached -- so every query still
-    executes its whole plan from the Parquet files; the registry simply does
-    not rebuild the same stand-in or base plan for each of its queries.
-    """
-    def wrapper(spark: SparkSession, sf_dir: str):
-        key = (spark.sparkContext.applicationId, sf_dir, fn.__name__)
-        df = _PLANS.get(key)
-        if df is None:
-            df = _PLANS[key] = fn(spark, sf_dir)
-        return df
-    wrapper.__name__ = fn.__name__
-    wrapper.__doc__ = fn.__doc__
-    return wrapper
-
-
-@_memo
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.renewal_base(S.retention(spark, sf_dir), S.RETENTION_AS_OF)
 
 
-@_memo
 def _cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.renewal_cube(_base(spark, sf_dir))
 
@@ -98,22 +75,18 @@ QUERIES: dict[str, Query] = {
 
 # ------------------------------------------------------------ activity ---
 
-@_memo
 def _forms(spark, sf_dir):
     return S.reachout_forms(spark, sf_dir)
 
 
-@_memo
 def _members(spark, sf_dir):
     return S.members(spark, sf_dir)
 
 
-@_memo
 def _services(spark, sf_dir):
     return S.services(spark, sf_dir)
 
 
-@_memo
 def _agent_day(spark, sf_dir):
     return S.agent_day(spark, sf_dir)
 
@@ -184,19 +157,16 @@ RUN_TS = dt.datetime(2024, 1, 15, 18, 30, 0)
 NOW_TS = dt.datetime(2024, 1, 15, 18, 37, 40)
 
 
-@_memo
 def _stale_rows(spark, sf_dir):
     f, m, s = _act(spark, sf_dir)
     return A.activity_day(RF.log_as_of(f, CUTOFF), m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_AS_OF)
 
 
-@_memo
 def _rows(spark, sf_dir):
     f, m, s = _act(spark, sf_dir)
     return A.activity_day(f, m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY)
 
 
-@_memo
 def _backlog(spark, sf_dir):
     return A.open_backlog(_forms(spark, sf_dir), S.ACTIVITY_AS_OF)
 

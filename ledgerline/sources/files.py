@@ -15,11 +15,18 @@ from pyspark.sql.types import StructType
 from pyspark.errors import AnalysisException
 
 
+def _is_missing(e: AnalysisException) -> bool:
+    """Whether the path does not exist; any other fault is raised, as history would be lost silently."""
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
 def _read_documents(spark: SparkSession, path: str) -> DataFrame | None:
     """One row per file with its whole text, or None when nothing is there."""
     try:
         return spark.read.text(path, wholetext=True)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not _is_missing(e):
+            raise
         return None
 
 
@@ -58,7 +65,9 @@ def read_previous(spark: SparkSession, path: str, schema: StructType, fmt: str =
     """SC7: the kept table, or an empty one with its schema on the first run."""
     try:
         return spark.read.format(fmt).schema(schema).load(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not _is_missing(e):
+            raise
         return empty(spark, schema)
 
 

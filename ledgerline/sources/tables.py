@@ -15,27 +15,10 @@ def table_path(sf_dir: str, name: str) -> str:
     return path if "://" in sf_dir or os.path.exists(path) else os.path.join(sf_dir, name)
 
 
-_READS: dict[tuple, DataFrame] = {}
-
-
-def _version(path: str) -> float | None:
-    try:
-        return os.stat(path).st_mtime
-    except OSError:
-        return None
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """Read one table; selecting columns here makes the scan's ReadSchema narrow.
 
-    The relation (a lazy plan with its file listing and schema, not data) is
-    reused while the path is unchanged, so a job that reads a table in
-    several branches lists and opens its footers once.
+    Every call lists the files anew, so files that have landed since are read.
     """
-    path = table_path(sf_dir, name)
-    key = (spark.sparkContext.applicationId, path, _version(path))
-    df = _READS.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        _READS[key] = df
+    df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df

@@ -4,21 +4,20 @@ The source refreshes by polling: every run recomputes "today" and replaces
 that day's slice. As a stream:
 
 * the form log (a folder of Parquet files new deliveries land in) is read
-  with ``readStream``; duplicate deliveries of a form are dropped within a
-  watermark on delivery time (``dropDuplicatesWithinWatermark('uid')``, ST2),
-  so late forms are never dropped;
-* the recompute reads the log with one row per form (the latest delivery),
-  so member-level rows are never repeated by a re-delivery;
-* each micro-batch collects the days it touches -- a form counts on its
-  created day (created measures) and its submitted day (call and
-  utilisation measures, H19) -- and recomputes exactly those days from the
-  whole log with the batch plan, so the result is the batch answer;
-* the recomputed days are written with dynamic partition overwrite on ``d``:
-  a late form re-opens its own day, replaying a batch rewrites the same rows
-  (idempotent), and other days are untouched.
-
-The days touched by one batch are a calendar-bounded set (a few per batch),
-so they are brought to the driver as parameters; rows never are.
+  with ``readStream``; nothing is dropped from it, whatever its delivery time:
+  a form's later versions and late files only re-open days (ST2);
+* each micro-batch touches the days of its rows and the days of every earlier
+  version of the same forms -- a form counts on its created day (created
+  measures) and its submitted day (call and utilisation measures, H19);
+* those days are recomputed with the batch plan from the forms that have, in
+  any version, one of these days, reduced to the latest delivery of each. Only
+  these forms' rows are shuffled; the rest of the log is scanned with pruned
+  columns and dropped by semi joins;
+* the recomputed days replace their partitions, and a touched day that has
+  become empty loses its partition. Replaying a batch rewrites the same rows.
+
+The days touched by one batch are bounded by the calendar, so they are brought
+to the driver as parameters, all of them; rows never are.
 """
 
 from __future__ import annotations
@@ -30,85 +29,72 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import columns as C
-from ..operators.merge import write_day_partitions
+from ..operators.merge import replace_days
 from ..plans import activity as A
 from ..session import scratch_path
 
-MAX_DAYS_PER_BATCH = 400
+def delivered(log: DataFrame) -> DataFrame:
+    """A scan of the log with each row's delivery: landing time and path of its file."""
+    return log.select("*", F.col("_metadata.file_modification_time").alias("__t"), F.col("_metadata.file_path").alias("__f"))
 
 
-def latest_per_form(log_dir_df: DataFrame) -> DataFrame:
+def latest_per_form(log: DataFrame) -> DataFrame:
     """ST2, exact: one row per form -- the latest delivery (file landing time,
     then file path). A partial aggregation, so many copies of one form are
     combined before the shuffle."""
-    cols = [c for c in log_dir_df.columns]
-    tagged = log_dir_df.select(*cols, F.col("_metadata.file_modification_time").alias("__t"),
-                               F.col("_metadata.file_path").alias("__f"))
+    tagged = log if "__t" in log.columns else delivered(log)
+    cols = [c for c in tagged.columns if c not in ("__t", "__f")]
     latest = tagged.groupBy("uid").agg(F.max_by(F.struct(*cols), F.struct("__t", "__f")).alias("__r"))
     return latest.select("__r.*")
 
 
-def touched_days(batch: DataFrame, tz: str = "UTC") -> list[dt.date]:
-    created = batch.select(C.local_date("created_at", tz).alias("d"))
-    submitted = batch.filter(F.col("is_draft") == F.lit(False)).select(C.local_date("submitted_at", tz).alias("d"))
-    days = created.unionByName(submitted).filter(F.col("d").isNotNull()).distinct()
-    out = sorted(r.d for r in days.limit(MAX_DAYS_PER_BATCH + 1).collect())
-    return out
+def _days_of(forms: DataFrame, tz: str) -> DataFrame:
+    """(uid, d): the days on which any row of ``forms`` counts."""
+    created = forms.select("uid", C.local_date("created_at", tz).alias("d"))
+    submitted = forms.filter(F.col("is_draft") == F.lit(False)).select("uid", C.local_date("submitted_at", tz).alias("d"))
+    return created.unionByName(submitted).filter(F.col("d").isNotNull())
 
 
-def day_ranges(days: list[dt.date]) -> list[tuple[dt.date, dt.date]]:
-    """Contiguous runs of days, each recomputed as one range."""
-    runs: list[tuple[dt.date, dt.date]] = []
-    for d in days:
-        if runs and d == runs[-1][1] + dt.timedelta(days=1):
-            runs[-1] = (runs[-1][0], d)
-        else:
-            runs.append((d, d))
-    return runs
+def touched_days(batch: DataFrame, log: DataFrame | None = None, tz: str = "UTC") -> list[dt.date]:
+    """The days of the batch's rows and, with ``log``, of all versions of its forms."""
+    rows = batch if log is None else log.join(batch.select("uid").distinct(), "uid", "left_semi")
+    days = _days_of(batch, tz).select("d") if log is None else _days_of(batch, tz).select("d").union(_days_of(rows, tz).select("d"))
+    return sorted(r.d for r in days.distinct().collect())
 
 
-def _union_ranges(build, runs):
-    parts = [build(lo, hi) for lo, hi in runs]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def forms_on(log: DataFrame, days: list[dt.date], tz: str = "UTC") -> DataFrame:
+    """All versions of the forms that have one of ``days`` in any version."""
+    wanted = log.sparkSession.createDataFrame([(d,) for d in days], "d date")
+    uids = _days_of(log, tz).join(wanted, "d", "left_semi").select("uid").distinct()
+    return log.join(uids, "uid", "left_semi")
 
 
 def recompute_days(spark: SparkSession, log: DataFrame, member: DataFrame, services: DataFrame,
                    days: list[dt.date], out_path: str, tz: str = "UTC", raw_path: str | None = None) -> None:
     """Recompute ``activity_day`` (and, with ``raw_path``, the member-level rows)
-    for ``days`` from the whole log; overwrite exactly those day partitions."""
+    for ``days`` from the forms that concern them; replace exactly those day partitions."""
     if not days:
         return
-    runs = [(days[0], days[-1])] if len(days) > MAX_DAYS_PER_BATCH else day_ranges(days)
-    write_day_partitions(_union_ranges(lambda lo, hi: A.activity_day(log, member, services, lo, hi, tz), runs),
-                         out_path)
+    wanted = spark.createDataFrame([(d,) for d in days], "d date")
+    lo, hi = days[0], days[-1]
+    replace_days(A.activity_day(log, member, services, lo, hi, tz).join(wanted, "d", "left_semi"), out_path, days)
     if raw_path is not None:
-        raw = _union_ranges(lambda lo, hi: A.reachout_raw(log, member, services, lo, hi, tz), runs)
-        write_day_partitions(raw, raw_path)
+        replace_days(A.reachout_raw(log, member, services, lo, hi, tz).join(wanted, "d", "left_semi"), raw_path, days)
 
 
 def start_refresh(spark: SparkSession, log_dir: str, log_schema, member: DataFrame, services: DataFrame,
-                  out_path: str, name: str = "activity_day", tz: str = "UTC",
-                  watermark: str = "3 days", available_now: bool = True,
+                  out_path: str, name: str = "activity_day", tz: str = "UTC", available_now: bool = True,
                   raw_path: str | None = None) -> StreamingQuery:
     """Start the incremental refresh; the checkpoint lives in the shared
     checkpoint folder (``spark.checkpoint.dir``)."""
-    # Duplicate deliveries are dropped by delivery time (the file's landing
-    # time), not by the form's own time: a form that arrives days late is
-    # still processed and re-opens its day, while a re-delivery within the
-    # window costs nothing. The recompute itself counts distinct forms, so a
-    # duplicate outside the window is harmless too.
-    stream = (spark.readStream.schema(log_schema).parquet(log_dir)
-              .withColumn("_delivered_at", F.col("_metadata.file_modification_time"))
-              .withWatermark("_delivered_at", watermark)
-              .dropDuplicatesWithinWatermark(["uid"]))
+    # By default the file source ignores files that are a week older than the newest.
+    stream = spark.readStream.schema(log_schema).option("maxFileAge", "36500d").parquet(log_dir)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        days = touched_days(batch, tz)
-        log = latest_per_form(spark.read.schema(log_schema).parquet(log_dir))
-        recompute_days(spark, log, member, services, days, out_path, tz, raw_path)
+        log = delivered(spark.read.schema(log_schema).parquet(log_dir))
+        days = touched_days(batch, log, tz)
+        if days:
+            recompute_days(spark, latest_per_form(forms_on(log, days, tz)), member, services, days, out_path, tz, raw_path)
 
     writer = (stream.writeStream.foreachBatch(per_batch)
               .option("checkpointLocation", scratch_path(spark, f"streams/{name}")))

@@ -36,12 +36,50 @@ def test_stream_equals_batch_with_duplicates_and_late_rows(spark, tmp_dir):
     assert sorted(tuple(r) for r in raw_got.select(*cols).collect()) == sorted(tuple(r) for r in raw_want.collect())
 
 
-def test_day_ranges():
-    import datetime as dt
+def _refresh(spark, log_dir, schema, member, services, out, name):
+    ST.start_refresh(spark, log_dir, schema, member, services, out, name=name).awaitTermination()
 
-    d = dt.date(2024, 1, 1)
-    days = [d, d + dt.timedelta(days=1), d + dt.timedelta(days=3)]
-    assert ST.day_ranges(days) == [(d, d + dt.timedelta(days=1)), (d + dt.timedelta(days=3), d + dt.timedelta(days=3))]
+
+def _rows(df, cols):
+    return sorted(tuple(r) for r in df.select(*cols).collect())
+
+
+def test_versions_moves_and_old_files_equal_batch(spark, tmp_dir):
+    """A draft that is submitted, a day that moves and so becomes empty, a reason that becomes unmapped, a file with an old landing time."""
+    forms = S.reachout_forms(spark, SF_SMALL)
+    member, services = S.members(spark, SF_SMALL), S.services(spark, SF_SMALL)
+    log_dir, out = os.path.join(tmp_dir, "log"), os.path.join(tmp_dir, "activity_day")
+    few = forms.filter(F.col("uid") % 4 == 0)
+    early = few.withColumns({"is_draft": F.lit(True), "created_at": F.expr("created_at + INTERVAL 200 DAYS")})
+    early.coalesce(1).write.parquet(log_dir)
+    name = f"v{os.getpid()}"
+    _refresh(spark, log_dir, forms.schema, member, services, out, name)
+    assert spark.read.parquet(out).count() > 0
+    moved = spark.read.parquet(out).select("d").distinct().count()
+    few.coalesce(1).write.mode("append").parquet(log_dir)
+    old = os.path.join(tmp_dir, "old")
+    forms.filter(F.col("uid") % 4 != 0).coalesce(1).write.parquet(old)
+    _refresh(spark, log_dir, forms.schema, member, services, out, name)
+    for f in os.listdir(old):  # lands with its old time
+        if f.startswith("part-"):
+            os.utime(os.path.join(old, f), (1_600_000_000, 1_600_000_000))
+            os.link(os.path.join(old, f), os.path.join(log_dir, "late-" + f))
+    _refresh(spark, log_dir, forms.schema, member, services, out, name)
+    last = forms.filter(F.col("uid") % 8 == 0).withColumn("reason", F.lit("no such reason")) if "reason" in forms.columns else None
+    want_log = forms
+    if last is not None:
+        last.coalesce(1).write.mode("append").parquet(log_dir)
+        _refresh(spark, log_dir, forms.schema, member, services, out, name)
+        want_log = forms.filter(F.col("uid") % 8 != 0).unionByName(last)
+    want = A.activity_day(want_log, member, services, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY)
+    assert moved > 0
+    assert _rows(spark.read.parquet(out), want.columns) == _rows(want, want.columns)
+
+
+def test_a_batch_with_500_days_loses_none(spark):
+    days = spark.range(500).selectExpr("id AS uid", "timestampadd(DAY, CAST(id AS INT), TIMESTAMP '2020-01-01 08:00:00') AS created_at",
+                                       "true AS is_draft", "CAST(NULL AS TIMESTAMP) AS submitted_at")
+    assert len(ST.touched_days(days)) == 500
 
 
 def test_latest_delivery_per_form_with_a_hot_group_of_copies(spark, tmp_dir):
