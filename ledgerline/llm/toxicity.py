@@ -19,7 +19,6 @@ labels gives 0 for all; a null doc_id is not held out and not learned from.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +28,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import common as C
 
-SAMPLE = 12_000        # labelled rows that are learned from, about
-SAMPLE_CHARS = 8_000   # longer texts are scored, not learned from
+SAMPLE = 8_000         # labelled rows that are learned from, about
+SAMPLE_CHARS = 6_000   # longer texts are scored, not learned from
 FEATURES = 2_000       # words and stems with a weight, identity terms aside
 STEM = 6               # bytes of a stem
 THRESHOLD = 0.3
@@ -78,27 +77,21 @@ class Toxicity:
 
 
 def counterfactuals(texts: list[str], seed: int = 3) -> list[tuple[str, str]]:
-    """(sentence, the same with another group's term): swapped where a term stands, inserted in a sample of other sentences."""
+    """(sentence, the same with another group's term): swapped where a term stands, inserted in sentences of a sample of texts."""
     rng = np.random.default_rng(seed)
-    known = set(IDENTITY)
-    with_term, without = [], []
-    for text in texts:
-        for sentence in re.split(r"[.!?\n]+", text):
-            words = sentence.split()
-            if not words:
-                continue
-            terms = [i for i, w in enumerate(words) if w.lower().strip(",;:") in known]
-            (with_term if terms else without).append((words, terms))
+    term = re.compile(r"\b(" + "|".join(IDENTITY) + r")\b", re.IGNORECASE)
+    sentences = lambda text: [s.strip() for s in re.split(r"[.!?\n]+", text) if s.strip()]
     pairs = []
-    for words, terms in with_term:
+    for text in texts:
         if len(pairs) >= PAIRS // 2:
             break
-        for term in rng.choice(IDENTITY, 2):
-            pairs.append((" ".join(words), " ".join(str(term) if i in terms else w for i, w in enumerate(words))))
-    for k in rng.permutation(len(without))[:PAIRS - len(pairs)].tolist():
-        words, term = without[k][0], str(rng.choice(IDENTITY))
+        if term.search(text):
+            pairs += [(s, term.sub(str(other), s)) for s in sentences(text) if term.search(s) for other in rng.choice(IDENTITY, 2)]
+    plain = [s for k in rng.permutation(len(texts))[:400].tolist() for s in sentences(texts[k]) if not term.search(s)]
+    for k in rng.permutation(len(plain))[:max(0, PAIRS - len(pairs))].tolist():
+        words = plain[k].split()
         i = int(rng.integers(0, len(words) + 1))
-        pairs.append((" ".join(words), " ".join([*words[:i], term, *words[i:]])))
+        pairs.append((plain[k], " ".join([*words[:i], str(rng.choice(IDENTITY)), *words[i:]])))
     return pairs
 
 
@@ -118,27 +111,33 @@ def _rows(texts: list[str], hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def train(texts: list[str], labels: np.ndarray) -> Toxicity:
     """Logistic regression with L2 and the counterfactual penalty, by Adam on all rows."""
-    present: list[Counter] = [Counter(), Counter()]
-    for a in range(0, len(texts), 2000):
-        owner, h = hash_words(pa.array(texts[a:a + 2000], pa.string()))
+    found, marked = [], []  # the distinct words of each text, and its label
+    for a in range(0, len(texts), 500):
+        owner, h = hash_words(pa.array(texts[a:a + 500], pa.string()))
         order = np.lexsort((h, owner))
         owner, h = owner[order], h[order]
         new = np.ones(len(h), dtype=bool)
         new[1:] = (owner[1:] != owner[:-1]) | (h[1:] != h[:-1])
-        owner, h = owner[new], h[new]
-        for k in (0, 1):
-            values, count = np.unique(h[labels[owner + a] == k], return_counts=True)
-            present[k].update(dict(zip(values.tolist(), count.tolist(), strict=True)))
+        found.append(h[new])
+        marked.append(labels[owner[new] + a] == 1)
+    found, marked = np.concatenate(found), np.concatenate(marked)
     n = [max(1, int((labels == k).sum())) for k in (0, 1)]
-    words = [w for w, c in (present[0] + present[1]).items() if c >= 5]
+    words, count = np.unique(found, return_counts=True)
+    words, count = words[count >= 5], count[count >= 5]
+    hit, times = np.unique(found[marked], return_counts=True)
+    del found, marked
     # How far the two shares lie apart, in standard errors.
-    c0 = np.array([present[0][w] for w in words], dtype=float)
-    c1 = np.array([present[1][w] for w in words], dtype=float)
+    c1 = np.zeros(len(words))
+    at = np.searchsorted(hit, words)
+    at[at == len(hit)] = 0
+    if len(hit):
+        c1 = np.where(hit[at] == words, times[at], 0).astype(float)
+    c0 = count - c1
     p = (c0 + c1 + 1) / (n[0] + n[1] + 2)
     z = (c1 / n[1] - c0 / n[0]) / np.sqrt(p * (1 - p) * (1 / n[0] + 1 / n[1]))
     best = [i for i in np.argsort(-np.abs(z))[:FEATURES].tolist() if abs(z[i]) >= 6]
     identity = C.word_hashes(*_one_per_word(IDENTITY))
-    hashes = np.unique(np.concatenate([np.array([words[i] for i in best], dtype=np.uint64), identity]))
+    hashes = np.unique(np.concatenate([words[best], identity]))
     rows, cols = _rows(texts, hashes)
     pairs = counterfactuals(texts)
     a_rows, a_cols = _rows([a for a, _ in pairs], hashes) if pairs else (np.empty(0, int), np.empty(0, int))
