@@ -1,216 +1,141 @@
 """DuckDB oracle SQL for the reach-out activity queries.
 
-Written after the source's own statements: ``COUNT(DISTINCT form_uid) FILTER``
-per measure, the first service found by a join and ``row_number`` per form
-(the brute-force form of the lateral top-1), full outer join of the created
-and submitted halves.
+Codes are decoded by joining the fixed tables of ``oracle_values``. Each submitted form
+names the measures it counts in (one row per form and measure), and a pivot counts the
+distinct forms of each; the first service is the ordered first row among all that follow.
 """
 
 from __future__ import annotations
 
-from .functions import codes
+from . import oracle_values as V
 from .oracle import ACT_AS_OF, ACT_D1, ACT_D2, _q, with_ctes
 
 
-def _json(doc, key):
-    return f"({doc}->>'{key}')"
-
-
-IN_CALL = " OR ".join(
-    [f"COALESCE({g}_booked, false)" for g in codes.FLAT_GROUPS]
-    + [f"COALESCE(CAST({_json(g + '_info', 'booked_during_call')} AS BOOLEAN), false)" for g in codes.JSON_GROUPS]
-    + [f"NULLIF({g}_booking_id, '') IS NOT NULL" for g in codes.FLAT_GROUPS]
-    + [f"NULLIF({_json(g + '_info', 'booking_id')}, '') IS NOT NULL" for g in codes.JSON_GROUPS]
-    + [f"{g}_hcu = 'BOOK_ON_CALL'" for g in codes.FLAT_GROUPS]
-    + [f"{_json(g + '_info', 'hcu_booking')} = 'BOOK_ON_CALL'" for g in codes.JSON_GROUPS])
-
-BUCKET = ("CASE WHEN reason='DAY_FIFTEEN' THEN 'Day 15' WHEN reason='DAY_SEVENTY_FIVE' THEN 'Day 75' "
-          "WHEN reason='DAY_ONE_HUNDRED_FIFTY' THEN 'Day 150' WHEN reason='DAY_TWO_HUNDRED_TEN' THEN 'Day 210' "
-          "WHEN reason='DAY_TWO_HUNDRED_SEVENTY' THEN 'Day 270' WHEN reason='OVERDUE_OPD_CLAIM' THEN 'OPD Reimbursement' "
-          "WHEN reason LIKE 'BAD_CSAT%' THEN 'Bad CSAT' WHEN reason='ENGMT_INACTIVE_ACCOUNT' THEN 'Engagement (Inactive)' "
-          "ELSE 'Other' END")
-BUCKET_CODE = ("CASE reason WHEN 'DAY_FIFTEEN' THEN 0 WHEN 'DAY_SEVENTY_FIVE' THEN 1 WHEN 'DAY_ONE_HUNDRED_FIFTY' THEN 2 "
-               "WHEN 'DAY_TWO_HUNDRED_TEN' THEN 3 WHEN 'DAY_TWO_HUNDRED_SEVENTY' THEN 4 WHEN 'OVERDUE_OPD_CLAIM' THEN 5 "
-               "WHEN 'ENGMT_INACTIVE_ACCOUNT' THEN 7 ELSE (CASE WHEN reason LIKE 'BAD_CSAT%' THEN 6 ELSE 9 END) END")
-OUTCOME_CODE = ("CASE outcome WHEN 'INTERESTED' THEN 0 WHEN 'INTERESTED_NSA' THEN 0 WHEN 'DNP' THEN 1 "
-                "WHEN 'DNP_REALLOCATE' THEN 1 WHEN 'RESCHEDULED' THEN 2 WHEN 'DND' THEN 3 WHEN 'IGNORED' THEN 4 "
-                "WHEN 'WAIT_AND_WATCH' THEN 5 WHEN 'LANGUAGE_BARRIER' THEN 6 WHEN 'OPEN_ND' THEN 7 "
-                "WHEN 'OPEN_REIMBURSEMENT' THEN 7 ELSE 8 END")
-UTIL_CODE = ("CASE WHEN claim_type IS NULL THEN 0 WHEN claim_type='IN_HOUSE_CONSULT' THEN 1 WHEN claim_type='SCANNER' THEN 2 "
-             "WHEN claim_type='HOME_COLLECTION' THEN 3 WHEN claim_type IN ('NETWORK_VISIT','OPD_VISIT') THEN 4 "
-             "WHEN claim_type='REIMBURSEMENT' THEN 5 ELSE 6 END")
+def _in_call() -> str:
+    """Booked in the call by any of the five groups; else unknown if some group's health check-up is null."""
+    flat, docs = ["day75", "day150"], ["day15_info", "day210_info", "day270_info"]
+    read = lambda column, key: "[" + ", ".join([f"{g}_{column}" for g in flat] + [f"json_extract_string({d}, '$.{key}')" for d in docs]) + "]"
+    flags = "[" + ", ".join([f"{g}_booked" for g in flat] + [f"CAST(json_extract_string({d}, '$.booked_during_call') AS BOOLEAN)" for d in docs]) + "]"
+    return (f"CASE WHEN list_contains({flags}, true) OR len(list_filter({read('booking_id', 'booking_id')}, lambda x: x <> '')) > 0 "
+            f"OR list_contains({read('hcu', 'hcu_booking')}, 'BOOK_ON_CALL') THEN true "
+            f"WHEN len(list_filter({read('hcu', 'hcu_booking')}, lambda x: x IS NULL)) > 0 THEN NULL ELSE false END")
+
 
 def form_base(name: str = "fb", src: str = "forms") -> str:
     return f"""
 {name} AS (
  SELECT uid AS form_uid, parent_doc_id, is_draft, created_at, submitted_at,
   split_part(assigned_to, '@', 1) AS ag, CAST(created_at AS DATE) AS cd, CAST(submitted_at AS DATE) AS sd,
-  outcome, ({IN_CALL}) AS in_call, {BUCKET} AS bk, {BUCKET_CODE} AS bk_code
- FROM {src} WHERE form_type = 'POSTSALES_REACHOUT' AND assigned_to IS NOT NULL)"""
+  {_in_call()} AS in_call, COALESCE(r.bk, 'Other') AS bk, COALESCE(r.bk_code, 9) AS bk_code,
+  COALESCE(o.outcome_code, 8) AS outcome_code, o.measure AS disposition
+ FROM {src} f
+  LEFT JOIN reasons r ON CASE WHEN r.by_pattern THEN f.reason LIKE r.reason ELSE f.reason = r.reason END
+  LEFT JOIN outcomes o ON o.outcome IS NOT DISTINCT FROM f.outcome
+ WHERE form_type = 'POSTSALES_REACHOUT' AND assigned_to IS NOT NULL)"""
 
 
-FORM_BASE = form_base()
+# The services that can follow a contact, with what they count as.
+USABLE = """
+usable AS (
+ SELECT account_uid, claim_creation_time, service_id, claim_type, COALESCE(claims.util_code, 6) AS util_code,
+  COALESCE(claims.measure, 'u_other') AS measure
+ FROM service LEFT JOIN claims USING (claim_type)
+ WHERE status IN (FROM counted_statuses) AND visit_type = 'OPD' AND claim_type <> 'MEDICINE_HOME_DELIVERY'
+  AND claim_creation_time IS NOT NULL)"""
 
-DISP = {
-    "di": "outcome IN ('INTERESTED','INTERESTED_NSA')", "ddnp": "outcome IN ('DNP','DNP_REALLOCATE')",
-    "dre": "outcome = 'RESCHEDULED'", "ddnd": "outcome = 'DND'", "dig": "outcome = 'IGNORED'",
-    "dww": "outcome = 'WAIT_AND_WATCH'", "dlb": "outcome = 'LANGUAGE_BARRIER'",
-    "dop": "outcome IN ('OPEN_ND','OPEN_REIMBURSEMENT')", "dno": "outcome IS NULL",
-}
-UTIL = {
-    "u_tele": "f.claim_type = 'IN_HOUSE_CONSULT'", "u_scan": "f.claim_type = 'SCANNER'",
-    "u_tests": "f.claim_type = 'HOME_COLLECTION'", "u_visit": "f.claim_type IN ('NETWORK_VISIT','OPD_VISIT')",
-    "u_opd": "f.claim_type = 'REIMBURSEMENT'",
-    "u_other": "f.claim_type NOT IN ('IN_HOUSE_CONSULT','SCANNER','HOME_COLLECTION','NETWORK_VISIT','OPD_VISIT','REIMBURSEMENT')",
-    "u_any": "f.form_uid IS NOT NULL",
-}
+FORM_BASE = V.CODE_TABLES.strip() + "," + USABLE + "," + form_base()
 
 
-def _fs(src="bs"):
+def submitted(name: str, where: str, src: str = "fb") -> str:
     return f"""
-fs AS (
- SELECT form_uid, claim_type, service_id, claim_creation_time FROM (
-  SELECT {src}.form_uid, s.claim_type, s.service_id, s.claim_creation_time,
-   row_number() OVER (PARTITION BY {src}.form_uid ORDER BY s.claim_creation_time, s.service_id) AS rn
-  FROM {src} JOIN service s ON s.account_uid = {src}.account_uid
-   AND s.claim_creation_time IS NOT NULL AND s.visit_type = 'OPD' AND s.claim_type <> 'MEDICINE_HOME_DELIVERY'
-   AND s.status IN ({_q(codes.SERVICE_STATUSES)})
-   AND CAST(s.claim_creation_time AS DATE) >= {src}.sd) t WHERE rn = 1)"""
+{name} AS (
+ SELECT b.*, m.account_uid, m.mobile, m.full_name
+ FROM {src} b LEFT JOIN member m ON m.individual_uid = b.parent_doc_id WHERE NOT is_draft AND {where})"""
 
 
-def _created(where):
+def first_service(name: str, src: str) -> str:
     return f"""
-c AS (
- SELECT cd AS d, ag, bk, COUNT(DISTINCT m.account_uid) AS accts,
-  COUNT(DISTINCT form_uid) FILTER (WHERE is_draft) AS pending, COUNT(DISTINCT form_uid) AS forms
- FROM fb LEFT JOIN member m ON m.individual_uid = fb.parent_doc_id
- WHERE {where} AND bk <> 'Other' GROUP BY 1, 2, 3)"""
+{name} AS (
+ SELECT form_uid, unnest(hit) FROM (
+  SELECT b.form_uid, first(u ORDER BY u.claim_creation_time, u.service_id) AS hit
+  FROM {src} b JOIN usable u ON u.account_uid = b.account_uid AND u.claim_creation_time >= b.sd
+  GROUP BY b.form_uid))"""
 
 
-def _bs(where, extra=""):
+def created(name: str, src: str, where: str) -> str:
     return f"""
-bs AS (
- SELECT fb.*, m.account_uid{extra} FROM fb LEFT JOIN member m ON m.individual_uid = fb.parent_doc_id
- WHERE is_draft = false AND {where})"""
-
-
-def _util():
-    parts = ["COUNT(DISTINCT bs.form_uid) AS calls",
-             "COUNT(DISTINCT bs.form_uid) FILTER (WHERE in_call) AS in_call"]
-    parts += [f"COUNT(DISTINCT bs.form_uid) FILTER (WHERE {c}) AS {n}" for n, c in UTIL.items()]
-    parts += [f"COUNT(DISTINCT bs.form_uid) FILTER (WHERE {c}) AS {n}" for n, c in DISP.items()]
+{name} AS (
+ SELECT cd AS d, ag, bk, len(list_distinct(list(m.account_uid))) AS accts,
+  len(list_distinct(list(IF(is_draft, form_uid, NULL)))) AS pending, len(list_distinct(list(form_uid))) AS forms
+ FROM {src} LEFT JOIN member m ON m.individual_uid = parent_doc_id
+ WHERE {where} AND bk <> 'Other' GROUP BY ALL)"""
+
+
+def measured(name: str, src: str, services: str | None = None) -> str:
+    """Distinct forms per (d, ag, bk) and measure."""
+    tags = ["'calls'", "IF(f.in_call, 'bookings', NULL)", "f.disposition"]
+    if services:
+        tags += ["h.measure", "IF(h.form_uid IS NULL, NULL, 'u_any')"]
+    columns = V.CALLS + V.DISPOSITIONS + ([*V.UTILITIES, "u_any"] if services else [])
+    joined = f"LEFT JOIN {services} h ON h.form_uid = f.form_uid" if services else ""
     return f"""
-s AS (
- SELECT bs.sd AS d, bs.ag, bs.bk, {', '.join(parts)}
- FROM bs LEFT JOIN fs f ON f.form_uid = bs.form_uid GROUP BY 1, 2, 3)"""
+{name}_tags AS (SELECT f.sd AS d, f.ag, f.bk, f.form_uid, unnest([{", ".join(tags)}]) AS tag FROM {src} f {joined}),
+{name} AS (PIVOT {name}_tags ON tag IN ({_q(columns)}) USING count(DISTINCT form_uid) GROUP BY d, ag, bk)"""
 
 
 def rows_ctes(p: str, fb: str, d1: str, d2: str) -> str:
-    """CTEs ending in ``{p}_rows``: the 25-column activity rows for days d1..d2
-    computed from form base ``fb`` (the source's today query, over a range)."""
-    bs = f"""
-{p}_bs AS (
- SELECT {fb}.*, m.account_uid FROM {fb} LEFT JOIN member m ON m.individual_uid = {fb}.parent_doc_id
- WHERE is_draft = false AND sd BETWEEN {d1} AND {d2} AND bk <> 'Other')"""
-    fs = _fs(f"{p}_bs").replace("fs AS (", f"{p}_fs AS (", 1)
-    parts = [f"COUNT(DISTINCT b.form_uid) AS calls", "COUNT(DISTINCT b.form_uid) FILTER (WHERE in_call) AS in_call"]
-    parts += [f"COUNT(DISTINCT b.form_uid) FILTER (WHERE {c}) AS {n}" for n, c in UTIL.items()]
-    parts += [f"COUNT(DISTINCT b.form_uid) FILTER (WHERE {c}) AS {n}" for n, c in DISP.items()]
-    s_cte = f"""
-{p}_s AS (
- SELECT b.sd AS d, b.ag, b.bk, {', '.join(parts)}
- FROM {p}_bs b LEFT JOIN {p}_fs f ON f.form_uid = b.form_uid GROUP BY 1, 2, 3)"""
-    c_cte = f"""
-{p}_c AS (
- SELECT cd AS d, ag, bk, COUNT(DISTINCT m.account_uid) AS accts,
-  COUNT(DISTINCT form_uid) FILTER (WHERE is_draft) AS pending, COUNT(DISTINCT form_uid) AS forms
- FROM {fb} LEFT JOIN member m ON m.individual_uid = {fb}.parent_doc_id
- WHERE cd BETWEEN {d1} AND {d2} AND bk <> 'Other' GROUP BY 1, 2, 3)"""
-    measures = []
-    for m in codes.ACTIVITY_MEASURES:
-        if m == "u_ipd":
-            measures.append("CAST(0 AS BIGINT) AS u_ipd")
-        elif m == "bookings":
-            measures.append("CAST(COALESCE(s.in_call, 0) AS BIGINT) AS bookings")
-        elif m in ("accts", "pending", "forms"):
-            measures.append(f"CAST(COALESCE(c.{m}, 0) AS BIGINT) AS {m}")
-        else:
-            measures.append(f"CAST(COALESCE(s.{m}, 0) AS BIGINT) AS {m}")
+    """CTEs ending in ``{p}_rows``: the 25-column activity rows for days d1..d2 from form base ``fb``."""
+    measures = ", ".join(f"CAST(COALESCE({m}, 0) AS BIGINT) AS {m}" for m in V.MEASURES)
     rows = f"""
-{p}_rows AS (
- SELECT COALESCE(c.d, s.d) AS d, COALESCE(c.ag, s.ag) AS ag, COALESCE(c.bk, s.bk) AS bk, {', '.join(measures)}
- FROM {p}_c c FULL OUTER JOIN {p}_s s ON c.d = s.d AND c.ag = s.ag AND c.bk = s.bk)"""
-    return ",".join(x.strip() for x in [bs, fs, s_cte, c_cte, rows])
+{p}_rows AS (SELECT d, ag, bk, {measures} FROM {p}_c FULL OUTER JOIN {p}_s USING (d, ag, bk))"""
+    return ",".join(x.strip() for x in [
+        submitted(f"{p}_bs", f"sd BETWEEN {d1} AND {d2} AND bk <> 'Other'", fb), first_service(f"{p}_fs", f"{p}_bs"),
+        measured(f"{p}_s", f"{p}_bs", f"{p}_fs"), created(f"{p}_c", fb, f"cd BETWEEN {d1} AND {d2}"), rows])
 
 
 def raw_ctes(p: str, fb: str, d1: str, d2: str, pii: bool = False) -> str:
     """CTEs ending in ``{p}_raw``: member-level rows for days d1..d2."""
-    bs = f"""
-{p}_bs AS (
- SELECT {fb}.*, m.account_uid, m.mobile, m.full_name FROM {fb} LEFT JOIN member m ON m.individual_uid = {fb}.parent_doc_id
- WHERE is_draft = false AND sd BETWEEN {d1} AND {d2} AND bk_code <> 9)"""
-    fs = _fs(f"{p}_bs").replace("fs AS (", f"{p}_fs AS (", 1)
-    pii_cols = "b.mobile, b.full_name, " if pii else ""
     raw = f"""
 {p}_raw AS (
- SELECT b.form_uid, b.sd AS d, strftime(b.sd, '%m-%d') AS mmdd, b.ag AS agent, {pii_cols}
-  b.bk_code AS bucket_code, {OUTCOME_CODE.replace('outcome', 'b.outcome')} AS outcome_code,
-  CAST(b.in_call AS INTEGER) AS in_call, {UTIL_CODE.replace('claim_type', 'f.claim_type')} AS util_code
- FROM {p}_bs b LEFT JOIN {p}_fs f ON f.form_uid = b.form_uid)"""
-    return ",".join(x.strip() for x in [bs, fs, raw])
+ SELECT b.form_uid, b.sd AS d, strftime(b.sd, '%m-%d') AS mmdd, b.ag AS agent, {"b.mobile, b.full_name, " if pii else ""}
+  b.bk_code AS bucket_code, b.outcome_code, CAST(b.in_call AS INTEGER) AS in_call, COALESCE(h.util_code, 0) AS util_code
+ FROM {p}_bs b LEFT JOIN {p}_fs h ON h.form_uid = b.form_uid)"""
+    return ",".join(x.strip() for x in [submitted(f"{p}_bs", f"sd BETWEEN {d1} AND {d2} AND bk_code <> 9", fb),
+                                        first_service(f"{p}_fs", f"{p}_bs"), raw])
+
+
+def _labels(values: list[str]) -> str:
+    return f"[{_q(values)}]"
 
 
 def activity_sql() -> dict[str, str]:
     pre = with_ctes(["forms", "member", "service"], FORM_BASE)
-    rng = f"sd BETWEEN {ACT_D1} AND {ACT_D2} AND bk <> 'Other'"
+    utilities = ", ".join(u for u in [*V.UTILITIES, "u_any"] if u != "u_ipd")
+    dispositions = ", ".join(V.DISPOSITIONS)
     out = {}
-    out["activity_created"] = pre + "," + _created(f"cd >= {ACT_D1}").strip() + "\nSELECT * FROM c"
-    call_parts = ["COUNT(DISTINCT form_uid) AS calls", "COUNT(DISTINCT form_uid) FILTER (WHERE in_call) AS bookings"]
-    call_parts += [f"COUNT(DISTINCT form_uid) FILTER (WHERE {c}) AS {n}" for n, c in DISP.items()]
-    out["activity_call"] = (pre + f"""
-SELECT sd AS d, ag, bk, {', '.join(call_parts)}
-FROM fb WHERE is_draft = false AND sd >= {ACT_D1} AND bk <> 'Other' GROUP BY 1, 2, 3""")
-    util_pre = pre + "," + _bs(rng).strip() + "," + _fs().strip() + "," + _util().strip()
-    out["activity_utilisation"] = util_pre + "\nSELECT * FROM s"
-    measures = []
-    for m in codes.ACTIVITY_MEASURES:
-        if m == "u_ipd":
-            measures.append("CAST(0 AS BIGINT) AS u_ipd")
-        elif m == "bookings":
-            measures.append("CAST(COALESCE(s.in_call, 0) AS BIGINT) AS bookings")
-        elif m in ("accts", "pending", "forms"):
-            measures.append(f"CAST(COALESCE(c.{m}, 0) AS BIGINT) AS {m}")
-        else:
-            measures.append(f"CAST(COALESCE(s.{m}, 0) AS BIGINT) AS {m}")
-    out["activity_today"] = (util_pre + "," + _created(f"cd BETWEEN {ACT_D1} AND {ACT_D2}").strip() + f"""
-SELECT COALESCE(c.d, s.d) AS d, COALESCE(c.ag, s.ag) AS ag, COALESCE(c.bk, s.bk) AS bk, {', '.join(measures)}
-FROM c FULL OUTER JOIN s ON c.d = s.d AND c.ag = s.ag AND c.bk = s.bk""")
+    out["activity_created"] = pre + "," + created("c", "fb", f"cd >= {ACT_D1}").strip() + "\nFROM c"
+    out["activity_call"] = (pre + "," + submitted("bs", f"sd >= {ACT_D1} AND bk <> 'Other'").strip() + ","
+                            + measured("s", "bs").strip() + f"\nSELECT d, ag, bk, calls, bookings, {dispositions} FROM s")
+    rows = pre + "," + rows_ctes("t", "fb", ACT_D1, ACT_D2)
+    out["activity_utilisation"] = rows + f"\nSELECT d, ag, bk, calls, bookings AS in_call, {utilities}, {dispositions} FROM t_s"
+    out["activity_today"] = rows + "\nFROM t_rows"
     out["open_backlog"] = (pre + f"""
 SELECT ag, bk, COUNT(*) FILTER (WHERE cd = {ACT_AS_OF}) AS created_today_open,
  COUNT(*) FILTER (WHERE cd < {ACT_AS_OF}) AS overdue_open
 FROM fb WHERE is_draft = true AND bk <> 'Other' GROUP BY ag, bk""")
-    out["first_service_after"] = (pre + "," + _bs("TRUE").strip() + "," + _fs().strip() + """
-SELECT bs.form_uid, bs.account_uid, bs.sd, f.claim_creation_time, f.service_id, f.claim_type
-FROM bs JOIN fs f ON f.form_uid = bs.form_uid""")
-    raw_pre = (pre + "," + _bs(f"sd BETWEEN {ACT_D1} AND {ACT_D2} AND bk_code <> 9", ", m.mobile, m.full_name").strip()
-               + "," + _fs().strip() + f""",
-raw AS (
- SELECT bs.form_uid, bs.sd AS d, strftime(bs.sd, '%m-%d') AS mmdd, bs.ag AS agent, bs.mobile, bs.full_name,
-  bs.bk_code AS bucket_code, {OUTCOME_CODE} AS outcome_code, CAST(bs.in_call AS INTEGER) AS in_call,
-  {UTIL_CODE.replace('claim_type', 'f.claim_type')} AS util_code
- FROM bs LEFT JOIN fs f ON f.form_uid = bs.form_uid)""")
-    out["reachout_raw"] = raw_pre + "\nSELECT form_uid, d, mmdd, agent, bucket_code, outcome_code, in_call, util_code FROM raw"
-    buckets = "[" + ", ".join(f"'{b}'" for b in codes.BUCKETS) + "]"
-    disp = "[" + ", ".join(f"'{b}'" for b in codes.DISPOSITION_LABELS) + "]"
-    utils = "[" + ", ".join(f"'{b}'" for b in codes.UTIL_CODE_LABELS) + "]"
-    out["raw_search"] = raw_pre + f"""
+    out["first_service_after"] = (pre + "," + submitted("bs", "true").strip() + "," + first_service("fs", "bs").strip() + """
+SELECT bs.form_uid, bs.account_uid, bs.sd, fs.claim_creation_time, fs.service_id, fs.claim_type
+FROM bs JOIN fs USING (form_uid)""")
+    raw = pre + "," + raw_ctes("r", "fb", ACT_D1, ACT_D2, pii=True)
+    out["reachout_raw"] = raw + "\nSELECT * EXCLUDE (mobile, full_name) FROM r_raw"
+    out["raw_search"] = raw + f"""
 SELECT form_uid, d, agent,
  array_to_string(list_transform(string_split_regex(agent, '[._]'), lambda w: upper(left(w, 1)) || substr(w, 2)), ' ') AS agent_name,
  CASE WHEN COALESCE(mobile, '') = '' THEN '-' ELSE left(mobile, 4) || '…' || right(mobile, 3) END AS mobile_masked,
- {buckets}[bucket_code + 1] AS touchpoint, {disp}[outcome_code + 1] AS disposition,
+ {_labels(V.TOUCHPOINTS)}[bucket_code + 1] AS touchpoint, {_labels(V.OUTCOME_LABELS)}[outcome_code + 1] AS disposition,
  CASE WHEN COALESCE(in_call, 0) <> 0 THEN 'yes' ELSE 'no' END AS booked_on_call,
- CASE WHEN util_code <> 0 THEN {utils}[util_code + 1] ELSE '' END AS utility_booked
-FROM raw
+ CASE WHEN util_code <> 0 THEN {_labels(V.UTILITY_LABELS)}[util_code + 1] ELSE '' END AS utility_booked
+FROM r_raw
 WHERE position('{RAW_QUERY}' IN lower(COALESCE(mobile, '') || ' ' || COALESCE(full_name, ''))) > 0"""
     return out
 

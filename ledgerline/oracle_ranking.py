@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .functions import codes
+from . import oracle_values as V
 from .oracle import fixed_text, with_ctes
 
 
@@ -13,8 +13,8 @@ def _band(v, edges, op, null_as="NULL"):
 
 def _score(prefix=""):
     keys = ["frt", "art", "res", "csat", "vol"]
-    num = " + ".join(f"COALESCE(CAST({codes.WEIGHTS[k]} AS DOUBLE) * {prefix}r_{k}, CAST(0 AS DOUBLE))" for k in keys)
-    den = " + ".join(f"(CASE WHEN {prefix}r_{k} IS NOT NULL THEN CAST({codes.WEIGHTS[k]} AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)"
+    num = " + ".join(f"COALESCE(CAST({V.WEIGHTS[k]} AS DOUBLE) * {prefix}r_{k}, CAST(0 AS DOUBLE))" for k in keys)
+    den = " + ".join(f"(CASE WHEN {prefix}r_{k} IS NOT NULL THEN CAST({V.WEIGHTS[k]} AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)"
                      for k in keys)
     return f"CASE WHEN ({den}) > 0 THEN ({num}) / ({den}) END"
 
@@ -22,11 +22,11 @@ def _score(prefix=""):
 def _rated(src: str, name: str) -> str:
     return f"""
 {name}_r AS (
- SELECT *, {_band('first_response_secs', codes.FRT_EDGES, '<=')} AS r_frt,
-  {_band('every_chat_response_secs', codes.ART_EDGES, '<=')} AS r_art,
+ SELECT *, {_band('first_response_secs', V.FRT_EDGES, '<=')} AS r_frt,
+  {_band('every_chat_response_secs', V.ART_EDGES, '<=')} AS r_art,
   CAST(NULL AS INTEGER) AS r_res,
-  {_band('csat', codes.CSAT_EDGES, '>=', '0')} AS r_csat,
-  {_band('total_bucket', codes.VOL_EDGES, '>=')} AS r_vol
+  {_band('csat', V.CSAT_EDGES, '>=', '0')} AS r_csat,
+  {_band('total_bucket', V.VOL_EDGES, '>=')} AS r_vol
  FROM {src}),
 {name} AS (SELECT *, {_score()} AS score FROM {name}_r)"""
 

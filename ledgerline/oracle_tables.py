@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from .functions import codes
+from . import oracle_values as V
 from .oracle import ACT_AS_OF, ACT_D1, ACT_D2, with_ctes
-from .oracle_activity import DISP, FORM_BASE, form_base, raw_ctes, rows_ctes
+from .oracle_activity import FORM_BASE, created, form_base, measured, raw_ctes, rows_ctes, submitted
 
 CUTOFF = "TIMESTAMP '2024-01-15 12:00:00'"
 RUN_TS = "TIMESTAMP '2024-01-15 18:30:00'"
 NOW_TS = "TIMESTAMP '2024-01-15 18:37:40'"
-MEASURES = codes.ACTIVITY_MEASURES
-CONN = codes.CONNECTED_COLUMNS
+MEASURES = V.MEASURES
+CONN = V.CONNECTED
 
 
 def _slug(label: str) -> str:
@@ -46,22 +46,12 @@ def tables_sql() -> dict[str, str]:
 SELECT * FROM old_rows WHERE d NOT IN (SELECT d FROM new_rows)
 UNION ALL SELECT * FROM new_rows"""
 
-    disp_parts = ", ".join(f"COUNT(DISTINCT form_uid) FILTER (WHERE {c}) AS {n}" for n, c in DISP.items())
-    mtd = f"""
-mc AS (
- SELECT cd AS d, ag, bk, COUNT(DISTINCT m.account_uid) AS accts,
-  COUNT(DISTINCT form_uid) FILTER (WHERE is_draft) AS pending, COUNT(DISTINCT form_uid) AS forms
- FROM fb LEFT JOIN member m ON m.individual_uid = fb.parent_doc_id
- WHERE cd >= {ACT_D1} AND bk <> 'Other' GROUP BY 1, 2, 3),
-mk AS (
- SELECT sd AS d, ag, bk, COUNT(DISTINCT form_uid) AS calls,
-  COUNT(DISTINCT form_uid) FILTER (WHERE in_call) AS bookings, {disp_parts}
- FROM fb WHERE is_draft = false AND sd >= {ACT_D1} AND bk <> 'Other' GROUP BY 1, 2, 3)"""
+    mtd = ",".join(x.strip() for x in [created("mc", "fb", f"cd >= {ACT_D1}"), submitted("mb", f"sd >= {ACT_D1} AND bk <> 'Other'"), measured("mk", "mb")])
     sel = []
     for m in MEASURES:
-        if m in codes.UTIL_MEASURES:
+        if m in [*V.UTILITIES, "u_any"]:
             sel.append(f"CAST(COALESCE(o.{m}, 0) AS BIGINT) AS {m}")
-        elif m in codes.CREATED_MEASURES:
+        elif m in V.CREATED:
             sel.append(f"CAST(COALESCE(mc.{m}, 0) AS BIGINT) AS {m}")
         else:
             sel.append(f"CAST(COALESCE(mk.{m}, 0) AS BIGINT) AS {m}")
@@ -101,22 +91,22 @@ t AS (
  FROM ba FULL OUTER JOIN ob ON ba.agent = ob.agent)
 """ + _with_all(fcols)
 
-    acc = [f"CAST(COALESCE(SUM(accts) FILTER (WHERE bk = '{b}'), 0) AS BIGINT) AS accts_{_slug(b)}" for b in codes.BUCKETS]
-    bkd = [f"CAST(COALESCE(SUM(u_any) FILTER (WHERE bk = '{b}'), 0) AS BIGINT) AS booked_{_slug(b)}" for b in codes.BUCKETS]
-    acc_names = [f"accts_{_slug(b)}" for b in codes.BUCKETS]
-    bkd_names = [f"booked_{_slug(b)}" for b in codes.BUCKETS]
+    acc = [f"CAST(COALESCE(SUM(accts) FILTER (WHERE bk = '{b}'), 0) AS BIGINT) AS accts_{_slug(b)}" for b in V.TOUCHPOINTS]
+    bkd = [f"CAST(COALESCE(SUM(u_any) FILTER (WHERE bk = '{b}'), 0) AS BIGINT) AS booked_{_slug(b)}" for b in V.TOUCHPOINTS]
+    acc_names = [f"accts_{_slug(b)}" for b in V.TOUCHPOINTS]
+    bkd_names = [f"booked_{_slug(b)}" for b in V.TOUCHPOINTS]
     out["touchpoint_pivot"] = _pre(cur) + f""",
 p AS (SELECT ag AS agent, {', '.join(acc + bkd)} FROM cur_rows GROUP BY ag),
 t AS (SELECT agent, CAST({' + '.join(acc_names)} AS BIGINT) AS accts_total, {', '.join(acc_names)},
   CAST({' + '.join(bkd_names)} AS BIGINT) AS booked_total, {', '.join(bkd_names)} FROM p)
 """ + _with_all(["accts_total"] + acc_names + ["booked_total"] + bkd_names)
 
-    ucols = codes.UTILITY_COLUMNS
+    ucols = V.UTILITIES
     out["utility_breakdown"] = _pre(cur, by_agent) + f""",
 t AS (SELECT agent, CAST(u_any AS BIGINT) AS booked, {', '.join(f'CAST({u} AS BIGINT) AS {u}' for u in ucols)} FROM ba)
 """ + _with_all(["booked"] + ucols)
 
-    dcols = codes.DISPOSITION_COLUMNS
+    dcols = V.DISPOSITIONS
     out["disposition_breakdown"] = _pre(cur, by_agent) + f""",
 t AS (SELECT agent, CAST({' + '.join(CONN)} AS BIGINT) AS connected,
   {', '.join(f'CAST({c} AS BIGINT) AS {c}' for c in dcols)} FROM ba)
@@ -138,17 +128,16 @@ SELECT 'today' AS preset, max_d AS d_from, max_d AS d_to FROM g
 UNION ALL SELECT 'mtd', CAST(date_trunc('month', max_d) AS DATE), max_d FROM g
 UNION ALL SELECT 'yest', prev_d, prev_d FROM g
 UNION ALL SELECT 'last7', seventh_d, max_d FROM g"""
-    # FIXED VALUES: the pods in the order in which they are offered.
-    pods = "['B2C Postsales', 'Postsales - Hindi', 'Hospital PS']"
-    buckets = "[" + ", ".join(f"'{b}'" for b in codes.BUCKETS) + "]"
+    pods = str(V.PODS)
+    buckets = "[" + ", ".join(f"'{b}'" for b in V.TOUCHPOINTS) + "]"
     out["selector_values"] = with_ctes(["forms", "member", "service", "agent_day"], FORM_BASE,
                                        cur, _backlog()) + f""",
 v AS (
  SELECT DISTINCT * FROM (
   SELECT 'day' AS kind, strftime(d, '%Y-%m-%d') AS value FROM cur_rows
   UNION ALL SELECT 'agent', ag FROM cur_rows UNION ALL SELECT 'agent', ag FROM bl
-  UNION ALL SELECT 'touchpoint', bk FROM cur_rows WHERE bk IN {tuple(codes.BUCKETS)}
-  UNION ALL SELECT 'touchpoint', bk FROM bl WHERE bk IN {tuple(codes.BUCKETS)}
+  UNION ALL SELECT 'touchpoint', bk FROM cur_rows WHERE bk IN {tuple(V.TOUCHPOINTS)}
+  UNION ALL SELECT 'touchpoint', bk FROM bl WHERE bk IN {tuple(V.TOUCHPOINTS)}
   UNION ALL SELECT 'pod', pod FROM agent_day WHERE list_position({pods}, pod) IS NOT NULL AND list_position({pods}, pod) > 0) x)
 SELECT kind, value, row_number() OVER (PARTITION BY kind ORDER BY
   CASE WHEN kind = 'touchpoint' THEN list_position({buckets}, value) WHEN kind = 'pod' THEN list_position({pods}, value) END NULLS LAST, value) AS pos
