@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.llm import oracle
 from ledgerline.llm.best_fit_packing import op8_best_fit_packing
 from ledgerline.llm.byte_bpe import op2_byte_bpe
 from ledgerline.llm.fingerprints import op3_fingerprints
@@ -43,4 +44,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return oracle.all_sql()
