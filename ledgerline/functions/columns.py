@@ -277,17 +277,10 @@ def bucket_label_of_code(code: str | Column) -> Column:
     return F.try_element_at(F.array(*[F.lit(b) for b in codes.BUCKETS]), F.try_add(col(code), F.lit(1)))
 
 
-def outcome_code(outcome: str | Column) -> Column:
+def outcome_code(outcome: str) -> Column:
     """P10: outcome -> 0..7; anything else, null included, -> 8."""
-    if isinstance(outcome, str):
-        arms = [f"WHEN {_in(_ref(outcome), values)} THEN {num}" for _, values, num, _ in codes.DISPOSITIONS]
-        return F.expr(f"CASE {' '.join(arms)} ELSE {codes.NO_OUTCOME_CODE} END")
-    o = col(outcome)
-    chain = None
-    for _, values, num, _ in codes.DISPOSITIONS:
-        cond = o.isin(values)
-        chain = F.when(cond, F.lit(num)) if chain is None else chain.when(cond, F.lit(num))
-    return chain.otherwise(F.lit(codes.NO_OUTCOME_CODE))
+    arms = [f"WHEN {_in(_ref(outcome), values)} THEN {num}" for _, values, num, _ in codes.DISPOSITIONS]
+    return F.expr(f"CASE {' '.join(arms)} ELSE {codes.NO_OUTCOME_CODE} END")
 
 
 def outcome_label_of_code(code: str | Column) -> Column:
@@ -295,31 +288,20 @@ def outcome_label_of_code(code: str | Column) -> Column:
     return F.try_element_at(F.array(*[F.lit(x) for x in codes.DISPOSITION_LABELS]), F.try_add(col(code), F.lit(1)))
 
 
-def disposition_flags(outcome: str | Column) -> dict[str, Column]:
+def disposition_flags(outcome: str) -> dict[str, Column]:
     """The nine disposition predicates (``dno`` = outcome IS NULL only)."""
-    if isinstance(outcome, str):
-        r = _ref(outcome)
-        flags = {name: F.expr(_in(r, values)) for name, values, _, _ in codes.DISPOSITIONS}
-        flags["dno"] = F.expr(f"{r} IS NULL")
-        return flags
-    o = col(outcome)
-    flags = {name: o.isin(values) for name, values, _, _ in codes.DISPOSITIONS}
-    flags["dno"] = o.isNull()
+    r = _ref(outcome)
+    flags = {name: F.expr(_in(r, values)) for name, values, _, _ in codes.DISPOSITIONS}
+    flags["dno"] = F.expr(f"{r} IS NULL")
     return flags
 
 
-def utility_code(claim_type: str | Column) -> Column:
+def utility_code(claim_type: str) -> Column:
     """Null -> 0, five groups -> 1..5, anything else -> 6."""
-    if isinstance(claim_type, str):
-        r = _ref(claim_type)
-        arms = [f"WHEN {r} IS NULL THEN {codes.UTIL_NONE_CODE}"]
-        arms += [f"WHEN {_in(r, values)} THEN {num}" for _, values, num, _ in codes.UTILITIES]
-        return F.expr(f"CASE {' '.join(arms)} ELSE {codes.UTIL_OTHER_CODE} END")
-    c = col(claim_type)
-    chain = F.when(c.isNull(), F.lit(codes.UTIL_NONE_CODE))
-    for _, values, num, _ in codes.UTILITIES:
-        chain = chain.when(c.isin(values), F.lit(num))
-    return chain.otherwise(F.lit(codes.UTIL_OTHER_CODE))
+    r = _ref(claim_type)
+    arms = [f"WHEN {r} IS NULL THEN {codes.UTIL_NONE_CODE}"]
+    arms += [f"WHEN {_in(r, values)} THEN {num}" for _, values, num, _ in codes.UTILITIES]
+    return F.expr(f"CASE {' '.join(arms)} ELSE {codes.UTIL_OTHER_CODE} END")
 
 
 def utility_label_of_code(code: str | Column) -> Column:
@@ -342,7 +324,16 @@ def utility_flags(claim_type: str, matched: str) -> dict[str, Column]:
 
 # -------------------------------------------------------------- in-call ---
 
-def in_call(flat: dict[str, dict[str, str]], docs: dict[str, str], tolerant: bool = False) -> Column:
+# A form-info document's three keys, as text (like the source's ``->>``).
+FORM_INFO = "struct<booked_during_call:string,booking_id:string,hcu_booking:string>"
+
+
+def form_info(doc: str) -> Column:
+    """A form-info document parsed into its three keys."""
+    return F.expr(f"from_json({_ref(doc)}, '{FORM_INFO}')")
+
+
+def in_call(flat: dict[str, dict[str, str]], docs: dict[str, str], tolerant: bool = False, parsed: bool = False) -> Column:
     """Booked during the call, OR of 15 terms with SQL null semantics.
 
     ``flat[group] = {"booked": col, "booking_id": col, "hcu": col}`` for the
@@ -351,13 +342,11 @@ def in_call(flat: dict[str, dict[str, str]], docs: dict[str, str], tolerant: boo
     null when the key is missing, so the result is true, false or null
     (``false OR null`` is null). A ``booked_during_call`` text that is not a
     boolean raises, as in the source; ``tolerant=True`` reads it as null.
+    ``parsed=True``: the document columns are ``form_info`` columns of an earlier
+    projection, so that each document is parsed once and not once per key.
     """
-    # Each JSON document is parsed once into its three keys (as text, like
-    # the source's ``->>``), not once per key.
-    doc_type = "struct<booked_during_call:string,booking_id:string,hcu_booking:string>"
-
     def js(doc: str, key: str) -> str:
-        return f"from_json({_ref(doc)}, '{doc_type}').{key}"
+        return f"{_ref(doc)}.{key}" if parsed else f"from_json({_ref(doc)}, '{FORM_INFO}').{key}"
 
     cast = "TRY_CAST" if tolerant else "CAST"
     terms = [f"coalesce({cast}({_ref(flat[g]['booked'])} AS BOOLEAN), false)" for g in codes.FLAT_GROUPS]

@@ -24,7 +24,7 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import codes
@@ -34,10 +34,13 @@ from ..session import scratch_path
 def replace_day_slices(prev: DataFrame, fresh: DataFrame, day_col: str = "d") -> DataFrame:
     """M1: ``prev`` minus the days present in ``fresh``, plus ``fresh``.
 
-    The distinct fresh days are a few rows, which Spark broadcasts to the anti join by their measured size.
+    Both sides are tagged and read once: of each day the rows of the newest side stay. The rows are
+    aggregates, of which a day has at most agents x touchpoints. Rows without a day are all kept.
     """
-    days = fresh.select(day_col).distinct()
-    return prev.join(days, day_col, "left_anti").unionByName(fresh.select(*prev.columns))
+    tagged = prev.withColumn("__fresh", F.lit(0)).unionByName(fresh.select(*prev.columns, F.lit(1).alias("__fresh")))
+    newest = F.max("__fresh").over(Window.partitionBy(day_col))
+    kept = tagged.withColumn("__newest", newest).filter((F.col("__fresh") == F.col("__newest")) | F.col(day_col).isNull())
+    return kept.select(*prev.columns)
 
 
 def replace_day(prev: DataFrame, fresh: DataFrame, day: dt.date | str, day_col: str = "d") -> DataFrame:

@@ -25,7 +25,8 @@ STANDINS = {
     "retention": """
 retention AS (
  SELECT CASE o_orderstatus WHEN 'F' THEN 'CLINIC' WHEN 'O' THEN 'OFFLINE' WHEN 'P' THEN 'ONLINE' END AS channel,
-  CASE WHEN o_orderkey % 7 = 0 THEN '' WHEN o_orderkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS renewal_deal_owner,
+  CASE WHEN o_orderkey % 10 = 1 AND o_orderpriority NOT IN ('1-URGENT','2-HIGH') AND CAST(o_orderdate AS DATE) < DATE '1997-01-01' THEN 'Legacy desk'
+   WHEN o_orderkey % 7 = 0 THEN '' WHEN o_orderkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS renewal_deal_owner,
   CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE o_orderpriority IN ('1-URGENT','2-HIGH') END AS is_renewed,
   CAST(1 + o_orderkey % 5 AS INTEGER) AS year,
   CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS current_policy_end,
@@ -37,8 +38,8 @@ retention AS (
  FROM orders JOIN customer ON c_custkey = o_custkey)""",
     "forms": """
 forms AS (
- SELECT event_id AS uid, user_id AS parent_doc_id, 'POSTSALES_REACHOUT' AS form_type,
-  (event_id % 4 = 0) AS is_draft, ts AS created_at,
+ SELECT event_id AS uid, user_id AS parent_doc_id, IF(event_id % 37 = 0, 'ONBOARDING_CALL', 'POSTSALES_REACHOUT') AS form_type,
+  IF(event_id % 31 = 0, NULL, event_id % 4 = 0) AS is_draft, ts AS created_at,
   CASE WHEN event_id % 4 <> 0 THEN ts + INTERVAL 1 DAY END AS submitted_at,
   CASE WHEN event_id % 29 = 0 THEN NULL ELSE 'am.' || CAST(user_id % 6 AS VARCHAR) || '@x.io' END AS assigned_to,
   CASE CAST(props->>'k' AS INTEGER) % 10 WHEN 0 THEN 'DAY_FIFTEEN' WHEN 1 THEN 'DAY_SEVENTY_FIVE'
@@ -82,7 +83,7 @@ service AS (
 agent_day AS (
  SELECT CAST(ts AS DATE) AS d, 'agent' || CAST(user_id % 8 AS VARCHAR) AS name,
   CASE user_id % 8 % 3 WHEN 0 THEN 'B2C Postsales' WHEN 1 THEN 'Postsales - Hindi' ELSE 'Hospital PS' END AS pod,
-  count(*) AS total_bucket,
+  IF(user_id % 8 = 4 AND day(CAST(ts AS DATE)) % 6 = 0, 0, count(*)) AS total_bucket,
   count(*) FILTER (WHERE event_type = 'error') AS open_bucket,
   count(*) FILTER (WHERE event_type = 'purchase') AS resolved_cum,
   avg(value) FILTER (WHERE event_type = 'view') AS first_response_secs,
@@ -210,6 +211,11 @@ c AS (
  UNION ALL SELECT channel, 5, 'not_in_window', not_in_window, NULL FROM fall)
 SELECT channel, card_order, card, value, amount, """ + money_label("amount") + " AS amount_label FROM c")
     return {
+        "funnel_by_channel": pre + "," + FUNNEL_SQL.strip() + "," + FUNNEL_ALL_SQL.strip() + """
+SELECT *, row_number() OVER (ORDER BY channel) AS pos FROM fall""",
+        "leaderboard_online": f"SELECT *, row_number() OVER (ORDER BY renewal_pct DESC, owner) AS pos FROM ({lb_all}) WHERE channel = 'ONLINE'",
+        "cycle_clinic": f"SELECT *, row_number() OVER (ORDER BY cycle) AS pos FROM ({cy_all}) WHERE channel = 'CLINIC'",
+        "renewals_meta": f"SELECT channel, count(*) AS owners, '2024-01-15 18:30 UTC' AS generated FROM ({lb_all}) GROUP BY channel",
         "retention_funnel": pre + "," + FUNNEL_SQL.strip() + "\nSELECT * FROM funnel",
         "retention_funnel_all": pre + "," + FUNNEL_SQL.strip() + "," + FUNNEL_ALL_SQL.strip() + "\nSELECT * FROM fall",
         "owner_leaderboard": pre + "," + LEADER_SQL.strip() + "\nSELECT * FROM leader",

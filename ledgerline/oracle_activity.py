@@ -137,6 +137,22 @@ SELECT form_uid, d, agent,
  CASE WHEN util_code <> 0 THEN {_labels(V.UTILITY_LABELS)}[util_code + 1] ELSE '' END AS utility_booked
 FROM r_raw
 WHERE position('{RAW_QUERY}' IN lower(COALESCE(mobile, '') || ' ' || COALESCE(full_name, ''))) > 0"""
+    decoded = f"""
+decoded AS (
+ SELECT *, {_labels(V.TOUCHPOINTS)}[bucket_code + 1] AS touchpoint, {_labels(V.OUTCOME_LABELS)}[outcome_code + 1] AS disposition,
+  IF(in_call = 1, 'yes', 'no') AS booked_on_call, IF(util_code = 0, '', {_labels(V.UTILITY_LABELS)}[util_code + 1]) AS utility_booked
+ FROM r_raw)"""
+    out["raw_csv_rows"] = raw + "," + decoded.strip() + """
+SELECT strftime(d, '%Y-%m-%d') AS date, agent AS account_manager, COALESCE(mobile, '') AS mobile, COALESCE(full_name, '') AS member,
+ touchpoint, disposition, booked_on_call, utility_booked
+FROM decoded"""
+    out["raw_page_booked"] = raw + "," + decoded.strip() + """
+SELECT form_uid, d, agent, touchpoint, disposition, booked_on_call, utility_booked,
+ row_number() OVER (ORDER BY d DESC, agent, form_uid) AS pos
+FROM decoded WHERE d BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' AND agent = 'am.3' AND utility_booked <> ''
+QUALIFY pos <= 3000"""
+    out["activity_positional_rows"] = rows + f"""
+SELECT CAST(json_array(strftime(d, '%Y-%m-%d'), ag, bk, {', '.join(V.MEASURES)}) AS VARCHAR) AS value FROM t_rows"""
     return out
 
 

@@ -56,6 +56,10 @@ SELECT d, name, pod, total_bucket, open_bucket, resolved_cum, {metric_cols}, csa
     rank = """
 rk AS (SELECT *, CASE WHEN score IS NOT NULL THEN
   row_number() OVER (PARTITION BY d ORDER BY score DESC NULLS LAST, name) END AS rank FROM sc)"""
+    out["agent_ranks_of_pod"] = pre + """
+SELECT d, name, pod, round(score, 6) AS score, row_number() OVER (ORDER BY score DESC NULLS LAST, name) AS rank,
+ row_number() OVER (ORDER BY COALESCE(csat, -1e9) DESC, name) AS pos
+FROM sc WHERE d = DATE '2024-01-12' AND pod = 'Postsales - Hindi' AND total_bucket > 0"""
     out["agent_scores_ranked"] = pre + "," + rank.strip() + f"""
 SELECT d, name, pod, round(score, 6) AS score, rank,
  {_dur('first_response_secs')} AS first_response_label,

@@ -65,8 +65,11 @@ FROM (SELECT d, ag, bk FROM mc UNION SELECT d, ag, bk FROM mk) k
     oldr = raw_ctes("oldr", "fbs", ACT_D1, ACT_D2)
     newr = raw_ctes("newr", "fb", ACT_AS_OF, ACT_AS_OF)
     out["rolling_three_months"] = _pre(oldr, newr) + f"""
+, kept AS (
+ SELECT * REPLACE (strftime(d, '%m-%d') AS mmdd)
+ FROM (SELECT * REPLACE (IF(form_uid % 5 = 0, CAST(d - INTERVAL 4 MONTH AS DATE), d) AS d) FROM oldr_raw))
 SELECT * FROM (
- SELECT * FROM oldr_raw WHERE d IS DISTINCT FROM {ACT_AS_OF}
+ SELECT * FROM kept WHERE d IS DISTINCT FROM {ACT_AS_OF}
  UNION ALL SELECT * FROM newr_raw) u
 WHERE d >= DATE '2023-11-01' AND d < DATE '2024-02-01'"""
 
@@ -81,15 +84,23 @@ FROM cur_rows"""
     by_agent = f"ba AS (SELECT ag AS agent, {sums} FROM cur_rows GROUP BY ag)"
     conn = " + ".join(f"COALESCE({c}, 0)" for c in CONN)
     fcols = ["open_today", "overdue", "open_total", "forms_filled", "connected", "booked"]
-    out["agent_funnel"] = _pre(cur, _backlog(), by_agent) + f""",
-ob AS (SELECT ag AS agent, SUM(created_today_open) AS ct, SUM(overdue_open) AS od FROM bl GROUP BY ag),
+    def funnel(rows: str, backlog: str) -> str:
+        return f"""
+ba AS (SELECT ag AS agent, {sums} FROM {rows} GROUP BY ag),
+ob AS (SELECT ag AS agent, SUM(created_today_open) AS ct, SUM(overdue_open) AS od FROM {backlog} GROUP BY ag),
 t AS (
  SELECT COALESCE(ba.agent, ob.agent) AS agent, CAST(COALESCE(ct, 0) AS BIGINT) AS open_today,
   CAST(COALESCE(od, 0) AS BIGINT) AS overdue, CAST(COALESCE(ct, 0) + COALESCE(od, 0) AS BIGINT) AS open_total,
   CAST(COALESCE(calls, 0) AS BIGINT) AS forms_filled, CAST({conn} AS BIGINT) AS connected,
   CAST(COALESCE(u_any, 0) AS BIGINT) AS booked
- FROM ba FULL OUTER JOIN ob ON ba.agent = ob.agent)
-""" + _with_all(fcols)
+ FROM ba FULL OUTER JOIN ob ON ba.agent = ob.agent)"""
+
+    out["agent_funnel"] = _pre(cur, _backlog(), funnel("cur_rows", "bl")) + _with_all(fcols)
+    window = """
+win AS (SELECT * FROM cur_rows WHERE d BETWEEN DATE '2024-01-08' AND DATE '2024-01-20' AND bk = 'Day 15'),
+win_bl AS (SELECT * FROM bl WHERE bk = 'Day 15')"""
+    out["agent_funnel_window"] = (_pre(cur, _backlog(), window, funnel("win", "win_bl"))
+                                  + f"SELECT *, row_number() OVER (ORDER BY agent = 'ALL', booked DESC, agent) AS pos FROM ({_with_all(fcols)})")
 
     acc = [f"CAST(COALESCE(SUM(accts) FILTER (WHERE bk = '{b}'), 0) AS BIGINT) AS accts_{_slug(b)}" for b in V.TOUCHPOINTS]
     bkd = [f"CAST(COALESCE(SUM(u_any) FILTER (WHERE bk = '{b}'), 0) AS BIGINT) AS booked_{_slug(b)}" for b in V.TOUCHPOINTS]

@@ -26,23 +26,28 @@ from ..operators.distinct import distinct_counts
 KEYS = codes.ACTIVITY_KEYS
 
 
-def in_call_expr(tolerant: bool = False) -> F.Column:
+def in_call_expr(tolerant: bool = False, parsed: bool = False) -> F.Column:
     flat = {g: {"booked": f"{g}_booked", "booking_id": f"{g}_booking_id", "hcu": f"{g}_hcu"}
             for g in codes.FLAT_GROUPS}
     docs = {g: f"{g}_info" for g in codes.JSON_GROUPS}
-    return C.in_call(flat, docs, tolerant)
+    return C.in_call(flat, docs, tolerant, parsed)
 
 
 def form_base(forms: DataFrame, tz: str = "UTC") -> DataFrame:
-    """SC2 + P7-P9, P12: kept forms with agent, touchpoint, local days, in-call flag."""
+    """SC2 + P7-P9, P12: kept forms with agent, touchpoint, local days, in-call flag.
+
+    The form-info documents are parsed in a projection of their own. Spark keeps it apart, as
+    each parse is read three times, so a document is parsed once.
+    """
     return (forms
             .filter((F.col("form_type") == codes.FORM_TYPE) & F.col("assigned_to").isNotNull())
+            .withColumns({f"{g}_info": C.form_info(f"{g}_info") for g in codes.JSON_GROUPS})
             .select(F.col("uid").alias("form_uid"), "parent_doc_id", "is_draft", "created_at", "submitted_at",
                     C.agent_of("assigned_to").alias("ag"),
                     C.local_date("created_at", tz).alias("cd"),
                     C.local_date("submitted_at", tz).alias("sd"),
                     "outcome",
-                    in_call_expr().alias("in_call"),
+                    in_call_expr(parsed=True).alias("in_call"),
                     C.bucket_label("reason").alias("bk"),
                     C.bucket_code("reason").alias("bk_code")))
 
@@ -61,10 +66,13 @@ def submitted_forms(forms: DataFrame, d1: dt.date | None, d2: dt.date | None, tz
     return form_base(f, tz).filter(F.col("bk") != codes.OTHER_LABEL)
 
 
-def qualifying_services(services: DataFrame, tz: str = "UTC") -> DataFrame:
+def qualifying_services(services: DataFrame, tz: str = "UTC", d1: dt.date | None = None) -> DataFrame:
     """SC4: services that can count as utilisation (time known, OPD, not home
-    medicine delivery, one of the kept statuses), with their local day."""
+    medicine delivery, one of the kept statuses), with their local day. With ``d1``
+    only services from that day on: an earlier one cannot follow a form of ``d1`` or later."""
     statuses = ", ".join(f"'{v}'" for v in codes.SERVICE_STATUSES)
+    if d1 is not None:
+        services = services.filter(C.in_local_days("claim_creation_time", d1, None, tz))
     return (services
             .filter(F.expr(f"claim_creation_time IS NOT NULL AND visit_type = '{codes.SERVICE_VISIT_TYPE}' "
                            f"AND claim_type <> '{codes.SERVICE_EXCLUDED_CLAIM}' AND status IN ({statuses})"))
@@ -73,11 +81,11 @@ def qualifying_services(services: DataFrame, tz: str = "UTC") -> DataFrame:
 
 
 def first_service_after(forms_with_account: DataFrame, services: DataFrame, tz: str = "UTC",
-                        how: str = "left") -> DataFrame:
+                        how: str = "left", d1: dt.date | None = None) -> DataFrame:
     """J2 (+ J3 with ``how='left'``): each form's first qualifying service whose
     day is on or after the form's submitted day; ties at the same instant go
-    to the lower ``service_id``."""
-    return forward_asof(forms_with_account, qualifying_services(services, tz),
+    to the lower ``service_id``. ``d1``: the lowest submitted day, if known."""
+    return forward_asof(forms_with_account, qualifying_services(services, tz, d1),
                         by="account_uid", left_day="sd", right_day="service_day",
                         order=["claim_creation_time", "service_id"], values=["claim_type"], how=how)
 
@@ -126,7 +134,7 @@ def utilisation_activity(forms: DataFrame, member: DataFrame, services: DataFram
     """Per submitted day, agent, touchpoint -- calls, in-call, utilisation
     by the first service on/after the call (J2, J3) and the dispositions."""
     bs = with_member(submitted_forms(forms, d1, d2, tz), member)
-    matched = first_service_after(bs, services, tz, how="left")
+    matched = first_service_after(bs, services, tz, how="left", d1=d1)
     u = C.utility_flags("claim_type", "service_id")
     flags = {"in_call": F.col("in_call"),
              "u_tele": u["u_tele"], "u_scan": u["u_scan"], "u_tests": u["u_tests"], "u_visit": u["u_visit"],
@@ -166,19 +174,21 @@ def open_backlog(forms: DataFrame, as_of: dt.date, tz: str = "UTC") -> DataFrame
 # ------------------------------------------------------ member-level dump ---
 
 def reachout_raw(forms: DataFrame, member: DataFrame, services: DataFrame, d1: dt.date,
-                 d2: dt.date | None, tz: str = "UTC", include_pii: bool = False) -> DataFrame:
+                 d2: dt.date | None, tz: str = "UTC", include_pii: bool = False,
+                 agent: str = "ALL", bucket: str = "ALL", query: str = "") -> DataFrame:
     """Member-level rows for forms submitted in [d1, d2]: day, agent, touchpoint,
     outcome, in-call and utility codes (P9-P11, P13, P15).
 
     The source dump carries mobile and name; they stay out unless asked for
     (H29). The day is a full date (the source keeps only MM-DD, H15/H16).
+    Agent, touchpoint and text filters (F9, F10) are applied before the as-of join.
     """
     f = forms.filter(F.col("is_draft") == F.lit(False))
     if d1 is not None:
         f = f.filter(C.in_local_days("submitted_at", d1, d2, tz))
     bs = form_base(f, tz).filter(F.col("bk_code") != codes.OTHER_CODE)
-    bs = with_member(bs, member, ("account_uid", "mobile", "full_name"))
-    matched = first_service_after(bs, services, tz, how="left")
+    bs = matching(with_member(bs, member, ("account_uid", "mobile", "full_name")), "ag", "bk_code", agent, bucket, query)
+    matched = first_service_after(bs, services, tz, how="left", d1=d1)
     cols = [F.col("form_uid"), F.col("sd").alias("d"), C.month_day_string("sd").alias("mmdd"),
             F.col("ag").alias("agent")]
     if include_pii:
@@ -190,6 +200,19 @@ def reachout_raw(forms: DataFrame, member: DataFrame, services: DataFrame, d1: d
     return matched.select(*cols)
 
 
+def matching(df: DataFrame, agent_col: str, code_col: str, agent: str, bucket: str, query: str) -> DataFrame:
+    """rows of an agent and a touchpoint whose mobile and name hold ``query``."""
+    if agent != "ALL":
+        df = df.filter(F.col(agent_col) == agent)
+    if bucket != "ALL":
+        df = df.filter(C.bucket_label_of_code(code_col) == bucket)
+    q = query.strip().lower()
+    if q:
+        hay = F.lower(F.concat(F.coalesce("mobile", F.lit("")), F.lit(" "), F.coalesce("full_name", F.lit(""))))
+        df = df.filter(F.instr(hay, q) > 0)
+    return df
+
+
 def raw_page(searched: DataFrame, cap: int = codes.RAW_DISPLAY_CAP) -> tuple[DataFrame, DataFrame]:
     """The first ``cap`` rows for display and the uncapped count (the CSV
     export takes the uncapped rows)."""
@@ -210,16 +233,9 @@ def raw_search(raw_with_pii: DataFrame, d1: dt.date | None = None, d2: dt.date |
         r = r.filter(F.col("d") >= F.lit(d1))
     if d2 is not None:
         r = r.filter(F.col("d") <= F.lit(d2))
-    if agent != "ALL":
-        r = r.filter(F.col("agent") == agent)
-    if bucket != "ALL":
-        r = r.filter(C.bucket_label_of_code("bucket_code") == bucket)
+    r = matching(r, "agent", "bucket_code", agent, bucket, query)
     if booked_only:
         r = r.filter(F.col("util_code") != 0)
-    q = query.strip().lower()
-    if q:
-        hay = F.lower(F.concat(F.coalesce("mobile", F.lit("")), F.lit(" "), F.coalesce("full_name", F.lit(""))))
-        r = r.filter(F.instr(hay, q) > 0)
     return (r.select("form_uid", "d", "agent",
                      C.pretty_agent("agent").alias("agent_name"),
                      C.mask_id("mobile").alias("mobile_masked"),

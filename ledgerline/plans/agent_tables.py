@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 from ..functions import codes
 from ..functions import columns as C
 
-MEASURES = codes.ACTIVITY_MEASURES
-
 
 def slug(label: str) -> str:
     return re.sub(r"[^a-z0-9]+", "_", label.lower()).strip("_")
@@ -39,24 +37,6 @@ def window_rows(rows: DataFrame, d_from: dt.date | None = None, d_to: dt.date |
     return r
 
 
-def by_agent(rows: DataFrame) -> DataFrame:
-    """Per agent, the sum of the 22 measures."""
-    return rows.groupBy(F.col("ag").alias("agent")).agg(
-        *[F.sum(m).cast("bigint").alias(m) for m in MEASURES])
-
-
-def open_by_agent(backlog: DataFrame, agent: str = "ALL", bucket: str = "ALL") -> DataFrame:
-    """Open backlog per agent under the agent/touchpoint filters."""
-    b = backlog
-    if agent != "ALL":
-        b = b.filter(F.col("ag") == agent)
-    if bucket != "ALL":
-        b = b.filter(F.col("bk") == bucket)
-    return b.groupBy(F.col("ag").alias("agent")).agg(
-        F.sum("created_today_open").cast("bigint").alias("ct"),
-        F.sum("overdue_open").cast("bigint").alias("od"))
-
-
 def agent_totals(rows: DataFrame, measures: dict[str, F.Column], agent_col: str = "ag") -> DataFrame:
     """Per-agent sums of ``measures`` plus the ``ALL`` row, in one aggregation.
 
@@ -164,17 +144,17 @@ def table_view(table: DataFrame, by: str = "booked") -> DataFrame:
 def selector_values(rows: DataFrame, backlog: DataFrame, agent_day: DataFrame | None = None) -> DataFrame:
     """The sorted value lists the filters offer -- days, agents (window rows
     and backlog), touchpoints present and known pods (both in fixed order)."""
-    days = rows.select(F.lit("day").alias("kind"), F.date_format("d", "yyyy-MM-dd").alias("value"))
-    agents = rows.select(F.col("ag").alias("value")).unionByName(backlog.select(F.col("ag").alias("value"))) \
-        .select(F.lit("agent").alias("kind"), "value")
-    present = rows.select(F.col("bk").alias("value")).unionByName(backlog.select(F.col("bk").alias("value")))
-    buckets = present.filter(F.col("value").isin(codes.BUCKETS)).select(F.lit("touchpoint").alias("kind"), "value")
-    parts = days.unionByName(agents).unionByName(buckets)
+    item = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.alias("value"))
+    listed = lambda df, *items: df.select(F.inline(F.array(*items)))
+    agent, bucket = item("agent", F.col("ag")), item("touchpoint", F.col("bk"))
+    # Each side is read once; its rows are reduced to distinct values before the shuffle.
+    parts = (listed(rows, item("day", F.date_format("d", "yyyy-MM-dd")), agent, bucket).unionByName(listed(backlog, agent, bucket))
+             .filter((F.col("kind") != "touchpoint") | F.col("value").isin(codes.BUCKETS)))
     if agent_day is not None:
         parts = parts.unionByName(agent_day.select(F.lit("pod").alias("kind"), F.col("pod").alias("value"))
                                   .filter(F.col("value").isin(codes.PODS)))
-    listed = {"touchpoint": codes.BUCKETS, "pod": codes.PODS}  # kinds whose order is fixed
+    fixed = {"touchpoint": codes.BUCKETS, "pod": codes.PODS}  # kinds whose order is fixed
     order = F.coalesce(*[F.when(F.col("kind") == kind, F.array_position(F.array(*[F.lit(v) for v in values]), F.col("value")))
-                         for kind, values in listed.items()])
+                         for kind, values in fixed.items()])
     w = Window.partitionBy("kind").orderBy(order.asc_nulls_last(), F.col("value"))
     return parts.distinct().withColumn("pos", F.row_number().over(w).cast("bigint"))

@@ -215,6 +215,12 @@ __all__ = ["renewal_base", "renewal_cube", "funnel", "leaderboard", "cycle_reten
            "renewals_refresh", "rollup_rows"]
 
 
+def renewals_meta(leader_all: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    """SK6: owners of each channel view and the time of the refresh (UTC, passed in)."""
+    generated = F.date_format(C.ntz_literal(run_ts), "yyyy-MM-dd HH:mm 'UTC'")
+    return leader_all.groupBy("channel").agg(F.count(F.lit(1)).alias("owners")).withColumn("generated", generated)
+
+
 # ------------------------------------------------------- read-side views ---
 
 def select_channel(df: DataFrame, channel: str = codes.ALL) -> DataFrame:

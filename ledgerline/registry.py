@@ -5,16 +5,27 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from .functions import columns as C
 from .plans import activity as A
 from .plans import agent_tables as T
 from .plans import ranking as RK
 from .plans import refresh as RF
 from .plans import renewals as R
+from .sources import sinks as SK
 from .sources import standins as S
 
 Query = Callable[[SparkSession, str], DataFrame]
+RUN_TS = dt.datetime(2024, 1, 15, 18, 30, 0)
+
+
+def _numbered(view: DataFrame) -> DataFrame:
+    """An ordered view, of bounded size, with the position of each row."""
+    placed = view.withColumn("__at", F.monotonically_increasing_id())
+    return placed.withColumn("pos", F.row_number().over(Window.orderBy("__at")).cast("bigint")).drop("__at")
+
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.renewal_base(S.retention(spark, sf_dir), S.RETENTION_AS_OF)
@@ -60,7 +71,27 @@ def pipeline_cards(spark, sf_dir):
     return R.pipeline_cards(R.funnel_all(R.funnel(_cube(spark, sf_dir))))
 
 
+def funnel_by_channel(spark, sf_dir):
+    return _numbered(R.funnel_order(retention_funnel_all(spark, sf_dir)))
+
+
+def leaderboard_online(spark, sf_dir):
+    return _numbered(R.leaderboard_view(owner_leaderboard_all(spark, sf_dir), "ONLINE", "renewal_pct"))
+
+
+def cycle_clinic(spark, sf_dir):
+    return _numbered(R.cycle_view(cycle_retention_all(spark, sf_dir), "CLINIC"))
+
+
+def renewals_meta(spark, sf_dir):
+    return R.renewals_meta(owner_leaderboard_all(spark, sf_dir), RUN_TS)
+
+
 QUERIES: dict[str, Query] = {
+    "funnel_by_channel": funnel_by_channel,
+    "leaderboard_online": leaderboard_online,
+    "cycle_clinic": cycle_clinic,
+    "renewals_meta": renewals_meta,
     "retention_funnel": retention_funnel,
     "retention_funnel_all": retention_funnel_all,
     "owner_leaderboard": owner_leaderboard,
@@ -134,8 +165,25 @@ def raw_search(spark, sf_dir):
     from .oracle_activity import RAW_QUERY
 
     f, m, s = _act(spark, sf_dir)
-    raw = A.reachout_raw(f, m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY, include_pii=True)
-    return A.raw_search(raw, query=RAW_QUERY)
+    return A.raw_search(A.reachout_raw(f, m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY, include_pii=True, query=RAW_QUERY))
+
+
+def raw_page_booked(spark, sf_dir):
+    """The display page (its cap is the feature) of one agent's booked rows in a window of days."""
+    f, m, s = _act(spark, sf_dir)
+    d1, d2 = dt.date(2024, 1, 5), dt.date(2024, 1, 25)
+    raw = A.reachout_raw(f, m, s, d1, d2, include_pii=True, agent="am.3")
+    page, _ = A.raw_page(A.raw_search(raw, booked_only=True))
+    return _numbered(page.drop("agent_name", "mobile_masked"))
+
+
+def raw_csv_rows(spark, sf_dir):
+    f, m, s = _act(spark, sf_dir)
+    return SK.raw_csv_frame(A.reachout_raw(f, m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY, include_pii=True))
+
+
+def activity_positional_rows(spark, sf_dir):
+    return SK.positional_json(_rows(spark, sf_dir))
 
 
 QUERIES.update({
@@ -147,13 +195,15 @@ QUERIES.update({
     "open_backlog": open_backlog,
     "reachout_raw": reachout_raw,
     "raw_search": raw_search,
+    "raw_page_booked": raw_page_booked,
+    "raw_csv_rows": raw_csv_rows,
+    "activity_positional_rows": activity_positional_rows,
 })
 
 
 # ------------------------------------------- merges, meta, agent tables ---
 
 CUTOFF = dt.datetime(2024, 1, 15, 12, 0, 0)
-RUN_TS = dt.datetime(2024, 1, 15, 18, 30, 0)
 NOW_TS = dt.datetime(2024, 1, 15, 18, 37, 40)
 
 
@@ -184,6 +234,9 @@ def merge_carry_forward(spark, sf_dir):
 def rolling_three_months(spark, sf_dir):
     f, m, s = _act(spark, sf_dir)
     prev = A.reachout_raw(RF.log_as_of(f, CUTOFF), m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY)
+    # The kept snapshot has a longer history than the log: a fifth of its rows lie four months back.
+    prev = prev.withColumn("d", F.when(F.col("form_uid") % 5 == 0, F.add_months("d", -4)).otherwise(F.col("d")))
+    prev = prev.withColumn("mmdd", C.month_day_string("d"))
     return RF.raw_refresh(prev, f, m, s, S.ACTIVITY_AS_OF)
 
 
@@ -195,6 +248,11 @@ def agent_funnel(spark, sf_dir):
     return T.agent_funnel(_rows(spark, sf_dir), _backlog(spark, sf_dir))
 
 
+def agent_funnel_window(spark, sf_dir):
+    win = T.window_rows(_rows(spark, sf_dir), dt.date(2024, 1, 8), dt.date(2024, 1, 20), bucket="Day 15")
+    return _numbered(T.table_view(T.agent_funnel(win, _backlog(spark, sf_dir), bucket="Day 15")))
+
+
 def touchpoint_pivot(spark, sf_dir):
     return T.touchpoint_pivot(_rows(spark, sf_dir))
 
@@ -225,6 +283,7 @@ QUERIES.update({
     "rolling_three_months": rolling_three_months,
     "snapshot_meta": snapshot_meta,
     "agent_funnel": agent_funnel,
+    "agent_funnel_window": agent_funnel_window,
     "touchpoint_pivot": touchpoint_pivot,
     "utility_breakdown": utility_breakdown,
     "disposition_breakdown": disposition_breakdown,
@@ -247,10 +306,6 @@ def agent_ratings(spark, sf_dir):
 
 
 def agent_scores_ranked(spark, sf_dir):
-    from pyspark.sql import functions as F
-
-    from .functions import columns as C
-
     r = RK.ranked(_agent_day(spark, sf_dir))
     return r.select("d", "name", "pod", F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"),
                     C.duration_label("first_response_secs").alias("first_response_label"),
@@ -258,6 +313,12 @@ def agent_scores_ranked(spark, sf_dir):
                     F.when(F.col("csat").isNull(), F.lit("-")).otherwise(RK.fixed2(F.col("csat"))).alias("csat_label"))
 
 
+def agent_ranks_of_pod(spark, sf_dir):
+    day = _agent_day(spark, sf_dir).filter(F.col("d") == F.lit(dt.date(2024, 1, 12)))
+    view = RK.sort_view(RK.ranked(day, pod="Postsales - Hindi", active_only=True), "csat")
+    return _numbered(view.select("d", "name", "pod", F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank")))
+
+
 def agent_cumulative(spark, sf_dir):
     c = RK.cumulative(_agent_day(spark, sf_dir))
     c = c.select("name", "pod", "days", "total_bucket", "open_bucket", "resolved_cum", *_METRICS, "csat_n",
@@ -272,17 +333,11 @@ def ranking_cards(spark, sf_dir):
 QUERIES.update({
     "agent_ratings": agent_ratings,
     "agent_scores_ranked": agent_scores_ranked,
+    "agent_ranks_of_pod": agent_ranks_of_pod,
     "agent_cumulative": agent_cumulative,
     "ranking_cards": ranking_cards,
 })
 
 
-def register(name: str):
-    def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
-        return fn
-    return deco
-
-
 def all_queries() -> dict[str, Query]:
     return dict(QUERIES)

@@ -33,11 +33,6 @@ def positional_json(df: DataFrame, order: Sequence[str] | None = None) -> DataFr
     return src.select(arr.alias("value"))
 
 
-def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """SK1/SK2 export: compact JSON, one object per row."""
-    df.write.mode(mode).json(path)
-
-
 def raw_csv_frame(raw_with_pii: DataFrame) -> DataFrame:
     """SK5: the member-level rows decoded for a CSV download (8 columns)."""
     return raw_with_pii.select(
@@ -59,4 +54,4 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
      .option("nullValue", "").option("emptyValue", "").csv(path))
 
 
-__all__ = ["write_tables", "positional_json", "write_json_lines", "raw_csv_frame", "write_csv"]
+__all__ = ["write_tables", "positional_json", "raw_csv_frame", "write_csv"]

@@ -24,6 +24,7 @@ RETENTION_AS_OF = dt.date(1998, 6, 1)
 ACTIVITY_AS_OF = dt.date(2024, 1, 15)
 ACTIVITY_FIRST_DAY = dt.date(2024, 1, 1)
 ACTIVITY_LAST_DAY = dt.date(2024, 1, 31)
+LEGACY_BEFORE = dt.date(1997, 1, 1)
 
 
 def _case(key, pairs, default=None):
@@ -45,7 +46,9 @@ def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (o.join(c, o.o_custkey == c.c_custkey, "inner")
             .select(
                 _case(F.col("o_orderstatus"), [("F", "CLINIC"), ("O", "OFFLINE"), ("P", "ONLINE")]).alias("channel"),
-                F.when(k % 7 == 0, F.lit("")).when(k % 11 == 0, F.lit(None).cast("string"))
+                # old policies of one desk: neither renewed nor in a window
+                F.when((k % 10 == 1) & ~renewed_flag & (F.to_date("o_orderdate") < F.lit(LEGACY_BEFORE)), F.lit("Legacy desk"))
+                 .when(k % 7 == 0, F.lit("")).when(k % 11 == 0, F.lit(None).cast("string"))
                  .otherwise(F.col("c_mktsegment")).alias("renewal_deal_owner"),
                 F.when(pri == "4-NOT SPECIFIED", F.lit(None).cast("boolean")).otherwise(renewed_flag).alias("is_renewed"),
                 (F.lit(1) + k % 5).cast("int").alias("year"),
@@ -81,8 +84,8 @@ def reachout_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(
                 eid.alias("uid"),
                 uid.alias("parent_doc_id"),
-                F.lit(codes.FORM_TYPE).alias("form_type"),
-                (eid % 4 == 0).alias("is_draft"),
+                F.when(eid % 37 == 0, F.lit("ONBOARDING_CALL")).otherwise(F.lit(codes.FORM_TYPE)).alias("form_type"),
+                F.when(eid % 31 != 0, eid % 4 == 0).alias("is_draft"),
                 F.col("ts").alias("created_at"),
                 F.when(eid % 4 != 0, F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("submitted_at"),
                 F.when(eid % 29 == 0, null_s)
@@ -149,7 +152,10 @@ def agent_day(spark: SparkSession, sf_dir: str) -> DataFrame:
         "d",
         F.concat(F.lit("agent"), F.col("a").cast("string")).alias("name"),
         _case(F.col("a") % 3, [(0, codes.PODS[0]), (1, codes.PODS[1])], codes.PODS[2]).alias("pod"),
-        "total_bucket", "open_bucket", "resolved_cum",
+        # one agent is off on every sixth day of a month
+        F.when((F.col("a") == 4) & (F.dayofmonth("d") % 6 == 0), F.lit(0).cast("bigint")).otherwise(F.col("total_bucket"))
+         .alias("total_bucket"),
+        "open_bucket", "resolved_cum",
         "first_response_secs", "every_chat_response_secs", "resolution_time_secs",
         F.when(F.col("a") == 7, F.lit(None).cast("double"))
          .otherwise(F.lit(3.5) + F.col("_p") / F.lit(60.0)).alias("csat"),

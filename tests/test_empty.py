@@ -11,7 +11,7 @@ from conftest import SF_SMALL
 @pytest.fixture(scope="module")
 def empty_dir(spark, tmp_path_factory):
     d = str(tmp_path_factory.mktemp("empty"))
-    for t in ["customer", "orders", "events"]:
+    for t in ["customer", "orders", "events", "documents", "labels"]:
         spark.read.parquet(os.path.join(SF_SMALL, f"{t}.parquet")).limit(0).write.parquet(os.path.join(d, f"{t}.parquet"))
     return d
 

@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
-TABLES = ["customer", "orders", "events"]
+TABLES = ["customer", "orders", "events", "documents"]
 
 
 def norm(v):
