@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ledgerline.session import scratch_path
 
 # Bytes of text handled by one vectorised step inside a task.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
