@@ -45,7 +45,8 @@ class WordEncoder:
 
     Neither normaliser nor pre-tokenizer of the vocabulary looks past a space or a line end,
     so texts are cut there. A word of ASCII and Latin-1 letters is cut on by the vocabulary's
-    own pattern, and each pre-token is encoded once; any other word is encoded as it is.
+    own pattern, and each pre-token is encoded once; any other word is encoded as it is, and so
+    is a word that holds an added token's content, which the tokenizer takes out before the pattern.
     Pre-tokens go to the tokenizer many at a time, between marks that none of them holds.
     """
 
@@ -56,7 +57,13 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        split = json.loads(vocabulary)["pre_tokenizer"]["pretokenizers"][0]
+        rules = json.loads(vocabulary)
+        split = rules["pre_tokenizer"]["pretokenizers"][0]
+        added = [t["content"] for t in rules.get("added_tokens") or []]
+        if any(" " in t or "\n" in t for t in added):
+            raise ValueError("an added token of the vocabulary holds a space or a line end")
+        # Without regard to case, as an added token may be sought in the normalised text.
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)", re.IGNORECASE)
         self.find = regex.compile(split["pattern"]["Regex"]).findall
         self.mark = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
         if len(self.mark) != 1:
@@ -78,7 +85,7 @@ class WordEncoder:
     def _learn(self, new: list[str]) -> None:
         if len(self.tokens) > CACHE_TOKENS:
             self.tokens.clear()
-        plain = {w: self.find(w.lower()) for w in new if self.PLAIN.fullmatch(w)}
+        plain = {w: self.find(w.lower()) for w in new if self.PLAIN.fullmatch(w) and not self.added.search(w)}
         self._encode(list({t for parts in plain.values() for t in parts if t not in self.tokens}))
         tokens = self.tokens
         self.words.update({w: b"".join([tokens[t] for t in parts]) for w, parts in plain.items()})

@@ -239,6 +239,18 @@ def test_packing(docs, nothing):
     assert best_fit_packing.pack_documents(nothing, best_fit_packing.read_vocabulary()).count() == 0
 
 
+def test_packing_takes_out_added_tokens(spark):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(_vocabulary("word_bpe_49k.json"))
+    texts = ["<|endoftext|>", "<|startoftext|>", "a<|startoftext|>b", "one two<|endoftext|>.\nThree <|endoftext|><|startoftext|> é<|endoftext|>É",
+             "<|ENDOFTEXT|> <|endof text|> <|endoftext|", "plain <| words |>"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in best_fit_packing.pack_documents(table, best_fit_packing.read_vocabulary()).collect()}
+    ids = [np.array([*tok.encode(t, add_special_tokens=False).ids, 0], dtype="<u4") for t in texts]
+    assert got == {i: (len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(ids)}
+
+
 def test_best_fit_takes_the_tightest_bin_and_closes_the_fullest():
     b = best_fit_packing.BestFit(10, open_bins=2)
     assert [b.put(n) for n in (6, 7, 3, 4)] == [(0, 0), (1, 0), (1, 7), (0, 6)]
