@@ -13,8 +13,8 @@ whose deciding span lies in the window are equal in every document.
 1. Map: each window takes the highest-level symbol decided inside it, of several the one
    with the largest name (a function of the window's words alone, so equal windows
    always choose alike). Neighbouring windows with the same symbol share one row: the
-   symbol's key, the document, the first window, and a 40-bit check of each window.
-2. Rows meet by key, sorted by document; windows equal in key and check are the same
+   symbol's key, the document, the first window, and the 64-bit hash of each window.
+2. Rows meet by key, sorted by document; windows equal in key and hash are the same
    words. Where the first document that has one is smaller, the window's words are marked.
    The stream keeps only the distinct windows of the current key.
 3. Marked spans go back to their documents by doc_id.
@@ -38,7 +38,7 @@ from ledgerline.llm import common as C
 
 WINDOW = 13
 ROUNDS = 2
-TAG_BYTES = 5
+TAG_BYTES = 8
 _FAR = 1 << 40  # a deciding span that reaches past the text's end
 
 
@@ -184,7 +184,7 @@ def anchor_rows(chunk: pa.RecordBatch) -> pa.RecordBatch:
     new[1:] = (key[1:] != key[:-1]) | (owner[begin[1:]] != owner[begin[:-1]])
     begin, key = begin[new], key[new]
     tags = C.window_hashes(words, WINDOW)[at]
-    raw = tags.view(np.uint8).reshape(-1, 8)[:, :TAG_BYTES].tobytes()
+    raw = tags.tobytes()
     cuts = np.append(begin, len(at)) * TAG_BYTES
     binary = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(raw)])
     return pa.RecordBatch.from_arrays([pa.array(C.signed(key)), pa.array(ids[owner[begin]]),
@@ -208,10 +208,7 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, doc = batch.column("key").to_numpy(), batch.column("doc_id").to_numpy()
         start, tags = batch.column("start").to_numpy(), batch.column("tags")
         cuts = np.frombuffer(tags.buffers()[1], np.int32)[tags.offset:tags.offset + len(tags) + 1].astype(np.int64)
-        raw = np.frombuffer(tags.buffers()[2], np.uint8)[cuts[0]:cuts[-1]].reshape(-1, TAG_BYTES)
-        tag = np.zeros((len(raw), 8), np.uint8)
-        tag[:, :TAG_BYTES] = raw
-        tag = tag.view(np.uint64).ravel()
+        tag = np.frombuffer(tags.buffers()[2], np.uint8)[cuts[0]:cuts[-1]].view(np.uint64)
         count = np.diff(cuts) // TAG_BYTES
         row = np.repeat(np.arange(len(key)), count)
         at = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)

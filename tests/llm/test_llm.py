@@ -220,6 +220,18 @@ def test_substring_dedup_on_random_repeats(spark):
     assert all((r.n_words, r.n_removed, r.kept_sha256) == want[r.doc_id] for r in got)
 
 
+def test_substring_dedup_tells_apart_windows_that_agree_in_40_bits(spark):
+    phrase = "all rights to this page and its pictures belong to the river"
+    ends = ["x498442", "x1121150", "x296481", "x952578", "x105350", "x3051987"]  # pairs whose windows agree in the hash's first five bytes, under one key
+    rows = [(i, f"{phrase} {w}") for i, w in enumerate(ends)] + [(6, f"{phrase} {ends[0]}")]
+    chunk = pa.RecordBatch.from_pydict({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows]})
+    anchors = substring_dedup.anchor_rows(chunk)
+    tags = [t[:5] for t in anchors.column("tags").to_pylist()]
+    assert len(set(anchors.column("key").to_pylist())) == 1 and tags[0:6:2] == tags[1:6:2]
+    got = substring_dedup.digests(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {**dict.fromkeys(range(6), 0), 6: 13}
+
+
 def test_packing(docs, nothing):
     from tokenizers import Tokenizer
 
