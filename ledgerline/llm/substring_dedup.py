@@ -17,10 +17,11 @@ whose deciding span lies in the window are equal in every document.
 2. Rows meet by key, sorted by document; windows equal in key and hash are the same
    words. Where the first document that has one is smaller, the window's words are marked.
    The stream keeps only the distinct windows of the current key.
-3. Marked spans go back to their documents by doc_id.
+3. Marked spans go back to their documents by doc_id, each with a check of its windows: a row
+   takes the spans whose windows stand at the same words of its own text.
 
 Defined cases: null text has no words; documents under 13 words keep all; rows with equal
-doc_id are copies of one document and do not remove each other; a null doc_id is neither
+doc_id do not remove each other, and each loses what its own text repeats; a null doc_id is neither
 removed from nor compared; an empty table gives an empty result.
 """
 
@@ -192,7 +193,12 @@ def anchor_rows(chunk: pa.RecordBatch) -> pa.RecordBatch:
 
 
 _ANCHORS = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int32()), ("tags", pa.binary())])
-_SPANS = pa.schema([("doc_id", pa.int64()), ("a", pa.int32()), ("b", pa.int32())])
+_SPANS = pa.schema([("doc_id", pa.int64()), ("a", pa.int32()), ("b", pa.int32()), ("check", pa.int64())])
+
+
+def _window_checks(tags: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """What a window adds to the check of a span: a function of its words and its place."""
+    return C.mix(tags + at.astype(np.uint64) * np.uint64(0x9E6C63D0876A9A47))
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,24 +239,34 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cut[1:] = (r[1:] != r[:-1]) | (p[1:] != p[:-1] + 1)
             a = np.flatnonzero(cut)
             b = np.append(a[1:], len(hit)) - 1
+            check = np.add.reduceat(_window_checks(tag[hit], p), a)
             yield pa.RecordBatch.from_arrays([pa.array(doc[r[a]]), pa.array(p[a].astype(np.int32)),
-                                              pa.array((p[b] + WINDOW).astype(np.int32))], schema=_SPANS)
+                                              pa.array((p[b] + WINDOW).astype(np.int32)), pa.array(C.signed(check))], schema=_SPANS)
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, spans): for each document with repeated windows, the word spans [a, b) to remove, unordered and overlapping."""
+    """(doc_id, spans): for each doc_id with repeated windows, the word spans [a, b) to remove and their checks, unordered and overlapping."""
     rows = C.id_and_text(docs).mapInArrow(_anchors, "key long, doc_id long, start int, tags binary")
     rows = rows.repartition("key").sortWithinPartitions("key", "doc_id")
-    spans = rows.mapInArrow(_repeats, "doc_id long, a int, b int")
-    return spans.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-
-
-def _removed(n: int, spans: list[dict]) -> np.ndarray:
+    spans = rows.mapInArrow(_repeats, "doc_id long, a int, b int, check long")
+    return spans.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b", "check")).alias("spans"))
+
+
+def _removed(text: str, spans: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """(start of each word, whether it goes): spans of another text under the same doc_id do not count."""
+    data, offsets = C.text_buffer(pa.array([text]))
+    start, end, _ = C.word_spans(data, offsets)
+    n = len(start)
+    tags = C.window_hashes(C.word_hashes(data, start, end), WINDOW)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_window_checks(tags, np.arange(len(tags))), dtype=np.uint64)])
+    a, b, check = (np.array([s[k] for s in spans], np.int64) for k in ("a", "b", "check"))
+    inside = b <= n
+    a, b, check = a[inside], b[inside], check[inside]
+    own = C.signed(total[b - WINDOW + 1] - total[a]) == check
     depth = np.zeros(n + 1, np.int64)
-    for s in spans:
-        depth[s["a"]] += 1
-        depth[min(s["b"], n)] -= 1
-    return np.cumsum(depth)[:n] > 0
+    np.add.at(depth, a[own], 1)
+    np.add.at(depth, b[own], -1)
+    return start, np.cumsum(depth)[:n] > 0
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,7 +276,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = (text.as_py() or "").encode().split()
             kept = words
             if spans.is_valid:
-                gone = _removed(len(words), spans.as_py())
+                _, gone = _removed(text.as_py() or "", spans.as_py())
                 kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
             n_words.append(len(words))
             n_removed.append(len(words) - len(kept))
@@ -282,13 +298,12 @@ def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
             text = text.as_py()
             if text is not None and spans.is_valid:
-                data, offsets = C.text_buffer(pa.array([text]))
-                start, _, _ = C.word_spans(data, offsets)
-                gone = _removed(len(start), spans.as_py())
-                raw, edge = text.encode(), np.append(start, len(data))
+                start, gone = _removed(text, spans.as_py())
+                raw = text.encode()
+                edge = np.append(start, len(raw))
                 # A word goes with the space behind it, so lines between kept words stay.
                 text = (raw[:edge[0]] + b"".join(raw[edge[i]:edge[i + 1]] for i in np.flatnonzero(~gone))).decode()
-                text = None if gone.all() else text
+                text = None if len(gone) and gone.all() else text
             texts.append(text)
         names = batch.schema.names
         columns = [pa.array(texts, pa.string()) if k == "text" else batch.column(k) for k in names]

@@ -232,6 +232,21 @@ def test_substring_dedup_tells_apart_windows_that_agree_in_40_bits(spark):
     assert {r.doc_id: r.n_removed for r in got} == {**dict.fromkeys(range(6), 0), 6: 13}
 
 
+def test_substring_dedup_of_two_texts_under_one_id(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(20)) for x in "abc")
+    rows = [(1, a), (1, b), (2, f"{c} {a} end"), (2, "short one"), (2, None), (2, ""), (2, f"{c} {c} {c}"), (2, f"{b} more words"), (3, f"{c} stays not")]
+    earlier = lambda i: {tuple(w[k:k + 13]) for j, t in rows if j < i for w in [(t or "").split()] for k in range(len(w) - 12)}
+    want = []
+    for i, t in rows:
+        w = (t or "").split()
+        gone = {p for k in range(len(w) - 12) if tuple(w[k:k + 13]) in earlier(i) for p in range(k, k + 13)}
+        want.append((i, len(w), len(gone), hashlib.sha256(" ".join(x for k, x in enumerate(w) if k not in gone).encode()).hexdigest()))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in substring_dedup.digests(table).collect()) == sorted(want)
+    cut = [(r.doc_id, r.text) for r in substring_dedup.without_repeats(table).collect()]
+    assert len(cut) == len(rows) and {(2, "short one"), (2, None), (2, ""), (2, "more words"), (3, "stays not")} <= set(cut)
+
+
 def test_packing(docs, nothing):
     from tokenizers import Tokenizer
 
