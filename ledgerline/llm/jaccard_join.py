@@ -252,6 +252,17 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _class_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cls, text): a text of each class of a task."""
+    seen: set[int] = set()
+    for batch in C.table(batches):
+        for chunk in C.text_chunks(batch):
+            _, _, bounds, cls = _sets_with_bounds(chunk)
+            fresh = [n > 0 and not (c in seen or seen.add(c)) for n, c in zip(np.diff(bounds).tolist(), cls.tolist(), strict=True)]
+            out = pa.RecordBatch.from_arrays([pa.array(cls), chunk.column("text")], names=["cls", "text"])
+            yield out.filter(pa.array(fresh, pa.bool_()))
+
+
 def _candidate_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()  # repeated rows of a document meet in one task
     for batch in C.table(batches):
@@ -401,6 +412,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sizes = cand.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     cand = cand.join(sizes, "comp").select(F.col("rep").alias("doc_id"), "cls", "comp", "blocks")
     texts = docs.join(cand, "doc_id").select("cls", "comp", "blocks", "text")
+    # A class that only rows without a doc_id have is fetched by the class itself.
+    nameless = docs.where("doc_id IS NULL").mapInArrow(_class_texts, "cls long, text string").dropDuplicates(["cls"])
+    texts = texts.union(nameless.join(cand.where("doc_id IS NULL"), "cls").select("cls", "comp", "blocks", "text"))
     sets = C.materialise(texts.mapInArrow(_candidate_sets, "cls long, comp long, blocks int, shingles array<long>"), "sets")
 
     linked = connected_components(verified_links(sets), "a", "b").withColumnRenamed("node", "cls")

@@ -146,6 +146,20 @@ def test_jaccard_join_beyond_a_block(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == root
 
 
+def test_jaccard_join_links_through_a_null_doc_id(spark):
+    w = [f"w{k}" for k in range(100)]
+    rows = [(1, " ".join(w[:90])), (None, " ".join(w[5:95])), (None, " ".join(w[5:95])), (2, " ".join(w[10:])),
+            (None, "far from all others"), (None, None), (3, "far from them")]
+    sets = [_shingles(t) for _, t in rows]
+    link = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+    assert link(sets[0], sets[1]) and link(sets[1], sets[3]) and not link(sets[0], sets[3])
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in jaccard_join.near_duplicates(table).collect()]
+    want = [(i, len(s), c) for (i, _), s, c in zip(rows, sets, [1, 1, 1, 1, None, None, 3], strict=True)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert {r.doc_id for r in jaccard_join.one_of_each(table).collect()} == {1, 3, None}
+
+
 def test_language_id(spark, docs, nothing):
     rng = np.random.default_rng(2)
     words = {"aa": ["the", "and", "of", "with", "thing"], "bb": ["der", "und", "ßich", "nicht", "über"]}
