@@ -3,12 +3,13 @@
 A window is 13 consecutive words of one document. A word goes when it lies in a window
 whose word sequence also starts in a document with a smaller doc_id.
 
-Recompression: symbols start as words. A round names maximal runs of one symbol, and then
-pairs: every symbol falls on the left or the right side by a bit of its name, and each
+Recompression: symbols start as words. The first of two rounds names maximal runs of one
+symbol; each round names pairs: every symbol falls on the left or the right side by a bit of its name, and each
 neighbouring (left, right) pair becomes one symbol. Names are 64-bit hashes of what they
 stand for, so all tasks give the same content the same name without a shared dictionary.
 With each symbol goes the span of words that decide it; inside equal windows, symbols
 whose deciding span lies in the window are equal in every document.
+Symbols only say where windows meet; matches are decided by hashes of the windows.
 
 1. Map: each window takes the highest-level symbol decided inside it, of several the one
    with the largest name (a function of the window's words alone, so equal windows
