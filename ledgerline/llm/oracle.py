@@ -71,5 +71,29 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_base, 0) AS n_base,
 FROM worded LEFT JOIN summed USING (doc_id)"""
 
 
+def va_clustering(k: int = 8, rounds: int = 10, size: int = 64) -> str:
+    """Plain rounds over all vectors: every distance, then floors of exact means."""
+    steps = [f"""kept AS MATERIALIZED (
+ SELECT row_number() OVER (ORDER BY sha256('3:' || COALESCE(CAST(vec_id AS VARCHAR), 'null')), v) AS r, vec_id, v FROM (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size})),
+c0 AS MATERIALIZED (SELECT CAST(r - 1 AS INTEGER) AS c, v FROM kept WHERE r <= {k})"""]
+    for t in range(rounds + 1):
+        steps.append(f"""a{t} AS MATERIALIZED (
+ SELECT r, min(s).c AS c, min(s).d AS d FROM (
+  SELECT r, {{'d': list_sum(list_transform(range(1, {size + 1}), lambda i: (kept.v[i] - c{t}.v[i]) * (kept.v[i] - c{t}.v[i]))), 'c': c}} AS s FROM kept, c{t}) GROUP BY r)""")
+        if t < rounds:
+            steps.append(f"""c{t + 1} AS MATERIALIZED (
+ SELECT c, COALESCE(m.v, c{t}.v) AS v FROM c{t} LEFT JOIN (
+  SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM (
+   SELECT c, i, sum(x) AS s, count(*) AS n FROM (SELECT c, unnest(kept.v) AS x, unnest(range(1, {size + 1})) AS i FROM a{t} JOIN kept USING (r)) GROUP BY c, i)
+  GROUP BY c) m USING (c))""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, a.c AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+ sha256(array_to_string(z.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN kept USING (r) JOIN c{rounds} z ON z.c = a.c"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op4_jaccard_join": JACCARD_JOIN, "op6_license_scan": license_scan(), "op7_substring_dedup": SUBSTRING_DEDUP}
+    return {"op4_jaccard_join": JACCARD_JOIN, "op6_license_scan": license_scan(), "op7_substring_dedup": SUBSTRING_DEDUP,
+            "op13_va_clustering": va_clustering()}

@@ -19,13 +19,15 @@ from ledgerline.llm.quality_classifier import op10_quality_classifier
 from ledgerline.llm.quality_rules import op1_quality_rules
 from ledgerline.llm.substring_dedup import op7_substring_dedup
 from ledgerline.llm.toxicity import op9_toxicity
+from ledgerline.llm.va_clustering import op13_va_clustering
 from ledgerline.llm.word_table_bpe import op12_word_table_bpe
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_rules, op2_byte_bpe, op3_fingerprints, op4_jaccard_join, op5_language_id, op6_license_scan,
-                            op7_substring_dedup, op8_best_fit_packing, op9_toxicity, op10_quality_classifier, op11_periodic_runs, op12_word_table_bpe)
+                            op7_substring_dedup, op8_best_fit_packing, op9_toxicity, op10_quality_classifier, op11_periodic_runs, op12_word_table_bpe,
+                            op13_va_clustering)
 }
 
 
