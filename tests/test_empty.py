@@ -4,8 +4,8 @@ import os
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
+from ledgerline import registry
 
 
 @pytest.fixture(scope="module")
@@ -16,9 +16,9 @@ def empty_dir(spark, tmp_path_factory):
     return d
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.all_queries()))
 def test_query_runs_on_empty_tables(spark, empty_dir, name):
-    rows = E.queries()[name](spark, empty_dir).collect()
+    rows = registry.all_queries()[name](spark, empty_dir).collect()
     if name in ("agent_funnel", "touchpoint_pivot", "utility_breakdown", "disposition_breakdown"):
         assert [r.agent for r in rows] == ["ALL"]          # the total row is kept, at zero
     if name == "retention_funnel_all":

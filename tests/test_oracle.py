@@ -10,6 +10,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from ledgerline import oracle, registry
 
 TABLES = ["customer", "orders", "events", "documents"]
 
@@ -43,11 +44,11 @@ def test_registry_and_oracle_keys():
     assert len(q) >= 30
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.all_sql()))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = registry.all_queries()[name](spark, SF_SMALL)
     got = canon(df.columns, [tuple(r) for r in df.collect()])
-    res = duck.execute(E.oracle_sql()[name])
+    res = duck.execute(oracle.all_sql()[name])
     want = canon([d[0] for d in res.description], res.fetchall())
     assert got[0] == want[0]
     assert got[1] == want[1]

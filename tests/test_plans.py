@@ -2,8 +2,8 @@
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
+from ledgerline import registry
 from ledgerline.plans import activity as A
 from ledgerline.sources import standins as S
 
@@ -12,15 +12,15 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.all_queries()))
 def test_no_python_udfs_no_cartesian(spark, name):
-    p = plan(E.queries()[name](spark, SF_SMALL))
+    p = plan(registry.all_queries()[name](spark, SF_SMALL))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in p, (name, bad)
 
 
 def test_filtered_distinct_counts_do_not_expand(spark):
-    p = plan(E.queries()["activity_call"](spark, SF_SMALL))
+    p = plan(registry.all_queries()["activity_call"](spark, SF_SMALL))
     assert "Expand" not in p
     assert p.count("partial_count") >= 1 or "partial_" in p
 
@@ -37,12 +37,12 @@ def test_day_window_reaches_scan_and_scan_is_narrow(spark):
 
 
 def test_aggregations_are_partial_before_shuffle(spark):
-    p = plan(E.queries()["retention_funnel"](spark, SF_SMALL))
+    p = plan(registry.all_queries()["retention_funnel"](spark, SF_SMALL))
     assert "partial_count" in p and "partial_sum" in p
 
 
 def test_asof_has_no_range_join(spark):
-    p = plan(E.queries()["first_service_after"](spark, SF_SMALL))
+    p = plan(registry.all_queries()["first_service_after"](spark, SF_SMALL))
     assert "Window" in p
     for line in p.splitlines():
         if "Join" in line:
