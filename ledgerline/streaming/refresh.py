@@ -6,16 +6,21 @@ that day's slice. As a stream:
 * the form log (a folder of Parquet files new deliveries land in) is read
   with ``readStream``; nothing is dropped from it, whatever its delivery time:
   a form's later versions and late files only re-open days (ST2);
-* each micro-batch touches the days of its rows and the days of every earlier
-  version of the same forms -- a form counts on its created day (created
-  measures) and its submitted day (call and utilisation measures, H19);
-* those days are recomputed with the batch plan from the forms that have, in
-  any version, one of these days, reduced to the latest delivery of each. Only
-  these forms' rows are shuffled; the rest of the log is scanned with pruned
-  columns and dropped by semi joins;
-* the recomputed days replace their partitions, and a touched day that has
+* each micro-batch moves kept state on (``state.FormState``): what the new
+  version of a form counts for is added to its days, what its old version did
+  is subtracted. The log itself is not read again;
+* a repeated delivery with the content the form already has touches no day.
+  ``repeats_within`` also lets Spark drop repeats before the batch, by
+  ``dropDuplicatesWithinWatermark`` on uid and content. Its clock is the
+  arrival, so no version is late; but a form that returns to earlier content
+  within that time counts as a repeat, so it is off unless the log's versions
+  are known never to return;
+* the touched days replace their partitions, and a touched day that has
   become empty loses its partition. Replaying a batch rewrites the same rows.
 
+``recompute_days`` is the rule without state: it rebuilds given days from all
+versions in the log, to start a state folder anew or to check one.
+
 The days touched by one batch are bounded by the calendar, so they are brought
 to the driver as parameters, all of them; rows never are.
 """
@@ -32,6 +37,8 @@ from ..functions import columns as C
 from ..operators.merge import replace_days
 from ..plans import activity as A
 from ..session import scratch_path
+from .state import FormState, content_digest
+
 
 def delivered(log: DataFrame) -> DataFrame:
     """A scan of the log with each row's delivery: landing time and path of its file."""
@@ -84,19 +91,16 @@ def recompute_days(spark: SparkSession, log: DataFrame, member: DataFrame, servi
 
 def start_refresh(spark: SparkSession, log_dir: str, log_schema, member: DataFrame, services: DataFrame,
                   out_path: str, name: str = "activity_day", tz: str = "UTC", available_now: bool = True,
-                  raw_path: str | None = None) -> StreamingQuery:
-    """Start the incremental refresh; the checkpoint lives in the shared
+                  raw_path: str | None = None, repeats_within: str | None = None) -> StreamingQuery:
+    """Start the incremental refresh; the checkpoint and the state live in the shared
     checkpoint folder (``spark.checkpoint.dir``)."""
     # By default the file source ignores files that are a week older than the newest.
-    stream = spark.readStream.schema(log_schema).option("maxFileAge", "36500d").parquet(log_dir)
-
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        log = delivered(spark.read.schema(log_schema).parquet(log_dir))
-        days = touched_days(batch, log, tz)
-        if days:
-            recompute_days(spark, latest_per_form(forms_on(log, days, tz)), member, services, days, out_path, tz, raw_path)
-
-    writer = (stream.writeStream.foreachBatch(per_batch)
+    stream = delivered(spark.readStream.schema(log_schema).option("maxFileAge", "36500d").parquet(log_dir))
+    if repeats_within is not None:
+        stream = (stream.withColumns({"__arrived": F.current_timestamp(), "__digest": content_digest(log_schema.names)})
+                  .withWatermark("__arrived", repeats_within).dropDuplicatesWithinWatermark(["uid", "__digest"]).drop("__arrived", "__digest"))
+    state = FormState(spark, scratch_path(spark, f"streams/{name}-state"), member, services, out_path, tz, raw_path, log_schema["uid"].dataType)
+    writer = (stream.writeStream.foreachBatch(lambda batch, batch_id: state.apply(batch, batch_id) and None)
               .option("checkpointLocation", scratch_path(spark, f"streams/{name}")))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 minutes")
     return writer.start()
