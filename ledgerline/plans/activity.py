@@ -24,6 +24,8 @@ from ..operators.asof import forward_asof
 from ..operators.distinct import distinct_counts
 
 KEYS = codes.ACTIVITY_KEYS
+# What the as-of join of forms and services goes by.
+FIRST_SERVICE = {"by": "account_uid", "order": ["claim_creation_time", "service_id"], "values": ["claim_type"]}
 
 
 def in_call_expr(tolerant: bool = False, parsed: bool = False) -> F.Column:
@@ -85,9 +87,7 @@ def first_service_after(forms_with_account: DataFrame, services: DataFrame, tz:
     """J2 (+ J3 with ``how='left'``): each form's first qualifying service whose
     day is on or after the form's submitted day; ties at the same instant go
     to the lower ``service_id``. ``d1``: the lowest submitted day, if known."""
-    return forward_asof(forms_with_account, qualifying_services(services, tz, d1),
-                        by="account_uid", left_day="sd", right_day="service_day",
-                        order=["claim_creation_time", "service_id"], values=["claim_type"], how=how)
+    return forward_asof(forms_with_account, qualifying_services(services, tz, d1), left_day="sd", right_day="service_day", how=how, **FIRST_SERVICE)
 
 
 # ----------------------------------------------------------- aggregates ---
@@ -134,7 +134,11 @@ def utilisation_activity(forms: DataFrame, member: DataFrame, services: DataFram
     """Per submitted day, agent, touchpoint -- calls, in-call, utilisation
     by the first service on/after the call (J2, J3) and the dispositions."""
     bs = with_member(submitted_forms(forms, d1, d2, tz), member)
-    matched = first_service_after(bs, services, tz, how="left", d1=d1)
+    return utilisation_counts(first_service_after(bs, services, tz, how="left", d1=d1))
+
+
+def utilisation_counts(matched: DataFrame) -> DataFrame:
+    """A11 over submitted forms that carry their first service."""
     u = C.utility_flags("claim_type", "service_id")
     flags = {"in_call": F.col("in_call"),
              "u_tele": u["u_tele"], "u_scan": u["u_scan"], "u_tests": u["u_tests"], "u_visit": u["u_visit"],

@@ -37,7 +37,7 @@ from ..functions import columns as C
 from ..operators.merge import replace_days
 from ..plans import activity as A
 from ..session import scratch_path
-from .state import FormState, content_digest
+from .state import BUCKETS, FormState, content_digest
 
 
 def delivered(log: DataFrame) -> DataFrame:
@@ -91,7 +91,7 @@ def recompute_days(spark: SparkSession, log: DataFrame, member: DataFrame, servi
 
 def start_refresh(spark: SparkSession, log_dir: str, log_schema, member: DataFrame, services: DataFrame,
                   out_path: str, name: str = "activity_day", tz: str = "UTC", available_now: bool = True,
-                  raw_path: str | None = None, repeats_within: str | None = None) -> StreamingQuery:
+                  raw_path: str | None = None, repeats_within: str | None = None, buckets: int = BUCKETS) -> StreamingQuery:
     """Start the incremental refresh; the checkpoint and the state live in the shared
     checkpoint folder (``spark.checkpoint.dir``)."""
     # By default the file source ignores files that are a week older than the newest.
@@ -99,7 +99,7 @@ def start_refresh(spark: SparkSession, log_dir: str, log_schema, member: DataFra
     if repeats_within is not None:
         stream = (stream.withColumns({"__arrived": F.current_timestamp(), "__digest": content_digest(log_schema.names)})
                   .withWatermark("__arrived", repeats_within).dropDuplicatesWithinWatermark(["uid", "__digest"]).drop("__arrived", "__digest"))
-    state = FormState(spark, scratch_path(spark, f"streams/{name}-state"), member, services, out_path, tz, raw_path, log_schema["uid"].dataType)
+    state = FormState(spark, scratch_path(spark, f"streams/{name}-state"), member, services, out_path, tz, raw_path, log_schema["uid"].dataType, buckets)
     writer = (stream.writeStream.foreachBatch(lambda batch, batch_id: state.apply(batch, batch_id) and None)
               .option("checkpointLocation", scratch_path(spark, f"streams/{name}")))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 minutes")

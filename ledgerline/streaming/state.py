@@ -38,7 +38,7 @@ from ..operators.merge import replace_days
 from ..plans import activity as A
 from ..sources.files import read_previous
 
-BUCKETS = 256  # of the forms table; fixed for a state folder
+BUCKETS = 256  # of the forms table; must stay the same for a state folder
 FOLD = 8       # batches in a bucket before it is written whole
 
 CREATED = ["forms", "pending"]
@@ -98,9 +98,9 @@ class FormState:
     """The state tables under ``path`` and the reports' tables, moved on by one batch at a time."""
 
     def __init__(self, spark: SparkSession, path: str, member: DataFrame, services: DataFrame, out_path: str,
-                 tz: str = "UTC", raw_path: str | None = None, uid: T.DataType | None = None):
+                 tz: str = "UTC", raw_path: str | None = None, uid: T.DataType | None = None, buckets: int = BUCKETS):
         self.spark, self.path, self.member, self.services = spark, path.rstrip("/"), member, services
-        self.out_path, self.raw_path, self.tz = out_path, raw_path, tz
+        self.out_path, self.raw_path, self.tz, self.buckets = out_path, raw_path, tz, buckets
         uid = uid or T.LongType()
         one = contribution_type(member.schema["account_uid"].dataType)
         order = T.StructType([T.StructField("__t", T.TimestampType()), T.StructField("__f", T.StringType()), T.StructField("digest", T.StringType())])
@@ -161,7 +161,7 @@ class FormState:
 
     def apply(self, batch: DataFrame, batch_id: int) -> list[dt.date]:
         """Move the state on by a batch of deliveries (``__t``, ``__f`` beside the form); the touched days."""
-        bucket = F.pmod(F.xxhash64("uid"), F.lit(BUCKETS)).cast("int")
+        bucket = F.pmod(F.xxhash64("uid"), F.lit(self.buckets)).cast("int")
         scratch = f"{self.path}/work"
         fresh = self._kept_once(versions(batch).withColumn("h", bucket), f"{scratch}/versions")
         buckets = sorted(r.h for r in fresh.select("h").distinct().collect())

@@ -55,18 +55,33 @@ def test_matches_brute_force(spark, seed):
 
 
 def test_hot_key_rows_bounded_by_days(spark):
-    """A key holding most rows: the scanned key set stays at one row per day."""
-    from ledgerline.operators.asof import asof_keys, first_per_day
+    """A key holding most rows: its list has one entry per day, in order; rows without a key or day are in none."""
+    from ledgerline.operators.asof import day_lists
 
     base = dt.datetime(2024, 1, 1)
-    right = [(j, 1, base + dt.timedelta(days=j % 5, seconds=j), "x") for j in range(3000)]
+    right = [(j, 1, base + dt.timedelta(days=j % 5, seconds=j), "x") for j in range(3000)] + [(9000, None, base, "x"), (9001, 2, None, "x")]
     R = spark.createDataFrame(right, "sid long, acct long, ts timestamp_ntz, kind string").selectExpr(
         "acct", "to_date(ts) AS day", "ts", "sid", "kind")
-    days = first_per_day(R, "acct", "day", ["ts", "sid"], ["kind"])
-    assert days.count() == 5
-    L = spark.createDataFrame([(1, base.date())] * 2000, "acct long, day date")
-    keys = asof_keys(L, days, "acct", "day")
-    assert keys.count() == 1
+    rows = day_lists(R, "acct", "day", ["ts", "sid"], ["kind"]).collect()
+    assert [r.acct for r in rows] == [1]
+    entries = rows[0]["__asof_days"]
+    assert [e.day for e in entries] == [base.date() + dt.timedelta(days=k) for k in range(5)] and [e.hit.sid for e in entries] == [0, 1, 2, 3, 4]
+
+
+def test_rows_without_a_key_are_dealt_over_tasks(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        left = spark.range(4000).selectExpr("id AS lid", "CASE WHEN id < 8 THEN id END AS acct", "DATE '2024-01-01' AS day")
+        right = spark.createDataFrame([(1, 3, dt.datetime(2024, 1, 2), "a")], "sid long, acct long, ts timestamp_ntz, kind string").selectExpr("*", "to_date(ts) AS rday")
+        out = forward_asof(left, right, by="acct", left_day="day", right_day="rday", order=["ts", "sid"], values=["kind"])
+        assert out.filter("sid IS NOT NULL").count() == 1 and out.count() == 4000
+        sizes = [r["count"] for r in out.selectExpr("spark_partition_id() AS p").groupBy("p").count().collect()]
+        assert max(sizes) < 4000 / 4
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 def test_hot_key_join_back_is_split_by_aqe(spark):

@@ -41,9 +41,11 @@ def test_aggregations_are_partial_before_shuffle(spark):
     assert "partial_count" in p and "partial_sum" in p
 
 
-def test_asof_has_no_range_join(spark):
-    p = plan(registry.all_queries()["first_service_after"](spark, SF_SMALL))
-    assert "Window" in p
-    for line in p.splitlines():
-        if "Join" in line:
-            assert ">=" not in line and "<=" not in line, line   # only equi-joins
+def test_asof_joins_by_keys_and_reads_each_side_once(spark):
+    for name in ("first_service_after", "activity_utilisation", "reachout_raw"):
+        p = plan(registry.all_queries()[name](spark, SF_SMALL))
+        joins = [line for line in p.splitlines() if "Join" in line]
+        assert joins and all("Join [" in line for line in joins)      # only equi-joins, with their keys
+        scans = [line for line in p.splitlines() if "FileScan" in line]
+        assert sum("events.parquet" in x for x in scans) == 2, name     # forms once, services once
+        assert sum("customer.parquet" in x for x in scans) == 1, name   # one member join

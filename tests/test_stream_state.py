@@ -29,9 +29,9 @@ def _deliver(df, t, f):
     return df.withColumns({"__t": F.lit(t).cast("timestamp"), "__f": F.lit(f)})
 
 
-def _state(spark, tables, path, **kw):
+def _state(spark, tables, path):
     _, member, services = tables
-    return FS.FormState(spark, f"{path}/state", member, services, f"{path}/out", raw_path=f"{path}/raw", uid=tables[0].schema["uid"].dataType, **kw)
+    return FS.FormState(spark, f"{path}/state", member, services, f"{path}/out", raw_path=f"{path}/raw", uid=tables[0].schema["uid"].dataType, buckets=4)
 
 
 def _check(spark, tables, log, path):
@@ -43,7 +43,6 @@ def _check(spark, tables, log, path):
 
 
 def test_versions_replays_and_folds(spark, tables, tmp_dir, monkeypatch):
-    monkeypatch.setattr(FS, "BUCKETS", 4)
     monkeypatch.setattr(FS, "FOLD", 2)
     forms = tables[0]
     few = forms.filter(F.col("uid") % 10 == 3)
@@ -89,7 +88,7 @@ def test_a_batch_does_not_read_the_log(spark, tables, tmp_dir):
     name = f"away{os.getpid()}"
     for k in range(3):
         forms.filter(F.col("uid") % 3 == k).coalesce(1).write.mode("append").parquet(log)
-        ST.start_refresh(spark, log, forms.schema, member, services, out, name=name, raw_path=f"{tmp_dir}/raw").awaitTermination()
+        ST.start_refresh(spark, log, forms.schema, member, services, out, name=name, raw_path=f"{tmp_dir}/raw", buckets=4).awaitTermination()
         for f in os.listdir(log):
             if f.endswith(".parquet"):
                 os.truncate(os.path.join(log, f), 0)  # no longer a Parquet file: a scan would fail
@@ -105,7 +104,7 @@ def test_repeats_are_dropped_in_the_stream(spark, tables, tmp_dir, monkeypatch):
     monkeypatch.setattr(FS.FormState, "apply", lambda self, batch, n: sizes.append(batch.count()) or plain(self, batch, n))
     for chunk in (few, few, few.withColumn("outcome", F.lit("DNP"))):
         chunk.coalesce(1).write.mode("append").parquet(f"{tmp_dir}/log")
-        ST.start_refresh(spark, f"{tmp_dir}/log", forms.schema, member, services, f"{tmp_dir}/out", name=f"rep{os.getpid()}", repeats_within="7 days").awaitTermination()
+        ST.start_refresh(spark, f"{tmp_dir}/log", forms.schema, member, services, f"{tmp_dir}/out", name=f"rep{os.getpid()}", repeats_within="7 days", buckets=4).awaitTermination()
     changed = few.filter(~F.col("outcome").eqNullSafe("DNP")).count()
     assert sizes[0] == few.count() and sum(sizes[1:]) == changed
     want = A.activity_day(few.withColumn("outcome", F.lit("DNP")), member, services, *ALL_DAYS)

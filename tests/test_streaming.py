@@ -22,7 +22,7 @@ def test_stream_equals_batch_with_duplicates_and_late_rows(spark, tmp_dir):
     for i, chunk in enumerate(chunks):
         chunk.coalesce(1).write.mode("append").parquet(log_dir)
         q = ST.start_refresh(spark, log_dir, forms.schema, member, services, out, name=f"t{os.getpid()}",
-                             raw_path=os.path.join(tmp_dir, "raw"))
+                             raw_path=os.path.join(tmp_dir, "raw"), buckets=8)
         q.awaitTermination()
     got = spark.read.parquet(out)
     want = A.activity_day(forms, member, services, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY)
@@ -37,7 +37,7 @@ def test_stream_equals_batch_with_duplicates_and_late_rows(spark, tmp_dir):
 
 
 def _refresh(spark, log_dir, schema, member, services, out, name):
-    ST.start_refresh(spark, log_dir, schema, member, services, out, name=name).awaitTermination()
+    ST.start_refresh(spark, log_dir, schema, member, services, out, name=name, buckets=8).awaitTermination()
 
 
 def _rows(df, cols):
