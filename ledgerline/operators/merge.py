@@ -24,7 +24,7 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import codes
@@ -82,6 +82,46 @@ def snapshot_or_previous(fresh: DataFrame | None, prev: DataFrame | None) -> Dat
     return fresh if fresh is not None else prev
 
 
+def _folder(df_or_spark, path: str):
+    """(file system, path) of a table folder."""
+    spark = getattr(df_or_spark, "sparkSession", df_or_spark)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def day_folders(spark: SparkSession, path: str, day_col: str = "d") -> list[dt.date]:
+    """The days a kept table has a partition for, from its folder names; no file is read."""
+    fs, p = _folder(spark, path)
+    names = [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(dt.date.fromisoformat(n.partition("=")[2]) for n in names if n.startswith(f"{day_col}=") and not n.endswith("__HIVE_DEFAULT_PARTITION__"))
+
+
+def drop_old_days(spark: SparkSession, path: str, as_of: dt.date, months: int = codes.RAW_HISTORY_MONTHS, day_col: str = "d") -> list[dt.date]:
+    """M3 on a kept table: the partitions outside ``rolling_months`` go, rows without a day with them; no kept
+    day is read or rewritten. Returns the dropped days. A repeated call drops nothing more."""
+    months_from_0 = as_of.year * 12 + as_of.month - 1
+    first, after = (dt.date(m // 12, m % 12 + 1, 1) for m in (months_from_0 - (months - 1), months_from_0 + 1))
+    old = [d for d in day_folders(spark, path, day_col) if not first <= d < after]
+    for name in [*[d.isoformat() for d in old], "__HIVE_DEFAULT_PARTITION__"]:
+        fs, p = _folder(spark, f"{path.rstrip('/')}/{day_col}={name}")
+        fs.delete(p, True)
+    return old
+
+
+def write_clustered(df: DataFrame, path: str, day_col: str = "d", by: Sequence[str] = ("ag", "bk"), row_group_bytes: int = 8 << 20) -> None:
+    """Day partitions whose rows lie in order of ``by``, with Parquet bloom filters on these columns.
+
+    A range-partitioned write gives each task a stretch of (day, agent, touchpoint) and splits a day
+    or an agent that holds much of the rows. A reader's filter on an agent or a touchpoint then skips
+    row groups by their bounds, and by the bloom filter where bounds overlap.
+    """
+    w = df.repartitionByRange(day_col, *by).sortWithinPartitions(day_col, *by)
+    w = w.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("parquet.block.size", row_group_bytes)
+    for c in by:
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    w.partitionBy(day_col).parquet(path)
+
+
 def write_day_partitions(df: DataFrame, path: str, day_col: str = "d", fmt: str = "parquet") -> None:
     """SK2 / M1 at table scale: replace only the day partitions present in ``df``.
 
@@ -95,21 +135,27 @@ def write_day_partitions(df: DataFrame, path: str, day_col: str = "d", fmt: str
      .partitionBy(day_col).format(fmt).save(path))
 
 
-def replace_days(df: DataFrame, path: str, days: Sequence[dt.date], day_col: str = "d") -> None:
+def replace_days(df: DataFrame, path: str, days: Sequence[dt.date], day_col: str = "d") -> dict:
     """M1 on a table for given ``days``: their partitions become the rows of ``df``,
-    and the partition of a day without rows goes.
+    and the partition of a day without rows goes. Returns what the write observed
+    (SK6): ``n_rows``, ``min_date``, ``max_date``.
 
     The rows are written once to the shared checkpoint folder first, so that the days with rows
-    are known before the table changes. A repeated call gives the same table.
+    are known before the table changes; that folder goes at the end. Days without rows go before
+    the others are replaced. A failure in between leaves some days old and some new until the
+    call is repeated, which gives the same table as one call.
     """
     spark = df.sparkSession
     kept = scratch_path(spark, f"days-{uuid.uuid4().hex}")
-    df.write.parquet(kept)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n_rows"), F.min(day_col).alias("min_date"), F.max(day_col).alias("max_date")).write.parquet(kept)
     rows = spark.read.schema(df.schema).parquet(kept)
     present = {r[0] for r in rows.select(day_col).distinct().collect()}  # days, bounded by the calendar
-    write_day_partitions(rows, path, day_col)
-    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     for day in days:
         if day not in present:
-            gone = fs_path(f"{path.rstrip('/')}/{day_col}={day.isoformat()}")
-            gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
+            fs, p = _folder(spark, f"{path.rstrip('/')}/{day_col}={day.isoformat()}")
+            fs.delete(p, True)
+    write_day_partitions(rows, path, day_col)
+    fs, p = _folder(spark, kept)
+    fs.delete(p, True)
+    return seen.get

@@ -165,6 +165,10 @@ def _pct(n, d):
     return f"CASE WHEN {d} <> 0 THEN CAST(printf('%.1f', CAST(100.0 AS DOUBLE) * {n} / {d}) AS DOUBLE) ELSE CAST(0 AS DOUBLE) END"
 
 
+def _class(p):
+    return f"CASE WHEN {p} >= 50 THEN 'good' WHEN {p} >= 30 THEN 'warn' ELSE 'bad' END AS {p}_class"
+
+
 def fixed_text(x: str, places: int) -> str:
     """Nearest decimal text. A tie is a whole number of halves of the last place, hence of 1/8 or 1/4 or 1/2: there the larger one."""
     parts, scale = 2 ** (places + 1), 10 ** places
@@ -222,6 +226,7 @@ SELECT *, row_number() OVER (ORDER BY channel) AS pos FROM fall""",
         "owner_leaderboard_all": lb_all,
         "cycle_retention": pre + "," + CYCLE_SQL.strip() + "\nSELECT * FROM cyc",
         "cycle_retention_all": cy_all,
+        "cycle_retention_classes": f"SELECT *, {_class('acct_ret_pct')}, {_class('rev_ret_pct')} FROM ({cy_all})",
         "overdue_watchlist": pre + "," + WATCH_SQL.strip() + "\nSELECT * FROM watch",
         "watchlist_by_channel": wl_views,
         "pipeline_cards": cards,

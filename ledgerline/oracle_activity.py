@@ -137,6 +137,11 @@ SELECT form_uid, d, agent,
  CASE WHEN util_code <> 0 THEN {_labels(V.UTILITY_LABELS)}[util_code + 1] ELSE '' END AS utility_booked
 FROM r_raw
 WHERE position('{RAW_QUERY}' IN lower(COALESCE(mobile, '') || ' ' || COALESCE(full_name, ''))) > 0"""
+    out["raw_search_indexed"] = out["raw_search"]
+    out["created_since_mid_month"] = pre + "," + created("c", "fb", "cd >= DATE '2024-01-10'").strip() + "\nFROM c"
+    out["calls_in_range"] = pre + """
+SELECT ag, bk, count(DISTINCT form_uid) AS calls, min(sd) AS first_day, max(sd) AS last_day
+FROM fb WHERE NOT is_draft AND bk <> 'Other' AND sd BETWEEN DATE '2024-01-08' AND DATE '2024-01-20' GROUP BY ag, bk"""
     decoded = f"""
 decoded AS (
  SELECT *, {_labels(V.TOUCHPOINTS)}[bucket_code + 1] AS touchpoint, {_labels(V.OUTCOME_LABELS)}[outcome_code + 1] AS disposition,
@@ -151,6 +156,10 @@ SELECT form_uid, d, agent, touchpoint, disposition, booked_on_call, utility_book
  row_number() OVER (ORDER BY d DESC, agent, form_uid) AS pos
 FROM decoded WHERE d BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' AND agent = 'am.3' AND utility_booked <> ''
 QUALIFY pos <= 3000"""
+    out["raw_page_counted"] = raw + "," + decoded.strip() + """
+SELECT form_uid, d, agent, touchpoint, disposition, booked_on_call, utility_booked,
+ row_number() OVER (ORDER BY d DESC, agent, form_uid) AS pos, count(*) OVER () AS n_rows
+FROM decoded QUALIFY pos <= 3000"""
     out["activity_positional_rows"] = rows + f"""
 SELECT CAST(json_array(strftime(d, '%Y-%m-%d'), ag, bk, {', '.join(V.MEASURES)}) AS VARCHAR) AS value FROM t_rows"""
     return out

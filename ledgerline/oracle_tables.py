@@ -80,6 +80,21 @@ SELECT MIN(d) AS min_date, MAX(d) AS max_date, COUNT(*) AS n_rows,
  CAST(greatest(0, floor(epoch({NOW_TS} - {RUN_TS}) / 60.0 + 0.5)) AS BIGINT) AS minutes_since
 FROM cur_rows"""
 
+    out["merge_kept_table"] = out["merge_day_slice"]
+    out["retained_three_months"] = out["rolling_three_months"]
+    out["written_snapshot_meta"] = out["snapshot_meta"]
+    out["backlog_after_bad_extract"] = _pre(_backlog()) + "\nFROM bl"
+    out["quarantined_backlog"] = _pre(_backlog()) + """
+SELECT ag, bk, created_today_open, overdue_open, false AS quarantined, ag AS source_agent FROM bl WHERE ag NOT IN ('am.1', 'am.2')
+UNION ALL SELECT DISTINCT NULL, NULL, NULL, NULL, true, ag FROM bl WHERE ag IN ('am.1', 'am.2')"""
+    out["window_accounts"] = _pre() + """
+, seen AS (
+ SELECT cd, ag, bk, m.account_uid FROM fb LEFT JOIN member m ON m.individual_uid = parent_doc_id
+ WHERE bk <> 'Other' AND cd BETWEEN DATE '2024-01-08' AND DATE '2024-01-20'),
+daily AS (SELECT ag, count(DISTINCT account_uid) AS n FROM seen GROUP BY cd, ag, bk)
+SELECT ag AS agent, CAST(sum(n) AS BIGINT) AS accts_sum, (SELECT count(DISTINCT account_uid) FROM seen WHERE seen.ag = daily.ag) AS accts_distinct FROM daily GROUP BY ag
+UNION ALL SELECT 'ALL', CAST(sum(n) AS BIGINT), (SELECT count(DISTINCT account_uid) FROM seen) FROM daily"""
+
     sums = ", ".join(f"SUM({m}) AS {m}" for m in MEASURES)
     by_agent = f"ba AS (SELECT ag AS agent, {sums} FROM cur_rows GROUP BY ag)"
     conn = " + ".join(f"COALESCE({c}, 0)" for c in CONN)

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..functions import columns as C
+from ..operators import bitmaps as B
+from ..operators import textindex as X
 from ..operators.asof import forward_asof
 from ..operators.distinct import distinct_counts
 
@@ -54,10 +56,29 @@ def form_base(forms: DataFrame, tz: str = "UTC") -> DataFrame:
                     C.bucket_code("reason").alias("bk_code")))
 
 
-def with_member(base: DataFrame, member: DataFrame, cols=("account_uid",)) -> DataFrame:
+def with_member(base: DataFrame, member: DataFrame, cols=("account_uid",), how: str = "left") -> DataFrame:
     """Left join to the member dimension (a form keeps its row when unmatched)."""
     m = member.select(F.col("individual_uid").alias("parent_doc_id"), *cols)
-    return base.join(m, "parent_doc_id", "left")
+    return base.join(m, "parent_doc_id", how)
+
+
+def unique_members(member: DataFrame, on_repeat: str = "first") -> DataFrame:
+    """One row per member key, so that no join on it repeats a form.
+
+    ``first`` keeps the row with the smallest account (a row with an account before one without),
+    then the smallest mobile and name. ``error`` lets the query fail with the name of the repeated
+    key, checked inside the plan. Rows without a key match no form and are left out.
+    """
+    rest = [c for c in member.columns if c != "individual_uid"]
+    order = F.struct(*[x for c in sorted(rest, key=lambda c: (c != "account_uid", c)) for x in (F.col(c).isNull(), F.col(c))])
+    g = member.filter(F.col("individual_uid").isNotNull()).groupBy("individual_uid")
+    g = g.agg(F.min_by(F.struct(*rest), order).alias("r"), F.count(F.lit(1)).alias("n"))
+    if on_repeat == "error":
+        named = F.concat(F.lit("REPEATED_MEMBER_KEY: "), F.col("individual_uid").cast("string"))
+        g = g.withColumn("r", F.when(F.col("n") == 1, F.col("r")).otherwise(F.raise_error(named).cast(g.schema["r"].dataType)))
+    elif on_repeat != "first":
+        raise ValueError(f"on_repeat: {on_repeat!r}")
+    return g.select("individual_uid", *[F.col("r")[c].alias(c) for c in rest]).select(*member.columns)
 
 
 def submitted_forms(forms: DataFrame, d1: dt.date | None, d2: dt.date | None, tz: str) -> DataFrame:
@@ -121,6 +142,14 @@ def created_activity(forms: DataFrame, member: DataFrame, d1: dt.date, d2: dt.da
         F.count_if(F.col("tag") == 0).alias("forms"))
 
 
+def account_bitmaps(forms: DataFrame, member: DataFrame, d1: dt.date, d2: dt.date | None, tz: str = "UTC") -> DataFrame:
+    """Per created day, agent and touchpoint the accounts themselves, as bitmaps. Kept beside
+    ``activity_day``, they give a window's distinct accounts, where its ``accts`` only add up."""
+    f = forms.filter(C.in_local_days("created_at", d1, d2, tz))
+    base = with_member(form_base(f, tz).filter(F.col("bk") != codes.OTHER_LABEL), member)
+    return B.id_bitmaps(base, [F.col("cd").alias("d"), "ag", "bk"], "account_uid")
+
+
 def call_activity(forms: DataFrame, d1: dt.date, d2: dt.date | None, tz: str = "UTC") -> DataFrame:
     """A10: per submitted day, agent, touchpoint -- calls, in-call bookings and
     the nine dispositions, each a distinct count of forms."""
@@ -179,19 +208,26 @@ def open_backlog(forms: DataFrame, as_of: dt.date, tz: str = "UTC") -> DataFrame
 
 def reachout_raw(forms: DataFrame, member: DataFrame, services: DataFrame, d1: dt.date,
                  d2: dt.date | None, tz: str = "UTC", include_pii: bool = False,
-                 agent: str = "ALL", bucket: str = "ALL", query: str = "") -> DataFrame:
+                 agent: str = "ALL", bucket: str = "ALL", query: str = "", member_index: str | None = None) -> DataFrame:
     """Member-level rows for forms submitted in [d1, d2]: day, agent, touchpoint,
     outcome, in-call and utility codes (P9-P11, P13, P15).
 
     The source dump carries mobile and name; they stay out unless asked for
     (H29). The day is a full date (the source keeps only MM-DD, H15/H16).
-    Agent, touchpoint and text filters (F9, F10) are applied before the as-of join.
+    Agent, touchpoint and text filters (F9, F10) are applied before the as-of join. With
+    ``member_index`` (``index_members``) the members that hold ``query`` come from its postings,
+    and only their forms go on.
     """
     f = forms.filter(F.col("is_draft") == F.lit(False))
     if d1 is not None:
         f = f.filter(C.in_local_days("submitted_at", d1, d2, tz))
     bs = form_base(f, tz).filter(F.col("bk_code") != codes.OTHER_CODE)
-    bs = matching(with_member(bs, member, ("account_uid", "mobile", "full_name")), "ag", "bk_code", agent, bucket, query)
+    member_cols = ("account_uid", "mobile", "full_name")
+    if member_index is not None and query.strip():
+        found = X.search(member, "individual_uid", member_text(), member_index, query)
+        bs = matching(with_member(bs, found, member_cols, "inner"), "ag", "bk_code", agent, bucket, "")
+    else:
+        bs = matching(with_member(bs, member, member_cols), "ag", "bk_code", agent, bucket, query)
     matched = first_service_after(bs, services, tz, how="left", d1=d1)
     cols = [F.col("form_uid"), F.col("sd").alias("d"), C.month_day_string("sd").alias("mmdd"),
             F.col("ag").alias("agent")]
@@ -204,6 +240,16 @@ def reachout_raw(forms: DataFrame, member: DataFrame, services: DataFrame, d1: d
     return matched.select(*cols)
 
 
+def member_text() -> F.Column:
+    """What a member search looks in."""
+    return F.concat(F.coalesce("mobile", F.lit("")), F.lit(" "), F.coalesce("full_name", F.lit("")))
+
+
+def index_members(member: DataFrame, path: str) -> None:
+    """write the trigram index of the members' mobile and name."""
+    X.write_index(member, "individual_uid", member_text(), path)
+
+
 def matching(df: DataFrame, agent_col: str, code_col: str, agent: str, bucket: str, query: str) -> DataFrame:
     """rows of an agent and a touchpoint whose mobile and name hold ``query``."""
     if agent != "ALL":
@@ -212,8 +258,7 @@ def matching(df: DataFrame, agent_col: str, code_col: str, agent: str, bucket: s
         df = df.filter(C.bucket_label_of_code(code_col) == bucket)
     q = query.strip().lower()
     if q:
-        hay = F.lower(F.concat(F.coalesce("mobile", F.lit("")), F.lit(" "), F.coalesce("full_name", F.lit(""))))
-        df = df.filter(F.instr(hay, q) > 0)
+        df = df.filter(F.instr(X.normal(member_text()), q) > 0)
     return df
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import codes
+from ..operators import bitmaps as B
 from ..functions import columns as C
 
 
@@ -50,10 +51,10 @@ def agent_totals(rows: DataFrame, measures: dict[str, F.Column], agent_col: str
     seed = rows.sparkSession.range(1).select(F.lit(None).cast("string").alias("agent"),
                                              *[F.lit(None).cast("bigint").alias(n) for n in names],
                                              F.lit(True).alias("__seed"))
-    g = (src.unionByName(seed).groupingSets([["agent"], []], "agent")
-         .agg(F.grouping("agent").alias("__g"), F.max("__seed").alias("__seed"),
-              *[F.sum(n).alias(n) for n in names]))
-    g = g.filter((F.col("__g") == 1) | ~F.col("__seed"))
+    # The seed has a group of its own: rows without an agent are a group like any other.
+    g = (src.unionByName(seed).groupingSets([["agent", "__seed"], []], "agent", "__seed")
+         .agg(F.grouping("agent").alias("__g"), *[F.sum(n).alias(n) for n in names]))
+    g = g.filter((F.col("__g") == 1) | ~F.coalesce("__seed", F.lit(False)))
     return g.select(F.when(F.col("__g") == 1, F.lit(codes.ALL)).otherwise(F.col("agent")).alias("agent"),
                     *[F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias(n) for n in names])
 
@@ -158,3 +159,19 @@ def selector_values(rows: DataFrame, backlog: DataFrame, agent_day: DataFrame |
                          for kind, values in fixed.items()])
     w = Window.partitionBy("kind").orderBy(order.asc_nulls_last(), F.col("value"))
     return parts.distinct().withColumn("pos", F.row_number().over(w).cast("bigint"))
+
+
+def window_accounts(rows: DataFrame, bitmaps: DataFrame, d_from: dt.date | None = None, d_to: dt.date | None = None,
+                    bucket: str = "ALL") -> DataFrame:
+    """Per agent and for ``ALL``, over a window of days: the sum of the days' accounts, as the
+    reports add them, and beside it the distinct accounts, from the bitmaps of the same days."""
+    win, bits = (window_rows(x, d_from, d_to, bucket=bucket) for x in (rows, bitmaps))
+    sums = agent_totals(win, {"accts_sum": F.col("accts")})
+    ids = bits.select(F.col("ag").alias("agent"), B.BUCKET, B.BITS)
+    # Per agent first, so the total joins a few bitmaps and not each day's.
+    per_agent = B.union_of(ids, ["agent"])
+    both = per_agent.withColumn("__all", F.lit(False)).unionByName(B.union_of(per_agent, []).select(F.lit(None).cast("string").alias("agent"), B.BUCKET, B.BITS, F.lit(True).alias("__all")))
+    counted = both.groupBy("agent", "__all").agg(F.sum(F.bitmap_count(B.BITS)).alias("accts_distinct"))
+    counted = counted.select(F.when(F.col("__all"), F.lit(codes.ALL)).otherwise(F.col("agent")).alias("__agent"), "accts_distinct")
+    return (sums.join(counted, sums["agent"].eqNullSafe(counted["__agent"]), "left")
+            .select("agent", "accts_sum", F.coalesce("accts_distinct", F.lit(0)).cast("bigint").alias("accts_distinct")))

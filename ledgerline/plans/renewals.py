@@ -156,6 +156,11 @@ def cycle_all(cycle_df: DataFrame) -> DataFrame:
             .withColumn("rev_ret_pct", C.pct_half_even("renewed_amt", "old_premium")))
 
 
+def with_classes(df: DataFrame, *percents: str) -> DataFrame:
+    """Beside each percent its class, ``<name>_class``."""
+    return df.withColumns({f"{p}_class": C.pct_class(p) for p in percents})
+
+
 def watchlist_by_channel(watch_df: DataFrame) -> DataFrame:
     """The same top-k rows listed per channel and under ``ALL``, premium desc.
 

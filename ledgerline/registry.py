@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import columns as C
+from .operators import merge as M
 from .plans import activity as A
 from .plans import agent_tables as T
 from .plans import ranking as RK
 from .plans import refresh as RF
 from .plans import renewals as R
+from .session import scratch_path
+from .sources import files as FS
 from .sources import sinks as SK
 from .sources import standins as S
 
@@ -59,6 +63,10 @@ def cycle_retention_all(spark, sf_dir):
     return R.cycle_all(R.cycle_retention(_cube(spark, sf_dir)))
 
 
+def cycle_retention_classes(spark, sf_dir):
+    return R.with_classes(cycle_retention_all(spark, sf_dir), "acct_ret_pct", "rev_ret_pct")
+
+
 def overdue_watchlist(spark, sf_dir):
     return R.watchlist(_base(spark, sf_dir), S.RETENTION_AS_OF)
 
@@ -98,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "owner_leaderboard_all": owner_leaderboard_all,
     "cycle_retention": cycle_retention,
     "cycle_retention_all": cycle_retention_all,
+    "cycle_retention_classes": cycle_retention_classes,
     "overdue_watchlist": overdue_watchlist,
     "watchlist_by_channel": watchlist_by_channel,
     "pipeline_cards": pipeline_cards,
@@ -131,6 +140,21 @@ def activity_created(spark, sf_dir):
     return A.created_activity(f, m, S.ACTIVITY_FIRST_DAY, None)
 
 
+def created_since_mid_month(spark, sf_dir):
+    """The open-ended window (month-to-date form) with a start that lies inside the data."""
+    f, m, _ = _act(spark, sf_dir)
+    return A.created_activity(f, m, dt.date(2024, 1, 10), None)
+
+
+def calls_in_range(spark, sf_dir):
+    """Submitted forms by agent and touchpoint in a range of days, through a SQL table function with bound dates."""
+    forms = A.submitted_forms(_forms(spark, sf_dir), None, None, "UTC").select("form_uid", F.col("sd").alias("d"), "ag", "bk")
+    forms.createOrReplaceTempView("ledgerline_submitted")
+    FS.create_range_function(spark, "submitted_between", "ledgerline_submitted", forms.schema)
+    return FS.read_range_sql(spark, "SELECT ag, bk, count(DISTINCT form_uid) AS calls, min(d) AS first_day, max(d) AS last_day "
+                                    "FROM submitted_between(:d1, :d2) GROUP BY ag, bk", dt.date(2024, 1, 8), dt.date(2024, 1, 20))
+
+
 def activity_call(spark, sf_dir):
     f, _, _ = _act(spark, sf_dir)
     return A.call_activity(f, S.ACTIVITY_FIRST_DAY, None)
@@ -161,13 +185,30 @@ def reachout_raw(spark, sf_dir):
     return A.reachout_raw(f, m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY)
 
 
-def raw_search(spark, sf_dir):
-    from .oracle_activity import RAW_QUERY
+# The registered search: a name fragment shared by a handful of members.
+RAW_QUERY = "#00000012"
 
+
+def raw_search(spark, sf_dir):
     f, m, s = _act(spark, sf_dir)
     return A.raw_search(A.reachout_raw(f, m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY, include_pii=True, query=RAW_QUERY))
 
 
+def raw_search_indexed(spark, sf_dir):
+    """The same search, its members found in the trigram index."""
+    f, m, s = _act(spark, sf_dir)
+    index = _scratch(spark, "member-index")
+    A.index_members(m, index)
+    return A.raw_search(A.reachout_raw(f, m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY, include_pii=True, query=RAW_QUERY, member_index=index))
+
+
+def raw_page_counted(spark, sf_dir):
+    """The display page of all member-level rows (its cap is the feature), each with the uncapped count beside it."""
+    f, m, s = _act(spark, sf_dir)
+    page, count = A.raw_page(A.raw_search(A.reachout_raw(f, m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY, include_pii=True)))
+    return _numbered(page.drop("agent_name", "mobile_masked")).withColumn("n_rows", count.scalar())
+
+
 def raw_page_booked(spark, sf_dir):
     """The display page (its cap is the feature) of one agent's booked rows in a window of days."""
     f, m, s = _act(spark, sf_dir)
@@ -195,7 +236,11 @@ QUERIES.update({
     "open_backlog": open_backlog,
     "reachout_raw": reachout_raw,
     "raw_search": raw_search,
+    "raw_search_indexed": raw_search_indexed,
     "raw_page_booked": raw_page_booked,
+    "raw_page_counted": raw_page_counted,
+    "created_since_mid_month": created_since_mid_month,
+    "calls_in_range": calls_in_range,
     "raw_csv_rows": raw_csv_rows,
     "activity_positional_rows": activity_positional_rows,
 })
@@ -207,6 +252,10 @@ CUTOFF = dt.datetime(2024, 1, 15, 12, 0, 0)
 NOW_TS = dt.datetime(2024, 1, 15, 18, 37, 40)
 
 
+def _scratch(spark, name: str) -> str:
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
 def _stale_rows(spark, sf_dir):
     f, m, s = _act(spark, sf_dir)
     return A.activity_day(RF.log_as_of(f, CUTOFF), m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_AS_OF)
@@ -228,22 +277,86 @@ def merge_day_slice(spark, sf_dir):
 
 def merge_carry_forward(spark, sf_dir):
     f, m, s = _act(spark, sf_dir)
-    return RF.carry_forward_refresh(_stale_rows(spark, sf_dir), f, m, S.ACTIVITY_FIRST_DAY)
+    return RF.carry_forward_refresh(_stale_rows(spark, sf_dir), f, m, as_of=S.ACTIVITY_AS_OF)
 
 
-def rolling_three_months(spark, sf_dir):
+def _long_history(spark, sf_dir):
     f, m, s = _act(spark, sf_dir)
     prev = A.reachout_raw(RF.log_as_of(f, CUTOFF), m, s, S.ACTIVITY_FIRST_DAY, S.ACTIVITY_LAST_DAY)
     # The kept snapshot has a longer history than the log: a fifth of its rows lie four months back.
     prev = prev.withColumn("d", F.when(F.col("form_uid") % 5 == 0, F.add_months("d", -4)).otherwise(F.col("d")))
-    prev = prev.withColumn("mmdd", C.month_day_string("d"))
-    return RF.raw_refresh(prev, f, m, s, S.ACTIVITY_AS_OF)
+    return prev.withColumn("mmdd", C.month_day_string("d"))
+
+
+def rolling_three_months(spark, sf_dir):
+    f, m, s = _act(spark, sf_dir)
+    return RF.raw_refresh(_long_history(spark, sf_dir), f, m, s, S.ACTIVITY_AS_OF)
 
 
 def snapshot_meta(spark, sf_dir):
     return RF.snapshot_meta(_rows(spark, sf_dir), _backlog(spark, sf_dir), RUN_TS, NOW_TS)
 
 
+def merge_kept_table(spark, sf_dir):
+    """The day-slice merge on a written table: the previous rows are read from it, the day's partition replaced."""
+    f, m, s = _act(spark, sf_dir)
+    path = _scratch(spark, "kept-activity")
+    M.write_day_partitions(_stale_rows(spark, sf_dir), path)
+    day = S.ACTIVITY_AS_OF
+    fresh = A.activity_day(f, m, s, day, day)
+    M.replace_days(fresh, path, [day])
+    return FS.read_previous(spark, path, fresh.schema)
+
+
+def retained_three_months(spark, sf_dir):
+    """The member-level table kept for three months by dropping day partitions."""
+    f, m, s = _act(spark, sf_dir)
+    path = _scratch(spark, "kept-raw")
+    prev = _long_history(spark, sf_dir)
+    M.write_day_partitions(prev, path)
+    day = S.ACTIVITY_AS_OF
+    M.replace_days(A.reachout_raw(f, m, s, day, day), path, [day])
+    M.drop_old_days(spark, path, day)
+    return FS.read_previous(spark, path, prev.schema)
+
+
+def written_snapshot_meta(spark, sf_dir):
+    """The snapshot's metadata as the write of its rows observed it."""
+    observed = M.replace_days(_rows(spark, sf_dir), _scratch(spark, "observed-activity"), [])
+    return RF.written_meta(observed, _backlog(spark, sf_dir).count(), spark, RUN_TS, NOW_TS)
+
+
+def _extracts(spark, sf_dir, path: str) -> None:
+    """One positional document per agent's backlog; the second agent's ends in the middle, and the third one's lists its rows under a name."""
+    rows = _backlog(spark, sf_dir).select("ag", F.array(*[F.col(c).cast("variant") for c in RF.BACKLOG_SCHEMA.names]).alias("cells"))
+    docs = rows.groupBy("ag").agg(F.to_json(F.collect_list("cells")).alias("value"))
+    docs = docs.select("ag", F.when(F.col("ag") == "am.1", F.expr("left(value, length(value) - 5)"))
+                       .when(F.col("ag") == "am.2", F.concat(F.lit('{"rows":'), "value", F.lit("}"))).otherwise(F.col("value")).alias("value"))
+    docs.repartition("ag").write.partitionBy("ag").text(path)
+
+
+def quarantined_backlog(spark, sf_dir):
+    """Backlog extracts as files: rows of sound documents, and one row for each document that cannot be read."""
+    path = _scratch(spark, "extracts")
+    _extracts(spark, sf_dir, path)
+    rows = FS.read_positional_quarantined(spark, path, RF.BACKLOG_SCHEMA)
+    return rows.select(*RF.BACKLOG_SCHEMA.names, F.col(FS.CORRUPT).isNotNull().alias("quarantined"), F.regexp_extract(FS.SOURCE, "ag=([^/]*)/", 1).alias("source_agent"))
+
+
+def backlog_after_bad_extract(spark, sf_dir):
+    """The kept backlog after a refresh whose extract cannot be read: the previous one."""
+    path, extracts = _scratch(spark, "kept-backlog"), _scratch(spark, "extracts")
+    RF.refresh_backlog(spark, _backlog(spark, sf_dir), path)
+    _extracts(spark, sf_dir, extracts)
+    return RF.refresh_backlog(spark, RF.read_backlog_extract(spark, extracts), path)
+
+
+def window_accounts(spark, sf_dir):
+    f, m, _ = _act(spark, sf_dir)
+    bits = A.account_bitmaps(f, m, S.ACTIVITY_FIRST_DAY, None)
+    return T.window_accounts(A.created_activity(f, m, S.ACTIVITY_FIRST_DAY, None), bits, dt.date(2024, 1, 8), dt.date(2024, 1, 20))
+
+
 def agent_funnel(spark, sf_dir):
     return T.agent_funnel(_rows(spark, sf_dir), _backlog(spark, sf_dir))
 
@@ -281,7 +394,13 @@ QUERIES.update({
     "merge_day_slice": merge_day_slice,
     "merge_carry_forward": merge_carry_forward,
     "rolling_three_months": rolling_three_months,
+    "merge_kept_table": merge_kept_table,
+    "retained_three_months": retained_three_months,
+    "quarantined_backlog": quarantined_backlog,
+    "backlog_after_bad_extract": backlog_after_bad_extract,
+    "window_accounts": window_accounts,
     "snapshot_meta": snapshot_meta,
+    "written_snapshot_meta": written_snapshot_meta,
     "agent_funnel": agent_funnel,
     "agent_funnel_window": agent_funnel_window,
     "touchpoint_pivot": touchpoint_pivot,

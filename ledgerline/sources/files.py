@@ -30,6 +30,11 @@ def _read_documents(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -61,6 +66,42 @@ def read_positional_rows(spark: SparkSession, path: str, schema: StructType) ->
                           for i, f in enumerate(schema.fields)])
 
 
+CORRUPT, SOURCE = "_corrupt_record", "_source"
+
+
+def read_positional_quarantined(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """SC6 with quarantine: the rows of every document under ``path``, and what could not be read.
+
+    A document that is no JSON, or no list, gives one row whose columns are null, with the whole
+    text in ``_corrupt_record``; an element that is no list, or has a cell that does not fit its
+    column's type, gives one with that element's JSON. Good rows have null there. ``_source`` is the
+    file. Each document is parsed once, as a variant. A missing cell is null; an empty list and a
+    file without a byte, which Spark does not list, give no row.
+    """
+    fields = StructType([*schema.fields]).add(CORRUPT, "string").add(SOURCE, "string")
+    docs = _read_documents(spark, path)
+    if docs is None:
+        return empty(spark, fields)
+    docs = docs.select(F.col("value").alias("__text"), F.col("_metadata.file_path").alias(SOURCE), F.try_parse_json("value").alias("__v"))
+    # One element for a bad document, so that it leaves the explode as one row.
+    listed = F.coalesce(F.schema_of_variant("__v").startswith("ARRAY"), F.lit(False))
+    docs = docs.select("__text", SOURCE, listed.alias("__listed"), F.when(listed, F.col("__v")).otherwise(F.parse_json(F.lit("[null]"))).alias("__v"))
+    rows = docs.lateralJoin(spark.tvf.variant_explode(F.col("__v").outer())).select("__text", SOURCE, "__listed", F.col("value").alias("__row"))
+    cell = lambda i, kind: F.try_variant_get("__row", f"$[{i}]", kind)
+    given = lambda i: cell(i, "variant").isNotNull() & ~F.is_variant_null(cell(i, "variant"))
+    sound = F.col("__listed") & F.coalesce(F.schema_of_variant("__row").startswith("ARRAY"), F.lit(False))
+    for i, f in enumerate(schema.fields):
+        sound = sound & (cell(i, f.dataType.simpleString()).isNotNull() | ~given(i))
+    rows = rows.withColumn("__sound", sound)
+    return rows.select(*[F.when(F.col("__sound"), cell(i, f.dataType.simpleString())).alias(f.name) for i, f in enumerate(schema.fields)],
+                       F.when(~F.col("__listed"), F.col("__text")).when(~F.col("__sound"), F.to_json("__row")).alias(CORRUPT), SOURCE)
+
+
+def split_quarantine(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good rows without the two columns, quarantined records with their source)."""
+    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, SOURCE), rows.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, SOURCE)
+
+
 def read_previous(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
     """SC7: the kept table, or an empty one with its schema on the first run."""
     try:
@@ -74,3 +115,11 @@ def read_previous(spark: SparkSession, path: str, schema: StructType, fmt: str =
 def read_range_sql(spark: SparkSession, sql: str, d1, d2) -> DataFrame:
     """SC8: a date-range query with bound parameters (``:d1``, ``:d2``)."""
     return spark.sql(sql, args={"d1": d1, "d2": d2})
+
+
+def create_range_function(spark: SparkSession, name: str, view: str, columns: StructType, day_col: str = "d") -> None:
+    """SC8 as a SQL table function: ``SELECT * FROM name(d1, d2)`` gives the rows of ``view`` with a day in
+    [d1, d2]. The function is inlined, so both bounds reach the scan as filters."""
+    listed = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in columns)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(d1 DATE, d2 DATE) RETURNS TABLE ({listed}) "
+              f"RETURN SELECT {', '.join(columns.names)} FROM {view} WHERE {view}.{day_col} >= {name}.d1 AND {view}.{day_col} <= {name}.d2")
