@@ -7,7 +7,7 @@ own trigrams, takes the rarest of them, and intersects their postings; the few k
 checked against the text itself by the caller or by ``search``, so the answer is exact.
 
 Postings are partitioned by a hash of the trigram and sorted by it, so a query lists only its
-trigrams' partitions and skips the other row groups in them. A trigram that is in every text is
+trigrams' partitions and skips the other row groups in them; counts, a row per trigram, are sorted. A trigram that is in every text is
 a long posting, but one that a query does not need to read. Queries under three characters have
 no trigram; ``candidates`` gives None and the caller scans.
 """
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SIZE = 3
-PARTITIONS = 64   # of the postings; fixed for an index folder
+PARTITIONS = 16   # of the postings; fixed for an index folder
 RAREST = 3        # postings intersected for a query
 
 
@@ -42,9 +42,7 @@ def write_index(rows: DataFrame, key: str, text: Column, path: str) -> None:
     (posted.hint("rebalance", "p").sortWithinPartitions("p", "gram", "key").write.mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy("p").parquet(f"{base}/postings"))
     kept = rows.sparkSession.read.schema(posted.schema).parquet(f"{base}/postings")
-    counted = kept.groupBy("p", "gram").agg(F.count(F.lit(1)).alias("n"))
-    (counted.hint("rebalance", "p").sortWithinPartitions("p", "gram").write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy("p").parquet(f"{base}/counts"))
+    kept.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).sortWithinPartitions("gram").write.mode("overwrite").parquet(f"{base}/counts")
 
 
 def _of_grams(spark: SparkSession, path: str, schema: str, grams: list[str]) -> DataFrame:
@@ -59,7 +57,8 @@ def candidates(spark: SparkSession, path: str, query: str, key_type: str = "bigi
     if not grams:
         return None
     # As many rows as the query has trigrams, at most.
-    found = {r.gram: r.n for r in _of_grams(spark, f"{base}/counts", "gram string, n long, p int", grams).select("gram", "n").collect()}
+    counts = spark.read.schema("gram string, n long").parquet(f"{base}/counts").filter(F.col("gram").isin(grams))
+    found = {r.gram: r.n for r in counts.collect()}
     if len(found) < len(grams):
         return spark.createDataFrame([], f"key {key_type}")
     rare = sorted(grams, key=lambda g: (found[g], g))[:RAREST]
