@@ -33,11 +33,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import common as C
-from ledgerline.llm.byte_bpe import pack, unpack
+from ledgerline.llm.packed import binary, buckets_of, pack, pack_ids, pack_list, raw_of, unpack, unpack_ids, unpack_list
 
 BLOCK_BYTES = 32 << 20   # text of a block; a longer text is a block of its own
 SLICE_BYTES = 2 << 20    # text of a row of numbers
@@ -47,7 +46,6 @@ _CUT = np.zeros(256, dtype=bool)
 _CUT[[0x20, 0x09, 0x0A, 0x0D]] = True
 _DOUBTFUL = np.zeros(256, dtype=bool)
 _DOUBTFUL[np.r_[0x09:0x0E, 0x1C:0x21]] = True
-_NO_BYTES = np.zeros(256, dtype=bool)
 _tokenizers: dict[int, object] = {}
 
 
@@ -109,45 +107,6 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.union1d(at[ok], begins)
 
 
-def _binary(offsets: np.ndarray, data: np.ndarray | bytes) -> pa.LargeBinaryArray:
-    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(data)])
-
-
-def _raw(a: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
-    """(offsets from 0, bytes) of an array."""
-    o = np.frombuffer(a.buffers()[1], np.int64)[a.offset:a.offset + len(a) + 1]
-    data = np.frombuffer(a.buffers()[2], np.uint8) if a.buffers()[2] is not None else np.empty(0, np.uint8)
-    return o - o[0], data[o[0]:o[-1]]
-
-
-def pack_list(a: pa.LargeBinaryArray) -> bytes:
-    """Byte strings as one compressed value: their sizes by byte planes, then their bytes."""
-    o, data = _raw(a)
-    sizes = np.diff(o).astype(np.int32)
-    return zstandard.ZstdCompressor(level=1).compress(np.int32(len(sizes)).tobytes() + sizes.view(np.uint8).reshape(-1, 4).T.tobytes() + data.tobytes())
-
-
-def unpack_list(value: bytes) -> pa.LargeBinaryArray:
-    raw = zstandard.ZstdDecompressor().decompress(value)
-    n = int(np.frombuffer(raw, np.int32, 1)[0])
-    sizes = np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * n, 4).reshape(4, n).T).view(np.int32).ravel()
-    return _binary(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), np.frombuffer(raw, np.uint8, offset=4 + 4 * n))
-
-
-def _buckets(words: pa.LargeBinaryArray, buckets: int) -> np.ndarray:
-    """A bucket for each word, by its bytes alone."""
-    o, data = _raw(words)
-    out = np.empty(len(words), np.int64)
-    a = 0
-    while a < len(words):
-        b = max(a + 1, int(np.searchsorted(o, o[a] + C.CHUNK_BYTES)))
-        b = min(b, len(words))
-        start, end = o[a:b] - o[a], o[a + 1:b + 1] - o[a]
-        out[a:b] = (C.word_hashes(data[o[a]:o[b]], start, end, _NO_BYTES) % np.uint64(buckets)).astype(np.int64)
-        a = b
-    return out
-
-
 class Block:
     """A stretch of texts: its distinct words by bucket, and the texts as numbers of words in that order."""
 
@@ -158,9 +117,9 @@ class Block:
         self.doc_ids = rows.column("doc_id").combine_chunks()
         data, self.offsets = C.text_buffer(text)
         start = cuts(data, self.offsets)
-        named = _binary(np.append(start, len(data)), data).dictionary_encode()
+        named = binary(np.append(start, len(data)), data).dictionary_encode()
         self.first = np.searchsorted(start, self.offsets)
-        bucket = _buckets(named.dictionary, buckets)
+        bucket = buckets_of(named.dictionary, buckets)
         order = np.argsort(bucket, kind="stable")
         self.edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
         self.words = named.dictionary.take(pa.array(order))
@@ -235,21 +194,10 @@ def _encode_rows(vocabulary):
                         known[w] = np.array(e.ids, np.uint32).tobytes()
                 ids = [known[w] for w in words]
                 yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([0], pa.int32()), pa.array([k], pa.int32()), pa.array([len(ids)], pa.int32()),
-                                                  pa.nulls(1, _ROWS.field("doc_ids").type), pa.nulls(1, _ROWS.field("sizes").type), pa.array([_pack_ids(ids)], pa.binary())], schema=_ROWS)
+                                                  pa.nulls(1, _ROWS.field("doc_ids").type), pa.nulls(1, _ROWS.field("sizes").type), pa.array([pack_ids(ids)], pa.binary())], schema=_ROWS)
     return run
 
 
-def _pack_ids(ids: list[bytes]) -> bytes:
-    """Ids of many words: the number of ids of each word, then all ids, by byte planes."""
-    counts = np.array([len(x) // 4 for x in ids], np.int32)
-    return pack(np.concatenate([np.array([len(counts)], np.int32), counts, np.frombuffer(b"".join(ids), np.int32)]))
-
-
-def _unpack_ids(value: bytes) -> tuple[np.ndarray, np.ndarray]:
-    a = unpack(value)
-    return a[1:1 + a[0]], a[1 + a[0]:]
-
-
 class Dictionary:
     """Ids and decoded bytes of a block's words, each at the word's number."""
 
@@ -257,10 +205,10 @@ class Dictionary:
         counts = np.concatenate([p[0] for p in parts]) if parts else np.empty(0, np.int32)
         flat = np.ascontiguousarray(np.concatenate([p[1] for p in parts]) if parts else np.empty(0, np.int32))
         at = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
-        self.ids = _binary(at * 4, flat)
+        self.ids = binary(at * 4, flat)
         joined = table.take(pa.array(flat))  # ids join the table of pieces
-        o, data = _raw(joined)
-        self.bytes = _binary(o[at], data)
+        o, data = raw_of(joined)
+        self.bytes = binary(o[at], data)
 
     def __len__(self) -> int:
         return len(self.ids)
@@ -269,7 +217,7 @@ class Dictionary:
 def _result(doc_ids: list, sizes: list, numbers: np.ndarray, words: Dictionary) -> pa.RecordBatch:
     at = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
     places = pa.array(numbers)
-    (oi, ids), (ob, data) = _raw(words.ids.take(places)), _raw(words.bytes.take(places))
+    (oi, ids), (ob, data) = raw_of(words.ids.take(places)), raw_of(words.bytes.take(places))
     n, said, decoded = [], [], []
     for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
         n.append(int(oi[b] - oi[a]) // 4)
@@ -288,7 +236,7 @@ def _join_rows(vocabulary):
                     block, last, parts, words = row["block"], -1, [], None
                 if row["kind"] == 0:
                     if row["part"] != last:  # else from another block of this name, with equal words
-                        parts.append(_unpack_ids(row["data"]))
+                        parts.append(unpack_ids(row["data"]))
                         last = row["part"]
                     continue
                 if words is None:
