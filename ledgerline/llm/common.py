@@ -8,6 +8,7 @@ only on the words, never on where a document is stored.
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -177,5 +178,17 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
         yield held[0]
 
 
-def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+def fit_in_task(sample: DataFrame, fit: Callable[[pa.Table], object]) -> object:
+    """``fit`` on a bounded sample, run in one task; only what it returns comes to the driver.
+
+    The sample's rows reach ``fit`` as one table, in no stated order.
+    """
+    schema = pa.schema([(f.name, {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}[f.dataType.simpleString()]) for f in sample.schema.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(table(batches))
+        model = fit(pa.Table.from_batches(held) if held else schema.empty_table())
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    rows = sample.repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(rows[0]["model"]) if rows else fit(schema.empty_table())

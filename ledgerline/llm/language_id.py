@@ -150,21 +150,26 @@ def held_out() -> Column:
     return F.coalesce(F.expr("crc32(encode(CAST(doc_id AS string), 'UTF-8')) % 3 = 1"), F.lit(False))
 
 
-def training_pieces(docs: DataFrame) -> list[tuple[str, str]]:
+def training_pieces(docs: DataFrame) -> DataFrame | None:
     """(lang, piece): the bounded sample. Counts are over all labelled rows; a language's share is SAMPLE of them."""
     rows = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row a language
     if not counts:
-        return []
+        return None
     share = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, SAMPLE / n))])
     part = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / F.lit(1 << 30)
     piece = F.expr(f"substring(text, 1 + pmod(xxhash64('place', doc_id), greatest(length(text) - {PIECE}, 1)), {PIECE})")
-    chosen = rows.where(part < share[F.col("lang")]).select("lang", piece.alias("piece")).toPandas()
-    return sorted(zip(chosen["lang"], chosen["piece"], strict=True))
+    return rows.where(part < share[F.col("lang")]).select("lang", piece.alias("piece"))
 
 
 def learn(docs: DataFrame) -> ByteConvNet | None:
-    pieces = [(lang, p) for lang, p in training_pieces(docs) if _letter.search(p)]
+    pieces = training_pieces(docs)
+    return None if pieces is None else C.fit_in_task(pieces, _fit)
+
+
+def _fit(rows: pa.Table) -> ByteConvNet | None:
+    pairs = sorted(zip(rows.column("lang").to_pylist(), rows.column("piece").to_pylist(), strict=True))
+    pieces = [(lang, p) for lang, p in pairs if _letter.search(p)]
     if not pieces:
         return None
     names = sorted({lang for lang, _ in pieces})
@@ -208,10 +213,13 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def in_known_language(docs: DataFrame, least: float = KEEP) -> DataFrame:
-    """Pipeline stage: rows of ``docs`` with a language, told with a score of at least ``least``."""
+    """Pipeline stage: rows of ``docs`` with a language, told with a score of at least ``least``.
+
+    Without any labelled row no language can be told; then rows with a letter stay.
+    """
     net = learn(docs)
     if net is None:
-        return docs.limit(0)
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     return docs.mapInArrow(_keep(docs.sparkSession.sparkContext.broadcast(net), least), docs.schema)
 
 

@@ -293,31 +293,35 @@ def digests(docs: DataFrame) -> DataFrame:
             .mapInArrow(_digests, "doc_id long, n_words long, n_removed long, kept_sha256 string"))
 
 
-def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in C.table(batches):
-        texts = []
-        for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
-            text = text.as_py()
-            if text is not None and spans.is_valid:
-                start, gone = _removed(text, spans.as_py())
-                raw = text.encode()
-                edge = np.append(start, len(raw))
-                # A word goes with the space behind it, so lines between kept words stay.
-                text = (raw[:edge[0]] + b"".join(raw[edge[i]:edge[i + 1]] for i in np.flatnonzero(~gone))).decode()
-                text = None if len(gone) and gone.all() else text
-            texts.append(text)
-        names = batch.schema.names
-        columns = [pa.array(texts, pa.string()) if k == "text" else batch.column(k) for k in names]
-        lost = [t is None and batch.column("text")[i].is_valid for i, t in enumerate(texts)]
-        yield pa.RecordBatch.from_arrays(columns, names=names).drop_columns(["spans", "_id"]).filter(pa.array([not x for x in lost], pa.bool_()))
+def _cut_texts(spans_name: str, kept: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in C.table(batches):
+            texts = []
+            for text, spans in zip(batch.column("text"), batch.column(spans_name), strict=True):
+                text = text.as_py()
+                if text is not None and spans.is_valid:
+                    start, gone = _removed(text, spans.as_py())
+                    raw = text.encode()
+                    edge = np.append(start, len(raw))
+                    # A word goes with the space behind it, so lines between kept words stay.
+                    text = (raw[:edge[0]] + b"".join(raw[edge[i]:edge[i + 1]] for i in np.flatnonzero(~gone))).decode()
+                    text = None if len(gone) and gone.all() else text
+                texts.append(text)
+            columns = [pa.array(texts, pa.string()) if k == "text" else batch.column(k) for k in kept]
+            lost = [t is None and batch.column("text")[i].is_valid for i, t in enumerate(texts)]
+            yield pa.RecordBatch.from_arrays(columns, names=kept).filter(pa.array([not x for x in lost], pa.bool_()))
+    return run
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """Pipeline stage: ``docs`` with repeated windows cut out of ``text`` (and ``n_chars`` counted anew); rows left without a word go."""
-    spans = repeated_spans(docs).withColumnRenamed("doc_id", "_id")
+    """Pipeline stage: ``docs`` with repeated windows cut out of ``text`` (and ``n_chars`` counted anew); rows left without a word go.
+    Columns of any name come back as they were."""
+    own = lambda name: next(n for n in (name + "_" * k for k in range(len(docs.columns) + 1)) if n not in docs.columns)
+    id_name, spans_name = own("__id"), own("__spans")
+    spans = repeated_spans(docs).select(F.col("doc_id").alias(id_name), F.col("spans").alias(spans_name))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    cut = docs.withColumn("_id", F.col("doc_id").cast("long")).join(spans, "_id", "left")
-    cut = cut.select(*docs.columns, "_id", "spans").mapInArrow(_cut_texts, schema)
+    cut = docs.withColumn(id_name, F.col("doc_id").cast("long")).join(spans, id_name, "left")
+    cut = cut.select(*docs.columns, spans_name).mapInArrow(_cut_texts(spans_name, docs.columns), schema)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
 
 

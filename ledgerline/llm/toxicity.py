@@ -177,10 +177,14 @@ def learn(docs: DataFrame, labels: DataFrame) -> Toxicity | None:
     part = F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(1 << 30)) / F.lit(1 << 30)
     chosen = known.where(part < min(1.0, SAMPLE / n))  # ids and labels of the sample: a bounded table
     short = C.id_and_text(docs).where((F.length("text") <= SAMPLE_CHARS) & (part < min(1.0, SAMPLE / n)))
-    rows = short.join(chosen, "doc_id").dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
-    if not len(rows) or rows["toxic"].nunique() < 2:
-        return None
-    return train(rows["text"].tolist(), rows["toxic"].to_numpy(dtype=np.int64))
+    rows = short.join(chosen, "doc_id").dropDuplicates(["doc_id"]).select(F.col("doc_id").cast("long"), "text", F.col("toxic").cast("int"))
+    return C.fit_in_task(rows, _fit)
+
+
+def _fit(rows: pa.Table) -> Toxicity | None:
+    rows = rows.sort_by("doc_id")
+    toxic = rows.column("toxic").to_numpy().astype(np.int64)
+    return train(rows.column("text").to_pylist(), toxic) if len(np.unique(toxic)) == 2 else None
 
 
 def _score(shared):

@@ -366,3 +366,16 @@ def test_pipeline_stages(spark, tmp_path):
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
     assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
+
+
+def test_repeated_passages_keep_columns_of_any_name(spark):
+    passage = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, passage, "s1", 5, "a"), (2, "x " + passage + " y", "s2", 6, "b"), (3, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans string, _id int, __spans string")
+    got = sorted((tuple(r) for r in substring_dedup.without_repeats(docs).collect()), key=repr)
+    assert got == sorted([rows[0], (2, "x y", "s2", 6, "b"), rows[2]], key=repr)
+
+
+def test_language_stage_without_labels_keeps_texts_with_a_letter(spark):
+    docs = spark.createDataFrame([(1, "some words", None), (2, "12 34 !", None), (3, None, None), (4, "ж", None)], "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in language_id.in_known_language(docs).collect()) == [1, 4]
