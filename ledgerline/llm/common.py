@@ -8,6 +8,8 @@ only on the words, never on where a document is stored.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import pickle
 import uuid
 from collections.abc import Callable, Iterator
@@ -178,6 +180,16 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
         yield held[0]
 
 
+def release() -> None:
+    """Give freed memory back to the system: Spark keeps a Python worker for later tasks, with all it ever held."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def fit_in_task(sample: DataFrame, fit: Callable[[pa.Table], object]) -> object:
     """``fit`` on a bounded sample, run in one task; only what it returns comes to the driver.
 
@@ -188,6 +200,8 @@ def fit_in_task(sample: DataFrame, fit: Callable[[pa.Table], object]) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(table(batches))
         model = fit(pa.Table.from_batches(held) if held else schema.empty_table())
+        held.clear()
+        release()
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
     rows = sample.repartition(1).mapInArrow(run, "model binary").collect()
