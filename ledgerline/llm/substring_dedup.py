@@ -14,10 +14,15 @@ Symbols only say where windows meet; matches are decided by hashes of the window
 1. Map: each window takes the highest-level symbol decided inside it, of several the one
    with the largest name (a function of the window's words alone, so equal windows
    always choose alike). Neighbouring windows with the same symbol share one row: the
-   symbol's key, the document, the first window, and the 64-bit hash of each window.
+   symbol's key, the document, the first window, and the 64-bit hash of each window. Rows
+   travel packed, one value for each bucket of keys.
+   A pass before it finds the keys under which a large share of all windows meet (mergeable
+   summaries of bounded size, over all texts): their windows meet by their own hash instead,
+   so no frequent word or footer brings its windows to one task.
 2. Rows meet by key, sorted by document; windows equal in key and hash are the same
    words. Where the first document that has one is smaller, the window's words are marked.
-   The stream keeps only the distinct windows of the current key.
+   The stream keeps only the distinct windows of the current key, in sorted runs that merge
+   as they grow, so its time is that of a sort.
 3. Marked spans go back to their documents by doc_id, each with a check of its windows: a row
    takes the spans whose windows stand at the same words of its own text.
 
@@ -33,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +47,9 @@ from ledgerline.llm import common as C
 WINDOW = 13
 ROUNDS = 2
 TAG_BYTES = 8
+PACKED_ROWS = 128      # anchor rows of one packed row, about
+HELD_ROWS = 1 << 20    # anchor rows that a task holds before it packs them
+UNPACK = 64            # packed rows unpacked together
 _FAR = 1 << 40  # a deciding span that reaches past the text's end
 
 
@@ -202,38 +211,185 @@ def _window_checks(tags: np.ndarray, at: np.ndarray) -> np.ndarray:
     return C.mix(tags + at.astype(np.uint64) * np.uint64(0x9E6C63D0876A9A47))
 
 
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class Rows:
+    """Anchor rows as arrays; row i has ``count[i]`` windows in a row, their hashes one after another in ``tag``."""
+
+    def __init__(self, key: np.ndarray, doc: np.ndarray, start: np.ndarray, count: np.ndarray, tag: np.ndarray):
+        self.key, self.doc, self.start, self.count, self.tag = key, doc, start, count, tag
+
+    @staticmethod
+    def of(batch: pa.RecordBatch) -> Rows:
+        tags = batch.column("tags")
+        cuts = np.frombuffer(tags.buffers()[1], np.int32)[tags.offset:tags.offset + len(tags) + 1].astype(np.int64)
+        tag = np.frombuffer(tags.buffers()[2], np.uint8)[cuts[0]:cuts[-1]].view(np.uint64)
+        key, doc, start = (batch.column(c).to_numpy() for c in ("key", "doc_id", "start"))
+        return Rows(key, doc, start, np.diff(cuts) // TAG_BYTES, tag)
+
+    @staticmethod
+    def joined(parts: list[Rows]) -> Rows:
+        return Rows(*(np.concatenate([getattr(p, c) for p in parts]) for c in ("key", "doc", "start", "count", "tag")))
+
+    def batch(self) -> pa.RecordBatch:
+        cuts = np.append(0, np.cumsum(self.count)) * TAG_BYTES
+        tags = pa.Array.from_buffers(pa.binary(), len(self.key), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(self.tag))])
+        return pa.RecordBatch.from_arrays([pa.array(self.key), pa.array(self.doc), pa.array(self.start), tags], schema=_ANCHORS)
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """(row, place in the row) of each window."""
+        row = np.repeat(np.arange(len(self.key)), self.count)
+        return row, np.arange(len(row)) - np.repeat(np.cumsum(self.count) - self.count, self.count)
+
+    def take(self, order: np.ndarray) -> Rows:
+        first, count = (np.cumsum(self.count) - self.count)[order], self.count[order]
+        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
+        return Rows(self.key[order], self.doc[order], self.start[order], count, self.tag[at])
+
+    def split(self, hot: np.ndarray) -> Rows:
+        """Each window of a row under one of the ``hot`` keys (sorted) becomes a row under a key of its own words."""
+        if not len(hot) or not len(self.key):
+            return self
+        at = np.minimum(np.searchsorted(hot, self.key), len(hot) - 1)
+        is_hot = hot[at] == self.key
+        parts = np.where(is_hot, self.count, 1)
+        row = np.repeat(np.arange(len(self.key)), parts)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
+        first = (np.cumsum(self.count) - self.count)[row] + place
+        own = C.signed(C.mix(self.tag[first] ^ np.uint64(0x2545F4914F6CDD1D)))
+        return Rows(np.where(is_hot[row], own, self.key[row]), self.doc[row], (self.start[row] + place).astype(np.int32),
+                    np.where(is_hot[row], 1, self.count[row]), self.tag)
+
+
+def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[Rows]:
     for batch in C.table(batches):
         for chunk in C.text_chunks(batch):
-            yield anchor_rows(chunk)
+            rows = anchor_rows(chunk)
+            if rows.num_rows:
+                yield Rows.of(rows)
+
+
+def _frequent(size: int):
+    """A summary of a task's keys with their numbers of windows, each too low by a ``size``-th of all at most; the row without a key has the total."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, total = np.empty(0, np.int64), np.empty(0, np.int64), 0
+        for rows in _chunk_rows(batches):
+            total += len(rows.tag)
+            keys, at = np.unique(np.concatenate([keys, rows.key]), return_inverse=True)
+            counts = np.bincount(at, np.concatenate([counts, rows.count]), minlength=len(keys)).astype(np.int64)
+            if len(keys) > size:
+                counts = counts - np.partition(counts, len(counts) - size - 1)[len(counts) - size - 1]
+                keys, counts = keys[counts > 0], counts[counts > 0]
+        yield pa.RecordBatch.from_arrays([pa.array([None, *keys.tolist()], pa.int64()), pa.array([total, *counts.tolist()], pa.int64())], names=["key", "n"])
+    return run
+
+
+def hot_keys(docs: DataFrame, size: int) -> np.ndarray:
+    """Sorted keys with a ``size``-th of all windows or more; all with twice that share are found, at most ``size`` come back."""
+    parts = C.id_and_text(docs).mapInArrow(_frequent(size), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    parts = C.materialise(parts, "window-keys")
+    n = parts.where("key IS NULL").agg(F.sum("n")).first()[0] or 0
+    return np.sort(np.array([r["key"] for r in parts.where(F.col("key").isNotNull() & (F.col("n") * size >= n)).collect()], np.int64))
+
+
+def _planes(values: np.ndarray) -> bytes:
+    return np.ascontiguousarray(values, np.int64).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _packed(buckets: int, hot: np.ndarray):
+    """One row per bucket of keys for many anchor rows: keys and hashes as they are, documents, starts and counts compressed."""
+    def rows(parts: list[Rows]) -> Iterator[pa.RecordBatch]:
+        r = Rows.joined(parts)
+        bucket = (C.mix(r.key.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        r, bucket = r.take(order), bucket[order]
+        a = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        b = np.append(a[1:], len(bucket))
+        window = np.append(0, np.cumsum(r.count))
+        press = zstandard.ZstdCompressor(level=1).compress
+        places = [press(_planes(np.concatenate([np.diff(r.doc[i:j], prepend=0), r.start[i:j], r.count[i:j]]))) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
+        cut = lambda values, edges: [values[i:j].tobytes() for i, j in zip(edges[0].tolist(), edges[1].tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[a].astype(np.int32)), pa.array(cut(r.key, (a, b)), pa.binary()), pa.array(places, pa.binary()),
+                                          pa.array(cut(r.tag, (window[a], window[b])), pa.binary())], names=["bucket", "keys", "places", "tags"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, n = [], 0
+        for part in _chunk_rows(batches):
+            parts.append(part.split(hot))
+            n += len(parts[-1].key)
+            if n >= min(PACKED_ROWS * buckets, HELD_ROWS):
+                yield from rows(parts)
+                parts, n = [], 0
+        if parts:
+            yield from rows(parts)
+    return run
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    press = zstandard.ZstdDecompressor().decompress
+    for batch in C.table(batches):
+        for a in range(0, batch.num_rows, UNPACK):
+            parts = []
+            for keys, places, tags in zip(*(batch.column(c).slice(a, UNPACK).to_pylist() for c in ("keys", "places", "tags")), strict=True):
+                key = np.frombuffer(keys, np.int64)
+                doc, start, count = np.frombuffer(press(places), np.uint8).reshape(8, -1).T.copy().view(np.int64).reshape(3, len(key))
+                parts.append(Rows(key, np.cumsum(doc), start.astype(np.int32), count, np.frombuffer(tags, np.uint64)))
+            yield Rows.joined(parts).batch()
+
+
+class Seen:
+    """The distinct windows of one key and the smallest document of each, in sorted runs that at least double in size."""
+
+    def __init__(self, key: int | None):
+        self.key, self.runs = key, []
+
+    def documents(self, tag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether seen, document) of each window."""
+        seen, doc = np.zeros(len(tag), dtype=bool), np.zeros(len(tag), np.int64)
+        for tags, docs in self.runs:
+            at = np.minimum(np.searchsorted(tags, tag), len(tags) - 1)
+            hit = tags[at] == tag
+            seen |= hit
+            doc[hit] = docs[at[hit]]
+        return seen, doc
+
+    def add(self, tag: np.ndarray, doc: np.ndarray) -> None:
+        """Windows not seen before, in ascending order."""
+        if len(tag):
+            self.runs.append((tag, doc))
+        while len(self.runs) > 1 and len(self.runs[-2][0]) < 2 * len(self.runs[-1][0]):
+            tags, docs = (np.concatenate(c) for c in zip(self.runs[-2], self.runs[-1], strict=True))
+            order = np.argsort(tags, kind="stable")
+            self.runs[-2:] = [(tags[order], docs[order])]
 
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans of words in windows that a smaller document has, from rows sorted by (key, doc_id)."""
-    held_key, held_tag, held_doc = None, np.empty(0, np.uint64), np.empty(0, np.int64)
+    seen = Seen(None)
     for batch in C.table(batches):
-        key, doc = batch.column("key").to_numpy(), batch.column("doc_id").to_numpy()
-        start, tags = batch.column("start").to_numpy(), batch.column("tags")
-        cuts = np.frombuffer(tags.buffers()[1], np.int32)[tags.offset:tags.offset + len(tags) + 1].astype(np.int64)
-        tag = np.frombuffer(tags.buffers()[2], np.uint8)[cuts[0]:cuts[-1]].view(np.uint64)
-        count = np.diff(cuts) // TAG_BYTES
-        row = np.repeat(np.arange(len(key)), count)
-        at = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        rows = Rows.of(batch)
+        key, doc, tag = rows.key, rows.doc, rows.tag
+        row, place = rows.windows()
+        at = rows.start[row] + place
         group = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
-        carried = len(held_tag) if held_key == key[0] else 0
-        w_group = np.concatenate([np.zeros(carried, np.int64), group[row]])
-        w_tag = np.concatenate([held_tag[:carried], tag])
-        w_doc = np.concatenate([held_doc[:carried], doc[row]])
-        order = np.lexsort((np.arange(len(w_tag)), w_tag, w_group))  # equal windows in the order of documents
+        g, w_doc = group[row], doc[row]
+        order = np.lexsort((np.arange(len(tag)), tag, g))  # equal windows in the order of documents
         new = np.ones(len(order), dtype=bool)
-        g, t = w_group[order], w_tag[order]
-        new[1:] = (g[1:] != g[:-1]) | (t[1:] != t[:-1])
-        leader = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+        new[1:] = (g[order[1:]] != g[order[:-1]]) | (tag[order[1:]] != tag[order[:-1]])
+        first = order[new]  # of each distinct window, by (group, tag)
+        least = w_doc[first].copy()
+        old = np.zeros(len(first), dtype=bool)
+        if seen.key == key[0]:
+            carried = int(np.searchsorted(g[first], 1))
+            old[:carried], earlier = seen.documents(tag[first[:carried]])
+            least[:carried] = np.where(old[:carried], earlier, least[:carried])
+        else:
+            seen = Seen(key[0])
+        if key[-1] != seen.key:
+            seen = Seen(key[-1])
+        last = (g[first] == group[-1]) & ~old
+        seen.add(tag[first[last]], least[last])
         later = np.zeros(len(order), dtype=bool)
-        later[order] = w_doc[order] > w_doc[leader]
-        last = new & (g == group[-1])
-        held_key, held_tag, held_doc = key[-1], t[last], w_doc[order[last]]
-        hit = np.flatnonzero(later[carried:])
+        later[order] = w_doc[order] > least[np.cumsum(new) - 1]
+        hit = np.flatnonzero(later)
         if len(hit):
             r, p = row[hit], at[hit]
             cut = np.ones(len(hit), dtype=bool)
@@ -245,10 +401,15 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array((p[b] + WINDOW).astype(np.int32)), pa.array(C.signed(check))], schema=_SPANS)
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, spans): for each doc_id with repeated windows, the word spans [a, b) to remove and their checks, unordered and overlapping."""
-    rows = C.id_and_text(docs).mapInArrow(_anchors, "key long, doc_id long, start int, tags binary")
-    rows = rows.repartition("key").sortWithinPartitions("key", "doc_id")
+def repeated_spans(docs: DataFrame, buckets: int | None = None) -> DataFrame:
+    """(doc_id, spans): for each doc_id with repeated windows, the word spans [a, b) to remove and their checks, unordered and overlapping.
+
+    ``buckets`` should grow with the data; four for each of the session's shuffle partitions by default.
+    """
+    spark = docs.sparkSession
+    buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = C.id_and_text(docs).mapInArrow(_packed(buckets, hot_keys(docs, buckets)), "bucket int, keys binary, places binary, tags binary")
+    rows = rows.repartition("bucket").mapInArrow(_unpacked, "key long, doc_id long, start int, tags binary").sortWithinPartitions("key", "doc_id")
     spans = rows.mapInArrow(_repeats, "doc_id long, a int, b int, check long")
     return spans.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b", "check")).alias("spans"))
 

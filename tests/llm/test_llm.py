@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -246,6 +247,44 @@ def test_substring_dedup_tells_apart_windows_that_agree_in_40_bits(spark):
     assert {r.doc_id: r.n_removed for r in got} == {**dict.fromkeys(range(6), 0), 6: 13}
 
 
+def test_substring_dedup_splits_frequent_keys_and_packs_rows(spark):
+    rng = np.random.default_rng(8)
+    foot = "all rights to this page and its pictures belong to the river"
+    rows = [(i, " ".join([f"w{x}" for x in rng.integers(0, 9, 30)] + [foot] + [f"v{x}" for x in rng.integers(0, 3, 12)])) for i in range(300)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    hot = substring_dedup.hot_keys(table, 64)
+    anchors = [substring_dedup.anchor_rows(pa.RecordBatch.from_pydict({"doc_id": [i], "text": [t]})) for i, t in rows]
+    found = substring_dedup.Rows.joined([substring_dedup.Rows.of(b) for b in anchors])
+    counts = {}
+    for k, n in zip(found.key.tolist(), found.count.tolist(), strict=True):
+        counts[k] = counts.get(k, 0) + n
+    assert 0 < len(hot) <= 64 and {k for k, n in counts.items() if n >= 2 * len(found.tag) / 64} <= set(hot.tolist())
+    split = found.split(hot)
+    assert not set(split.key.tolist()) & set(hot.tolist()) and split.tag.tobytes() == found.tag.tobytes() and split.count.sum() == found.count.sum()
+    want = {i: (b, a) for i, (b, a, _) in _dedup(rows).items()}
+    for buckets in (1, 3, 64, 4096):
+        spans = {r.doc_id: r.spans for r in substring_dedup.repeated_spans(table, buckets).collect()}
+        for i, t in rows:
+            gone = substring_dedup._removed(t, [s.asDict() for s in spans[i]])[1].sum() if i in spans else 0
+            assert gone == want[i][1]
+
+
+def test_substring_dedup_of_a_million_windows_under_one_key_takes_the_time_of_a_sort():
+    rng = np.random.default_rng(9)
+    tag = rng.integers(0, 1 << 63, 1_000_000, dtype=np.uint64)
+    tag[900_000:] = tag[rng.integers(0, 900_000, 100_000)]  # late documents repeat early windows
+    rows = lambda n: [substring_dedup.Rows(np.zeros(2000, np.int64), np.arange(a, a + 2000), np.zeros(2000, np.int32), np.ones(2000, np.int64),
+                                           tag[len(tag) - n + a:len(tag) - n + a + 2000]).batch() for a in range(0, n, 2000)]
+    spent = []
+    for n in (250_000, 1_000_000):
+        batches, began = rows(n), time.process_time()
+        found = [d for b in substring_dedup._repeats(iter(batches)) for d in b.column("doc_id").to_pylist()]
+        spent.append(time.process_time() - began)
+    first = {}
+    want = [i for i, t in enumerate(tag.tolist()) if first.setdefault(t, i) < i]
+    assert sorted(found) == want and spent[1] < 12 * spent[0] + 1
+
+
 def test_substring_dedup_of_two_texts_under_one_id(spark):
     a, b, c = (" ".join(f"{x}{k}" for k in range(20)) for x in "abc")
     rows = [(1, a), (1, b), (2, f"{c} {a} end"), (2, "short one"), (2, None), (2, ""), (2, f"{c} {c} {c}"), (2, f"{b} more words"), (3, f"{c} stays not")]
