@@ -20,6 +20,7 @@ all count; a document without a match has empty labels, null places and the scor
 from __future__ import annotations
 
 import math
+import string
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,8 +79,9 @@ def hit_table(docs: DataFrame) -> DataFrame:
     vocabulary = sorted({w for t in templates() for w in t["distinct"]})
     docs = docs.withColumn("words", F.array_remove(F.split(F.coalesce("text", F.lit("")), NOT_A_WORD), ""))
     quoted = ", ".join(f"'{w}'" for w in vocabulary)
-    hits = F.expr(f"filter(transform(words, (w, i) -> IF(length(w) <= {max(map(len, vocabulary))} AND lower(w) IN ({quoted}), "
-                  "named_struct('pos', i, 'word', lower(w)), NULL)), h -> h IS NOT NULL)")
+    folded = f"translate(w, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"  # lower() would also fold letters beyond A-Z
+    hits = F.expr(f"filter(transform(words, (w, i) -> IF(length(w) <= {max(map(len, vocabulary))} AND {folded} IN ({quoted}), "
+                  f"named_struct('pos', i, 'word', {folded}), NULL)), h -> h IS NOT NULL)")
     return docs.select("doc_id", "row", F.size("words").cast("long").alias("n_words"), hits.alias("hits"))
 
 
