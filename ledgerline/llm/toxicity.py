@@ -1,6 +1,6 @@
 """Toxicity: a counterfactually regularised logistic classifier over word presence.
 
-Learned on the driver from a bounded sample of labelled rows (SAMPLE rows, texts up to
+Learned in one task from a bounded sample of labelled rows (SAMPLE rows, texts up to
 SAMPLE_CHARS code points, chosen by a hash of doc_id; rows with remainder 2 are held out).
 Words and word beginnings whose presence goes with the label beyond chance become features, identity terms always
 do. Each labelled sentence with an identity term is paired with copies that hold a term of
@@ -34,11 +34,20 @@ FEATURES = 2_000       # words and stems with a weight, identity terms aside
 STEM = 6               # bytes of a stem
 THRESHOLD = 0.3
 PAIRS = 4_000          # counterfactual pairs
-PENALTY = 4.0          # weight of the squared score changes
-# Terms of social groups that are swapped for one another.
-IDENTITY = ("women men girls boys gay lesbian straight bisexual transgender black white asian latino african european american mexican "
-            "indian chinese muslim muslims christian christians jewish jews hindu buddhist atheist catholic immigrant immigrants refugees "
-            "disabled deaf blind old young feminist feminists").split()
+PENALTY = 16.0         # weight of the squared score changes: at 4, terms in biased labels still carry neutral texts over the threshold
+# Terms of social groups, by language; a term is swapped for others of its language.
+IDENTITY = {
+    "en": ("women men girls boys gay lesbian straight bisexual transgender black white asian latino african european american mexican "
+           "indian chinese muslim muslims christian christians jewish jews hindu buddhist atheist catholic immigrant immigrants refugees "
+           "disabled deaf blind old young feminist feminists").split(),
+    "fr": ("femmes hommes filles gay lesbienne noirs blancs africains arabes asiatiques chinois musulman musulmans chrétien chrétiens juif juifs "
+           "bouddhiste athée catholique immigrés réfugiés handicapés sourds aveugles vieux jeunes féministes").split(),
+    "de": ("frauen männer mädchen jungen schwul lesbisch schwarze weiße afrikaner asiaten chinesen türken muslim muslime christ christen jude juden "
+           "buddhist atheist katholik einwanderer flüchtlinge behinderte gehörlose blinde alte junge feministin").split(),
+    "es": ("mujeres hombres chicas chicos gay lesbiana negros blancos africanos asiáticos latinos chinos musulmán musulmanes cristiano cristianos "
+           "judío judíos budista ateo católico inmigrantes refugiados discapacitados sordos ciegos viejos jóvenes feministas").split(),
+}
+TERMS = sorted({w for words in IDENTITY.values() for w in words})
 
 
 def held_out() -> Column:
@@ -79,19 +88,21 @@ class Toxicity:
 def counterfactuals(texts: list[str], seed: int = 3) -> list[tuple[str, str]]:
     """(sentence, the same with another group's term): swapped where a term stands, inserted in sentences of a sample of texts."""
     rng = np.random.default_rng(seed)
-    term = re.compile(r"\b(" + "|".join(IDENTITY) + r")\b", re.IGNORECASE)
+    term = re.compile(r"\b(" + "|".join(TERMS) + r")\b", re.IGNORECASE)
+    others = {w: sorted({o for words in IDENTITY.values() if w in words for o in words} - {w}) for w in TERMS}
+    swap = lambda s: term.sub(lambda m: str(rng.choice(others[m[0].lower()])), s)
     sentences = lambda text: [s.strip() for s in re.split(r"[.!?\n]+", text) if s.strip()]
     pairs = []
     for text in texts:
         if len(pairs) >= PAIRS // 2:
             break
         if term.search(text):
-            pairs += [(s, term.sub(str(other), s)) for s in sentences(text) if term.search(s) for other in rng.choice(IDENTITY, 2)]
+            pairs += [(s, swap(s)) for s in sentences(text) if term.search(s) for _ in range(2)]
     plain = [s for k in rng.permutation(len(texts))[:400].tolist() for s in sentences(texts[k]) if not term.search(s)]
     for k in rng.permutation(len(plain))[:max(0, PAIRS - len(pairs))].tolist():
         words = plain[k].split()
         i = int(rng.integers(0, len(words) + 1))
-        pairs.append((plain[k], " ".join([*words[:i], str(rng.choice(IDENTITY)), *words[i:]])))
+        pairs.append((plain[k], " ".join([*words[:i], str(rng.choice(TERMS)), *words[i:]])))
     return pairs
 
 
@@ -109,7 +120,7 @@ def _rows(texts: list[str], hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate(rows), np.concatenate(cols)
 
 
-def train(texts: list[str], labels: np.ndarray) -> Toxicity:
+def train(texts: list[str], labels: np.ndarray, penalty: float = PENALTY) -> Toxicity:
     """Logistic regression with L2 and the counterfactual penalty, by Adam on all rows."""
     found, marked = [], []  # the distinct words of each text, and its label
     for a in range(0, len(texts), 500):
@@ -136,7 +147,7 @@ def train(texts: list[str], labels: np.ndarray) -> Toxicity:
     p = (c0 + c1 + 1) / (n[0] + n[1] + 2)
     z = (c1 / n[1] - c0 / n[0]) / np.sqrt(p * (1 - p) * (1 / n[0] + 1 / n[1]))
     best = [i for i in np.argsort(-np.abs(z))[:FEATURES].tolist() if abs(z[i]) >= 6]
-    identity = C.word_hashes(*_one_per_word(IDENTITY))
+    identity = C.word_hashes(*_one_per_word(TERMS))
     hashes = np.unique(np.concatenate([words[best], identity]))
     rows, cols = _rows(texts, hashes)
     pairs = counterfactuals(texts)
@@ -153,7 +164,7 @@ def train(texts: list[str], labels: np.ndarray) -> Toxicity:
         grad[:-1] += 1e-4 * params[:-1]
         if pairs:
             sa, sb = sigmoid(total(a_rows, a_cols, len(pairs))), sigmoid(total(b_rows, b_cols, len(pairs)))
-            push = 2 * PENALTY * (sa - sb) / len(pairs)
+            push = 2 * penalty * (sa - sb) / len(pairs)
             ga, gb = push * sa * (1 - sa), -push * sb * (1 - sb)
             grad[:-1] += np.bincount(a_cols, ga[a_rows], minlength=len(hashes)) + np.bincount(b_cols, gb[b_rows], minlength=len(hashes))
             grad[-1] += ga.sum() + gb.sum()
