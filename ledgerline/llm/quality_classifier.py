@@ -5,7 +5,8 @@ byte kinds and punctuation, word lengths and repetition; the metadata view has s
 the stated length, and the page's lines. Values are cut into bins at quantiles of the sample.
 Rounds: each classifier labels a pool of unlabelled documents and hands its most confident
 ones, as many of each label as the labelled rows' proportions ask for, to the other as
-training rows. After the last round each view's scores are calibrated (Platt) on labelled rows
+training rows; only documents beyond the score from which its labels are right for PRECISION
+of the rows kept back, so a view that cannot tell hands nothing over. After the last round each view's scores are calibrated (Platt) on labelled rows
 kept back for it, and the views' calibrated log-odds, less the prior's that both hold, score
 every document together.
 
@@ -35,7 +36,10 @@ POOL = 8_000
 ROUNDS = 5
 GROW = 0.05            # share of the pool that each view hands over in a round
 BINS = 8
-CATEGORIES = 64        # hashed values of source and of lang
+PRECISION = 0.98       # share of right labels, on rows kept back, that a handed-over score must reach
+SUPPORT = 20           # rows kept back that must bear it out
+CATEGORIES = 1_024     # values of source and of lang that have a weight of their own, the most frequent of the sample
+SELDOM = 5             # rows of the sample that a value must have; all others share one weight
 THRESHOLD = 0.5
 N_TEXT, N_META = 44, 4
 
@@ -46,7 +50,7 @@ def held_out() -> Column:
 
 
 def _views(chunk: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Content and metadata numbers of each row of a chunk; the last two metadata columns are hashed categories."""
+    """Content and metadata numbers of each row of a chunk; the last two metadata columns are hashes of categories."""
     data, offsets = C.text_buffer(chunk.column("text"))
     rows, size = chunk.num_rows, np.diff(offsets)
     owner = np.repeat(np.arange(rows), size)
@@ -70,7 +74,7 @@ def _views(chunk: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     content = np.pad(content, ((0, 0), (0, N_TEXT - content.shape[1])))
     lines = kinds[:, 10] + 1
     stated = np.asarray(chunk.column("n_chars").fill_null(0), dtype=float)
-    category = lambda c: np.array([xxhash.xxh32_intdigest("" if v is None else "=" + v) % CATEGORIES for v in chunk.column(c).to_pylist()], dtype=float)
+    category = lambda c: np.array([xxhash.xxh64_intdigest("" if v is None else "=" + v) >> 12 for v in chunk.column(c).to_pylist()], dtype=float)
     meta = np.column_stack([np.log1p(np.maximum(stated, 0)), np.log1p(lines), category("source"), category("lang")])
     return content, meta
 
@@ -83,20 +87,41 @@ def _unique_owner(owner: np.ndarray, x: np.ndarray) -> np.ndarray:
     return owner[new]
 
 
+def _frequent_values(x: np.ndarray) -> np.ndarray:
+    """Sorted values with SELDOM rows or more, at most CATEGORIES."""
+    values, count = np.unique(x, return_counts=True)
+    often = np.flatnonzero(count >= SELDOM)
+    return values[np.sort(often[np.argsort(-count[often], kind="stable")[:CATEGORIES]])]
+
+
+def trusted(z: np.ndarray, right: np.ndarray) -> float:
+    """The least score from which at least PRECISION of the rows, SUPPORT of them or more, are right; infinite where there is none."""
+    order = np.argsort(-z, kind="stable")
+    share = np.cumsum(right[order]) / np.arange(1, len(z) + 1)
+    whole = np.append(z[order][1:] != z[order][:-1], True) if len(z) else np.empty(0, bool)  # equal scores go together
+    good = np.flatnonzero((share >= PRECISION) & whole & (np.arange(1, len(z) + 1) >= SUPPORT))
+    return float(z[order][good[-1]]) if len(good) else np.inf
+
+
 class View:
     """A logistic classifier over binned numbers and categories, with a calibration of its log-odds."""
 
     def __init__(self, sample: np.ndarray, categories: int):
         numbers = sample.shape[1] - categories
         self.edges = [np.unique(np.quantile(sample[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(numbers)]
-        self.categories = categories
+        self.values = [_frequent_values(sample[:, numbers + k]) for k in range(categories)]
         self.slope, self.shift = 1.0, 0.0
-        self.weights = np.zeros(numbers * BINS + categories * CATEGORIES + 1)
+        self.weights = np.zeros(numbers * BINS + sum(len(v) + 1 for v in self.values) + 1)
 
     def columns(self, x: np.ndarray) -> np.ndarray:
         numbers = len(self.edges)
         cols = [np.searchsorted(e, x[:, j], side="right") + j * BINS for j, e in enumerate(self.edges)]
-        cols += [x[:, numbers + k].astype(np.int64) + numbers * BINS + k * CATEGORIES for k in range(self.categories)]
+        base = numbers * BINS
+        for k, known in enumerate(self.values):
+            value = x[:, numbers + k]
+            at = np.minimum(np.searchsorted(known, value), max(len(known) - 1, 0))
+            cols.append(base + np.where(known[at] == value, at, len(known)) if len(known) else np.full(len(x), base))
+            base += len(known) + 1
         return np.column_stack(cols)
 
     def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 200) -> None:
@@ -131,7 +156,7 @@ class View:
 
 
 class CoTraining:
-    def __init__(self, content: np.ndarray, meta: np.ndarray, y: np.ndarray, back: np.ndarray):
+    def __init__(self, content: np.ndarray, meta: np.ndarray, y: np.ndarray, back: np.ndarray, rounds: int = ROUNDS):
         """``y`` is 1, 0, or -1 for the pool; ``back`` marks labelled rows kept for calibration."""
         self.views = [View(content, 0), View(meta, 2)]
         x = [content, meta]
@@ -139,16 +164,18 @@ class CoTraining:
         own = [np.flatnonzero((y >= 0) & ~back)] * 2
         labels = [y.copy(), y.copy()]
         share = y[own[0]].mean()
-        for _ in range(ROUNDS):
+        for _ in range(rounds):
             for k in (0, 1):
                 self.views[k].fit(x[k][own[k]], labels[k][own[k]])
             handed = []
             for k in (0, 1):
                 free = pool[~np.isin(pool, own[1 - k])]
-                order = free[np.argsort(self.views[k].raw(x[k][free]), kind="stable")]
-                take = int(GROW * len(pool))
-                bad, good = order[:round(take * (1 - share))], order[len(order) - round(take * share):]
-                handed.append((bad, good))
+                z = self.views[k].raw(x[k][free])
+                order, z = free[np.argsort(z, kind="stable")], np.sort(z)
+                held = self.views[k].raw(x[k][back])
+                n_bad, n_good = int((-z >= trusted(-held, y[back] == 0)).sum()), int((z >= trusted(held, y[back] == 1)).sum())
+                take = min(GROW * len(pool), n_bad / (1 - share), n_good / share)  # both labels in proportion
+                handed.append((order[:int(take * (1 - share))], order[len(order) - int(take * share):]))
             for k, (bad, good) in enumerate(handed):
                 labels[1 - k][bad], labels[1 - k][good] = 0, 1
                 own[1 - k] = np.unique(np.concatenate([own[1 - k], bad, good]))
