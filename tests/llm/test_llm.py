@@ -338,6 +338,13 @@ def test_best_fit_takes_the_tightest_bin_and_closes_the_fullest():
     assert [b.put(n) for n in (6, 7, 8)][-1] == (2, 0) and b.open == 2 and b.put(2) == (1, 7)
 
 
+def test_license_words_fold_a_to_z_only(spark):
+    phrase = "this work is licensed under a creative commons attribution 4 0 international license"
+    rows = [(1, phrase.upper()), (2, phrase.replace("work", "wor\u212a")), (3, phrase.replace("work", "word"))]
+    got = {r.doc_id: r.score for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == 1.0 and got[2] == got[3] < 1.0
+
+
 def test_toxicity(spark, docs, nothing):
     rng = np.random.default_rng(3)
     rows, marks = [], []
@@ -362,6 +369,53 @@ def test_toxicity(spark, docs, nothing):
     assert toxicity.score_documents(nothing, labels).count() == 0
 
 
+def test_toxicity_penalty_lowers_false_positives_on_group_mentions():
+    rng = np.random.default_rng(11)
+    plain = ["sun", "tree", "river", "house", "walk", "read", "garten", "maison", "casa"]
+    texts, labels = [], []
+    for _ in range(2000):  # labels biased against two terms: texts that hold one are nearly always marked
+        toxic = int(rng.random() < 0.3)
+        w = list(rng.choice(plain, 15)) + (["idiot"] if toxic and rng.random() < 0.5 else [])
+        w += ["muslim" if rng.random() < 0.5 else "juden"] if rng.random() < (0.5 if toxic else 0.02) else []
+        texts.append(" ".join(rng.permutation(w)) + ".")
+        labels.append(toxic)
+    neutral = pa.array([" ".join(["the", t, *rng.choice(plain, 8)]) for t in ("muslim", "juden") for _ in range(200)])
+    insults = pa.array([" ".join(["you", "idiot", *rng.choice(plain, 8)]) for _ in range(200)])
+    marked = {}
+    for penalty in (0.0, toxicity.PENALTY):
+        model = toxicity.train(texts, np.array(labels), penalty)
+        marked[penalty] = (model.score(neutral) >= toxicity.THRESHOLD).mean()
+        assert (model.score(insults) >= toxicity.THRESHOLD).mean() > 0.95
+    assert marked[0.0] > 0.9 and marked[toxicity.PENALTY] < 0.2
+    # A plain loop over words and stems gives the same scores.
+    weight = dict(zip(model.hashes.tolist(), model.weights.tolist(), strict=True))
+    for text in ["The Muslim women read.", "", "an idiot's garten", "Idiotische Häuser am Fluss"]:
+        hashes = set(toxicity.hash_words(pa.array([text]))[1].tolist())
+        z = model.bias + sum(weight.get(h, 0.0) for h in hashes)
+        assert abs(model.score(pa.array([text]))[0] - 1 / (1 + np.exp(-z))) < 1e-9
+    assert {b.split()[0] for _, b in toxicity.counterfactuals(["Juden lesen."])} & set(toxicity.IDENTITY["de"])
+
+
+def test_quality_exchange_is_no_worse_than_none():
+    rng = np.random.default_rng(12)
+    area = lambda z, y: (z[y == 1][:, None] > z[y == 0][None, :]).mean()
+    for told in (0.0, 0.8):  # a blind metadata view, and one that tells most
+        y = (rng.random(6000) < 0.85).astype(np.int64)
+        content = np.pad(np.column_stack([rng.normal(y * 2.5), rng.normal(y * 1.5)]), ((0, 0), (0, quality_classifier.N_TEXT - 2)))
+        source = np.where(rng.random(6000) < told, y * 10, 0) + rng.integers(0, 10, 6000)
+        meta = np.column_stack([rng.normal(size=6000), rng.normal(size=6000), source, rng.integers(0, 3, 6000)]).astype(float)
+        known = np.where(np.arange(6000) < 600, y, -1)
+        known[3000:] = -1
+        back = (known >= 0) & (np.arange(6000) % 3 == 0)
+        scores = {}
+        for rounds in (0, quality_classifier.ROUNDS):
+            model = quality_classifier.CoTraining(content[:3000], meta[:3000], known[:3000], back[:3000], rounds)
+            scores[rounds] = [area(s, y[3000:]) for s in model.score(content[3000:], meta[3000:])]
+        assert scores[quality_classifier.ROUNDS][2] >= scores[0][0] - 0.005, scores
+    z, right = np.array([5.0, 4, 3, 2, 1] * 10), np.array([1, 1, 1, 0, 0] * 10)
+    assert quality_classifier.trusted(z, right == 1) == 3 and quality_classifier.trusted(z, right == 0) == np.inf
+
+
 def test_quality_classifier(spark, docs, nothing):
     rng = np.random.default_rng(5)
     rows, marks = [], []
