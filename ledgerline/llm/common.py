@@ -182,6 +182,8 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
 
 def release() -> None:
     """Give freed memory back to the system: Spark keeps a Python worker for later tasks, with all it ever held."""
+    for name in [k for k, v in _powers.items() if len(v) > CHUNK_BYTES + 1024]:  # grown for one long text
+        del _powers[name]
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:
@@ -190,6 +192,14 @@ def release() -> None:
         pass
 
 
+def freeing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, whose worker gives its freed memory back at the end of a task, so that a later stage finds it."""
+    def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+    return freed
+
+
 def fit_in_task(sample: DataFrame, fit: Callable[[pa.Table], object]) -> object:
     """``fit`` on a bounded sample, run in one task; only what it returns comes to the driver.
 

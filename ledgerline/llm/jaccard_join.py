@@ -151,7 +151,7 @@ def _add_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def shingle_counters(seen: DataFrame) -> np.ndarray:
     """All documents' counters, added up by rows of CELL_ROW in the tasks; CELLS numbers reach the driver."""
-    rows = seen.where("kind = 1").select("id", "data").repartition("id").mapInArrow(_add_cells, "id long, data binary").collect()
+    rows = seen.where("kind = 1").select("id", "data").repartition("id").mapInArrow(C.freeing(_add_cells), "id long, data binary").collect()
     cells = np.zeros(CELLS, dtype=np.uint32)
     for r in rows:
         part = cells[r["id"] * CELL_ROW:(r["id"] + 1) * CELL_ROW]
@@ -390,22 +390,22 @@ def verified_links(sets: DataFrame) -> DataFrame:
             .union(left.where("NOT linked").select("comp", ask.alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"),
                                                    "cls", F.lit(True).alias("asks"), "shingles")))
     rows = rows.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "cls")
-    return rows.mapInArrow(_search_blocks, "a long, b long").union(star.where("linked AND cls != p").select("cls", "p"))
+    return rows.mapInArrow(C.freeing(_search_blocks), "a long, b long").union(star.where("linked AND cls != p").select("cls", "p"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (columns doc_id, text; others are ignored)."""
     docs = C.id_and_text(docs)
     spark: SparkSession = docs.sparkSession
-    seen = C.materialise(docs.mapInArrow(_summaries, "kind int, id long, n long, cls long, data binary"), "summaries")
+    seen = C.materialise(docs.mapInArrow(C.freeing(_summaries), "kind int, id long, n long, cls long, data binary"), "summaries")
     rows = seen.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "cls")
-    keys = docs.mapInArrow(_prefixes(spark.sparkContext.broadcast(shingle_counters(seen))), "key long, n int, cls long")
-    pairs = keys.repartition("key").sortWithinPartitions("key", "n", "cls").mapInArrow(_bucket_pairs, "a long, b long, sure boolean")
+    keys = docs.mapInArrow(C.freeing(_prefixes(spark.sparkContext.broadcast(shingle_counters(seen)))), "key long, n int, cls long")
+    pairs = keys.repartition("key").sortWithinPartitions("key", "n", "cls").mapInArrow(C.freeing(_bucket_pairs), "a long, b long, sure boolean")
     pairs = pairs.groupBy("a", "b").agg(F.max("sure").alias("sure"))
     points = seen.where("kind = 0 AND data IS NOT NULL").groupBy("cls").agg(F.max("n").alias("n"), F.max("data").alias("data"))
     pairs = (pairs.join(points.select(F.col("cls").alias("a"), "n", F.col("data").alias("x")), "a")
              .join(points.select(F.col("cls").alias("b"), F.col("n").alias("m"), F.col("data").alias("y")), "b"))
-    comps = connected_components(pairs.mapInArrow(_bounded, "a long, b long"), "a", "b").withColumnRenamed("component", "comp")
+    comps = connected_components(pairs.mapInArrow(C.freeing(_bounded), "a long, b long"), "a", "b").withColumnRenamed("component", "comp")
 
     reps = rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"))
     cand = comps.withColumnRenamed("node", "cls").join(reps, "cls")
@@ -413,9 +413,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     cand = cand.join(sizes, "comp").select(F.col("rep").alias("doc_id"), "cls", "comp", "blocks")
     texts = docs.join(cand, "doc_id").select("cls", "comp", "blocks", "text")
     # A class that only rows without a doc_id have is fetched by the class itself.
-    nameless = docs.where("doc_id IS NULL").mapInArrow(_class_texts, "cls long, text string").dropDuplicates(["cls"])
+    nameless = docs.where("doc_id IS NULL").mapInArrow(C.freeing(_class_texts), "cls long, text string").dropDuplicates(["cls"])
     texts = texts.union(nameless.join(cand.where("doc_id IS NULL"), "cls").select("cls", "comp", "blocks", "text"))
-    sets = C.materialise(texts.mapInArrow(_candidate_sets, "cls long, comp long, blocks int, shingles array<long>"), "sets")
+    sets = C.materialise(texts.mapInArrow(C.freeing(_candidate_sets), "cls long, comp long, blocks int, shingles array<long>"), "sets")
 
     linked = connected_components(verified_links(sets), "a", "b").withColumnRenamed("node", "cls")
     least_doc = linked.join(reps, "cls").groupBy("component").agg(F.min("rep").alias("least"))

@@ -220,7 +220,7 @@ def in_known_language(docs: DataFrame, least: float = KEEP) -> DataFrame:
     net = learn(docs)
     if net is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    return docs.mapInArrow(_keep(docs.sparkSession.sparkContext.broadcast(net), least), docs.schema)
+    return docs.mapInArrow(C.freeing(_keep(docs.sparkSession.sparkContext.broadcast(net), least)), docs.schema)
 
 
 def _keep(shared, least: float):

@@ -284,7 +284,7 @@ def _frequent(size: int):
 
 def hot_keys(docs: DataFrame, size: int) -> np.ndarray:
     """Sorted keys with a ``size``-th of all windows or more; all with twice that share are found, at most ``size`` come back."""
-    parts = C.id_and_text(docs).mapInArrow(_frequent(size), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    parts = C.id_and_text(docs).mapInArrow(C.freeing(_frequent(size)), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     parts = C.materialise(parts, "window-keys")
     n = parts.where("key IS NULL").agg(F.sum("n")).first()[0] or 0
     return np.sort(np.array([r["key"] for r in parts.where(F.col("key").isNotNull() & (F.col("n") * size >= n)).collect()], np.int64))
@@ -408,9 +408,9 @@ def repeated_spans(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     """
     spark = docs.sparkSession
     buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = C.id_and_text(docs).mapInArrow(_packed(buckets, hot_keys(docs, buckets)), "bucket int, keys binary, places binary, tags binary")
-    rows = rows.repartition("bucket").mapInArrow(_unpacked, "key long, doc_id long, start int, tags binary").sortWithinPartitions("key", "doc_id")
-    spans = rows.mapInArrow(_repeats, "doc_id long, a int, b int, check long")
+    rows = C.id_and_text(docs).mapInArrow(C.freeing(_packed(buckets, hot_keys(docs, buckets))), "bucket int, keys binary, places binary, tags binary")
+    rows = rows.repartition("bucket").mapInArrow(C.freeing(_unpacked), "key long, doc_id long, start int, tags binary").sortWithinPartitions("key", "doc_id")
+    spans = rows.mapInArrow(C.freeing(_repeats), "doc_id long, a int, b int, check long")
     return spans.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b", "check")).alias("spans"))
 
 
@@ -451,7 +451,7 @@ def digests(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) for every row."""
     spans = repeated_spans(docs)
     return (C.id_and_text(docs).join(spans, "doc_id", "left").select("doc_id", "text", "spans")
-            .mapInArrow(_digests, "doc_id long, n_words long, n_removed long, kept_sha256 string"))
+            .mapInArrow(C.freeing(_digests), "doc_id long, n_words long, n_removed long, kept_sha256 string"))
 
 
 def _cut_texts(spans_name: str, kept: list[str]):
@@ -482,7 +482,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     spans = repeated_spans(docs).select(F.col("doc_id").alias(id_name), F.col("spans").alias(spans_name))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     cut = docs.withColumn(id_name, F.col("doc_id").cast("long")).join(spans, id_name, "left")
-    cut = cut.select(*docs.columns, spans_name).mapInArrow(_cut_texts(spans_name, docs.columns), schema)
+    cut = cut.select(*docs.columns, spans_name).mapInArrow(C.freeing(_cut_texts(spans_name, docs.columns)), schema)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
 
 

@@ -228,7 +228,7 @@ def _keep(shared):
 def not_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Pipeline stage: rows of ``docs`` below the threshold."""
     model = learn(docs, labels)
-    return docs if model is None else docs.mapInArrow(_keep(docs.sparkSession.sparkContext.broadcast(model)), docs.schema)
+    return docs if model is None else docs.mapInArrow(C.freeing(_keep(docs.sparkSession.sparkContext.broadcast(model))), docs.schema)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
