@@ -19,6 +19,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +33,20 @@ from ledgerline.llm import common as C
 SEQUENCE = 2048
 OPEN = 256               # bins open at a time
 PIECES_A_PACKER = 60_000
-CACHE_WORDS = 600_000    # words that a worker remembers
-CACHE_TOKENS = 800_000   # pre-tokens that a worker remembers
 END = 0
-CHUNK_BYTES = 12 << 20   # text whose distinct words are looked up together
 
-_loaded: dict[str, WordEncoder] = {}
+
+class Room(NamedTuple):
+    """What a worker may hold: words and pre-tokens that it remembers, and bytes of text whose distinct words are looked up together."""
+    words: int
+    tokens: int
+    chunk: int
+
+
+ROOMY = Room(600_000, 800_000, 12 << 20)  # about 330 MB
+LEAN = Room(200_000, 300_000, 6 << 20)    # about 170 MB, a fifth more CPU time; beside other stages' workers
+
+_loaded: dict[tuple[str, Room], WordEncoder] = {}
 
 
 class WordEncoder:
@@ -53,9 +62,10 @@ class WordEncoder:
     PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
     MARK = "\x01"
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, room: Room = ROOMY):
         from tokenizers import Tokenizer
 
+        self.room = room
         self.tokenizer = Tokenizer.from_str(vocabulary)
         rules = json.loads(vocabulary)
         split = rules["pre_tokenizer"]["pretokenizers"][0]
@@ -83,7 +93,7 @@ class WordEncoder:
             self.tokens.update(zip(some, [raw[a:b] for a, b in zip([0, *[c + 4 for c in cut]], [*cut, len(raw)], strict=True)], strict=True))
 
     def _learn(self, new: list[str]) -> None:
-        if len(self.tokens) > CACHE_TOKENS:
+        if len(self.tokens) > self.room.tokens:
             self.tokens.clear()
         plain = {w: self.find(w.lower()) for w in new if self.PLAIN.fullmatch(w) and not self.added.search(w)}
         self._encode(list({t for parts in plain.values() for t in parts if t not in self.tokens}))
@@ -98,7 +108,7 @@ class WordEncoder:
         split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, "").cast(pa.large_string()), "\n", " "), " ")
         words = split.flatten().dictionary_encode()
         names, at = words.dictionary.to_pylist(), words.indices.to_numpy()
-        if len(self.words) > CACHE_WORDS:
+        if len(self.words) > self.room.words:
             self.words.clear()
         known = self.words
         self._learn([w for w in names if w not in known])
@@ -113,11 +123,11 @@ class WordEncoder:
         return ids, total[ends - ends[0]]
 
 
-def _encoder(vocabulary: str) -> WordEncoder:
+def _encoder(vocabulary: str, room: Room) -> WordEncoder:
     """The encoder of this worker."""
-    if vocabulary not in _loaded:
-        _loaded[vocabulary] = WordEncoder(vocabulary)
-    return _loaded[vocabulary]
+    if (vocabulary, room) not in _loaded:
+        _loaded[vocabulary, room] = WordEncoder(vocabulary, room)
+    return _loaded[vocabulary, room]
 
 
 _PIECES = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
@@ -125,12 +135,12 @@ _PLACED = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa
                      ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
 
-def _pieces(shared):
+def _pieces(shared, room: Room):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([END], dtype="<u4").tobytes()
-        encoder = _encoder(shared.value)
+        encoder = _encoder(shared.value, room)
         for batch in C.table(batches):
-            for chunk in C.text_chunks(batch, CHUNK_BYTES):
+            for chunk in C.text_chunks(batch, room.chunk):
                 out = []
                 ids, first = encoder.encode(chunk.column("text"))
                 raw = memoryview(ids).cast("B")
@@ -191,11 +201,11 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in _PLACED.names[:5]], pa.array(seq, pa.int64()), pa.array(offset, pa.int64())], schema=_PLACED)
 
 
-def pack_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, room: Room = ROOMY) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for every piece of every row. ``vocabulary``: the tokenizer's JSON."""
     docs = C.id_and_text(docs)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    pieces = C.materialise(docs.mapInArrow(_pieces(shared), "doc_id long, row long, piece int, start long, length long, ids_crc32 long"), "pieces")
+    pieces = C.materialise(docs.mapInArrow(_pieces(shared, room), "doc_id long, row long, piece int, start long, length long, ids_crc32 long"), "pieces")
     packers = max(1, round(pieces.count() / PIECES_A_PACKER))
     rows = pieces.withColumn("packer", F.pmod(F.xxhash64("doc_id", "row", "piece"), F.lit(packers)))
     rows = rows.repartition(packers, "packer").sortWithinPartitions("packer", F.xxhash64("piece", "doc_id", "row"), "doc_id", "row", "piece")

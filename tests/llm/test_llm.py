@@ -317,6 +317,8 @@ def test_packing(docs, nothing):
         places.sort()
         assert [o for o, _ in places] == [sum(n for _, n in places[:k]) for k in range(len(places))] and sum(n for _, n in places) <= 2048
     assert best_fit_packing.pack_documents(nothing, best_fit_packing.read_vocabulary()).count() == 0
+    tight = best_fit_packing.Room(2, 2, 10)  # forgets all the time
+    assert sorted(best_fit_packing.pack_documents(docs, best_fit_packing.read_vocabulary(), tight).collect(), key=repr) == sorted(got, key=repr)
 
 
 def test_packing_takes_out_added_tokens(spark):
