@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import common
-from ledgerline.llm.best_fit_packing import pack_documents, read_vocabulary
+from ledgerline.llm.best_fit_packing import LEAN, pack_documents, read_vocabulary
 from ledgerline.llm.jaccard_join import one_of_each
 from ledgerline.llm.language_id import in_known_language
 from ledgerline.llm.substring_dedup import without_repeats
@@ -36,7 +36,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 tokens."""
-    return pack_documents(docs, read_vocabulary())
+    return pack_documents(docs, read_vocabulary(), LEAN)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
