@@ -37,14 +37,16 @@ END = 0
 
 
 class Room(NamedTuple):
-    """What a worker may hold: words and pre-tokens that it remembers, and bytes of text whose distinct words are looked up together."""
+    """What a worker may hold: words and pre-tokens that it remembers, bytes of text whose distinct words are looked up together,
+    and whether it keeps them for its next task."""
     words: int
     tokens: int
     chunk: int
+    kept: bool = True
 
 
-ROOMY = Room(600_000, 800_000, 12 << 20)  # about 330 MB
-LEAN = Room(200_000, 300_000, 6 << 20)    # about 170 MB, a fifth more CPU time; beside other stages' workers
+ROOMY = Room(600_000, 800_000, 12 << 20)     # about 330 MB
+LEAN = Room(200_000, 300_000, 6 << 20, False)  # about 170 MB while a task runs; beside other stages' workers
 
 _loaded: dict[tuple[str, Room], WordEncoder] = {}
 
@@ -151,6 +153,9 @@ def _pieces(shared, room: Room):
                         check = zlib.crc32(raw[a + k:min(a + stop, b)])
                         out.append((doc_id, whole, piece, k // 4, (stop - k) // 4, zlib.crc32(end, check) if stop == b - a + 4 else check))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _PIECES.types, strict=True)], schema=_PIECES)
+        del encoder
+        if not room.kept:
+            _loaded.pop((shared.value, room), None)
     return run
 
 
@@ -205,7 +210,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, room: Room = ROOMY) -> Data
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for every piece of every row. ``vocabulary``: the tokenizer's JSON."""
     docs = C.id_and_text(docs)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    pieces = C.materialise(docs.mapInArrow(_pieces(shared, room), "doc_id long, row long, piece int, start long, length long, ids_crc32 long"), "pieces")
+    pieces = C.materialise(docs.mapInArrow(_pieces(shared, room) if room.kept else C.freeing(_pieces(shared, room)), "doc_id long, row long, piece int, start long, length long, ids_crc32 long"), "pieces")
     packers = max(1, round(pieces.count() / PIECES_A_PACKER))
     rows = pieces.withColumn("packer", F.pmod(F.xxhash64("doc_id", "row", "piece"), F.lit(packers)))
     rows = rows.repartition(packers, "packer").sortWithinPartitions("packer", F.xxhash64("piece", "doc_id", "row"), "doc_id", "row", "piece")
