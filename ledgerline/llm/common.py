@@ -120,9 +120,25 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE
 
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, space: np.ndarray = _SPACE) -> np.ndarray:
-    """A 64-bit hash of each word's bytes: a polynomial in an odd base, moved to the word's start, mixed with its length."""
+    """A 64-bit hash of each word's bytes: a polynomial in an odd base, moved to the word's start, mixed with its length.
+
+    A very long text is hashed by runs of words, so that what is held beside it stays small.
+    """
     if not len(start):
         return np.empty(0, np.uint64)
+    if len(data) > 2 * CHUNK_BYTES and len(start) > 1:
+        out = np.empty(len(start), np.uint64)
+        a = 0
+        while a < len(start):
+            b = max(a + 1, int(np.searchsorted(start, start[a] + CHUNK_BYTES)))
+            lo, hi = int(start[a]), int(end[b - 1])
+            out[a:b] = _hashes(data[lo:hi], start[a:b] - lo, end[a:b] - lo, space)
+            a = b
+        return out
+    return _hashes(data, start, end, space)
+
+
+def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, space: np.ndarray) -> np.ndarray:
     value = np.where(space[data], 0, data.astype(np.uint64) + np.uint64(1)).astype(np.uint64)
     value *= _power_table("up", _BASE, len(data))
     # Words of neighbouring texts may touch without a space; cut at every start, spaces count as 0.

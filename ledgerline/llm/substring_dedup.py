@@ -50,6 +50,7 @@ TAG_BYTES = 8
 PACKED_ROWS = 128      # anchor rows of one packed row, about
 HELD_ROWS = 1 << 20    # anchor rows that a task holds before it packs them
 UNPACK = 64            # packed rows unpacked together
+SEGMENT = 1 << 16      # windows whose symbols are held at a time; a long text is no more than its segments
 _FAR = 1 << 40  # a deciding span that reaches past the text's end
 
 
@@ -64,9 +65,8 @@ class Level:
         return self.owner[1:] == self.owner[:-1]
 
 
-def words_level(words: np.ndarray, first: np.ndarray) -> Level:
+def words_level(words: np.ndarray, owner: np.ndarray) -> Level:
     at = np.arange(len(words), dtype=np.int64)
-    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
     return Level(words, at, at + 1, at, at + 1, owner)
 
 
@@ -117,9 +117,9 @@ def name_pairs(s: Level, level: int) -> Level:
                  np.where(p, np.maximum(s.dhi[keep], s.dhi[mate]), dhi[keep]), s.owner[keep])
 
 
-def recompress(words: np.ndarray, first: np.ndarray, rounds: int = ROUNDS) -> list[Level]:
-    """The symbols of every level, words first."""
-    levels = [words_level(words, first)]
+def recompress(words: np.ndarray, owner: np.ndarray, rounds: int = ROUNDS) -> list[Level]:
+    """The symbols of every level, words first; ``owner`` is the text of each word."""
+    levels = [words_level(words, owner)]
     for r in range(rounds):
         s = levels[-1]
         levels.append(name_pairs(name_runs(s) if r == 0 else s, r))
@@ -172,20 +172,37 @@ def _span_hash(words: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return C.mix((total[hi] - total[lo]) * down[lo] + (hi - lo).astype(np.uint64))
 
 
-def anchor_rows(chunk: pa.RecordBatch) -> pa.RecordBatch:
-    """Rows (key, doc_id, start, tags) of a chunk's windows."""
+def anchor_segments(chunk: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows (key, doc_id, start, tags) of a chunk's windows, SEGMENT windows at a time.
+
+    A window's symbol depends on its own words alone, so it is the same wherever segments are cut.
+    """
     data, offsets = C.text_buffer(chunk.column("text"))
     start, end, first = C.word_spans(data, offsets)
     words = C.word_hashes(data, start, end)
+    del data, start, end
     owner, at = C.window_starts(first, WINDOW)
     ids = np.asarray(chunk.column("doc_id").fill_null(0), dtype=np.int64)
     if len(at):
         valid = np.asarray(chunk.column("doc_id").is_valid())
         if not valid.all():
             owner, at = owner[valid[owner]], at[valid[owner]]
-    if not len(at):
-        return pa.RecordBatch.from_pylist([], schema=_ANCHORS)
-    lv, name, dlo, dhi = choose_symbols(recompress(words, first), at, len(words))
+    for k in range(0, len(at), SEGMENT):
+        own, begin = owner[k:k + SEGMENT], at[k:k + SEGMENT]
+        lo, hi = int(begin[0]), int(begin[-1]) + WINDOW
+        texts = np.searchsorted(first, np.arange(lo, hi), side="right") - 1
+        yield _anchors(words[lo:hi], texts, own, begin - lo, begin - first[own], ids)
+
+
+def anchor_rows(chunk: pa.RecordBatch) -> pa.RecordBatch:
+    """All of a chunk's rows."""
+    parts = list(anchor_segments(chunk))
+    return pa.concat_batches(parts) if parts else pa.RecordBatch.from_pylist([], schema=_ANCHORS)
+
+
+def _anchors(words: np.ndarray, texts: np.ndarray, owner: np.ndarray, at: np.ndarray, place: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    """Rows of the windows at the words ``at``; ``owner`` and ``place``: each window's text and its first word there."""
+    lv, name, dlo, dhi = choose_symbols(recompress(words, texts), at, len(words))
     new = np.ones(len(at), dtype=bool)
     new[1:] = (owner[1:] != owner[:-1]) | (dlo[1:] != dlo[:-1]) | (dhi[1:] != dhi[:-1]) | (name[1:] != name[:-1]) | (lv[1:] != lv[:-1])
     begin = np.flatnonzero(new)
@@ -198,8 +215,7 @@ def anchor_rows(chunk: pa.RecordBatch) -> pa.RecordBatch:
     raw = tags.tobytes()
     cuts = np.append(begin, len(at)) * TAG_BYTES
     binary = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(raw)])
-    return pa.RecordBatch.from_arrays([pa.array(C.signed(key)), pa.array(ids[owner[begin]]),
-                                       pa.array((at[begin] - first[owner[begin]]).astype(np.int32)), binary], schema=_ANCHORS)
+    return pa.RecordBatch.from_arrays([pa.array(C.signed(key)), pa.array(ids[owner[begin]]), pa.array(place[begin].astype(np.int32)), binary], schema=_ANCHORS)
 
 
 _ANCHORS = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int32()), ("tags", pa.binary())])
@@ -262,9 +278,7 @@ class Rows:
 def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[Rows]:
     for batch in C.table(batches):
         for chunk in C.text_chunks(batch):
-            rows = anchor_rows(chunk)
-            if rows.num_rows:
-                yield Rows.of(rows)
+            yield from (Rows.of(rows) for rows in anchor_segments(chunk))
 
 
 def _frequent(size: int):
@@ -432,7 +446,7 @@ def _removed(text: str, spans: list[dict]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in C.table(batches):
+    for batch in (chunk for whole in C.table(batches) for chunk in C.text_chunks(whole)):
         n_words, n_removed, sha = [], [], []
         for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
             words = (text.as_py() or "").encode().split()
@@ -456,7 +470,7 @@ def digests(docs: DataFrame) -> DataFrame:
 
 def _cut_texts(spans_name: str, kept: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in C.table(batches):
+        for batch in (chunk for whole in C.table(batches) for chunk in C.text_chunks(whole)):
             texts = []
             for text, spans in zip(batch.column("text"), batch.column(spans_name), strict=True):
                 text = text.as_py()
