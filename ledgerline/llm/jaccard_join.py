@@ -123,7 +123,7 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in C.table(batches):
         for chunk in C.text_chunks(batch):
             _, h, bounds, cls = _sets_with_bounds(chunk)
-            cells += np.bincount((h & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS).astype(np.uint32)
+            np.add.at(cells, (h & np.uint64(CELLS - 1)).astype(np.int64), np.uint32(1))
             points = []
             for a, b, c in zip(bounds[:-1].tolist(), bounds[1:].tolist(), cls.tolist(), strict=True):
                 points.append(None if b == a or c in seen else write_point(h[a:b]))
