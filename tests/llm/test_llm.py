@@ -285,6 +285,48 @@ def test_substring_dedup_of_a_million_windows_under_one_key_takes_the_time_of_a_
     assert sorted(found) == want and spent[1] < 12 * spent[0] + 1
 
 
+def test_substring_dedup_keys_do_not_depend_on_where_segments_are_cut(monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(["a", "bb", "a", "c", "dd"], int(n))) for n in (700, 5, 40, 300)] + ["go " * 90]
+    chunk = pa.RecordBatch.from_pydict({"doc_id": list(range(5)), "text": texts})
+
+    def keys():
+        out = {}
+        for r in substring_dedup.anchor_rows(chunk).to_pylist():
+            for k in range(0, len(r["tags"]), 8):
+                out[r["doc_id"], r["start"] + k // 8] = r["key"], r["tags"][k:k + 8]
+        return out
+
+    whole = keys()
+    assert len(whole) == 688 + 28 + 288 + 78
+    for size in (1, 7, 16, 100):
+        monkeypatch.setattr(substring_dedup, "SEGMENT", size)
+        assert keys() == whole
+
+
+def test_a_text_of_40_mb_is_handled_in_bounded_memory():
+    """In a process of its own: the anchor rows and the cut of a text of 40 MB stay below 1 GB."""
+    import subprocess
+    import sys
+
+    code = """
+import resource
+import numpy as np, pyarrow as pa
+from ledgerline.llm import common as C, substring_dedup as S
+words = np.random.default_rng(0).integers(0, 1 << 40, 1 << 16)
+text = " ".join(map(str, words.tolist()))
+text = " ".join([text] * (40_000_000 // len(text)))
+batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [text]})
+n = sum(len(t) // 8 for rows in S._packed(64, np.empty(0, np.int64))(iter([batch])) for t in rows.column("tags").to_pylist())
+start, gone = S._removed(text, [])
+assert len(start) > 3_000_000 and n == len(start) - 12 and not gone.any()
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120, cwd=__file__.rsplit("/tests/", 1)[0])
+    assert out.returncode == 0, out.stderr
+    assert int(out.stdout) < 1000
+
+
 def test_substring_dedup_of_two_texts_under_one_id(spark):
     a, b, c = (" ".join(f"{x}{k}" for k in range(20)) for x in "abc")
     rows = [(1, a), (1, b), (2, f"{c} {a} end"), (2, "short one"), (2, None), (2, ""), (2, f"{c} {c} {c}"), (2, f"{b} more words"), (3, f"{c} stays not")]
@@ -321,6 +363,12 @@ def test_packing(docs, nothing):
     assert sorted(best_fit_packing.pack_documents(docs, best_fit_packing.read_vocabulary(), tight).collect(), key=repr) == sorted(got, key=repr)
 
 
+def test_packing_that_forgets_after_each_task_gives_the_same(spark, docs):
+    vocabulary = best_fit_packing.read_vocabulary()
+    kept = {tuple(r) for r in best_fit_packing.pack_documents(docs, vocabulary).collect()}
+    assert {tuple(r) for r in best_fit_packing.pack_documents(docs, vocabulary, best_fit_packing.LEAN).collect()} == kept
+
+
 def test_packing_takes_out_added_tokens(spark):
     from tokenizers import Tokenizer
 
