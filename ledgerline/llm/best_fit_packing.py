@@ -45,8 +45,8 @@ class Room(NamedTuple):
     kept: bool = True
 
 
-ROOMY = Room(600_000, 800_000, 12 << 20)     # about 330 MB
-LEAN = Room(200_000, 300_000, 6 << 20, False)  # about 170 MB while a task runs; beside other stages' workers
+ROOMY = Room(600_000, 800_000, 12 << 20)
+LEAN = Room(50_000, 80_000, 2 << 20, False)  # a worker at 250 MB at most over 32 MB of text, for half as much CPU time again; beside other stages' workers
 
 _loaded: dict[tuple[str, Room], WordEncoder] = {}
 
