@@ -8,7 +8,9 @@ checked against the text itself by the caller or by ``search``, so the answer is
 
 Postings are partitioned by a hash of the trigram and sorted by it, so a query lists only its
 trigrams' partitions and skips the other row groups in them; counts, a row per trigram, are sorted. A trigram that is in every text is
-a long posting, but one that a query does not need to read. Queries under three characters have
+a long posting, but one that a query does not need to read. An index is written by as many tasks as
+its postings need (``TASK_POSTINGS``): texts are dealt before they become postings, and postings by ranges
+of (partition, trigram, key), so neither a large file nor a trigram of every text meets in one task. Queries under three characters have
 no trigram; ``candidates`` gives None and the caller scans.
 """
 
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 SIZE = 3
 PARTITIONS = 16   # of the postings; fixed for an index folder
 RAREST = 3        # postings intersected for a query
+TASK_POSTINGS = 1 << 20  # postings, repeats included, that a task of the writer takes
 
 
 def normal(text: str | Column) -> Column:
@@ -33,14 +36,27 @@ def grams_of(query: str) -> list[str]:
     return sorted({query[i:i + SIZE] for i in range(len(query) - SIZE + 1)})
 
 
+def _texts(rows: DataFrame, key: str, text: Column) -> DataFrame:
+    """(key, t): the texts that have a trigram."""
+    return rows.select(F.col(key).alias("key"), normal(text).alias("t")).filter(F.col("key").isNotNull() & (F.length("t") >= SIZE))
+
+
+def _postings(texts: DataFrame) -> DataFrame:
+    """(gram, key, p), each once, in ranges of (p, gram, key) and sorted within them."""
+    n = texts.agg(F.sum(F.length("t") - (SIZE - 1))).first()[0] or 0
+    tasks = max(1, -(-n // TASK_POSTINGS))
+    gram = F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("t") - (SIZE - 1)), lambda i: F.substring(F.col("t"), i, F.lit(SIZE)))))
+    posted = (texts.repartition(tasks, "key", "t").distinct().select(gram.alias("gram"), "key")
+              .withColumn("p", F.pmod(F.crc32(F.col("gram").cast("binary")), F.lit(PARTITIONS)).cast("int")))
+    # Equal postings lie in one range: they are made distinct there, where a reading task would first hold all of its own.
+    return posted.repartitionByRange(tasks, "p", "gram", "key").distinct().sortWithinPartitions("p", "gram", "key")
+
+
 def write_index(rows: DataFrame, key: str, text: Column, path: str) -> None:
     """Write ``postings`` and ``counts`` of ``text`` under ``path``; null keys and texts are in no posting."""
     base = path.rstrip("/")
-    t = rows.select(F.col(key).alias("key"), normal(text).alias("t")).filter(F.col("key").isNotNull() & (F.length("t") >= SIZE))
-    gram = F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("t") - (SIZE - 1)), lambda i: F.substring(F.col("t"), i, F.lit(SIZE)))))
-    posted = t.select(gram.alias("gram"), "key").distinct().withColumn("p", F.pmod(F.crc32(F.col("gram").cast("binary")), F.lit(PARTITIONS)).cast("int"))
-    (posted.hint("rebalance", "p").sortWithinPartitions("p", "gram", "key").write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy("p").parquet(f"{base}/postings"))
+    posted = _postings(_texts(rows, key, text))
+    posted.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("p").parquet(f"{base}/postings")
     kept = rows.sparkSession.read.schema(posted.schema).parquet(f"{base}/postings")
     kept.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).sortWithinPartitions("gram").write.mode("overwrite").parquet(f"{base}/counts")
 

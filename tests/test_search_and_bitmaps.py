@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings
@@ -44,6 +45,25 @@ def test_candidates_read_postings_only(spark, people):
     assert {r.key for r in X.candidates(spark, path, "banana").collect()} == {0, 1}
 
 
+def test_an_index_is_written_by_tasks_of_bounded_size(spark, tmp_dir, monkeypatch):
+    """One read task, a trigram of every text, copied rows and a key with two texts: no task of the writer takes more for it."""
+    monkeypatch.setattr(X, "TASK_POSTINGS", 2000)
+    people = [(k, f"Member #{k:05d}") for k in range(3000)]
+    people += [people[0]] * 500 + [(1, "member of two"), (None, "member"), (5000, None), (5001, "me")]
+    rows = spark.createDataFrame(people, "id long, name string").coalesce(1)
+    X.write_index(rows, "id", F.col("name"), tmp_dir)
+    kept = spark.read.parquet(f"{tmp_dir}/postings").select("gram", "key", F.input_file_name().alias("file")).collect()
+    want = {(n.lower()[i:i + 3], k) for k, n in people if k is not None and n is not None for i in range(len(n) - 2)}
+    assert len(kept) == len(want) and {(r.gram, r.key) for r in kept} == want
+    assert {r.gram: r.n for r in spark.read.parquet(f"{tmp_dir}/counts").collect()} == dict(Counter(g for g, _ in want))
+    assert max(Counter(r.file for r in kept).values()) <= 2 * X.TASK_POSTINGS
+    assert len({r.file for r in kept if r.gram == "mem"}) > 1
+    # Postings are dealt before they are gathered, and not gathered by the task that reads the texts.
+    plan = X._postings(X._texts(rows, "id", F.col("name")))._jdf.queryExecution().executedPlan().toString()
+    dealt, read = plan[plan.index("rangepartitioning"):].split("Generate explode", 1)
+    assert "Aggregate" not in dealt and "Aggregate" not in read[read.index("hashpartitioning"):]
+
+
 def test_indexed_member_search_prunes_before_the_asof(spark, tmp_dir):
     forms, member, services = S.reachout_forms(spark, SF_SMALL), S.members(spark, SF_SMALL), S.services(spark, SF_SMALL)
     A.index_members(member, tmp_dir)
