@@ -47,10 +47,13 @@ def first_per_day(right: DataFrame, by: str, day: str, order: Sequence[str], val
     return right.groupBy(by, day).agg(F.min(payload).alias(_HIT))
 
 
-def day_lists(right: DataFrame, by: str, day: str, order: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """One row per ``by``: the first event of each of its days, in order of days. Rows without a key or a day cannot match."""
+def day_lists(right: DataFrame, by: str, day: str, order: Sequence[str], values: Sequence[str], only: DataFrame | None = None) -> DataFrame:
+    """One row per ``by``: the first event of each of its days, in order of days. Rows without a key or a day cannot match.
+    With ``only`` (a table of keys) other keys get no list; a hot key has been combined to its days by then."""
     keyed = right.filter(F.col(by).isNotNull() & F.col(day).isNotNull())
     days = first_per_day(keyed, by, day, order, values)
+    if only is not None:
+        days = days.join(only.select(by), by, "left_semi")
     return days.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(F.col(day).alias("day"), F.col(_HIT).alias("hit")))).alias(_DAYS))
 
 
@@ -65,12 +68,12 @@ def _with_first(joined: DataFrame, left_columns: Sequence[str], left_day: str, o
 
 
 def forward_asof(left: DataFrame, right: DataFrame, by: str, left_day: str, right_day: str,
-                 order: Sequence[str], values: Sequence[str], how: str = "left") -> DataFrame:
+                 order: Sequence[str], values: Sequence[str], how: str = "left", only: DataFrame | None = None) -> DataFrame:
     """Attach to every ``left`` row the first ``right`` row (by ``order``) with the
     same ``by`` and ``right_day >= left_day``; adds ``values`` (and ``order``)
     columns, null when nothing qualifies (``how='left'``) or drops the row
-    (``how='inner'``)."""
-    lists = day_lists(right, by, right_day, order, values)
+    (``how='inner'``). ``only``: a table that holds every key of ``left``, where it is known to be short."""
+    lists = day_lists(right, by, right_day, order, values, only)
     if how == "inner":
         joined = left.filter(F.col(by).isNotNull()).join(lists, by, "inner")
     else:

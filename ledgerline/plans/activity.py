@@ -104,11 +104,11 @@ def qualifying_services(services: DataFrame, tz: str = "UTC", d1: dt.date | None
 
 
 def first_service_after(forms_with_account: DataFrame, services: DataFrame, tz: str = "UTC",
-                        how: str = "left", d1: dt.date | None = None) -> DataFrame:
+                        how: str = "left", d1: dt.date | None = None, accounts: DataFrame | None = None) -> DataFrame:
     """J2 (+ J3 with ``how='left'``): each form's first qualifying service whose
     day is on or after the form's submitted day; ties at the same instant go
-    to the lower ``service_id``. ``d1``: the lowest submitted day, if known."""
-    return forward_asof(forms_with_account, qualifying_services(services, tz, d1), left_day="sd", right_day="service_day", how=how, **FIRST_SERVICE)
+    to the lower ``service_id``. ``d1``: the lowest submitted day, if known; ``accounts``: the forms' accounts, if known."""
+    return forward_asof(forms_with_account, qualifying_services(services, tz, d1), left_day="sd", right_day="service_day", how=how, only=accounts, **FIRST_SERVICE)
 
 
 # ----------------------------------------------------------- aggregates ---
@@ -223,12 +223,15 @@ def reachout_raw(forms: DataFrame, member: DataFrame, services: DataFrame, d1: d
         f = f.filter(C.in_local_days("submitted_at", d1, d2, tz))
     bs = form_base(f, tz).filter(F.col("bk_code") != codes.OTHER_CODE)
     member_cols = ("account_uid", "mobile", "full_name")
+    accounts = None
     if member_index is not None and query.strip():
         found = X.search(member, "individual_uid", member_text(), member_index, query)
         bs = matching(with_member(bs, found, member_cols, "inner"), "ag", "bk_code", agent, bucket, "")
     else:
         bs = matching(with_member(bs, member, member_cols), "ag", "bk_code", agent, bucket, query)
-    matched = first_service_after(bs, services, tz, how="left", d1=d1)
+        if query.strip():
+            accounts = matching(member, "", "", "ALL", "ALL", query)
+    matched = first_service_after(bs, services, tz, how="left", d1=d1, accounts=accounts)
     cols = [F.col("form_uid"), F.col("sd").alias("d"), C.month_day_string("sd").alias("mmdd"),
             F.col("ag").alias("agent")]
     if include_pii:
