@@ -6,23 +6,29 @@ sequence as one shingle. Two documents link when ``100 * |A & B| >= 80 * |A | B|
 
 Steps, each a Spark job over written tables:
 
-1. One pass over the texts gives each document's set size, its class (a distinct set), and the
-   point of the class: its tokens hashed into groups, and the counts of the groups. Exact
-   copies meet in the class. The pass also counts shingles in a table of fixed size.
-2. A second pass emits, once per class and task, the shingles that a partner must share
+1. One pass over the texts gives each document's set size and its class (a distinct set).
+   Exact copies meet in the class.
+2. A linked set shares at least 0.8 of its shingles with one other set. A pass over one text of
+   each class sends shingles, shortened and packed, to buckets that tell which of them two
+   classes have; classes with fewer such shingles are closed. The others' documents are set in
+   a bitmap, and the next steps read only those. Wherever something is not sure (shortened
+   hashes, the bitmap, repeated ids), a class stays open.
+3. A pass over the open texts gives the point of each class: its tokens hashed into groups, and
+   the counts of the groups. The pass also counts shingles in a table of fixed size.
+4. A further pass emits, once per class and task, the shingles that a partner must share
    with it: the ``n - ceil(0.8 n) + 1`` first ones, rarest counters first. Classes that share
    such a shingle, sorted by size, are candidates: with few classes each pair whose sizes fit
    (FEW bounds them), with more the chain of neighbours whose sizes fit, which connects
    whatever can be linked.
-3. Pairs are bounded by their points: the sum of coordinate minima is the largest overlap
+5. Pairs are bounded by their points: the sum of coordinate minima is the largest overlap
    they can have. What is left is joined into candidate components, outside of which there
    are no links.
-4. Components larger than a block are first compared with one pivot class each. What links
+6. Components larger than a block are first compared with one pivot class each. What links
    to the pivot is settled among itself; only the rest is searched against all blocks.
-5. In each block the points are packed into an R-tree (sorted by size, then by the widest
+7. In each block the points are packed into an R-tree (sorted by size, then by the widest
    coordinate). A node's corner of largest counts bounds the overlap by the sum of coordinate
    minima; pairs that survive and are not yet connected are verified on the sets.
-6. Components over the verified links.
+8. Components over the verified links.
 
 Only links between classes that a block already connects are left out, which no component loses.
 
@@ -33,12 +39,15 @@ with the smallest non-null doc_id of its component.
 
 from __future__ import annotations
 
+import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +61,9 @@ CELL_ROW = 1 << 16   # counters of one row on their way
 FEW = 8              # classes of a shingle that are paired; more are chained
 BLOCK = 512          # classes of one block
 LEAF = 16            # points of one R-tree leaf
+LIST = 1 << 21       # shingles that are sent to the buckets at a time, and shingles of a bucket
+MOST_BITS = 1 << 27  # of a bitmap of documents: 16 MB; with more documents it lets more through
+BIT_ROW = 1 << 19    # bits of one row on their way
 
 
 def shingle_sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -115,27 +127,202 @@ def may_link(a: np.ndarray, n: int, b: np.ndarray, m: int) -> bool:
     return DEN * bound >= NUM * (n + m)
 
 
-_SUMMARY = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("data", pa.binary())])
+_SUMMARY = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64())])
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cells, seen = np.zeros(CELLS, dtype=np.uint32), set()
     for batch in C.table(batches):
         for chunk in C.text_chunks(batch):
-            _, h, bounds, cls = _sets_with_bounds(chunk)
-            np.add.at(cells, (h & np.uint64(CELLS - 1)).astype(np.int64), np.uint32(1))
-            points = []
-            for a, b, c in zip(bounds[:-1].tolist(), bounds[1:].tolist(), cls.tolist(), strict=True):
-                points.append(None if b == a or c in seen else write_point(h[a:b]))
-                seen.add(c)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(chunk.num_rows, np.int32)), chunk.column("doc_id"),
-                 pa.array(np.diff(bounds).astype(np.int64)), pa.array(cls), pa.array(points, pa.binary())], schema=_SUMMARY)
-    for k in range(0, CELLS, CELL_ROW):
-        row = cells[k:k + CELL_ROW]
-        if row.any():
-            yield pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), pa.array([k // CELL_ROW]), pa.array([0], pa.int64()), pa.array([0], pa.int64()),
-                                              pa.array([zlib.compress(row.tobytes(), 1)], pa.binary())], schema=_SUMMARY)
+            _, _, bounds, cls = _sets_with_bounds(chunk)
+            yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), pa.array(np.diff(bounds).astype(np.int64)), pa.array(cls)], schema=_SUMMARY)
+
+
+def _slots(ids: np.ndarray, size: int) -> np.ndarray:
+    return (C.mix(ids.astype(np.int64).view(np.uint64) + np.uint64(1)) & np.uint64(size - 1)).astype(np.int64)
+
+
+def _bit_pieces(size: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in C.table(batches):
+            slots = np.unique(_slots(batch.column("doc_id").to_numpy(), size))
+            yield pa.RecordBatch.from_arrays([pa.array(slots // BIT_ROW), pa.array(slots % BIT_ROW)], names=["piece", "slot"])
+    return run
+
+
+def _set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pieces: dict[int, np.ndarray] = {}  # MOST_BITS at most
+    for batch in C.table(batches):
+        piece, slot = batch.column("piece").to_numpy(), batch.column("slot").to_numpy()
+        for k in np.unique(piece).tolist():
+            if k not in pieces:
+                pieces[k] = np.zeros(BIT_ROW // 8, np.uint8)
+            mine = slot[piece == k]
+            np.bitwise_or.at(pieces[k], mine >> 3, (1 << (mine & 7)).astype(np.uint8))
+    for k, bits in pieces.items():
+        yield pa.RecordBatch.from_pylist([{"piece": k, "bits": zlib.compress(bits.tobytes(), 1)}], schema=pa.schema([("piece", pa.int64()), ("bits", pa.binary())]))
+
+
+def id_bits(ids: DataFrame, most: int) -> np.ndarray:
+    """A bitmap of the hashed ``doc_id`` of up to ``most`` rows; it may hold others too. A null has no bit, see ``_held``."""
+    size = min(MOST_BITS, max(BIT_ROW, 1 << (16 * most).bit_length()))
+    pieces = ids.where("doc_id IS NOT NULL").select("doc_id").mapInArrow(C.freeing(_bit_pieces(size)), "piece long, slot long")
+    bits = np.zeros(size // 8, np.uint8)
+    for r in pieces.repartition("piece").mapInArrow(C.freeing(_set_bits), "piece long, bits binary").collect():
+        bits[r["piece"] * BIT_ROW // 8:(r["piece"] + 1) * BIT_ROW // 8] = np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
+    return bits
+
+
+def _held(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows whose doc_id is in the bitmap, or null."""
+    for batch in C.table(batches):
+        ids = batch.column("doc_id")
+        slots = _slots(ids.fill_null(0).to_numpy(), 8 * len(bits))
+        keep = ((bits[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1).astype(bool) | ids.is_null().to_numpy(zero_copy_only=False)
+        yield batch.filter(pa.array(keep))
+
+
+def _open_rows(opened) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _held(batches, opened.value)
+    return run
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """64-bit numbers by byte planes, entropy-coded."""
+    return zstandard.ZstdCompressor(level=1).compress(numbers.astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(np.int64).ravel()
+
+
+# A row of a list and a bucket: numbers of the sets and differences of the sorted keys, ``total`` of them. A list's own row (bucket of its name): sizes
+# and counts of its sets, their ids, and the total over all buckets. The same columns take the counts back: numbers of sets, counts.
+_LISTS = pa.schema([("bucket", pa.int32()), ("list", pa.int64()), ("own", pa.bool_()), ("total", pa.int64()), ("at", pa.binary()), ("data", pa.binary())])
+_LISTS_SQL = "bucket int, list long, own boolean, total long, at binary, data binary"
+
+
+def _packed_list(sets: list[np.ndarray], ids: list[int | None], cls: list[int], key_bits: int, buckets: int) -> pa.RecordBatch:
+    """Keys of a list of sets, by buckets. Keys of two sets of the list are counted here and sent once, under the number after the last set's."""
+    n = np.array([len(s) for s in sets], np.int64)
+    key = (np.concatenate(sets) >> np.uint64(64 - key_bits)).astype(np.int64)
+    order = np.argsort(key)
+    key, owner = key[order], np.repeat(np.arange(len(sets), dtype=np.int32), n)[order]
+    same = key[1:] == key[:-1]
+    shared, first = np.append(same, False), np.ones(len(key), dtype=bool)
+    shared[1:] |= same
+    first[1:] = ~same
+    counts = np.bincount(owner[shared], minlength=len(sets))
+    owner[shared] = len(sets)
+    key, owner = key[first], owner[first]
+    ids = [0 if i is None else i for i in ids]  # rows without an id are always held
+    name = xxhash.xxh64_intdigest(np.array([cls, ids], np.int64).tobytes())
+    name -= (name >> 63) << 64
+    rows = [{"bucket": name % buckets, "list": name, "own": True, "total": len(key), "at": _planes(np.concatenate([n, counts])), "data": _planes(np.array(ids, np.int64))}]
+    cut = np.searchsorted(key, -(-(np.arange(buckets + 1) << key_bits) // buckets)).tolist()
+    for k, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
+        if b > a:
+            rows.append({"bucket": k, "list": name, "own": False, "total": b - a, "at": _planes(owner[a:b]), "data": _planes(np.diff(key[a:b], prepend=0))})
+    return pa.RecordBatch.from_pylist(rows, schema=_LISTS)
+
+
+def _shingle_lists(shared, key_bits: int, buckets: int) -> Callable:
+    """Shingles of one text of each class, cut to ``key_bits``, about LIST at a time, packed by buckets of keys."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, ids, classes, held = [], [], [], 0
+        for batch in _held(batches, shared.value):
+            for chunk in C.text_chunks(batch):
+                _, h, bounds, cls = _sets_with_bounds(chunk)
+                for a, b, i, c in zip(bounds[:-1].tolist(), bounds[1:].tolist(), chunk.column("doc_id").to_pylist(), cls.tolist(), strict=True):
+                    if b > a:
+                        sets.append(h[a:b])
+                        ids.append(i)
+                        classes.append(c)
+                        held += b - a
+                if held >= LIST:
+                    yield _packed_list(sets, ids, classes, key_bits, buckets)
+                    sets, ids, classes, held = [], [], [], 0
+        if held:
+            yield _packed_list(sets, ids, classes, key_bits, buckets)
+    return run
+
+
+def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each list and bucket, how many keys of each set other sets have too."""
+    for group in C.sorted_groups(batches, ["bucket"]):
+        yield from group.filter(group.column("own")).to_batches()
+        rows = group.filter(pc.invert(group.column("own"))).to_pylist()
+        if not rows:
+            continue
+        key = np.concatenate([np.cumsum(_numbers(r["data"])) for r in rows])
+        order = np.argsort(key)
+        key = key[order]
+        same = key[1:] == key[:-1]
+        shared = np.zeros(len(key), dtype=bool)
+        shared[order[1:][same]] = True
+        shared[order[:-1][same]] = True
+        del key, order, same
+        begin = 0
+        for r in rows:
+            mine = np.bincount(_numbers(r["at"])[shared[begin:begin + r["total"]]])
+            begin += r["total"]
+            r["at"], r["data"] = _planes(np.flatnonzero(mine)), _planes(mine[mine > 0])
+        yield pa.RecordBatch.from_pylist(rows, schema=_LISTS)
+
+
+def _open_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of each list whose sets share at least 0.8 of their keys; all of a list whose rows do not make up its total (a task that ran twice, in another order)."""
+    for group in C.sorted_groups(batches, ["list"]):
+        rows = group.to_pylist()
+        own = [r for r in rows if r["own"]]
+        if not own:
+            continue
+        n, counts = _numbers(own[0]["at"]).reshape(2, -1)
+        counts = np.append(counts, 0)
+        for r in rows:
+            if not r["own"]:
+                counts[_numbers(r["at"])] += _numbers(r["data"])
+        keep = 10 * counts[:-1] >= 8 * n
+        if sum(r["total"] for r in own) != sum(r["total"] for r in rows if not r["own"]):
+            keep[:] = True
+        yield pa.RecordBatch.from_arrays([pa.array(_numbers(own[0]["data"])[keep])], names=["doc_id"])
+
+
+def open_documents(docs: DataFrame, classes: DataFrame) -> np.ndarray:
+    """A bitmap (see ``id_bits``) with a document of each class that can link: others have at least 0.8 of its shingles. ``classes``: rep, n."""
+    spark = docs.sparkSession
+    number, shingles = classes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    key_bits = min(48, max(16, math.ceil(math.log2(shingles + 1)) + 5))  # cut keys of different shingles seldom meet; if so, a class may stay open
+    buckets = min(2048, shingles // LIST + 1)
+    reps = spark.sparkContext.broadcast(id_bits(classes.select(F.col("rep").alias("doc_id")), number))
+    lists = docs.mapInArrow(C.freeing(_shingle_lists(reps, key_bits, buckets)), _LISTS_SQL).repartition("bucket").sortWithinPartitions("bucket")
+    lists = lists.mapInArrow(C.freeing(_shared_counts), _LISTS_SQL).repartition("list").sortWithinPartitions("list")
+    return id_bits(C.materialise(lists.mapInArrow(C.freeing(_open_ids), "doc_id long"), "open"), number)
+
+
+_POINTS = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])
+
+
+def _points(shared) -> Callable:
+    """Of the open texts: kind 0, the point of a class (``id``), once a task; kind 1, counters of shingles."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, seen = np.zeros(CELLS, dtype=np.uint32), set()
+        for batch in _held(batches, shared.value):
+            for chunk in C.text_chunks(batch):
+                _, h, bounds, cls = _sets_with_bounds(chunk)
+                np.add.at(cells, (h & np.uint64(CELLS - 1)).astype(np.int64), np.uint32(1))
+                rows = []
+                for a, b, c in zip(bounds[:-1].tolist(), bounds[1:].tolist(), cls.tolist(), strict=True):
+                    if b > a and c not in seen:
+                        seen.add(c)
+                        rows.append({"kind": 0, "id": c, "n": b - a, "data": write_point(h[a:b])})
+                yield pa.RecordBatch.from_pylist(rows, schema=_POINTS)
+        for k in range(0, CELLS, CELL_ROW):
+            row = cells[k:k + CELL_ROW]
+            if row.any():
+                yield pa.RecordBatch.from_pylist([{"kind": 1, "id": k // CELL_ROW, "n": 0, "data": zlib.compress(row.tobytes(), 1)}], schema=_POINTS)
+    return run
 
 
 def _add_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,10 +346,10 @@ def shingle_counters(seen: DataFrame) -> np.ndarray:
     return cells
 
 
-def _prefixes(shared) -> callable:
+def _prefixes(opened, shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, seen = shared.value, set()
-        for batch in C.table(batches):
+        for batch in _held(batches, opened.value):
             for chunk in C.text_chunks(batch):
                 owner, h, bounds, cls = _sets_with_bounds(chunk)
                 n = np.diff(bounds)
@@ -397,21 +584,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (columns doc_id, text; others are ignored)."""
     docs = C.id_and_text(docs)
     spark: SparkSession = docs.sparkSession
-    seen = C.materialise(docs.mapInArrow(C.freeing(_summaries), "kind int, id long, n long, cls long, data binary"), "summaries")
-    rows = seen.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "cls")
-    keys = docs.mapInArrow(C.freeing(_prefixes(spark.sparkContext.broadcast(shingle_counters(seen)))), "key long, n int, cls long")
+    rows = C.materialise(docs.mapInArrow(C.freeing(_summaries), "doc_id long, n long, cls long"), "summaries")
+    classes = rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"))
+    opened = spark.sparkContext.broadcast(open_documents(docs, classes))
+    seen = C.materialise(docs.mapInArrow(C.freeing(_points(opened)), "kind int, id long, n long, data binary"), "points")
+    keys = docs.mapInArrow(C.freeing(_prefixes(opened, spark.sparkContext.broadcast(shingle_counters(seen)))), "key long, n int, cls long")
     pairs = keys.repartition("key").sortWithinPartitions("key", "n", "cls").mapInArrow(C.freeing(_bucket_pairs), "a long, b long, sure boolean")
     pairs = pairs.groupBy("a", "b").agg(F.max("sure").alias("sure"))
-    points = seen.where("kind = 0 AND data IS NOT NULL").groupBy("cls").agg(F.max("n").alias("n"), F.max("data").alias("data"))
+    points = seen.where("kind = 0").groupBy(F.col("id").alias("cls")).agg(F.max("n").alias("n"), F.max("data").alias("data"))
     pairs = (pairs.join(points.select(F.col("cls").alias("a"), "n", F.col("data").alias("x")), "a")
              .join(points.select(F.col("cls").alias("b"), F.col("n").alias("m"), F.col("data").alias("y")), "b"))
     comps = connected_components(pairs.mapInArrow(C.freeing(_bounded), "a long, b long"), "a", "b").withColumnRenamed("component", "comp")
 
-    reps = rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"))
+    reps = classes.select("cls", "rep")
     cand = comps.withColumnRenamed("node", "cls").join(reps, "cls")
     sizes = cand.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     cand = cand.join(sizes, "comp").select(F.col("rep").alias("doc_id"), "cls", "comp", "blocks")
-    texts = docs.join(cand, "doc_id").select("cls", "comp", "blocks", "text")
+    found = docs.mapInArrow(C.freeing(_open_rows(opened)), docs.schema)
+    texts = found.join(cand, "doc_id").select("cls", "comp", "blocks", "text")
     # A class that only rows without a doc_id have is fetched by the class itself.
     nameless = docs.where("doc_id IS NULL").mapInArrow(C.freeing(_class_texts), "cls long, text string").dropDuplicates(["cls"])
     texts = texts.union(nameless.join(cand.where("doc_id IS NULL"), "cls").select("cls", "comp", "blocks", "text"))

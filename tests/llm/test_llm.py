@@ -147,6 +147,53 @@ def test_jaccard_join_beyond_a_block(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == root
 
 
+def test_jaccard_join_reads_only_texts_that_can_link(spark, monkeypatch):
+    """Counters that tell nothing, as over very many texts: unrelated texts with a common passage don't become candidates."""
+    rng = np.random.default_rng(5)
+    word = lambda: "w%d" % rng.integers(0, 1 << 40)
+    passage = " ".join(word() for _ in range(150))
+    rows = [(i, " ".join(word() for _ in range(200)) + " " + passage) for i in range(60)]
+    rows += [(100, rows[7][1] + " end"), (101, rows[8][1]), (None, rows[9][1])]
+    written, put = {}, jaccard_join.C.materialise
+
+    def spy(df, tag, *a):
+        out = put(df, tag, *a)
+        written[tag] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join.C, "materialise", spy)
+    monkeypatch.setattr(jaccard_join, "shingle_counters", lambda seen: np.zeros(jaccard_join.CELLS, np.uint32))
+    got = {(r["doc_id"], r["component_id"]) for r in jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(i, i) for i in range(60)} | {(100, 7), (101, 8), (None, 9)}
+    assert written["sets"] == 2
+
+
+def test_open_documents_are_those_that_share_enough():
+    """Shared keys of packed lists against brute force; rows missing from a list open all of it."""
+    rng = np.random.default_rng(6)
+    pool = rng.integers(0, 1 << 63, 400).astype(np.uint64) * np.uint64(2)
+    sets = [np.unique(np.concatenate([rng.choice(pool, int(a)), rng.integers(0, 1 << 63, int(b)).astype(np.uint64)]))
+            for a, b in zip(rng.integers(0, 60, 90), rng.integers(0, 20, 90), strict=True)]
+    sets = [s if len(s) else pool[:1] for s in sets]
+    batches = [jaccard_join._packed_list(sets[a:a + 30], list(range(a, a + 30)), list(range(a, a + 30)), 48, 7) for a in (0, 30, 60)]
+
+    def answer(rows):
+        rows = rows.sort_by("bucket")
+        counts = pa.Table.from_batches(jaccard_join._shared_counts(iter(rows.to_batches()))).sort_by("list")
+        return {i for b in jaccard_join._open_ids(iter(counts.to_batches())) for i in b.column(0).to_pylist()}
+
+    uses = {}
+    for s in sets:
+        for h in s.tolist():
+            uses[h >> 16] = uses.get(h >> 16, 0) + 1
+    want = {i for i, s in enumerate(sets) if 10 * sum(uses[h >> 16] > 1 for h in s.tolist()) >= 8 * len(s)}
+    rows = pa.Table.from_batches(batches)
+    assert 0 < len(want) < 90 and answer(rows) == want
+    lost = next(k for k, own in enumerate(batches[1].column("own").to_pylist()) if not own)
+    cut = pa.concat_tables([pa.Table.from_batches([batches[0], batches[2]]), pa.Table.from_batches([batches[1]]).take([k for k in range(batches[1].num_rows) if k != lost])])
+    assert set(range(30, 60)) <= answer(cut)
+
+
 def test_jaccard_join_links_through_a_null_doc_id(spark):
     w = [f"w{k}" for k in range(100)]
     rows = [(1, " ".join(w[:90])), (None, " ".join(w[5:95])), (None, " ".join(w[5:95])), (2, " ".join(w[10:])),
